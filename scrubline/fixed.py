@@ -26,8 +26,6 @@ PART_HEADERS_V2 = {
     "cat": "category",
 }
 
-PART_DROPPED_V2 = ["legacy_ref"]
-
 SUPPLIER_HEADERS = {
     "supplier_name": "name",
     "supplier": "name",

@@ -24,6 +24,7 @@ from scrubline.fixed import SIMILARITY_THRESHOLD
 from scrubline.operators.similarity import (
     Blocking,
     key_features,
+    longest_key,
     repeated_signatures,
     similar_between,
     similar_keys,
@@ -46,30 +47,6 @@ def distinct_names(df: DataFrame, col: str, order_col: str) -> DataFrame:
     )
 
 
-def name_matches(
-    df: DataFrame, col: str = "name", threshold: int = SIMILARITY_THRESHOLD
-) -> DataFrame:
-    """(name, match, score): each distinct name with every other one it matches."""
-    names = with_token_key(df.select(F.col(col).alias("name")).distinct(), "name")
-    names = written(names, "names")
-    # One key per spelling class: the smallest name stands for it in the id.
-    ids = names.select("key").distinct().withColumn("kid", F.monotonically_increasing_id())
-    keys = written(key_features(written(ids, "keys")), "features")
-    edges = similar_keys(keys, threshold)
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
-    members = written(names.join(keys.select("key", "kid"), "key").select("kid", "name"), "members")
-    match = members.select("kid", F.col("name").alias("match"))
-    same = members.join(match, "kid").where(F.col("name") != F.col("match"))
-    across = (
-        both.join(members, both.a == members.kid)
-        .select("name", "b", "score")
-        .join(match, F.col("b") == match.kid)
-    )
-    return same.select("name", "match", F.lit(100.0).alias("score")).unionByName(
-        across.select("name", "match", "score")
-    )
-
-
 def ranked_keys(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Keys numbered from 0 in first-seen order, and the members of each.
 
@@ -144,7 +121,7 @@ def leaders_and_stars(
 ) -> tuple[DataFrame, DataFrame]:
     """Leader ids, and (leader, kid, score) for every key similar to a leader."""
     blocking = Blocking(threshold)
-    total = keys.count()
+    total, longest = keys.count(), longest_key(keys)
     allowed = repeats if repeats is not None else REPEATS_FLOOR + REPEATS_PER_KEY * total
     open_keys, start, size = keys, 0, max(total, 1)
     leaders, stars = [], []
@@ -152,7 +129,7 @@ def leaders_and_stars(
         size = min(size, total - start)
         while True:
             batch = open_keys.where(F.col("kid").between(start, start + size - 1))
-            if size <= smallest_batch or repeated_signatures(batch, blocking) <= allowed:
+            if size <= smallest_batch or repeated_signatures(batch, blocking, longest) <= allowed:
                 break
             size = max(size // 4, smallest_batch)
         inside = written(_ordered(similar_keys(batch, threshold)), "edges")

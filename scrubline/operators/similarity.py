@@ -82,6 +82,8 @@ def _bit_set(bits: str, low: int) -> Column:
     )
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
 # --- blocking ---------------------------------------------------------------------
 
 
@@ -117,7 +119,13 @@ class Blocking:
         return F.floor(F.log(m.cast("double")) / math.log(CLASS_RATIO)).cast("int")
 
     # The two tables below depend on the threshold only, not on the data: at most
-    # a few thousand rows, so they are broadcast.
+    # a few thousand rows, so they are cached and broadcast.
+
+    def _table(self, spark: SparkSession, build) -> DataFrame:
+        at = (spark.sparkContext.applicationId, build.__name__, self.threshold, self.positional)
+        if at not in _TABLES:
+            _TABLES[at] = build(spark).persist()
+        return _TABLES[at]
 
     def segment_table(self, spark: SparkSession) -> DataFrame:
         """(len, class, i, at, size): the segments of a key, by key length."""
@@ -161,68 +169,47 @@ class Blocking:
             "sig", F.xxhash64("class", "i", text)
         )
 
-    def index_rows(self, keys: DataFrame) -> DataFrame:
+    def index_rows(self, keys: DataFrame, longest: int) -> DataFrame:
         """Signature rows of ``keys`` in the role of the longer key."""
-        spark = keys.sparkSession
-        near = self._cut(keys, self.segment_table(spark))
-        m, i = F.col("len"), F.col("i")
+        near = self._cut(keys, self._table(keys.sparkSession, self.segment_table))
+        if longest <= self.positional:
+            return _sides(near, "a")
+        m = F.col("len")
+        segments = F.transform(
+            F.sequence(F.lit(0), self.widest_budget(m)),
+            lambda i: F.substr("key", i * self.segment + 1, self.segment_length(m, i)),
+        )
         # A segment repeated within one key needs one row only.
         far = (
-            keys.where(m > self.positional)
-            .where(self.widest_budget(m) > 0)
-            .withColumn(
-                "text",
-                F.explode(
-                    F.array_distinct(
-                        F.transform(
-                            F.sequence(F.lit(0), self.widest_budget(m)),
-                            lambda i: F.substr(
-                                "key", i * self.segment + 1, self.segment_length(m, i)
-                            ),
-                        )
-                    )
-                ),
-            )
+            keys.where((m > self.positional) & (self.widest_budget(m) > 0))
+            .withColumn("text", F.explode(F.array_distinct(segments)))
             .withColumn("sig", F.xxhash64(self.length_class(m), F.lit(-1), "text"))
         )
         return _sides(near.unionByName(far, allowMissingColumns=True), "a")
 
-    def probe_rows(self, keys: DataFrame) -> DataFrame:
+    def probe_rows(self, keys: DataFrame, longest: int) -> DataFrame:
         """Signature rows of ``keys`` in the role of the shorter key."""
-        spark = keys.sparkSession
-        near = self._cut(keys, self.probe_table(spark))
-        n = F.col("len")
-        shapes = F.array_distinct(
-            F.flatten(
-                F.transform(
-                    F.sequence(F.greatest(n, F.lit(self.positional + 1)), self.longest_partner(n)),
-                    lambda m: F.array(
-                        F.struct(
-                            self.length_class(m).alias("class"), F.lit(self.segment).alias("size")
-                        ),
-                        F.struct(
-                            self.length_class(m).alias("class"),
-                            self.segment_length(m, self.widest_budget(m)).alias("size"),
-                        ),
-                    ),
-                )
-            )
+        near = self._cut(keys, self._table(keys.sparkSession, self.probe_table))
+        if longest <= self.positional:
+            return _sides(near, "b")
+        n, size = F.col("len"), F.col("shape.size")
+        # Segments of a longer key are full ones, and possibly one shorter at the end.
+        shapes = F.transform(
+            F.sequence(F.greatest(n, F.lit(self.positional + 1)), self.longest_partner(n)),
+            lambda m: F.array(
+                F.struct(self.length_class(m).alias("class"), F.lit(self.segment).alias("size")),
+                F.struct(
+                    self.length_class(m).alias("class"),
+                    self.segment_length(m, self.widest_budget(m)).alias("size"),
+                ),
+            ),
         )
+        texts = F.transform(F.sequence(F.lit(1), n - size + 1), lambda at: F.substr("key", at, size))
         far = (
             keys.where(self.longest_partner(n) > self.positional)
-            .withColumn("shape", F.explode(shapes))
-            .where(F.col("shape.size").between(1, n))
-            .withColumn(
-                "text",
-                F.explode(
-                    F.array_distinct(
-                        F.transform(
-                            F.sequence(F.lit(1), n - F.col("shape.size") + 1),
-                            lambda at: F.substr("key", at, F.col("shape.size")),
-                        )
-                    )
-                ),
-            )
+            .withColumn("shape", F.explode(F.array_distinct(F.flatten(shapes))))
+            .where(size.between(1, n))
+            .withColumn("text", F.explode(F.array_distinct(texts)))
             .withColumn("sig", F.xxhash64("shape.class", F.lit(-1), "text"))
         )
         return _sides(near.unionByName(far, allowMissingColumns=True), "b")
@@ -254,18 +241,24 @@ def candidate_pairs(
     shorter: DataFrame,
     blocking: Blocking,
     equal_lengths: Column,
+    longest: int,
     hot_rows: int = HOT_SIGNATURE_ROWS,
 ) -> DataFrame:
     """Distinct (a, b) key ids that share a signature and pass the cheap test."""
-    index, probe = blocking.index_rows(longer), blocking.probe_rows(shorter)
+    index = blocking.index_rows(longer, longest)
+    probe = blocking.probe_rows(shorter, longest)
     hot = hot_keys(index, "sig", hot_rows)
     met = grid_join(index, probe, "sig", hot, "a", "b", blocking.may_match(equal_lengths))
     return met.select("a", "b").distinct()
 
 
-def repeated_signatures(keys: DataFrame, blocking: Blocking) -> int:
+def longest_key(keys: DataFrame) -> int:
+    return keys.agg(F.max("len")).first()[0] or 0
+
+
+def repeated_signatures(keys: DataFrame, blocking: Blocking, longest: int) -> int:
     """How many pairs of index rows share a signature; a bound check before joining."""
-    counts = blocking.index_rows(keys).groupBy("sig").agg(F.count("*").alias("n"))
+    counts = blocking.index_rows(keys, longest).groupBy("sig").agg(F.count("*").alias("n"))
     return counts.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
 
 
@@ -320,13 +313,15 @@ def _lcs_big(short: str, long: str) -> int:
 
 def verified(pairs: DataFrame, keys: DataFrame, threshold: int) -> DataFrame:
     """(a, b, score) of the candidate pairs that reach the threshold."""
+    # Marked as nondeterministic only so that the planner evaluates it once.
+    lcs = common_length.asNondeterministic()
     a = keys.select(F.col("kid").alias("a"), F.col("key").alias("a_key"), F.col("len").alias("a_len"))
     b = keys.select(F.col("kid").alias("b"), F.col("key").alias("b_key"), F.col("len").alias("b_len"))
     common, total = F.col("common"), F.col("a_len") + F.col("b_len")
     return (
         pairs.join(a, "a")
         .join(b, "b")
-        .withColumn("common", common_length("a_key", "b_key"))
+        .withColumn("common", lcs("a_key", "b_key"))
         .where(200 * common >= threshold * total)
         .select("a", "b", (F.lit(200.0) * common / total).alias("score"))
     )
@@ -343,7 +338,9 @@ def similar_keys(
 ) -> DataFrame:
     """Every unordered pair of different keys that match, once, as (a, b, score)."""
     blocking = Blocking(threshold, positional)
-    pairs = candidate_pairs(keys, keys, blocking, F.col("a") > F.col("b"), hot_rows)
+    pairs = candidate_pairs(
+        keys, keys, blocking, F.col("a") > F.col("b"), longest_key(keys), hot_rows
+    )
     return verified(pairs, keys, threshold)
 
 
@@ -356,11 +353,11 @@ def similar_between(
 ) -> DataFrame:
     """Matches of ``some`` of the keys with all ``keys`` but themselves, as (a, b, score)."""
     blocking = Blocking(threshold, positional)
-    other = F.col("a") != F.col("b")
-    above = candidate_pairs(keys, some, blocking, other, hot_rows).select(
+    other, longest = F.col("a") != F.col("b"), longest_key(keys)
+    above = candidate_pairs(keys, some, blocking, other, longest, hot_rows).select(
         F.col("b").alias("a"), F.col("a").alias("b")
     )
-    below = candidate_pairs(some, keys, blocking, F.lit(False), hot_rows)
+    below = candidate_pairs(some, keys, blocking, F.lit(False), longest, hot_rows)
     return verified(above.unionByName(below), keys, threshold)
 
 
@@ -376,6 +373,47 @@ def stored_keys(df: DataFrame) -> DataFrame:
     return written(key_features(written(ids, "keys")), "features")
 
 
+def member_pairs(edges: DataFrame, members: DataFrame, hot_rows: int) -> DataFrame:
+    """(x, y, score): unordered pairs of different members with equal or similar keys.
+
+    ``members`` is (kid, member). A key with many members, or many similar keys,
+    is cut into a grid, so no task holds all members of one key.
+    """
+    hot = hot_keys(members, "kid", hot_rows)
+    x = members.select("kid", F.col("member").alias("x"))
+    y = members.select("kid", F.col("member").alias("y"))
+    same = grid_join(x, y, "kid", hot, "x", "y", F.col("x") > F.col("y"))
+    first = grid_join(edges.withColumnRenamed("a", "kid"), x, "kid", hot, "b", "x").drop("kid")
+    across = grid_join(first.withColumnRenamed("b", "kid"), y, "kid", hot, "x", "y")
+    return same.select("x", "y", F.lit(100.0).alias("score")).unionByName(
+        across.select("x", "y", "score")
+    )
+
+
+def name_matches(
+    df: DataFrame,
+    col: str = "name",
+    threshold: int = SIMILARITY_THRESHOLD,
+    hot_rows: int = HOT_SIGNATURE_ROWS,
+) -> DataFrame:
+    """(name, match, score): each distinct name with every other one it matches."""
+    names = df.select(F.col(col).cast("string").alias("name")).distinct()
+    keyed = written(with_token_key(names, "name"), "names")
+    keys = stored_keys(keyed)
+    members = keyed.join(keys.select("key", "kid"), "key")
+    members = written(members.select("kid", F.col("name").alias("member")), "members")
+    pairs = member_pairs(similar_keys(keys, threshold, hot_rows=hot_rows), members, hot_rows)
+    # Both directions from one pass over the pairs.
+    return pairs.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("x").alias("name"), F.col("y").alias("match"), "score"),
+                F.struct(F.col("y").alias("name"), F.col("x").alias("match"), "score"),
+            )
+        ).alias("found")
+    ).select("found.*")
+
+
 def duplicate_pairs(
     df: DataFrame,
     code: str = "supplier_code",
@@ -392,33 +430,22 @@ def duplicate_pairs(
     if code not in df.columns or col not in df.columns:
         return df.sparkSession.createDataFrame([], "later string, earlier string, score double")
     rows = df.select(F.col(code).cast("string").alias("code"), F.col(col).cast("string").alias("name"))
-    # Names first: copies of a name are keyed once per partition, not once per row.
+    # Copies are merged before keys are built: once per distinct pair, not per row.
     counted = rows.dropna().groupBy("name", "code").agg(F.count("*").alias("n"))
     counted = with_token_key(counted, "name").groupBy("key", "code").agg(F.sum("n").alias("n"))
     keyed = written(counted, "rows")
     keys = stored_keys(keyed)
-    members = written(keyed.join(keys.select("key", "kid"), "key").select("kid", "code", "n"), "members")
-    hot = hot_keys(members, "kid", hot_rows)
-
-    repeated = members.where(F.col("n") > 1).select("code", F.col("code").alias("other"))
-    left = members.select("kid", "code")
-    right = members.select("kid", F.col("code").alias("other"))
-    same_key = grid_join(
-        left, right, "kid", hot, "code", "other", F.col("code") > F.col("other")
-    ).select("code", "other")
-
+    members = keyed.join(keys.select("key", "kid"), "key")
+    members = written(members.select("kid", F.col("code").alias("member"), "n"), "members")
     edges = similar_keys(keys, threshold, hot_rows=hot_rows)
-    first = grid_join(edges.withColumnRenamed("a", "kid"), left, "kid", hot, "b", "code").drop("kid")
-    both = grid_join(first.withColumnRenamed("b", "kid"), right, "kid", hot, "code", "other")
-
-    found = (
-        repeated.unionByName(same_key)
-        .withColumn("score", F.lit(100.0))
-        .unionByName(both.select("code", "other", "score"))
+    # A code that occurs twice with one key is a pair of its own.
+    repeated = members.where(F.col("n") > 1).select(
+        F.col("member").alias("x"), F.col("member").alias("y"), F.lit(100.0).alias("score")
+    )
+    found = repeated.unionByName(member_pairs(edges, members.select("kid", "member"), hot_rows))
+    return found.groupBy(F.greatest("x", "y").alias("later"), F.least("x", "y").alias("earlier")).agg(
+        F.max("score").alias("score")
     )
-    return found.groupBy(
-        F.greatest("code", "other").alias("later"), F.least("code", "other").alias("earlier")
-    ).agg(F.max("score").alias("score"))
 
 
 def pair_key(later: str = "later", earlier: str = "earlier") -> Column:

@@ -45,7 +45,8 @@ def grid_join(
         left = _spread(left, key, hot, left_salt, "_row", "_col")
         right = _spread(right, key, hot, right_salt, "_col", "_row")
         on = [key, "_row", "_col"]
-    joined = left.join(right, on)
+    # Sizes are underestimated after explodes, so never let them pick a broadcast.
+    joined = left.hint("merge").join(right.hint("merge"), on)
     if condition is not None:
         joined = joined.where(condition)
     return joined.drop("_row", "_col")

@@ -1,0 +1,23 @@
+"""The row-level detectors on a stream of rows.
+
+They keep no state: each is a filter or a join with a small fixed table, so the
+batch functions run unchanged on a streaming DataFrame and append their rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from scrubline.operators import detect as d
+
+
+def part_defects(stream: DataFrame) -> DataFrame:
+    return d.non_standard_part_numbers(stream)
+
+
+def supplier_defects(stream: DataFrame) -> DataFrame:
+    return d.invalid_emails(stream)
+
+
+def change_order_defects(stream: DataFrame) -> DataFrame:
+    return d.state_variants(stream).unionByName(d.impossible_dates(stream))
