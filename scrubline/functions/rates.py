@@ -35,4 +35,4 @@ def health(rate: Column) -> Column:
 
 def percent(rate: Column) -> Column:
     """One decimal and a percent sign."""
-    return F.format_string("%.1f%%", rate * 100)
+    return F.format_string("%.1f%%", F.bround(rate * 100, 1))
