@@ -110,9 +110,15 @@ def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scorecard_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = all_detections(spark, sf_dir)
+    return pipelines.score(found, messy(spark, sf_dir, "truth"), unrounded=True)
+
+
+def outcomes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of every key of all five checks, the near-duplicate pairs listed."""
     found = all_detections(spark, sf_dir)
     truth = messy(spark, sf_dir, "truth")
-    return scoring.scorecard(found.defects, truth, found.categories, unrounded=True)
+    return scoring.outcomes(found.all_defects(), truth, found.categories)
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +229,7 @@ def queries() -> dict[str, Query]:
         "scorecard": scorecard,
         "scorecard_all": scorecard_all,
         "scorecard_outcomes": row_outcomes,
+        "scorecard_outcomes_all": outcomes_all,
         "false_positives": lambda s, sf: scoring.false_positives(row_outcomes(s, sf)),
         "false_negatives": lambda s, sf: scoring.false_negatives(row_outcomes(s, sf)),
         "expected_counts": lambda s, sf: manifests.expected_counts(manifest(s, sf)),

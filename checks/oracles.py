@@ -112,6 +112,9 @@ FOUR = "run(category) as (values " + ", ".join(
 ) + ")"
 FIVE = "run(category) as (values " + ", ".join(f"('{c}')" for c in fixed.MANIFEST_RECORDS) + ")"
 
+OUTCOMES = """select category, record_key, case when in_d and in_t then 'matched'
+  when in_d then 'false_positive' else 'false_negative' end as outcome from sides"""
+
 RATED = """counts as (select coalesce(category, '_overall') as category,
     count(*) filter (in_t) as expected, count(*) filter (in_d) as detected,
     count(*) filter (in_t and in_d) as matched,
@@ -194,11 +197,8 @@ ORACLES = {
     ),
     "scorecard": _with(f"{FOUR}, {DETECTED}, {SIDES}, {RATED}", SCORES),
     "scorecard_all": _with(f"{FIVE}, {ALL_DETECTED}, {SIDES}, {RATED}", SCORES),
-    "scorecard_outcomes": _with(
-        f"{FOUR}, {DETECTED}, {SIDES}",
-        """select category, record_key, case when in_d and in_t then 'matched'
-        when in_d then 'false_positive' else 'false_negative' end as outcome from sides""",
-    ),
+    "scorecard_outcomes": _with(f"{FOUR}, {DETECTED}, {SIDES}", OUTCOMES),
+    "scorecard_outcomes_all": _with(f"{FIVE}, {ALL_DETECTED}, {SIDES}", OUTCOMES),
     "false_positives": _with(
         f"{FOUR}, {DETECTED}, {SIDES}",
         "select category, record_key from sides where in_d and not in_t",

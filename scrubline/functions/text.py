@@ -43,11 +43,16 @@ def fold_case(text: Column) -> Column:
         ),
         "",
     )
-    return F.when(folded.rlike(f"[{''.join(_EXPANDED)}]"), expanded).otherwise(folded)
+    return (
+        F.when(~text.rlike(r"[^\x00-\x7F]"), F.lower(text))
+        .when(folded.rlike(f"[{''.join(_EXPANDED)}]"), expanded)
+        .otherwise(folded)
+    )
 
 
 def _expansions() -> Column:
-    return F.create_map(*[F.lit(part) for pair in _EXPANDED.items() for part in pair])
+    entries = ";".join(f"{char}={folded}" for char, folded in _EXPANDED.items())
+    return F.str_to_map(F.lit(entries), F.lit(";"), F.lit("="))
 
 
 def token_key(text: Column) -> Column:

@@ -23,8 +23,8 @@ from pyspark.sql import Window
 from scrubline.fixed import SIMILARITY_THRESHOLD
 from scrubline.operators.similarity import (
     Blocking,
+    extent,
     key_features,
-    longest_key,
     repeated_signatures,
     similar_between,
     similar_keys,
@@ -121,7 +121,7 @@ def leaders_and_stars(
 ) -> tuple[DataFrame, DataFrame]:
     """Leader ids, and (leader, kid, score) for every key similar to a leader."""
     blocking = Blocking(threshold)
-    total, longest = keys.count(), longest_key(keys)
+    longest, total = extent(keys)
     allowed = repeats if repeats is not None else REPEATS_FLOOR + REPEATS_PER_KEY * total
     open_keys, start, size = keys, 0, max(total, 1)
     leaders, stars = [], []

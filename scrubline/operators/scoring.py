@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from scrubline import fixed
 from scrubline.functions import rates
+from scrubline.operators.similarity import DuplicateIndex, pair_key
+from scrubline.operators.skew import grid_join, hot_keys
+from scrubline.workspace import written
 
 COUNTS = ["expected", "detected", "matched", "false_positives", "false_negatives"]
 
@@ -82,6 +85,108 @@ def category_counts(outcome_table: DataFrame, categories: list[str]) -> DataFram
     return filled.select("category", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS])
 
 
+def pair_counts(index: DuplicateIndex, truth: DataFrame) -> DataFrame:
+    """The five counts for near-duplicate pairs, without listing the pairs.
+
+    Detected pairs are counted per key and per edge from the number of codes on
+    each key. Codes that occur on several rows could be counted twice that way,
+    so the pairs they take part in are listed and made distinct. Pairs of the
+    truth are looked up by the keys of their two codes.
+    """
+    wanted = _keys(truth, [fixed.NEAR_DUPLICATES]).select("record_key").distinct()
+    if not index.members.where(F.col("member").contains("->")).isEmpty():
+        # Pair keys cannot be taken apart again, so compare them whole.
+        pairs = index.pairs().select(
+            F.lit(fixed.NEAR_DUPLICATES).alias("category"), pair_key().alias("record_key")
+        )
+        return category_counts(
+            outcomes(pairs, truth, [fixed.NEAR_DUPLICATES]), [fixed.NEAR_DUPLICATES]
+        )
+    members, edges = index.members, index.edges
+    repeated = (
+        members.groupBy("member")
+        .agg(F.sum("n").alias("rows"))
+        .where(F.col("rows") > 1)
+        .select("member")
+    )
+    repeated = written(repeated, "repeated")
+    plain, detected = members, []
+    if not repeated.isEmpty():
+        plain = members.join(repeated, "member", "left_anti")
+        detected.append(_pairs_of(repeated, index).agg(F.count("*").alias("n")))
+    sizes = plain.groupBy("kid").agg(F.count("*").alias("size"))
+    detected.append(sizes.agg(F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("n")))
+    a = sizes.select(F.col("kid").alias("a"), F.col("size").alias("a_size"))
+    b = sizes.select(F.col("kid").alias("b"), F.col("size").alias("b_size"))
+    across = edges.join(a, "a").join(b, "b")
+    detected.append(across.agg(F.sum(F.col("a_size") * F.col("b_size")).alias("n")))
+
+    counted = [(part, "detected") for part in detected]
+    counted.append((_true_pairs(wanted, index).agg(F.count("*").alias("n")), "matched"))
+    counted.append((wanted.agg(F.count("*").alias("n")), "expected"))
+    rows = None
+    for part, name in counted:
+        row = part.select(
+            *[
+                (F.col("n").cast("bigint") if name == c else F.lit(0).cast("bigint")).alias(c)
+                for c in ("expected", "detected", "matched")
+            ]
+        )
+        rows = row if rows is None else rows.unionByName(row)
+    sums = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rows.columns])
+    return sums.select(
+        F.lit(fixed.NEAR_DUPLICATES).alias("category"),
+        "expected",
+        "detected",
+        "matched",
+        (F.col("detected") - F.col("matched")).alias("false_positives"),
+        (F.col("expected") - F.col("matched")).alias("false_negatives"),
+    )
+
+
+def _pairs_of(codes: DataFrame, index: DuplicateIndex) -> DataFrame:
+    """Distinct (later, earlier) pairs that at least one of the codes takes part in."""
+    many = index.members.count() > index.hot_rows
+    hot = hot_keys(index.members, "kid", index.hot_rows) if many else None
+    chosen = index.members.join(codes, "member", "left_semi")
+    x = chosen.select("kid", F.col("member").alias("x"), "n")
+    y = index.members.select("kid", F.col("member").alias("y"))
+    same = grid_join(
+        x, y, "kid", hot, "x", "y", (F.col("x") != F.col("y")) | (F.col("n") > 1)
+    ).select("x", "y")
+    edges = index.edges.select(F.col("a").alias("kid"), "b").unionByName(
+        index.edges.select(F.col("b").alias("kid"), F.col("a").alias("b"))
+    )
+    first = grid_join(edges, x, "kid", hot, "b", "x").select("x", F.col("b").alias("kid"))
+    across = grid_join(first, y, "kid", hot, "x", "y").select("x", "y")
+    both = same.unionByName(across)
+    return both.select(
+        F.greatest("x", "y").alias("later"), F.least("x", "y").alias("earlier")
+    ).distinct()
+
+
+def _true_pairs(wanted: DataFrame, index: DuplicateIndex) -> DataFrame:
+    """The keys of the truth that name a pair of matching rows."""
+    codes = F.split("record_key", "->")
+    asked = wanted.where(F.size(codes) == 2).select(
+        "record_key", codes[0].alias("later"), codes[1].alias("earlier")
+    )
+    later = index.members.select(F.col("member").alias("later"), F.col("kid").alias("p"), "n")
+    earlier = index.members.select(F.col("member").alias("earlier"), F.col("kid").alias("q"))
+    placed = (
+        asked.where(F.col("later") >= F.col("earlier"))
+        .join(later, "later")
+        .join(earlier, "earlier")
+        .withColumns({"lo": F.least("p", "q"), "hi": F.greatest("p", "q")})
+    )
+    edges = index.edges.select(
+        F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), F.lit(1).alias("edge")
+    )
+    equal = (F.col("p") == F.col("q")) & ((F.col("later") != F.col("earlier")) | (F.col("n") > 1))
+    found = placed.join(edges, ["lo", "hi"], "left").where(equal | F.col("edge").isNotNull())
+    return found.select("record_key").distinct()
+
+
 def scorecard_of(counts: DataFrame, unrounded: bool = False) -> DataFrame:
     """Rates per category and for ``_overall``, from a table of category counts.
 

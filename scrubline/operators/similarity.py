@@ -24,6 +24,7 @@ not on the number of key pairs; no pair that matches is lost.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -56,19 +57,20 @@ def with_token_key(df: DataFrame, col: str) -> DataFrame:
 
 
 def key_features(df: DataFrame) -> DataFrame:
-    """(kid, key, len, bag_lo, bag_hi) of a table with ``kid`` and ``key``.
+    """``kid``, ``key``, ``len`` and a sketch of a table with ``kid`` and ``key``.
 
-    The bag is a 128-bit sketch of the character counts: one bit per (character,
-    occurrence number). One edit changes one count by one, so the number of
-    differing bits never exceeds the number of edits.
+    The sketch has one bit of 128 per (character, occurrence number). One edit
+    changes one character count by one, so the bits in which the sketches of two
+    keys differ never exceed the number of edits between them.
     """
-    chars = F.array_sort(F.split("key", "", -1))
+    # Characters are a column of their own, or each lambda step would sort them again.
+    split = df.select("kid", "key", F.array_sort(F.split("key", "", -1)).alias("chars"))
     bits = F.transform(
-        chars,
-        lambda char, at: F.pmod(F.xxhash64(char, at - F.array_position(chars, char)), F.lit(128)),
+        "chars",
+        lambda char, at: F.pmod(F.xxhash64(char, at - F.array_position("chars", char)), F.lit(128)),
     )
-    return df.select("kid", "key", F.length("key").alias("len"), bits.alias("bits")).select(
-        "kid", "key", "len", _bit_set("bits", 0).alias("bag_lo"), _bit_set("bits", 64).alias("bag_hi")
+    return split.select("kid", "key", F.length("key").alias("len"), bits.alias("bits")).select(
+        "kid", "key", "len", _bit_set("bits", 0).alias("bits_lo"), _bit_set("bits", 64).alias("bits_hi")
     )
 
 
@@ -220,9 +222,8 @@ class Blocking:
         differing = F.bit_count(F.col("a_lo").bitwiseXOR(F.col("b_lo"))) + F.bit_count(
             F.col("a_hi").bitwiseXOR(F.col("b_hi"))
         )
-        return (
-            ((m > n) | ((m == n) & equal_lengths))
-            & (differing <= F.floor((100 - self.threshold) * (m + n) / 100))
+        return ((m > n) | ((m == n) & equal_lengths)) & (
+            differing <= F.floor((100 - self.threshold) * (m + n) / 100)
         )
 
 
@@ -231,8 +232,8 @@ def _sides(rows: DataFrame, side: str) -> DataFrame:
         "sig",
         F.col("kid").alias(side),
         F.col("len").alias(f"{side}_len"),
-        F.col("bag_lo").alias(f"{side}_lo"),
-        F.col("bag_hi").alias(f"{side}_hi"),
+        F.col("bits_lo").alias(f"{side}_lo"),
+        F.col("bits_hi").alias(f"{side}_hi"),
     )
 
 
@@ -242,18 +243,22 @@ def candidate_pairs(
     blocking: Blocking,
     equal_lengths: Column,
     longest: int,
+    total: int,
     hot_rows: int = HOT_SIGNATURE_ROWS,
 ) -> DataFrame:
     """Distinct (a, b) key ids that share a signature and pass the cheap test."""
     index = blocking.index_rows(longer, longest)
     probe = blocking.probe_rows(shorter, longest)
-    hot = hot_keys(index, "sig", hot_rows)
+    # A key has a signature once, so few keys cannot make one hot.
+    hot = hot_keys(index, "sig", hot_rows) if total > hot_rows else None
     met = grid_join(index, probe, "sig", hot, "a", "b", blocking.may_match(equal_lengths))
     return met.select("a", "b").distinct()
 
 
-def longest_key(keys: DataFrame) -> int:
-    return keys.agg(F.max("len")).first()[0] or 0
+def extent(keys: DataFrame) -> tuple[int, int]:
+    """Length of the longest key, and the number of keys."""
+    longest, total = keys.agg(F.max("len"), F.count("*")).first()
+    return longest or 0, total
 
 
 def repeated_signatures(keys: DataFrame, blocking: Blocking, longest: int) -> int:
@@ -268,35 +273,38 @@ def repeated_signatures(keys: DataFrame, blocking: Blocking, longest: int) -> in
 @F.pandas_udf(IntegerType())
 def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common subsequence of each pair."""
-    swap = a.str.len() > b.str.len()
-    short, long = a.where(~swap, b), b.where(~swap, a)
-    out = np.zeros(len(a), dtype=np.int32)
-    fits = (short.str.len() <= 64).to_numpy()
-    if fits.any():
-        out[fits] = _lcs_words(short[fits].tolist(), long[fits].tolist())
-    for at in np.flatnonzero(~fits):
-        out[at] = _lcs_big(short.iat[at], long.iat[at])
+    pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a.tolist(), b.tolist())]
+    out = np.zeros(len(pairs), dtype=np.int32)
+    sizes = np.fromiter((len(x) for x, _ in pairs), dtype=np.int64, count=len(pairs))
+    for word, at in (
+        (np.uint32, np.flatnonzero(sizes <= 32)),
+        (np.uint64, np.flatnonzero((sizes > 32) & (sizes <= 64))),
+    ):
+        if len(at):
+            out[at] = _lcs_words([pairs[i] for i in at], word)
+    for i in np.flatnonzero(sizes > 64):
+        out[i] = _lcs_big(*pairs[i])
     return pd.Series(out)
 
 
-def _lcs_words(short: list[str], long: list[str]) -> np.ndarray:
-    # One 64-bit row of the dynamic program per pair, all pairs at a time.
-    x, y = _code_points(short, 0xFFFFFFFE), _code_points(long, 0xFFFFFFFF)
-    x = np.pad(x, ((0, 0), (0, 64 - x.shape[1])), constant_values=0xFFFFFFFE)
-    row = np.full(len(short), ~np.uint64(0))
-    for j in range(y.shape[1]):
-        equal = np.packbits(x == y[:, j : j + 1], axis=1, bitorder="little").view(np.uint64)[:, 0]
-        hit = row & equal
+def _lcs_words(pairs: list[tuple[str, str]], word: type) -> np.ndarray:
+    # One row of the dynamic program per pair, kept in the bits of a word; all
+    # pairs take each step together.
+    short = _code_points([x for x, _ in pairs], 0xFFFFFFFE, 8 * np.dtype(word).itemsize)
+    long = _code_points([y for _, y in pairs], 0xFFFFFFFF)
+    row = np.full(len(pairs), ~word(0))
+    for j in range(long.shape[1]):
+        equal = np.packbits(short == long[:, j : j + 1], axis=1, bitorder="little")
+        hit = row & equal.view(word)[:, 0]
         row = (row + hit) | (row - hit)
     return np.bitwise_count(~row).astype(np.int32)
 
 
-def _code_points(texts: list[str], filler: int) -> np.ndarray:
-    width = max(map(len, texts))
-    codes = np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(texts), width).copy()
+def _code_points(texts: list[str], filler: int, width: int = 0) -> np.ndarray:
+    width = width or max(map(len, texts))
+    codes = np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(texts), width)
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    codes[np.arange(width) >= sizes[:, None]] = filler
-    return codes
+    return np.where(np.arange(width) < sizes[:, None], codes, np.uint32(filler))
 
 
 def _lcs_big(short: str, long: str) -> int:
@@ -338,9 +346,8 @@ def similar_keys(
 ) -> DataFrame:
     """Every unordered pair of different keys that match, once, as (a, b, score)."""
     blocking = Blocking(threshold, positional)
-    pairs = candidate_pairs(
-        keys, keys, blocking, F.col("a") > F.col("b"), longest_key(keys), hot_rows
-    )
+    larger = F.col("a") > F.col("b")
+    pairs = candidate_pairs(keys, keys, blocking, larger, *extent(keys), hot_rows)
     return verified(pairs, keys, threshold)
 
 
@@ -353,11 +360,11 @@ def similar_between(
 ) -> DataFrame:
     """Matches of ``some`` of the keys with all ``keys`` but themselves, as (a, b, score)."""
     blocking = Blocking(threshold, positional)
-    other, longest = F.col("a") != F.col("b"), longest_key(keys)
-    above = candidate_pairs(keys, some, blocking, other, longest, hot_rows).select(
+    other, size = F.col("a") != F.col("b"), extent(keys)
+    above = candidate_pairs(keys, some, blocking, other, *size, hot_rows).select(
         F.col("b").alias("a"), F.col("a").alias("b")
     )
-    below = candidate_pairs(some, keys, blocking, F.lit(False), longest, hot_rows)
+    below = candidate_pairs(some, keys, blocking, F.lit(False), *size, hot_rows)
     return verified(above.unionByName(below), keys, threshold)
 
 
@@ -379,7 +386,7 @@ def member_pairs(edges: DataFrame, members: DataFrame, hot_rows: int) -> DataFra
     ``members`` is (kid, member). A key with many members, or many similar keys,
     is cut into a grid, so no task holds all members of one key.
     """
-    hot = hot_keys(members, "kid", hot_rows)
+    hot = hot_keys(members, "kid", hot_rows) if members.count() > hot_rows else None
     x = members.select("kid", F.col("member").alias("x"))
     y = members.select("kid", F.col("member").alias("y"))
     same = grid_join(x, y, "kid", hot, "x", "y", F.col("x") > F.col("y"))
@@ -414,21 +421,47 @@ def name_matches(
     ).select("found.*")
 
 
-def duplicate_pairs(
+@dataclass
+class DuplicateIndex:
+    """The matches of coded rows, not yet written out pair by pair.
+
+    ``members`` is (kid, member, n): the row codes of each key and how often each
+    occurs. ``edges`` is (a, b, score): the keys that are similar. A name shared
+    by a third of all rows is one key here, where its pairs would be quadratic.
+    """
+
+    members: DataFrame
+    edges: DataFrame
+    hot_rows: int = HOT_SIGNATURE_ROWS
+
+    def pairs(self) -> DataFrame:
+        """(later, earlier, score): each pair of matching codes once."""
+        # A code that occurs twice with one key is a pair of its own.
+        repeated = self.members.where(F.col("n") > 1).select(
+            F.col("member").alias("x"), F.col("member").alias("y"), F.lit(100.0).alias("score")
+        )
+        listed = member_pairs(self.edges, self.members.select("kid", "member"), self.hot_rows)
+        return (
+            repeated.unionByName(listed)
+            .groupBy(F.greatest("x", "y").alias("later"), F.least("x", "y").alias("earlier"))
+            .agg(F.max("score").alias("score"))
+        )
+
+
+def duplicate_index(
     df: DataFrame,
     code: str = "supplier_code",
     col: str = "name",
     threshold: int = SIMILARITY_THRESHOLD,
     hot_rows: int = HOT_SIGNATURE_ROWS,
-) -> DataFrame:
-    """(later, earlier, score): every two rows whose names match, by row code.
-
-    Rows are first reduced to (key, code) counts. Rows with equal keys match
-    without any scoring; rows with different keys match when their keys do.
-    The result holds each pair of codes once.
-    """
+) -> DuplicateIndex:
+    """Match rows by name. Rows are first reduced to (key, code) counts."""
     if code not in df.columns or col not in df.columns:
-        return df.sparkSession.createDataFrame([], "later string, earlier string, score double")
+        spark = df.sparkSession
+        return DuplicateIndex(
+            spark.createDataFrame([], "kid bigint, member string, n bigint"),
+            spark.createDataFrame([], "a bigint, b bigint, score double"),
+        )
     rows = df.select(F.col(code).cast("string").alias("code"), F.col(col).cast("string").alias("name"))
     # Copies are merged before keys are built: once per distinct pair, not per row.
     counted = rows.dropna().groupBy("name", "code").agg(F.count("*").alias("n"))
@@ -437,15 +470,23 @@ def duplicate_pairs(
     keys = stored_keys(keyed)
     members = keyed.join(keys.select("key", "kid"), "key")
     members = written(members.select("kid", F.col("code").alias("member"), "n"), "members")
-    edges = similar_keys(keys, threshold, hot_rows=hot_rows)
-    # A code that occurs twice with one key is a pair of its own.
-    repeated = members.where(F.col("n") > 1).select(
-        F.col("member").alias("x"), F.col("member").alias("y"), F.lit(100.0).alias("score")
-    )
-    found = repeated.unionByName(member_pairs(edges, members.select("kid", "member"), hot_rows))
-    return found.groupBy(F.greatest("x", "y").alias("later"), F.least("x", "y").alias("earlier")).agg(
-        F.max("score").alias("score")
-    )
+    edges = written(similar_keys(keys, threshold, hot_rows=hot_rows), "edges")
+    return DuplicateIndex(members, edges, hot_rows)
+
+
+def duplicate_pairs(
+    df: DataFrame,
+    code: str = "supplier_code",
+    col: str = "name",
+    threshold: int = SIMILARITY_THRESHOLD,
+    hot_rows: int = HOT_SIGNATURE_ROWS,
+) -> DataFrame:
+    """(later, earlier, score): every two rows whose names match, by row code.
+
+    Rows with equal keys match without any scoring; rows with different keys
+    match when their keys do. The result holds each pair of codes once.
+    """
+    return duplicate_index(df, code, col, threshold, hot_rows).pairs()
 
 
 def pair_key(later: str = "later", earlier: str = "earlier") -> Column:

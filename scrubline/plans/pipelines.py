@@ -22,24 +22,10 @@ from scrubline.workspace import written
 Detector = Callable[[DataFrame], DataFrame]
 
 
-def near_duplicate_pairs(df: DataFrame) -> DataFrame:
-    """Defect rows keyed ``later->earlier``, as the ground truth lists them."""
-    pairs = similarity.duplicate_pairs(df)
-    return pairs.select(
-        F.lit(fixed.NEAR_DUPLICATES).alias("category"),
-        similarity.pair_key().alias("record_key"),
-        F.format_string("%.1f", "score").alias("value"),
-        F.lit("similar names").alias("detail"),
-    )
-
-
-# Detectors that yield scored row keys, per entity. Extend it to add a check.
+# Detectors that look at rows one by one, per entity. Extend it to add a check.
 DETECTORS: dict[str, dict[str, Detector]] = {
     "parts": {fixed.PART_NUMBERS: d.non_standard_part_numbers},
-    "suppliers": {
-        fixed.NEAR_DUPLICATES: near_duplicate_pairs,
-        fixed.INVALID_EMAILS: d.invalid_emails,
-    },
+    "suppliers": {fixed.INVALID_EMAILS: d.invalid_emails},
     "change_orders": {
         fixed.STATE_VARIANTS: d.state_variants,
         fixed.IMPOSSIBLE_DATES: d.impossible_dates,
@@ -49,10 +35,26 @@ DETECTORS: dict[str, dict[str, Detector]] = {
 
 @dataclass
 class Detection:
-    """Defect rows of the checks that ran, and which checks those were."""
+    """Defect rows of the checks that ran, and which checks those were.
+
+    Near-duplicate pairs are kept as an index, because they can be many more
+    than the rows; ``all_defects`` lists them too.
+    """
 
     defects: DataFrame
     categories: list[str]
+    duplicates: similarity.DuplicateIndex | None = None
+
+    def all_defects(self) -> DataFrame:
+        if self.duplicates is None:
+            return self.defects
+        pairs = self.duplicates.pairs().select(
+            F.lit(fixed.NEAR_DUPLICATES).alias("category"),
+            similarity.pair_key().alias("record_key"),
+            F.format_string("%.1f", "score").alias("value"),
+            F.lit("similar names").alias("detail"),
+        )
+        return self.defects.unionByName(pairs)
 
 
 def detect(**sources: DataFrame | None) -> Detection:
@@ -60,15 +62,18 @@ def detect(**sources: DataFrame | None) -> Detection:
     given = {entity: df for entity, df in sources.items() if df is not None}
     if not given:
         raise ValueError("provide at least one of: " + ", ".join(DETECTORS))
-    tables, categories = [], []
+    tables, categories, duplicates = [], [], None
     for entity, df in given.items():
+        if entity == "suppliers":
+            duplicates = similarity.duplicate_index(df)
+            categories.append(fixed.NEAR_DUPLICATES)
         for category, detector in DETECTORS[entity].items():
             tables.append(detector(df))
             categories.append(category)
     table = tables[0]
     for more in tables[1:]:
         table = table.unionByName(more)
-    return Detection(table, categories)
+    return Detection(table, categories, duplicates)
 
 
 def normalize(entity: str, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -82,12 +87,21 @@ def normalize(entity: str, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     raise ValueError(f"unknown entity {entity}")
 
 
+def score(detection: Detection, truth: DataFrame, unrounded: bool = False) -> DataFrame:
+    """Scorecard of a detection against truth keys."""
+    by_row = [c for c in detection.categories if c != fixed.NEAR_DUPLICATES]
+    counts = scoring.category_counts(
+        scoring.outcomes(detection.defects, truth, by_row), by_row
+    )
+    if detection.duplicates is not None:
+        counts = counts.unionByName(scoring.pair_counts(detection.duplicates, truth))
+    return scoring.scorecard_of(counts, unrounded)
+
+
 def validate(manifest: DataFrame, detection: Detection) -> DataFrame:
     """Scorecard of a detection against a manifest, which is checked first."""
     manifests.check_manifest(manifest, detection.categories)
-    return scoring.scorecard(
-        detection.defects, manifests.truth_keys(manifest), detection.categories
-    )
+    return score(detection, manifests.truth_keys(manifest))
 
 
 @dataclass
@@ -114,7 +128,7 @@ def report(
     if suppliers is not None:
         suppliers = written(suppliers, "suppliers")
     detection = detect(parts=parts, suppliers=suppliers, change_orders=change_orders)
-    detection = Detection(written(detection.defects, "defects"), detection.categories)
+    detection.defects = written(detection.defects, "defects")
     groups = grouping.name_groups(suppliers) if suppliers is not None else None
     groups = None if groups is None else written(groups, "groups")
     checks = reports.check_rows(detection.defects, detection.categories, groups)
