@@ -38,12 +38,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def row_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defects of the four checks that look at one row at a time."""
-    orders = messy(spark, sf_dir, "change_orders_messy")
     return (
         d.non_standard_part_numbers(messy(spark, sf_dir, "parts_messy"))
         .unionByName(d.invalid_emails(messy(spark, sf_dir, "suppliers_messy")))
-        .unionByName(d.state_variants(orders))
-        .unionByName(d.impossible_dates(orders))
+        .unionByName(d.change_order_defects(messy(spark, sf_dir, "change_orders_messy")))
     )
 
 
@@ -218,6 +216,7 @@ def queries() -> dict[str, Query]:
         "unknown_states": on(orders, d.unknown_states),
         "normalize_states": on(orders, normalize.normalize_states),
         "impossible_dates": on(orders, d.impossible_dates),
+        "change_order_defects": on(orders, d.change_order_defects),
         "impossible_dates_text": impossible_dates_text,
         "impossible_dates_lineitem": impossible_dates_lineitem,
         "supplier_duplicate_pairs": on(suppliers, similarity.duplicate_pairs),

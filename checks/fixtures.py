@@ -15,10 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline import fixed
-from scrubline.workspace import scratch_path
-
-BASE_TABLES = ["part", "supplier", "orders", "lineitem"]
-
+from scrubline.workspace import scratch_path, written
 
 def padded(key: str, digits: int) -> str:
     text = f"cast({key} as string)"
@@ -88,14 +85,20 @@ MESSY = {
     "truth": TRUTH,
 }
 
+SOURCES = {
+    "parts_messy": ["part"],
+    "suppliers_messy": ["supplier", "part"],
+    "change_orders_messy": ["orders", "lineitem"],
+}
+
 
 def messy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the derived tables, lazily."""
-    for table in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     if name == "truth":
-        for other in ("parts_messy", "suppliers_messy", "change_orders_messy"):
-            spark.sql(MESSY[other]).createOrReplaceTempView(other)
+        for other in SOURCES:
+            messy(spark, sf_dir, other).createOrReplaceTempView(other)
+    for table in SOURCES.get(name, []):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(MESSY[name])
 
 
@@ -131,9 +134,9 @@ ORDERS_PER_WORKBOOK = 5000
 
 def as_workbooks(df: DataFrame) -> DataFrame:
     """(path, content): the change orders as workbooks of a bounded number of rows."""
-    last = F.floor(F.col("o_orderkey") / ORDERS_PER_WORKBOOK)
-    schema = "path string, content binary"
-    return df.withColumn("book", last).groupBy("book").applyInPandas(_workbook, schema)
+    book = F.floor(F.col("o_orderkey") / ORDERS_PER_WORKBOOK)
+    books = df.withColumn("book", book).groupBy("book")
+    return written(books.applyInPandas(_workbook, "path string, content binary"), "workbooks")
 
 
 def _workbook(rows: pd.DataFrame) -> pd.DataFrame:

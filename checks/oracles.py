@@ -86,6 +86,10 @@ EMAIL_DEFECTS = f"""select '{fixed.INVALID_EMAILS}' as category, supplier_code a
 STATE_DEFECTS = f"""select '{fixed.STATE_VARIANTS}' as category, co_number as record_key,
   state as value, canonical as detail
   from change_orders_messy join vocabulary on state = variant where variant <> canonical"""
+DATE_DEFECTS = f"""select '{fixed.IMPOSSIBLE_DATES}' as category, co_number as record_key,
+  strftime(closed_at, '%Y-%m-%d %H:%M:%S') as value,
+  'opened ' || strftime(opened_at, '%Y-%m-%d %H:%M:%S') as detail
+  from change_orders_messy where closed_at < opened_at"""
 DATE_KEYS = """select co_number as record_key from change_orders_messy
   where opened_at is not null and closed_at is not null and closed_at < opened_at"""
 
@@ -174,12 +178,8 @@ ORACLES = {
         """select o_orderkey, co_number, coalesce(canonical, state) as state, opened_at, closed_at
         from change_orders_messy left join vocabulary on state = variant""",
     ),
-    "impossible_dates": with_messy(
-        f"""select '{fixed.IMPOSSIBLE_DATES}' as category, co_number as record_key,
-        strftime(closed_at, '%Y-%m-%d %H:%M:%S') as value,
-        'opened ' || strftime(opened_at, '%Y-%m-%d %H:%M:%S') as detail
-        from change_orders_messy where closed_at < opened_at"""
-    ),
+    "impossible_dates": with_messy(DATE_DEFECTS),
+    "change_order_defects": _with(VOCABULARY, f"{STATE_DEFECTS} union all {DATE_DEFECTS}"),
     "impossible_dates_text": with_messy(DATE_KEYS),
     "impossible_dates_lineitem": """select l_orderkey, l_linenumber, o_orderdate, l_shipdate
         from lineitem join orders on o_orderkey = l_orderkey where l_shipdate < o_orderdate""",

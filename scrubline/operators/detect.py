@@ -19,9 +19,10 @@ from scrubline.functions import fields
 DEFECT_SCHEMA = "category string, record_key string, value string, detail string"
 
 
-def defects(category: str, df: DataFrame, key: str | None, value: Column, detail: Column) -> DataFrame:
+def defect(category: str, df: DataFrame, key: str, value: Column, detail: Column) -> Column:
+    """One defect of a row of ``df`` as a struct; the key is NULL if ``df`` has no such column."""
     record_key = F.col(key).cast("string") if key in df.columns else F.lit(None).cast("string")
-    return df.select(
+    return F.struct(
         F.lit(category).alias("category"),
         record_key.alias("record_key"),
         value.cast("string").alias("value"),
@@ -29,6 +30,10 @@ def defects(category: str, df: DataFrame, key: str | None, value: Column, detail
     )
 
 
+def defects(category: str, df: DataFrame, key: str, value: Column, detail: Column) -> DataFrame:
+    return df.select(defect(category, df, key, value, detail).alias("found")).select("found.*")
+
+
 def no_defects(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], DEFECT_SCHEMA)
 
@@ -162,6 +167,31 @@ def _as_timestamp(df: DataFrame, col: str, formats: list[str] | None) -> Column:
     return fields.lenient_timestamp(F.col(col), formats)
 
 
+def change_order_defects(
+    df: DataFrame,
+    state_col: str = "state",
+    open_col: str = "opened_at",
+    close_col: str = "closed_at",
+    formats: list[str] | None = None,
+) -> DataFrame:
+    """State variants and impossible dates in one pass over the rows."""
+    checks = []
+    rows = df
+    if open_col in df.columns and close_col in df.columns:
+        opened, closed = _as_timestamp(df, open_col, formats), _as_timestamp(df, close_col, formats)
+        detail = F.concat(F.lit("opened "), F.col(open_col).cast("string"))
+        found = defect(fixed.IMPOSSIBLE_DATES, df, "co_number", F.col(close_col), detail)
+        checks.append(F.when(fields.closed_before_opened(opened, closed), found))
+    if state_col in df.columns:
+        rows = _with_canonical_state(df, state_col, "left")
+        found = defect(fixed.STATE_VARIANTS, df, "co_number", F.col(state_col), F.col("canonical"))
+        checks.append(F.when(F.col("variant") != F.col("canonical"), found))
+    if not checks:
+        return no_defects(df.sparkSession)
+    present = F.filter(F.array(*checks), lambda found: found.isNotNull())
+    return rows.select(F.explode(present).alias("found")).select("found.*")
+
+
 # --- summaries ------------------------------------------------------------------
 
 

@@ -374,10 +374,10 @@ def similar_between(
 def stored_keys(df: DataFrame) -> DataFrame:
     """Distinct ``key`` values with ids and features, written to shared storage.
 
-    The ids are positions within partitions, fixed by being written.
+    The ids are positions within partitions; being written is what fixes them.
     """
     ids = df.select("key").distinct().withColumn("kid", F.monotonically_increasing_id())
-    return written(key_features(written(ids, "keys")), "features")
+    return written(key_features(ids), "keys")
 
 
 def member_pairs(edges: DataFrame, members: DataFrame, hot_rows: int) -> DataFrame:

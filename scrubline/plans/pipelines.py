@@ -22,14 +22,12 @@ from scrubline.workspace import written
 Detector = Callable[[DataFrame], DataFrame]
 
 
-# Detectors that look at rows one by one, per entity. Extend it to add a check.
-DETECTORS: dict[str, dict[str, Detector]] = {
-    "parts": {fixed.PART_NUMBERS: d.non_standard_part_numbers},
-    "suppliers": {fixed.INVALID_EMAILS: d.invalid_emails},
-    "change_orders": {
-        fixed.STATE_VARIANTS: d.state_variants,
-        fixed.IMPOSSIBLE_DATES: d.impossible_dates,
-    },
+# Checks that look at rows one by one, per entity: the categories they yield, and
+# a function that finds all of them in one pass. Extend it to add a check.
+DETECTORS: dict[str, tuple[list[str], Detector]] = {
+    "parts": ([fixed.PART_NUMBERS], d.non_standard_part_numbers),
+    "suppliers": ([fixed.INVALID_EMAILS], d.invalid_emails),
+    "change_orders": ([fixed.STATE_VARIANTS, fixed.IMPOSSIBLE_DATES], d.change_order_defects),
 }
 
 
@@ -67,9 +65,9 @@ def detect(**sources: DataFrame | None) -> Detection:
         if entity == "suppliers":
             duplicates = similarity.duplicate_index(df)
             categories.append(fixed.NEAR_DUPLICATES)
-        for category, detector in DETECTORS[entity].items():
-            tables.append(detector(df))
-            categories.append(category)
+        found, detector = DETECTORS[entity]
+        tables.append(detector(df))
+        categories.extend(found)
     table = tables[0]
     for more in tables[1:]:
         table = table.unionByName(more)

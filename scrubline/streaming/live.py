@@ -20,4 +20,4 @@ def supplier_defects(stream: DataFrame) -> DataFrame:
 
 
 def change_order_defects(stream: DataFrame) -> DataFrame:
-    return d.state_variants(stream).unionByName(d.impossible_dates(stream))
+    return d.change_order_defects(stream)

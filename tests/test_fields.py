@@ -1,7 +1,4 @@
-import sys
-
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from scrubline.functions import fields, rates, text
@@ -14,7 +11,8 @@ def apply(frame, expression, values):
 
 
 def test_strip_and_fold_agree_with_python_for_every_code_point(spark):
-    points = [chr(c) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    # Nothing folds or is white space beyond the second plane.
+    points = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c <= 0xDFFF]
     df = spark.createDataFrame(pd.DataFrame({"v": points, "s": [p.strip() for p in points],
                                              "f": [p.casefold() for p in points]}))
     assert df.where(text.strip(F.col("v")) != F.col("s")).count() == 0
@@ -41,9 +39,8 @@ def test_null_tokens(frame):
     assert apply(frame, lambda c: text.null_tokens(c, [""]), ["", "NA"]) == [None, "NA"]
 
 
-@pytest.mark.parametrize(
-    "number, era, normalized",
-    [
+def test_part_numbers(frame):
+    cases = [
         ("PN-0001", "current", "PN-0001"),
         ("PN-9999", "current", "PN-9999"),
         ("2019-PN-1042", "2019", "PN-1042"),
@@ -62,11 +59,11 @@ def test_null_tokens(frame):
         ("BOGUS-123", "unknown", "BOGUS-123"),
         ("", "unknown", ""),
         (None, "unknown", None),
-    ],
-)
-def test_part_numbers(frame, number, era, normalized):
-    assert apply(frame, fields.era, [number]) == [era]
-    assert apply(frame, fields.normalized_part_number, [number]) == [normalized]
+    ]
+    numbers = [number for number, _, _ in cases]
+    assert apply(frame, fields.era, numbers) == [era for _, era, _ in cases]
+    normalized = apply(frame, fields.normalized_part_number, numbers)
+    assert normalized == [wanted for _, _, wanted in cases]
 
 
 def test_normalizing_part_numbers_twice_changes_nothing(frame):
