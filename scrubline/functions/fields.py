@@ -49,4 +49,5 @@ def lenient_timestamp(value: Column, formats: list[str] | None = None) -> Column
 
 
 def closed_before_opened(opened: Column, closed: Column) -> Column:
-    return F.coalesce(closed < opened, F.lit(False))
+    """NULL, which a filter drops, where either side is missing or does not parse."""
+    return closed < opened

@@ -99,28 +99,37 @@ def canonical(df: DataFrame, columns: list[str], rename: Rename) -> DataFrame:
     )
 
 
+def _utf16_header(spark: SparkSession, path: str) -> list[str]:
+    first = spark.read.option("encoding", "UTF-16").option("multiLine", True).csv(path).first()
+    return [name or "" for name in first or []]
+
+
 def _read(
     spark: SparkSession,
     paths: str | list[str],
     columns: list[str],
     rename_for: Callable[[list[str]], Rename],
     encoding: str,
+    header: list[str] | None,
     tokens: list[str] | None,
     multi_line: bool,
 ) -> DataFrame:
+    if header is not None and encoding != "auto":
+        group = read_group(spark, paths, header, encoding, tokens, multi_line)
+        return canonical(group, columns, rename_for(header))
     groups: dict[tuple, list[str]] = {}
     # One row per file, as in the file listing the driver holds anyway.
     for row in probe_files(spark, paths).collect():
         found = row.encoding if encoding == "auto" else encoding
-        head = row.header
-        if found == "utf-16":
-            head = spark.read.option("encoding", "UTF-16").option("multiLine", True).csv(row.path)
-            head = ",".join(v or "" for v in head.first())
-        groups.setdefault((found, tuple(header_columns(head))), []).append(row.path)
+        names = header or (
+            _utf16_header(spark, row.path) if found == "utf-16" else header_columns(row.header)
+        )
+        if names:
+            groups.setdefault((found, tuple(names)), []).append(row.path)
     parts = []
-    for (found, header), files in sorted(groups.items()):
-        group = read_group(spark, files, list(header), found, tokens, multi_line)
-        parts.append(canonical(group, columns, rename_for(list(header))))
+    for (found, names), files in sorted(groups.items()):
+        group = read_group(spark, files, list(names), found, tokens, multi_line)
+        parts.append(canonical(group, columns, rename_for(list(names))))
     if not parts:
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
     result = parts[0]
@@ -142,17 +151,23 @@ def read_parts(
     paths: str | list[str],
     schema: str = "auto",
     encoding: str = "auto",
+    header: list[str] | None = None,
     tokens: list[str] | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Parts exports of either layout; ``auto`` decides per file by its header."""
+    """Parts exports of either layout; ``auto`` decides per file by its header.
+
+    Files known to share one encoding and ``header`` are read without the pass
+    that finds these out.
+    """
 
     def rename_for(header: list[str]) -> Rename:
         layout = schema if schema in ("v1", "v2") else parts_layout(header)
         names = fixed.PART_HEADERS_V1 if layout == "v1" else fixed.PART_HEADERS_V2
         return lambda c: names.get(c, c)
 
-    return _read(spark, paths, fixed.PART_COLUMNS, rename_for, encoding, tokens, multi_line)
+    columns = fixed.PART_COLUMNS
+    return _read(spark, paths, columns, rename_for, encoding, header, tokens, multi_line)
 
 
 # --- suppliers --------------------------------------------------------------------
@@ -167,9 +182,12 @@ def read_suppliers(
     spark: SparkSession,
     paths: str | list[str],
     encoding: str = "auto",
+    header: list[str] | None = None,
     tokens: list[str] | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
+    """Suppliers exports; header names are matched regardless of case and spaces."""
+    columns = fixed.SUPPLIER_COLUMNS
     return _read(
-        spark, paths, fixed.SUPPLIER_COLUMNS, lambda _: supplier_header, encoding, tokens, multi_line
+        spark, paths, columns, lambda _: supplier_header, encoding, header, tokens, multi_line
     )

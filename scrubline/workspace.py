@@ -32,8 +32,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, grouped by application for clean-up."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/scrubline/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/scrubline/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the stored tables of this application, once their results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(folder, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -199,3 +199,13 @@ def test_manifest_file(spark, tmp_path):
     path = tmp_path / "manifest.json"
     path.write_text(json.dumps(manifest(), indent=2))
     assert counts(manifests.read_manifest(spark, str(path))) == {fixed.INVALID_EMAILS: 2}
+
+
+def test_known_header_and_encoding_need_no_probe(spark, tmp_path):
+    path = write(tmp_path, "a.csv", "code,name\nS1,Café\n", "cp1252")
+    known = csv_files.read_suppliers(spark, path, encoding="windows-1252", header=["code", "name"])
+    assert (known.first().supplier_code, known.first().name) == ("S1", "Café")
+    forced = csv_files.read_suppliers(spark, path, encoding="cp1252")
+    assert forced.first().name == "Café"
+    (tmp_path / "empty.csv").write_text("")
+    assert csv_files.read_suppliers(spark, str(tmp_path)).count() == 1
