@@ -48,7 +48,7 @@ def distinct_names(df: DataFrame, col: str, order_col: str) -> DataFrame:
 
 
 def ranked_keys(names: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Keys numbered from 0 in first-seen order, and the members of each.
+    """Keys numbered from 0 in first-seen order with their first name, and all names.
 
     The numbers come from a range-partitioned sort: rank within the partition
     plus the sizes of the partitions before it. No step sorts everything in
@@ -68,25 +68,20 @@ def ranked_keys(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     within = F.row_number().over(Window.partitionBy("part").orderBy("head")) - 1
     numbered = ranged.withColumn("within", within).join(F.broadcast(before), "part")
-    keys = written(
-        key_features(numbered.select("key", (F.col("before") + F.col("within")).alias("kid"))),
-        "vertices",
-    )
-    heads_of = numbered.select(
+    numbered = numbered.select(
         "key", (F.col("before") + F.col("within")).alias("kid"), F.col("head.name").alias("leader")
     )
-    members = named.join(heads_of, "key").select("kid", "name", "first_seen", "leader")
-    return keys, written(members, "members")
+    return written(key_features(numbered, "leader"), "vertices"), named
 
 
 def claimed_within(edges: DataFrame) -> DataFrame:
-    """Ids that a smaller leader claims, for similarity edges (lo, hi) with lo < hi.
+    """Ids that a smaller leader claims, for stored edges (lo, hi) with lo < hi.
 
     Each round settles the ids no open edge points to: they lead, and claim
     their larger neighbours, whose own edges then fall away. At least the
     smallest id of every component is settled per round, so this ends.
     """
-    pending = written(edges, "pending")
+    pending = edges
     rounds = []
     while not pending.isEmpty():
         waiting = pending.select(F.col("hi").alias("id")).distinct()
@@ -180,7 +175,7 @@ def name_groups(
     Sort by ``canonical_rank``, descending ``score``, ``variant_seen`` and
     ``variant`` to list groups and their variants in visiting order.
     """
-    keys, members = ranked_keys(distinct_names(df, col, order_col))
+    keys, names = ranked_keys(distinct_names(df, col, order_col))
     leaders, stars = leaders_and_stars(keys, threshold, repeats, smallest_batch)
     own = leaders.select(
         F.col("kid").alias("leader_kid"), "kid", F.lit(100.0).alias("score")
@@ -188,9 +183,8 @@ def name_groups(
     links = own.unionByName(
         stars.select(F.col("leader").alias("leader_kid"), "kid", "score")
     )
-    canonical = members.where(F.col("name") == F.col("leader")).select(
-        F.col("kid").alias("leader_kid"), F.col("name").alias("canonical")
-    )
+    canonical = keys.select(F.col("kid").alias("leader_kid"), F.col("leader").alias("canonical"))
+    members = names.join(keys.select("key", "kid"), "key").select("kid", "name", "first_seen")
     return (
         links.join(canonical, "leader_kid")
         .join(members, "kid")

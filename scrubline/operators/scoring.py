@@ -169,7 +169,7 @@ def _true_pairs(wanted: DataFrame, index: DuplicateIndex) -> DataFrame:
     """The keys of the truth that name a pair of matching rows."""
     codes = F.split("record_key", "->")
     asked = wanted.where(F.size(codes) == 2).select(
-        "record_key", codes[0].alias("later"), codes[1].alias("earlier")
+        "record_key", F.get(codes, 0).alias("later"), F.get(codes, 1).alias("earlier")
     )
     later = index.members.select(F.col("member").alias("later"), F.col("kid").alias("p"), "n")
     earlier = index.members.select(F.col("member").alias("earlier"), F.col("kid").alias("q"))

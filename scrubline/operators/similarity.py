@@ -56,21 +56,27 @@ def with_token_key(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn("key", token_key(F.col(col))).where(F.length("key") > 0)
 
 
-def key_features(df: DataFrame) -> DataFrame:
-    """``kid``, ``key``, ``len`` and a sketch of a table with ``kid`` and ``key``.
+def key_features(df: DataFrame, *kept: str) -> DataFrame:
+    """``kid``, ``key``, ``len`` and a sketch, and ``kept`` columns of a table of keys.
 
     The sketch has one bit of 128 per (character, occurrence number). One edit
     changes one character count by one, so the bits in which the sketches of two
     keys differ never exceed the number of edits between them.
     """
     # Characters are a column of their own, or each lambda step would sort them again.
-    split = df.select("kid", "key", F.array_sort(F.split("key", "", -1)).alias("chars"))
+    split = df.select(*kept, "kid", "key", F.array_sort(F.split("key", "", -1)).alias("chars"))
     bits = F.transform(
         "chars",
         lambda char, at: F.pmod(F.xxhash64(char, at - F.array_position("chars", char)), F.lit(128)),
     )
-    return split.select("kid", "key", F.length("key").alias("len"), bits.alias("bits")).select(
-        "kid", "key", "len", _bit_set("bits", 0).alias("bits_lo"), _bit_set("bits", 64).alias("bits_hi")
+    marked = split.select(*kept, "kid", "key", F.length("key").alias("len"), bits.alias("bits"))
+    return marked.select(
+        *kept,
+        "kid",
+        "key",
+        "len",
+        _bit_set("bits", 0).alias("bits_lo"),
+        _bit_set("bits", 64).alias("bits_hi"),
     )
 
 

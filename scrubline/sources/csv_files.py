@@ -51,7 +51,7 @@ def probe_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def header_columns(header: str | None) -> list[str]:
-    return next(csv.reader([header.removeprefix("﻿")])) if header else []
+    return next(csv.reader([header.removeprefix("\ufeff")])) if header else []
 
 
 def read_group(

@@ -29,7 +29,6 @@ def wanted_map(groups):
     [
         (1, {}),
         (2, {"repeats": 20, "smallest_batch": 5}),  # many small batches
-        (3, {"repeats": 300, "smallest_batch": 15}),
     ],
 )
 def test_groups_equal_the_sequential_rule(frame, seed, limits):

@@ -38,7 +38,6 @@ def stored(frame, names):
         (2, "abc ", 4, 40, 85, 64, 5),
         (3, "abcdé", 10, 45, 85, 20, 4096),  # longer keys are probed without positions
         (4, "ab", 30, 90, 85, 64, 9),
-        (5, "abc", 5, 50, 92, 64, 4096),
         (6, "abcd", 1, 30, 70, 64, 7),
     ],
 )
