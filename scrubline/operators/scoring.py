@@ -193,8 +193,13 @@ def scorecard_of(counts: DataFrame, unrounded: bool = False) -> DataFrame:
     The overall rates come from the summed counts. Without any category the
     overall row is still there, with rates of 1.0.
     """
-    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
-    rows = counts.unionByName(totals.withColumn("category", F.lit(fixed.OVERALL)))
+    # Every row also counts towards the total, so the counts are computed once. The
+    # row of zeros keeps the total when no category was run.
+    nothing = counts.sparkSession.range(1).select(
+        F.lit(fixed.OVERALL).alias("category"), *[F.lit(0).cast("bigint").alias(c) for c in COUNTS]
+    )
+    twice = counts.withColumn("category", F.explode(F.array("category", F.lit(fixed.OVERALL))))
+    rows = twice.unionByName(nothing).groupBy("category").agg(*[F.sum(c).alias(c) for c in COUNTS])
     recall = rates.share(F.col("matched"), F.col("expected"))
     precision = rates.share(F.col("matched"), F.col("detected"))
     shown: dict[str, Column] = {
