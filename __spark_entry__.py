@@ -22,6 +22,15 @@ from scrubline.sources import csv_files, manifests, workbooks  # noqa: E402
 from scrubline.streaming import live  # noqa: E402
 from scrubline.workspace import scratch_path, written  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from scrubline.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    # The training-data operators are an optional part; anything else that is missing is an error.
+    if missing.name not in ("corpus_pipeline", "scrubline.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ALL_CATEGORIES = list(fixed.MANIFEST_RECORDS)
@@ -203,7 +212,7 @@ def queries() -> dict[str, Query]:
 
     parts, suppliers, orders = "parts_messy", "suppliers_messy", "change_orders_messy"
     groups_of = lambda then: lambda spark, sf_dir: then(supplier_groups(spark, sf_dir))
-    return {
+    found = {
         "era_distribution": on(parts, d.era_distribution),
         "part_number_non_standard": on(parts, d.non_standard_part_numbers),
         "part_number_summary": on(parts, d.part_number_summary),
@@ -246,7 +255,15 @@ def queries() -> dict[str, Query]:
         "detection_total": lambda s, sf: reports.summary(checks_table(s, sf)),
         "stream_part_defects": stream_part_defects,
     }
+    if llm:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if llm:
+        found |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
