@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import mixing, quality, simhash
+from scrubline.llm import mixing, pieces, quality, simhash
 from scrubline.llm.tables import table
 from scrubline.workspace import written
 
@@ -24,10 +24,16 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.mixed_documents(docs)
 
 
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every document of the mix, in its order, and whether they decode to its text."""
+    return pieces.encoded(docs)
+
+
 STAGES = [
     ("quality", quality_stage),
     ("near_duplicates", duplicates_stage),
     ("mixing", mixing_stage),
+    ("pieces", pieces_stage),
 ]
 
 # Neither fitted scores nor fingerprints can be expressed in SQL.

@@ -4,15 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import mixing, near_vectors, quality, sharding, simhash, topk
+from scrubline.llm import (
+    chat,
+    licences,
+    mixing,
+    near_vectors,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    templates,
+    topk,
+)
 from scrubline.llm.tables import table
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(table(spark, sf_dir, "pages"))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -21,6 +44,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -34,9 +61,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_page_text": op1,
     "op2_exact_top_k": op2,
+    "op3_chat_repair": op3,
+    "op4_licence_scan": op4,
     "op5_embedding_near_duplicates": op5,
     "op6_mix_sources": op6,
+    "op7_pieces": op7,
     "op8_shards": op8,
     "op9_quality": op9,
     "op10_simhash_near_duplicates": op10,
