@@ -158,12 +158,12 @@ def scan(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 yield described(batch.slice(at, SLICE_ROWS), notices)
 
+    names = "doc_id n_words n_base first_word last_word base_labels labels score spans".split()
     schema = (
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string,"
         " labels string, score double, spans array<struct<label: string, first_word: long,"
         " last_word: long, edits: int, words: string>>"
     )
-    names = [part.split()[0] for part in schema.split(" spans ")[0].split(",")][:8]
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
     span = pa.struct(
         [
@@ -208,7 +208,7 @@ def scan(docs: DataFrame) -> DataFrame:
         columns = [batch.column(0)]
         columns += [pa.array(c, kind) for c, kind in zip(cells, kinds, strict=True)]
         columns.append(pa.array(listed, pa.list_(span)))
-        return pa.RecordBatch.from_arrays(columns, [*names, "spans"])
+        return pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, schema)
