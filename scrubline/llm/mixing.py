@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.ordering import running_totals
-from scrubline.llm.tables import broadcast_if_small, is_empty
+from scrubline.llm.tables import broadcast_if_small, is_empty, spare_name
 from scrubline.workspace import written
 
 # Sources in code point order take these weights in turn.
@@ -155,18 +155,15 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
             for turn in range(MOST_PASSES)
         ]
     )
-    taken = written(
-        found.select("doc_id", "dice", F.explode(F.array_compact(takes)).alias("_position")), "taken"
-    )
-    ours = taken.select(F.col("doc_id").alias("_id"), F.col("dice").alias("_dice"), "_position")
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    repeated = written(
-        keyed.groupBy("doc_id", "_key").agg(F.count("*").alias("n")).where("n > 1"), "repeated"
-    )
+    taken = found.select("doc_id", "dice", F.explode(F.array_compact(takes)).alias("position"))
+    key, at = spare_name(docs, "mixing_key"), spare_name(docs, "mixing_position")
+    number, again = spare_name(docs, "mixing_id"), spare_name(docs, "mixing_again")
+    ours = written(taken.toDF(number, again, at), "taken")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    repeated = keyed.groupBy("doc_id", key).agg(F.count("*").alias("rows")).where("rows > 1")
     if not is_empty(repeated):
         # Equal rows have plans of their own; one of them stands for all.
-        keyed = keyed.dropDuplicates(["doc_id", "_key"])
-    same = keyed["doc_id"].cast("long").eqNullSafe(ours["_id"]) & (keyed["_key"] == ours["_dice"])
-    joined = keyed.join(ours, same)
-    spread = joined.repartitionByRange("_position").sortWithinPartitions("_position", "doc_id")
+        keyed = keyed.dropDuplicates(["doc_id", key])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(number)) & (F.col(key) == F.col(again))
+    spread = keyed.join(ours, same).repartitionByRange(at).sortWithinPartitions(at, number)
     return spread.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -140,12 +140,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     ``doc_id`` that stays are kept once.
     """
     found = near_duplicates(docs).where("component_id is null or doc_id = component_id")
-    kept = written(found.select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
-    stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    kept = written(found.select("doc_id").distinct(), "kept")
+    stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
-    repeated = written(repeated.select(F.col("doc_id").alias("_again")), "repeated")
+    repeated = written(repeated.select("doc_id"), "repeated")
     if is_empty(repeated):
         return stays
-    again = stays["doc_id"] == repeated["_again"]
+    again = stays["doc_id"] == repeated["doc_id"]
     single = stays.join(repeated, again, "left_anti")
-    return single.unionByName(stays.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
+    return single.union(stays.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))

@@ -44,6 +44,14 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def is_empty(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
 
