@@ -2,9 +2,10 @@
 
 Vectors are turned to unit length, so a cosine of at least ``c`` is a distance of at most
 ``sqrt(2 - 2c)``. Each vector is stored in the list of its nearest coarse centre with a code of its
-residual (one codeword per subspace) and the length of what the code misses. As a query it probes
-every list whose cell comes within that distance, so no partner is left out. In a list, distances
-to the codes come from a table of query-to-codeword distances; a stored vector whose table distance
+residual (one codeword per subspace) and the length of what the code misses. Two partners in the
+lists a and b lie on either side of the plane between the centres, so at least one of them is within
+half the distance of it. As a query, each vector probes the lists whose plane is that near, and finds
+for both what only it finds, so no partner is left out. In a list, distances to the codes come from a table of query-to-codeword distances; a stored vector whose table distance
 exceeds the limit by more than its own code error cannot be a partner, and the others are checked
 by exact cosine. Copies of a vector are one class throughout.
 """
@@ -17,8 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from scrubline.llm.components import components
+from scrubline.llm.sampling import smallest_hashes
 from scrubline.llm.tables import map_slices
 from scrubline.llm.vectors import centres, matrix, packed, rows_of, squared_distances, usable
 from scrubline.workspace import written
@@ -26,8 +29,8 @@ from scrubline.workspace import written
 COSINE = 0.98
 # Centres and codewords are fitted on the vectors with the smallest hash, this many at most.
 SAMPLE_ROWS = 4096
-# One list per so many classes, within these bounds.
-ROWS_PER_LIST, FEWEST_LISTS, MOST_LISTS = 500, 8, 512
+# One list per so many classes of the largest label, within these bounds.
+ROWS_PER_LIST, FEWEST_LISTS, MOST_LISTS = 1000, 4, 512
 SUBSPACES = 8
 CODEWORDS = 64
 STORED_ROWS = 1024
@@ -44,9 +47,21 @@ class Quantiser:
 
     width: int
     lists: np.ndarray
+    apart: np.ndarray
     columns: list[np.ndarray]
     codewords: list[np.ndarray]
 
+    def near(self, unit: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
+        """The own list of each vector, and which lists it probes: those at most half the limit
+        behind the plane to its own, which is one of them.
+        """
+        squares = squared_distances(unit, self.lists)
+        own = squares.argmin(axis=1)
+        past = squares - squares[np.arange(len(own)), own][:, None]
+        probed = past <= self.apart[own] * (limit + SLACK) + SLACK
+        probed[np.arange(len(own)), own] = True
+        return own, probed
+
     def codes(self, residuals: np.ndarray) -> np.ndarray:
         parts = zip(self.columns, self.codewords, strict=True)
         found = [squared_distances(residuals[:, cols], words).argmin(axis=1) for cols, words in parts]
@@ -72,7 +87,7 @@ def fit(sample: np.ndarray, width: int, lists: int) -> Quantiser:
     columns = [c for c in np.array_split(np.arange(width), min(SUBSPACES, width)) if len(c)]
     rest = sample - coarse[squared_distances(sample, coarse).argmin(axis=1)]
     words = [centres(rest[:, c], CODEWORDS) if len(rest) else np.zeros((1, len(c))) for c in columns]
-    return Quantiser(width, coarse, columns, words)
+    return Quantiser(width, coarse, np.sqrt(squared_distances(coarse, coarse)), columns, words)
 
 
 def units(plain: np.ndarray) -> np.ndarray:
@@ -81,11 +96,12 @@ def units(plain: np.ndarray) -> np.ndarray:
     return scaled / np.maximum(np.sqrt((scaled * scaled).sum(axis=1, keepdims=True)), 1e-300)
 
 
-def _coded(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
-    """Each class with its list, code, code error and unit vector."""
+def _coded(classes: DataFrame, quantiser: Quantiser, kind: str) -> DataFrame:
+    """Each class with its list, code, code error and its vector as bytes of ``kind``."""
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
-        unit = units(matrix(rows_of(batch.column(4)), quantiser.width))
+        plain = matrix(rows_of(batch.column(4)), quantiser.width)
+        unit = units(plain)
         nearest = squared_distances(unit, quantiser.lists).argmin(axis=1)
         residuals = unit - quantiser.lists[nearest]
         codes = quantiser.codes(residuals)
@@ -94,37 +110,31 @@ def _coded(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
             pa.array(nearest.astype(np.int32)),
             pa.array([c.tobytes() for c in codes], pa.binary()),
             pa.array(quantiser.missed(residuals, codes)),
-            pa.array([u.astype("<f8").tobytes() for u in unit], pa.binary()),
+            pa.array([row.astype(kind).tobytes() for row in plain], pa.binary()),
         ]
-        names = ["label", "dims", "cid", "copies", "list", "code", "missed", "unit"]
+        names = ["label", "dims", "cid", "copies", "list", "code", "missed", "v"]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "label long, dims int, cid long, copies long, list int, code binary, missed double, unit binary"
+    schema = "label long, dims int, cid long, copies long, list int, code binary, missed double, v binary"
     return map_slices(classes.select("label", "dims", "cid", "copies", "embedding"), rule, schema, 4096)
 
 
-def _probes(coded: DataFrame, quantiser: Quantiser, limit: float) -> DataFrame:
-    """Each class once for every list that can hold a vector within ``limit`` of it.
+def _units_of(cells: list[bytes], quantiser: Quantiser, kind: str) -> np.ndarray:
+    return units(np.frombuffer(b"".join(cells), kind).reshape(-1, quantiser.width).astype(float))
 
-    A vector of list b lies on b's side of the plane between the centres a and b, so one of list a
-    that is farther than the limit from this plane has no partner there.
-    """
-    apart = np.sqrt(squared_distances(quantiser.lists, quantiser.lists))
+
+def _probes(coded: DataFrame, quantiser: Quantiser, limit: float, kind: str) -> DataFrame:
+    """Each class once for every list that it probes, with its copies."""
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
-        unit = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<f8").reshape(-1, quantiser.width)
-        squares = squared_distances(unit, quantiser.lists)
-        own = squares.argmin(axis=1)
-        past = squares - squares[np.arange(len(own)), own][:, None]
-        near = past <= 2 * apart[own] * (limit + SLACK) + SLACK
-        near[np.arange(len(own)), own] = True
-        row, lists = np.nonzero(near)
+        unit = _units_of(batch.column(4).to_pylist(), quantiser, kind)
+        row, lists = np.nonzero(quantiser.near(unit, limit)[1])
         take = pa.array(row)
-        columns = [batch.column(i).take(take) for i in range(4)] + [pa.array(lists.astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["label", "dims", "cid", "unit", "list"])
+        columns = [batch.column(i).take(take) for i in range(5)] + [pa.array(lists.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["label", "dims", "cid", "copies", "v", "list"])
 
-    schema = "label long, dims int, cid long, unit binary, list int"
-    return map_slices(coded.select("label", "dims", "cid", "unit"), rule, schema, 1024)
+    schema = "label long, dims int, cid long, copies long, v binary, list int"
+    return map_slices(coded.select("label", "dims", "cid", "copies", "v"), rule, schema, 1024)
 
 
 def _exact(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, cosine: float) -> np.ndarray:
@@ -147,25 +157,24 @@ def _smallest_linked(i: np.ndarray, j: np.ndarray, a: np.ndarray, b: np.ndarray)
             return one, two
 
 
-def _linked(meetings: DataFrame, quantiser: Quantiser, cosine: float, limit: float) -> DataFrame:
+def _linked(meetings: DataFrame, quantiser: Quantiser, cosine: float, limit: float, kind: str) -> DataFrame:
     """What each meeting of a query block and a stored block finds.
 
     ``a``, ``links`` (copies of other classes linked to class ``a``), ``b`` (the smallest class of
     its linked group in this meeting): at most a row per class of the two blocks, however many
-    pairs link.
+    pairs link. A stored class is credited with the queries that it does not find itself, because
+    it does not probe their list.
     """
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
         named = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
         out = [[], [], []]
         for at in range(batch.num_rows):
-            q_ids, ids = (np.array(named[c][at].as_py(), np.int64) for c in ("q_cid", "cid"))
-            copies = np.array(named["copies"][at].as_py(), np.int64)
-            missed = np.array(named["missed"][at].as_py(), float)
-            asked, kept = (
-                np.frombuffer(b"".join(named[c][at].as_py()), "<f8").reshape(-1, quantiser.width)
-                for c in ("q_unit", "unit")
+            q_ids, ids, q_copies, copies = (
+                np.array(named[c][at].as_py(), np.int64) for c in ("q_cid", "cid", "q_copies", "copies")
             )
+            missed = np.array(named["missed"][at].as_py(), float)
+            asked, kept = (_units_of(named[c][at].as_py(), quantiser, kind) for c in ("q_v", "v"))
             codes = np.frombuffer(b"".join(named["code"][at].as_py()), np.uint8).reshape(len(ids), -1)
             around = quantiser.lists[named["list"][at].as_py()]
             far = np.sqrt(np.maximum(quantiser.table_distances(asked - around, codes), 0))
@@ -176,16 +185,19 @@ def _linked(meetings: DataFrame, quantiser: Quantiser, cosine: float, limit: flo
             i, j = i[good], j[good]
             if not len(i):
                 continue
+            own = quantiser.near(asked, limit)[0]
+            unseen = ~quantiser.near(kept, limit)[1][j, own[i]]
             links = np.bincount(i, weights=copies[j], minlength=len(q_ids)).astype(np.int64)
+            back = np.bincount(j[unseen], weights=q_copies[i[unseen]], minlength=len(ids)).astype(np.int64)
             one, two = _smallest_linked(i, j, q_ids, ids)
             rows, cols = np.unique(i), np.unique(j)
             out[0] += [q_ids[rows], ids[cols]]
-            out[1] += [links[rows], np.zeros(len(cols), np.int64)]
+            out[1] += [links[rows], back[cols]]
             out[2] += [one[rows], two[cols]]
         columns = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out]
         return pa.RecordBatch.from_arrays(columns, ["a", "links", "b"])
 
-    rows = meetings.select("q_cid", "q_unit", "cid", "copies", "missed", "code", "unit", "list")
+    rows = meetings.select("q_cid", "q_copies", "q_v", "cid", "copies", "missed", "code", "v", "list")
     return map_slices(rows, rule, "a long, links long, b long", 8)
 
 
@@ -211,18 +223,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     # Written once, so the numbers stay what they are.
     classes = written(groups.select("*", dims, F.monotonically_increasing_id().alias("cid")), "classes")
     facts = classes.agg(F.count("*"), F.max("dims")).first()
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     width = facts[1] or 1
-    drawn = classes.orderBy(F.xxhash64("first_id"), "cid").limit(SAMPLE_ROWS).select("embedding").collect()
+    drawn = smallest_hashes(classes, ["first_id", "embedding"], SAMPLE_ROWS, facts[0]).select("embedding").collect()
     sample = units(matrix([np.array(r["embedding"], float) for r in drawn], width)) if drawn else np.zeros((0, width))
-    quantiser = fit(sample, width, min(MOST_LISTS, max(FEWEST_LISTS, facts[0] // ROWS_PER_LIST)))
+    quantiser = fit(sample, width, min(MOST_LISTS, max(FEWEST_LISTS, largest // ROWS_PER_LIST)))
 
-    coded = written(_coded(classes, quantiser), "coded")
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType == FloatType() else "<f8"
+    coded = written(_coded(classes, quantiser, kind), "coded")
     keys = ["label", "dims", "list"]
     stored = packed(coded, keys, ["cid"], STORED_ROWS).drop("block")
-    asked = packed(_probes(coded, quantiser, limit), keys, ["cid"], QUERY_ROWS).drop("block")
-    asked = asked.withColumnRenamed("cid", "q_cid").withColumnRenamed("unit", "q_unit")
+    asked = packed(_probes(coded, quantiser, limit, kind), keys, ["cid"], QUERY_ROWS).drop("block")
+    asked = asked.withColumnsRenamed({"cid": "q_cid", "copies": "q_copies", "v": "q_v"})
     meetings = written(asked, "asked").join(written(stored, "stored"), keys)
-    found = written(_linked(meetings, quantiser, cosine, limit), "found")
+    found = written(_linked(meetings, quantiser, cosine, limit, kind), "found")
     linked = found.groupBy("a").agg(F.sum("links").alias("links"))
     groups = components(found.select("a", "b"))
 
