@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.ordering import running_totals
+from scrubline.llm.sampling import SPARE
 from scrubline.workspace import written
 
 SHARDS = 8
@@ -39,13 +40,15 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sample(rows: DataFrame, wanted: int) -> list[tuple[int, int]]:
+def _sample(rows: DataFrame, wanted: int, total: int) -> list[tuple[int, int]]:
     """``wanted`` keys at most, drawn without replacement with chances in proportion to size.
 
     The smallest of exponential variables with rate ``size``; their randomness is a hash of the key.
+    About ``total * t`` of them lie below a small ``t``, so a task hands on few more than are wanted.
     """
     unit = (F.shiftrightunsigned(F.xxhash64("k1", "k2", "doc_id", F.lit(7)), 11) + 1) / float(1 << 53)
     drawn = rows.select("k1", "k2", (-F.log(unit) / F.col("size")).alias("turn"))
+    drawn = drawn.where(F.col("turn") < SPARE * wanted / max(total, 1))
     return sorted((r.k1, r.k2) for r in drawn.orderBy("turn", "k1", "k2").limit(wanted).collect())
 
 
@@ -97,8 +100,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     rows = written(sized(docs), "sized")
     ranges = shards * RANGES_PER_SHARD
-    splitters = _boundaries(_sample(rows, ranges * SAMPLES_PER_RANGE), ranges)
     total = rows.agg(F.sum("size")).first()[0] or 0
+    splitters = _boundaries(_sample(rows, ranges * SAMPLES_PER_RANGE, total), ranges)
     for left in range(MOST_ROUNDS, -1, -1):
         ranged = _in_ranges(rows, sorted(splitters))
         loads = ranged.groupBy("range").agg(
@@ -114,7 +117,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         for at in range(0, len(full), 16):
             some = full[at : at + 16]
             dense = ranged.where(F.col("range").isin(some))
-            extra = _sample(dense, len(some) * 4 * SAMPLES_PER_RANGE)
+            load = sum(r["load"] for r in loads if r["range"] in some)
+            extra = _sample(dense, len(some) * 4 * SAMPLES_PER_RANGE, load)
             splitters |= _boundaries(extra, 4 * len(some))
         if len(splitters) == before:
             break
