@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scrubline.llm.sampling import smallest_hashes
 from scrubline.llm.tables import map_slices
 from scrubline.llm.vectors import centres, matrix, packed, rows_of, squared_distances, usable
 from scrubline.workspace import written
 
-# Pivots are centres of a sample: the vectors with the smallest hash of their id.
+# Pivots are centres of a sample: the vectors with the smallest hash.
 PIVOTS = 32
 SAMPLE_ROWS = 2048
 RING_ROWS = 2048
@@ -125,9 +126,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     stored = written(scaled(vectors), "stored")
     asked = scaled(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
     squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
-    facts = stored.agg(F.max(squares), F.max(F.size("v"))).first()
+    facts = stored.agg(F.max(squares), F.max(F.size("v")), F.count("*")).first()
     longest, width = float(facts[0] or 0.0), max(1, facts[1] or 1)
-    sample = stored.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE_ROWS).collect()
+    sample = smallest_hashes(stored, ["vec_id", "v"], SAMPLE_ROWS, facts[2]).collect()
     plain = matrix([np.array(r["v"]) for r in sample], width)
     last = np.sqrt(np.maximum(longest - (plain * plain).sum(axis=1), 0))
     pivots = centres(np.column_stack([plain, last]), PIVOTS)
