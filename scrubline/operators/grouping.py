@@ -7,15 +7,21 @@ set of the similarity graph in that order, and groups are stars, not connected
 components.
 
 Names with equal keys always share their neighbours, so the graph is built on
-keys, and a key takes the place of its first-seen name. Where signatures repeat
-so often that the whole graph could be too large (a third of all names being
-copies of one another, say), keys are handled in batches of their order: each
-batch first looks for similar keys within itself, then its leaders claim among
-the keys that are left. No step then lists all pairs of a crowd of copies.
+keys, and a key takes the place of its first-seen name. Leaders are settled in
+rounds: the edges among the first open keys, as many as one task can hold, are
+resolved in order, and these leaders then claim everywhere with one join.
+
+Where signatures repeat so often that the whole graph could be too large (a
+third of all names being copies of one another, say), keys are handled in
+batches of their order: each batch first looks for similar keys within itself,
+then its leaders claim among the keys that are left. No step then lists all
+pairs of a crowd of copies.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -23,16 +29,26 @@ from pyspark.sql import Window
 from scrubline.fixed import SIMILARITY_THRESHOLD
 from scrubline.operators.similarity import (
     Blocking,
+    DuplicateIndex,
+    coded_keys,
     extent,
+    index_members,
     key_features,
-    repeated_signatures,
+    meetings,
     similar_between,
     similar_keys,
     with_token_key,
 )
-from scrubline.workspace import written
+from scrubline.workspace import scratch_path, written
+
+# Edges among the first open keys that one task resolves in order.
+ROUND_EDGES = 2_000_000
+# Ranges of ids whose edges are counted to find out which keys these are.
+ID_RANGES = 4096
+# A round settles the keys of that many edges, so this many rounds mean a fault.
+MOST_ROUNDS = 1000
 
-# Pairs of index rows a batch may share: a fixed part, and one per key overall.
+# Rows that may meet in signatures of a batch: a fixed part, and one per key overall.
 REPEATS_FLOOR = 50_000_000
 REPEATS_PER_KEY = 500
 SMALLEST_BATCH = 1000
@@ -74,32 +90,72 @@ def ranked_keys(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(key_features(numbered, "leader"), "vertices"), named
 
 
-def claimed_within(edges: DataFrame) -> DataFrame:
+def claimed_within(edges: DataFrame, round_edges: int = ROUND_EDGES) -> DataFrame:
     """Ids that a smaller leader claims, for stored edges (lo, hi) with lo < hi.
 
-    Each round settles the ids no open edge points to: they lead, and claim
-    their larger neighbours, whose own edges then fall away. At least the
-    smallest id of every component is settled per round, so this ends.
+    Each round settles all ids up to a bound, so it takes one round for every
+    ``round_edges`` edges at most, and fewer as leaders claim beyond the bound.
     """
+    path = scratch_path(edges.sparkSession, "claimed")
     pending = edges
-    rounds = []
-    while not pending.isEmpty():
-        waiting = pending.select(F.col("hi").alias("id")).distinct()
-        leading = pending.join(waiting, pending.lo == waiting.id, "left_anti")
-        newly = written(leading.select(F.col("hi").alias("id")).distinct(), "claimed")
-        rounds.append(newly)
-        pending = written(
-            pending.join(newly, pending.lo == newly.id, "left_anti").join(
-                newly, pending.hi == newly.id, "left_anti"
-            ),
-            "pending",
+    for number in range(MOST_ROUNDS):
+        bound = _settled_bound(pending, round_edges)
+        if bound is None and number:
+            break
+        first = pending.where(F.col("hi") <= (-1 if bound is None else bound))
+        together = first.withColumn("round", F.lit(number)).groupBy("round")
+        inside = written(together.applyInPandas(_claimed_in_order, "id bigint"), "claimed")
+        leading = pending.where(F.col("lo") <= (-1 if bound is None else bound)).join(
+            inside, pending.lo == inside.id, "left_anti"
         )
-    if not rounds:
-        return edges.sparkSession.createDataFrame([], "id bigint")
-    claimed = rounds[0]
-    for more in rounds[1:]:
-        claimed = claimed.unionByName(more)
-    return claimed
+        newly = leading.select(F.col("hi").alias("id")).distinct()
+        newly.write.mode("append").parquet(path)
+        if bound is None:
+            break
+        taken = written(newly, "taken")
+        rest = pending.where(F.col("lo") > bound)
+        rest = rest.join(taken, rest.lo == taken.id, "left_anti")
+        pending = written(rest.join(taken, rest.hi == taken.id, "left_anti"), "pending")
+    else:
+        raise RuntimeError(f"names are not grouped after {MOST_ROUNDS} rounds")
+    return edges.sparkSession.read.schema("id bigint").parquet(path).distinct()
+
+
+def _settled_bound(pending: DataFrame, round_edges: int) -> int | None:
+    """The id up to which this round settles keys, or None without any edge.
+
+    Edges are counted by ranges of their larger id. If the first range holds too
+    many, it is cut into ranges again; one id alone is always settled.
+    """
+    low, high = pending.agg(F.min("hi"), F.max("hi")).first()
+    if low is None:
+        return None
+    while True:
+        width = (high - low) // ID_RANGES + 1
+        within = pending.where(F.col("hi").between(low, high))
+        counted = within.groupBy(F.floor((F.col("hi") - low) / width).alias("range")).count()
+        bound, total = low - 1, 0
+        # At most ID_RANGES rows.
+        for row in counted.orderBy("range").collect():
+            total += row["count"]
+            if total > round_edges:
+                break
+            bound = low + (row["range"] + 1) * width - 1
+        if bound >= low or width == 1:
+            return max(bound, low)
+        high = low + width - 1
+
+
+def _claimed_in_order(edges: pd.DataFrame) -> pd.DataFrame:
+    """Ids that a leader among the same edges claims, visited in order."""
+    edges = edges.sort_values("lo")
+    los, his = edges["lo"].to_numpy(), edges["hi"].to_numpy()
+    begins = np.flatnonzero(np.r_[True, los[1:] != los[:-1]])
+    claimed: set[int] = set()
+    for start, end in zip(begins, np.r_[begins[1:], len(los)], strict=True):
+        if los[start] not in claimed:
+            claimed.update(his[start:end].tolist())
+    return pd.DataFrame({"id": sorted(claimed)}, dtype="int64")
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
@@ -119,26 +175,18 @@ def leaders_and_stars(
     longest, total = extent(keys)
     allowed = repeats if repeats is not None else REPEATS_FLOOR + REPEATS_PER_KEY * total
     open_keys, start, size = keys, 0, max(total, 1)
-    leaders, stars = [], []
+    spark = keys.sparkSession
+    leaders, stars = (scratch_path(spark, name) for name in ("leaders", "stars"))
     while start < total:
         size = min(size, total - start)
         while True:
             batch = open_keys.where(F.col("kid").between(start, start + size - 1))
-            if size <= smallest_batch or repeated_signatures(batch, blocking, longest) <= allowed:
+            if size <= smallest_batch or meetings(batch, blocking, longest) <= allowed:
                 break
             size = max(size // 4, smallest_batch)
-        inside = written(_ordered(similar_keys(batch, threshold)), "edges")
-        claimed = claimed_within(inside.select("lo", "hi"))
-        leading = written(
-            batch.join(claimed, batch.kid == claimed.id, "left_anti"), "leaders"
-        )
-        if size == total:
-            star = inside.join(leading.select(F.col("kid").alias("leader")), F.col("lo") == F.col("leader"))
-            below = inside.join(leading.select(F.col("kid").alias("leader")), F.col("hi") == F.col("leader"))
-            star = star.select("leader", F.col("hi").alias("kid"), "score").unionByName(
-                below.select("leader", F.col("lo").alias("kid"), "score")
-            )
-        else:
+        leading, star = stars_of(batch, similar_keys(batch, threshold))
+        if size < total:
+            leading = batch.join(leading, "kid", "left_semi")
             star = similar_between(leading, keys, threshold).select(
                 F.col("a").alias("leader"), F.col("b").alias("kid"), "score"
             )
@@ -146,20 +194,13 @@ def leaders_and_stars(
             taken = star.select(F.col("kid").alias("id")).distinct()
             rest = open_keys.where(F.col("kid") >= start + size)
             open_keys = written(rest.join(taken, rest.kid == taken.id, "left_anti"), "open")
-        leaders.append(leading.select("kid"))
-        stars.append(star)
+        leading.select("kid").write.mode("append").parquet(leaders)
+        star.select("leader", "kid", "score").write.mode("append").parquet(stars)
         start, size = start + size, size * 4
-    if not leaders:
-        spark = keys.sparkSession
-        return (
-            spark.createDataFrame([], "kid bigint"),
-            spark.createDataFrame([], "leader bigint, kid bigint, score double"),
-        )
-    all_leaders, all_stars = leaders[0], stars[0]
-    for more_leaders, more_stars in zip(leaders[1:], stars[1:]):
-        all_leaders = all_leaders.unionByName(more_leaders)
-        all_stars = all_stars.unionByName(more_stars)
-    return all_leaders, all_stars
+    schemas = "kid bigint", "leader bigint, kid bigint, score double"
+    if not total:
+        return tuple(spark.createDataFrame([], schema) for schema in schemas)
+    return tuple(spark.read.schema(s).parquet(p) for s, p in zip(schemas, (leaders, stars), strict=True))
 
 
 def name_groups(
@@ -177,6 +218,39 @@ def name_groups(
     """
     keys, names = ranked_keys(distinct_names(df, col, order_col))
     leaders, stars = leaders_and_stars(keys, threshold, repeats, smallest_batch)
+    return _groups(keys, names, leaders, stars)
+
+
+def index_and_groups(
+    df: DataFrame,
+    code: str = "supplier_code",
+    col: str = "name",
+    order_col: str | None = None,
+    threshold: int = SIMILARITY_THRESHOLD,
+) -> tuple[DuplicateIndex, DataFrame]:
+    """The duplicate index and the groups of the same names, from one similarity join."""
+    keys, names = ranked_keys(distinct_names(df, col, order_col or code))
+    edges = written(similar_keys(keys, threshold), "edges")
+    leaders, stars = stars_of(keys, edges)
+    index = DuplicateIndex(index_members(coded_keys(df, code, col), keys), edges)
+    return index, _groups(keys, names, leaders, stars)
+
+
+def stars_of(keys: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leader ids, and (leader, kid, score), from all the edges (a, b, score) of ``keys``."""
+    inside = written(_ordered(edges), "edges")
+    claimed = claimed_within(inside.select("lo", "hi"))
+    leading = written(keys.join(claimed, keys.kid == claimed.id, "left_anti").select("kid"), "leaders")
+    leader = leading.select(F.col("kid").alias("leader"))
+    above = inside.join(leader, F.col("lo") == F.col("leader"))
+    below = inside.join(leader, F.col("hi") == F.col("leader"))
+    stars = above.select("leader", F.col("hi").alias("kid"), "score").unionByName(
+        below.select("leader", F.col("lo").alias("kid"), "score")
+    )
+    return leading, stars
+
+
+def _groups(keys: DataFrame, names: DataFrame, leaders: DataFrame, stars: DataFrame) -> DataFrame:
     own = leaders.select(
         F.col("kid").alias("leader_kid"), "kid", F.lit(100.0).alias("score")
     )

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from scrubline import fixed
 from scrubline.functions import rates
-from scrubline.operators.similarity import DuplicateIndex, pair_key
-from scrubline.operators.skew import grid_join, hot_keys
+from scrubline.operators.similarity import ARROW, DuplicateIndex, pair_key
 from scrubline.workspace import written
 
 COUNTS = ["expected", "detected", "matched", "false_positives", "false_negatives"]
@@ -22,8 +21,9 @@ COUNTS = ["expected", "detected", "matched", "false_positives", "false_negatives
 
 def scored_categories(spark: SparkSession, categories: list[str]) -> DataFrame:
     """The categories that were run and that the scorer knows; others are skipped."""
-    known = [(c,) for c in dict.fromkeys(categories) if c in fixed.MANIFEST_RECORDS]
-    return spark.createDataFrame(known, "category string")
+    known = [c for c in dict.fromkeys(categories) if c in fixed.MANIFEST_RECORDS]
+    listed = F.array(*map(F.lit, known)).cast("array<string>")
+    return spark.range(1).select(F.explode(listed).alias("category"))
 
 
 def outcomes(detected: DataFrame, truth: DataFrame, categories: list[str]) -> DataFrame:
@@ -88,52 +88,22 @@ def category_counts(outcome_table: DataFrame, categories: list[str]) -> DataFram
 def pair_counts(index: DuplicateIndex, truth: DataFrame) -> DataFrame:
     """The five counts for near-duplicate pairs, without listing the pairs.
 
-    Detected pairs are counted per key and per edge from the number of codes on
-    each key. Codes that occur on several rows could be counted twice that way,
-    so the pairs they take part in are listed and made distinct. Pairs of the
-    truth are looked up by the keys of their two codes.
+    Codes are grouped by the set of keys they occur on, and detected pairs are
+    counted from the sizes of these groups: all pairs within a group, and all
+    between two groups that share a key or have similar ones. Pairs of the truth
+    are looked up by the keys of their two codes.
     """
-    wanted = _keys(truth, [fixed.NEAR_DUPLICATES]).select("record_key").distinct()
-    if not index.members.where(F.col("member").contains("->")).isEmpty():
-        # Pair keys cannot be taken apart again, so compare them whole.
-        pairs = index.pairs().select(
-            F.lit(fixed.NEAR_DUPLICATES).alias("category"), pair_key().alias("record_key")
-        )
-        return category_counts(
-            outcomes(pairs, truth, [fixed.NEAR_DUPLICATES]), [fixed.NEAR_DUPLICATES]
-        )
-    members, edges = index.members, index.edges
-    repeated = (
-        members.groupBy("member")
-        .agg(F.sum("n").alias("rows"))
-        .where(F.col("rows") > 1)
-        .select("member")
-    )
-    repeated = written(repeated, "repeated")
-    plain, detected = members, []
-    if not repeated.isEmpty():
-        plain = members.join(repeated, "member", "left_anti")
-        detected.append(_pairs_of(repeated, index).agg(F.count("*").alias("n")))
-    sizes = plain.groupBy("kid").agg(F.count("*").alias("size"))
-    detected.append(sizes.agg(F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("n")))
-    a = sizes.select(F.col("kid").alias("a"), F.col("size").alias("a_size"))
-    b = sizes.select(F.col("kid").alias("b"), F.col("size").alias("b_size"))
-    across = edges.join(a, "a").join(b, "b")
-    detected.append(across.agg(F.sum(F.col("a_size") * F.col("b_size")).alias("n")))
-
-    counted = [(part, "detected") for part in detected]
-    counted.append((_true_pairs(wanted, index).agg(F.count("*").alias("n")), "matched"))
-    counted.append((wanted.agg(F.count("*").alias("n")), "expected"))
+    wanted = _wanted_pairs(truth)
+    counted = {
+        "detected": _detected_pairs(index),
+        "matched": _true_pairs(wanted, index).agg(F.count("*").alias("matched")),
+        "expected": wanted.agg(F.count("*").alias("expected")),
+    }
     rows = None
-    for part, name in counted:
-        row = part.select(
-            *[
-                (F.col("n").cast("bigint") if name == c else F.lit(0).cast("bigint")).alias(c)
-                for c in ("expected", "detected", "matched")
-            ]
-        )
+    for name, part in counted.items():
+        row = part.select(*[(F.col(c) if c == name else F.lit(0)).cast("bigint").alias(c) for c in counted])
         rows = row if rows is None else rows.unionByName(row)
-    sums = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rows.columns])
+    sums = rows.agg(*[F.sum(c).alias(c) for c in counted])
     return sums.select(
         F.lit(fixed.NEAR_DUPLICATES).alias("category"),
         "expected",
@@ -144,33 +114,70 @@ def pair_counts(index: DuplicateIndex, truth: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_of(codes: DataFrame, index: DuplicateIndex) -> DataFrame:
-    """Distinct (later, earlier) pairs that at least one of the codes takes part in."""
-    many = index.members.count() > index.hot_rows
-    hot = hot_keys(index.members, "kid", index.hot_rows) if many else None
-    chosen = index.members.join(codes, "member", "left_semi")
-    x = chosen.select("kid", F.col("member").alias("x"), "n")
-    y = index.members.select("kid", F.col("member").alias("y"))
-    same = grid_join(
-        x, y, "kid", hot, "x", "y", (F.col("x") != F.col("y")) | (F.col("n") > 1)
-    ).select("x", "y")
-    edges = index.edges.select(F.col("a").alias("kid"), "b").unionByName(
-        index.edges.select(F.col("b").alias("kid"), F.col("a").alias("b"))
+def _wanted_pairs(truth: DataFrame) -> DataFrame:
+    return _keys(truth, [fixed.NEAR_DUPLICATES]).select("record_key").distinct()
+
+
+def _detected_pairs(index: DuplicateIndex) -> DataFrame:
+    """One row, ``detected``: how many different pair keys the index stands for."""
+    codes = index.members.groupBy("member").agg(
+        F.sort_array(F.collect_set("kid")).alias("kids"), F.max("n").alias("most")
+    )
+    groups = codes.groupBy("kids").agg(
+        F.count("*").alias("codes"), F.count_if(F.col("most") > 1).alias("twice")
+    )
+    groups = written(groups.withColumn("group", F.monotonically_increasing_id()), "groups")
+    kids = groups.select("group", "codes", F.explode("kids").alias("kid"))
+    x = kids.select("kid", F.col("group").alias("x"), F.col("codes").alias("x_codes"))
+    y = kids.select("kid", F.col("group").alias("y"), F.col("codes").alias("y_codes"))
+    met = [x.join(y, "kid").where("x < y")]
+    for a, b in (("a", "b"), ("b", "a")):
+        onward = index.edges.select(F.col(a).alias("kid"), F.col(b).alias("next"))
+        near = x.join(onward, "kid").select(F.col("next").alias("kid"), "x", "x_codes").join(y, "kid")
+        met.append(near.where("x <= y"))
+    pairs = met[0].unionByName(met[1]).unionByName(met[2]).drop("kid").distinct()
+    pairs = written(pairs, "group-pairs")
+    between = pairs.where("x < y").select((F.col("x_codes") * F.col("y_codes")).alias("n"))
+    within = groups.select((F.col("codes") * (F.col("codes") - 1) / 2).cast("bigint").alias("n"))
+    # A code pairs with itself if it has one key twice, or two similar ones.
+    alike = pairs.where("x = y").select(F.col("x").alias("group"), F.lit(True).alias("alike"))
+    itself = groups.join(alike, "group", "left").select(
+        F.when(F.col("alike"), F.col("codes")).otherwise(F.col("twice")).alias("n")
     )
-    first = grid_join(edges, x, "kid", hot, "b", "x").select("x", F.col("b").alias("kid"))
-    across = grid_join(first, y, "kid", hot, "x", "y").select("x", "y")
-    both = same.unionByName(across)
-    return both.select(
-        F.greatest("x", "y").alias("later"), F.least("x", "y").alias("earlier")
-    ).distinct()
+    same_text = _same_text(index).select((-F.col("n")).alias("n"))
+    every = between.unionByName(within).unionByName(itself).unionByName(same_text)
+    return every.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("detected"))
 
 
-def _true_pairs(wanted: DataFrame, index: DuplicateIndex) -> DataFrame:
-    """The keys of the truth that name a pair of matching rows."""
-    codes = F.split("record_key", "->")
-    asked = wanted.where(F.size(codes) == 2).select(
-        "record_key", F.get(codes, 0).alias("later"), F.get(codes, 1).alias("earlier")
+def _same_text(index: DuplicateIndex) -> DataFrame:
+    """``n``: for pair keys that several detected pairs share, the pairs beyond the first.
+
+    That takes an arrow within the codes of both: ``a->b`` with ``c``, ``a`` with ``b->c``.
+    """
+    arrows = index.members.where(F.col("member").contains(ARROW)).select("member").distinct()
+    split = _splits(arrows, "member")
+    first = split.select(F.col("head").alias("a"), F.col("tail").alias("b"))
+    second = split.select(F.col("head").alias("b"), F.col("tail").alias("c"))
+    shared = first.join(second, "b").select(F.concat_ws(ARROW, "a", "b", "c").alias("record_key"))
+    found = _readings(shared.distinct(), index).groupBy("record_key").agg(
+        F.count_distinct("later", "earlier").alias("n")
     )
+    return found.select((F.col("n") - 1).alias("n"))
+
+
+def _splits(df: DataFrame, col: str) -> DataFrame:
+    """``head`` and ``tail`` of ``col`` for each arrow in it, after its other columns."""
+    parts = F.split(F.col(col), ARROW)
+    at = F.explode(F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)))
+    cut = df.select("*", parts.alias("_parts"), at.alias("_at"))
+    head = F.array_join(F.slice("_parts", F.lit(1), F.col("_at")), ARROW)
+    tail = F.array_join(F.slice("_parts", F.col("_at") + 1, F.size("_parts")), ARROW)
+    return cut.withColumns({"head": head, "tail": tail}).drop("_parts", "_at")
+
+
+def _readings(wanted: DataFrame, index: DuplicateIndex) -> DataFrame:
+    """(record_key, later, earlier): the readings of pair keys that are detected pairs."""
+    asked = _splits(wanted, "record_key").toDF("record_key", "later", "earlier")
     later = index.members.select(F.col("member").alias("later"), F.col("kid").alias("p"), "n")
     earlier = index.members.select(F.col("member").alias("earlier"), F.col("kid").alias("q"))
     placed = (
@@ -184,7 +191,26 @@ def _true_pairs(wanted: DataFrame, index: DuplicateIndex) -> DataFrame:
     )
     equal = (F.col("p") == F.col("q")) & ((F.col("later") != F.col("earlier")) | (F.col("n") > 1))
     found = placed.join(edges, ["lo", "hi"], "left").where(equal | F.col("edge").isNotNull())
-    return found.select("record_key").distinct()
+    return found.select("record_key", "later", "earlier")
+
+
+def _true_pairs(wanted: DataFrame, index: DuplicateIndex) -> DataFrame:
+    """The keys of the truth that name a pair of matching rows."""
+    return _readings(wanted, index).select("record_key").distinct()
+
+
+def missed_pairs(index: DuplicateIndex, truth: DataFrame) -> DataFrame:
+    """(category, record_key): pairs of the truth that the index does not hold."""
+    wanted = _wanted_pairs(truth)
+    missed = wanted.join(_true_pairs(wanted, index), "record_key", "left_anti")
+    return missed.select(F.lit(fixed.NEAR_DUPLICATES).alias("category"), "record_key")
+
+
+def unwanted_pairs(index: DuplicateIndex, truth: DataFrame) -> DataFrame:
+    """(category, record_key): detected pairs the truth does not hold. Lists all pairs."""
+    pairs = index.pairs().select(pair_key().alias("record_key")).distinct()
+    unwanted = pairs.join(_wanted_pairs(truth), "record_key", "left_anti")
+    return unwanted.select(F.lit(fixed.NEAR_DUPLICATES).alias("category"), "record_key")
 
 
 def scorecard_of(counts: DataFrame, unrounded: bool = False) -> DataFrame:

@@ -5,20 +5,22 @@ Two keys ``a`` and ``b`` of lengths m >= n match when the indel similarity
 ``D = (100 - threshold) * (m + n) / 100`` characters are deleted or inserted
 between them, with ``D`` of the same parity as ``m + n``.
 
-Blocking cuts the longer key into ``D + 1`` disjoint segments. ``D`` edits
-cannot damage all of them. Counting the edits left of each intact segment
-shows more: some intact segment number ``i`` has exactly ``i`` edits on its
-left. It is therefore found in the shorter key at a distance ``s`` from its
-own position with ``|s| <= i``, ``s`` of the parity of ``i``, and
-``|s + m - n| <= D - i`` for the right-hand side. So every matching pair
-shares a signature (length class, i, segment text) between
-
-* the index rows: the segments of the longer key, a handful per key, and
-* the probe rows: the substrings of the shorter key at the allowed distances.
+Blocking cuts the longer key into ``D + 2`` disjoint segments, of which at least
+two are intact. Walk over the segments and count the edits so far less the
+segments so far: the count falls by one at intact segments only, starts at 0 and
+ends at -2 or less. So there is a first intact segment number ``i`` with exactly
+``i`` edits on its left, and a later intact one, number ``k``, with exactly
+``k - 1``. The shorter key holds them at distances ``s`` and ``t`` from their own
+positions with ``|s| <= i`` and ``|t - s| <= k - 1 - i``, of the same parities,
+and ``|t + m - n| <= D - k + 1`` for what is right of them.
+
+So every matching pair shares the signature (m, i, text of segment i), and where
+more than a few keys have that one, the signature extended by (k, text of segment
+k). Signatures get longer where names crowd, so the number of keys that meet in
+one does not grow with the table unless the names themselves are alike.
 
 Candidates then pass a character-count filter inside the join and only the
-survivors go to the LCS check. Work depends on how often signatures repeat,
-not on the number of key pairs; no pair that matches is lost.
+survivors go to the LCS check; no pair that matches is lost.
 """
 
 from __future__ import annotations
@@ -34,15 +36,15 @@ from pyspark.sql.types import IntegerType
 
 from scrubline.fixed import SIMILARITY_THRESHOLD
 from scrubline.functions.text import token_key
-from scrubline.operators.skew import grid_join, hot_keys
+from scrubline.operators.skew import grid_join, hot_cells, hot_keys
 from scrubline.workspace import written
 
 # Keys longer than this are probed without positions: the number of allowed
 # positions grows with the square of the length.
 POSITIONAL_LENGTH = 64
 
-# Length classes are about ten percent wide.
-CLASS_RATIO = 1.1
+# Keys that may share a signature of one segment before a second one is added.
+CROWDED = 8
 
 # Index rows one join cell may hold before its signature is cut into a grid.
 HOT_SIGNATURE_ROWS = 4096
@@ -90,8 +92,6 @@ def _bit_set(bits: str, low: int) -> Column:
     )
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
 # --- blocking ---------------------------------------------------------------------
 
 
@@ -119,44 +119,29 @@ class Blocking:
     def longest_partner(self, n: Column) -> Column:
         return F.floor(n * (200 - self.threshold) / self.threshold).cast("int")
 
-    def segment_length(self, m: Column, i: Column) -> Column:
-        return F.least(F.lit(self.segment), m - i * self.segment)
-
-    @staticmethod
-    def length_class(m: Column) -> Column:
-        return F.floor(F.log(m.cast("double")) / math.log(CLASS_RATIO)).cast("int")
-
-    # The two tables below depend on the threshold only, not on the data: at most
-    # a few thousand rows, so they are cached and broadcast.
+    def cut(self, m: Column, i: Column) -> Column:
+        """Where segment ``i`` of a key of length ``m`` begins."""
+        return F.floor(i * m / (self.widest_budget(m) + 2)).cast("int")
 
-    def _table(self, spark: SparkSession, build) -> DataFrame:
-        at = (spark.sparkContext.applicationId, build.__name__, self.threshold, self.positional)
-        if at not in _TABLES:
-            _TABLES[at] = build(spark).persist()
-        return _TABLES[at]
+    # The two tables below depend on the threshold only, not on the data: some
+    # ten thousand rows of small numbers, a megabyte, which are broadcast.
 
     def segment_table(self, spark: SparkSession) -> DataFrame:
-        """(len, class, i, at, size): the segments of a key, by key length."""
+        """(len, m, i, at, size): the segments of a key, by key length."""
         m, i = F.col("len"), F.col("i")
         return (
             spark.range(1, self.positional + 1)
             .select(F.col("id").cast("int").alias("len"))
             .where(self.widest_budget(m) > 0)
             .withColumn("i", F.explode(F.sequence(F.lit(0), self.widest_budget(m))))
-            .select(
-                "len",
-                self.length_class(m).alias("class"),
-                "i",
-                (i * self.segment).alias("at"),
-                self.segment_length(m, i).alias("size"),
-            )
+            .select("len", m.alias("m"), "i", *self._span(m, i, F.lit(0)))
         )
 
     def probe_table(self, spark: SparkSession) -> DataFrame:
-        """(len, class, i, at, size): where a key may hold a longer key's segment."""
+        """(len, m, i, shift, at, size): where a key may hold a longer key's segment."""
         n, m, i, shift = F.col("len"), F.col("m"), F.col("i"), F.col("shift")
         longest = F.least(F.lit(self.positional), self.longest_partner(n))
-        at, size = i * self.segment + shift, self.segment_length(m, i)
+        at, size = self._span(m, i, shift)
         return (
             spark.range(1, self.positional + 1)
             .select(F.col("id").cast("int").alias("len"))
@@ -167,60 +152,97 @@ class Blocking:
             .withColumn("shift", F.explode(F.sequence(-i, i, F.when(i > 0, 2).otherwise(1))))
             .where(F.abs(shift + m - n) <= F.col("d") - i)
             .where((at >= 0) & (at + size <= n))
-            .select("len", self.length_class(m).alias("class"), "i", at.alias("at"), size.alias("size"))
-            .distinct()
+            .select("len", "m", "i", "shift", at, size)
         )
 
-    def _cut(self, keys: DataFrame, table: DataFrame) -> DataFrame:
+    def _span(self, m: Column, i: Column, shift: Column) -> list[Column]:
+        start = self.cut(m, i)
+        return [(start + shift).alias("at"), (self.cut(m, i + 1) - start).alias("size")]
+
+    @staticmethod
+    def _signed(keys: DataFrame, table: DataFrame) -> DataFrame:
         text = F.substr("key", F.col("at") + 1, F.col("size"))
-        return keys.join(F.broadcast(table), "len").withColumn(
-            "sig", F.xxhash64("class", "i", text)
-        )
+        return keys.join(F.broadcast(table), "len").withColumn("sig", F.xxhash64("m", "i", text))
 
-    def index_rows(self, keys: DataFrame, longest: int) -> DataFrame:
+    def index_rows(self, keys: DataFrame) -> DataFrame:
         """Signature rows of ``keys`` in the role of the longer key."""
-        near = self._cut(keys, self._table(keys.sparkSession, self.segment_table))
-        if longest <= self.positional:
-            return _sides(near, "a")
+        return self._signed(keys, self.segment_table(keys.sparkSession))
+
+    def probe_rows(self, keys: DataFrame) -> DataFrame:
+        """Signature rows of ``keys`` in the role of the shorter key."""
+        return self._signed(keys, self.probe_table(keys.sparkSession))
+
+    def extended_index(self) -> Column:
+        """The signatures of a crowded index row with a second segment each."""
+        m, i = F.col("m"), F.col("i")
+
+        def signature(k: Column) -> Column:
+            start = self.cut(m, k)
+            text = F.substr(F.col("key"), start + 1, self.cut(m, k + 1) - start)
+            return F.xxhash64("sig", k, text)
+
+        return F.transform(F.sequence(i + 1, self.widest_budget(m) + 1), signature)
+
+    def extended_probe(self) -> Column:
+        """The signatures of a crowded probe row: every place of a second segment."""
+        n, m, i, s = F.col("len"), F.col("m"), F.col("i"), F.col("shift")
+        budget = self.budget(m, n)
+
+        def at_segment(k: Column) -> Column:
+            start, end, far = self.cut(m, k), self.cut(m, k + 1), k - 1 - i
+            # Shifts by whole steps of two, numbered from 0.
+            shifts = F.transform(F.sequence(F.lit(0), far), lambda step: s - far + 2 * step)
+            good = F.filter(
+                shifts,
+                lambda t: (F.abs(t + m - n) <= budget - k + 1)
+                & (start + t >= self.cut(m, i + 1) + s)
+                & (end + t <= n),
+            )
+            return F.transform(
+                good, lambda t: F.xxhash64("sig", k, F.substr(F.col("key"), start + t + 1, end - start))
+            )
+
+        return F.array_distinct(F.flatten(F.transform(F.sequence(i + 1, budget + 1), at_segment)))
+
+    # Keys beyond the positional length share segments of a length class at any place.
+
+    def long_index(self, keys: DataFrame) -> DataFrame:
         m = F.col("len")
+        size = lambda i: F.least(F.lit(self.segment), m - i * self.segment)
         segments = F.transform(
             F.sequence(F.lit(0), self.widest_budget(m)),
-            lambda i: F.substr("key", i * self.segment + 1, self.segment_length(m, i)),
+            lambda i: F.substr("key", i * self.segment + 1, size(i)),
         )
         # A segment repeated within one key needs one row only.
-        far = (
+        return (
             keys.where((m > self.positional) & (self.widest_budget(m) > 0))
             .withColumn("text", F.explode(F.array_distinct(segments)))
-            .withColumn("sig", F.xxhash64(self.length_class(m), F.lit(-1), "text"))
+            .withColumn("sig", F.xxhash64(_length_class(m), F.lit(-1), "text"))
         )
-        return _sides(near.unionByName(far, allowMissingColumns=True), "a")
 
-    def probe_rows(self, keys: DataFrame, longest: int) -> DataFrame:
-        """Signature rows of ``keys`` in the role of the shorter key."""
-        near = self._cut(keys, self._table(keys.sparkSession, self.probe_table))
-        if longest <= self.positional:
-            return _sides(near, "b")
+    def long_probe(self, keys: DataFrame) -> DataFrame:
         n, size = F.col("len"), F.col("shape.size")
         # Segments of a longer key are full ones, and possibly one shorter at the end.
         shapes = F.transform(
             F.sequence(F.greatest(n, F.lit(self.positional + 1)), self.longest_partner(n)),
             lambda m: F.array(
-                F.struct(self.length_class(m).alias("class"), F.lit(self.segment).alias("size")),
+                F.struct(_length_class(m).alias("class"), F.lit(self.segment).alias("size")),
                 F.struct(
-                    self.length_class(m).alias("class"),
-                    self.segment_length(m, self.widest_budget(m)).alias("size"),
+                    _length_class(m).alias("class"),
+                    F.least(
+                        F.lit(self.segment), m - self.widest_budget(m) * self.segment
+                    ).alias("size"),
                 ),
             ),
         )
         texts = F.transform(F.sequence(F.lit(1), n - size + 1), lambda at: F.substr("key", at, size))
-        far = (
+        return (
             keys.where(self.longest_partner(n) > self.positional)
             .withColumn("shape", F.explode(F.array_distinct(F.flatten(shapes))))
             .where(size.between(1, n))
             .withColumn("text", F.explode(F.array_distinct(texts)))
             .withColumn("sig", F.xxhash64("shape.class", F.lit(-1), "text"))
         )
-        return _sides(near.unionByName(far, allowMissingColumns=True), "b")
 
     def may_match(self, equal_lengths: bool) -> Column:
         """Cheap exact-safe test on a pair of signature rows."""
@@ -233,6 +255,11 @@ class Blocking:
         )
 
 
+def _length_class(m: Column) -> Column:
+    """Classes about ten percent wide."""
+    return F.floor(F.log(m.cast("double")) / math.log(1.1)).cast("int")
+
+
 def _sides(rows: DataFrame, side: str) -> DataFrame:
     return rows.select(
         "sig",
@@ -243,6 +270,26 @@ def _sides(rows: DataFrame, side: str) -> DataFrame:
     )
 
 
+def meeting_rows(
+    longer: DataFrame, shorter: DataFrame, blocking: Blocking, longest: int
+) -> tuple[DataFrame, DataFrame]:
+    """The signature rows of both sides, extended where a signature is crowded."""
+    index, probe = blocking.index_rows(longer), blocking.probe_rows(shorter)
+    sizes = index.groupBy("sig").agg(F.count("*").alias("keys"))
+    crowded = F.col("keys") > CROWDED
+    both = []
+    # Probe rows whose signature no key has end here.
+    for rows, extended in ((index, blocking.extended_index()), (probe, blocking.extended_probe())):
+        counted = rows.join(sizes.hint("shuffle_hash"), "sig")
+        plain = F.array("sig")
+        both.append(counted.withColumn("sig", F.explode(F.when(crowded, extended).otherwise(plain))))
+    index, probe = _sides(both[0], "a"), _sides(both[1], "b")
+    if longest > blocking.positional:
+        index = index.unionByName(_sides(blocking.long_index(longer), "a"))
+        probe = probe.unionByName(_sides(blocking.long_probe(shorter), "b"))
+    return index, probe
+
+
 def candidate_pairs(
     longer: DataFrame,
     shorter: DataFrame,
@@ -253,10 +300,9 @@ def candidate_pairs(
     hot_rows: int = HOT_SIGNATURE_ROWS,
 ) -> DataFrame:
     """Distinct (a, b) key ids that share a signature and pass the cheap test."""
-    index = blocking.index_rows(longer, longest)
-    probe = blocking.probe_rows(shorter, longest)
+    index, probe = meeting_rows(longer, shorter, blocking, longest)
     # A key has a signature once, so few keys cannot make one hot.
-    hot = hot_keys(index, "sig", hot_rows) if total > hot_rows else None
+    hot = hot_cells(index, probe, "sig", hot_rows) if total > hot_rows else None
     met = grid_join(index, probe, "sig", hot, "a", "b", blocking.may_match(equal_lengths))
     return met.select("a", "b").distinct()
 
@@ -267,10 +313,11 @@ def extent(keys: DataFrame) -> tuple[int, int]:
     return longest or 0, total
 
 
-def repeated_signatures(keys: DataFrame, blocking: Blocking, longest: int) -> int:
-    """How many pairs of index rows share a signature; a bound check before joining."""
-    counts = blocking.index_rows(keys, longest).groupBy("sig").agg(F.count("*").alias("n"))
-    return counts.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+def meetings(keys: DataFrame, blocking: Blocking, longest: int) -> int:
+    """How many rows of ``keys`` with ``keys`` meet in a signature; a check before joining."""
+    index, probe = meeting_rows(keys, keys, blocking, longest)
+    counts = [side.groupBy("sig").agg(F.count("*").alias(name)) for side, name in ((index, "m"), (probe, "n"))]
+    return counts[0].join(counts[1], "sig").agg(F.sum(F.col("m") * F.col("n"))).first()[0] or 0
 
 
 # --- verification -----------------------------------------------------------------
@@ -468,16 +515,23 @@ def duplicate_index(
             spark.createDataFrame([], "kid bigint, member string, n bigint"),
             spark.createDataFrame([], "a bigint, b bigint, score double"),
         )
+    keyed = written(coded_keys(df, code, col), "rows")
+    keys = stored_keys(keyed)
+    edges = written(similar_keys(keys, threshold, hot_rows=hot_rows), "edges")
+    return DuplicateIndex(index_members(keyed, keys), edges, hot_rows)
+
+
+def coded_keys(df: DataFrame, code: str, col: str) -> DataFrame:
+    """(key, code, n): how often each code has each key."""
     rows = df.select(F.col(code).cast("string").alias("code"), F.col(col).cast("string").alias("name"))
     # Copies are merged before keys are built: once per distinct pair, not per row.
     counted = rows.dropna().groupBy("name", "code").agg(F.count("*").alias("n"))
-    counted = with_token_key(counted, "name").groupBy("key", "code").agg(F.sum("n").alias("n"))
-    keyed = written(counted, "rows")
-    keys = stored_keys(keyed)
+    return with_token_key(counted, "name").groupBy("key", "code").agg(F.sum("n").alias("n"))
+
+
+def index_members(keyed: DataFrame, keys: DataFrame) -> DataFrame:
     members = keyed.join(keys.select("key", "kid"), "key")
-    members = written(members.select("kid", F.col("code").alias("member"), "n"), "members")
-    edges = written(similar_keys(keys, threshold, hot_rows=hot_rows), "edges")
-    return DuplicateIndex(members, edges, hot_rows)
+    return written(members.select("kid", F.col("code").alias("member"), "n"), "members")
 
 
 def duplicate_pairs(
@@ -495,5 +549,9 @@ def duplicate_pairs(
     return duplicate_index(df, code, col, threshold, hot_rows).pairs()
 
 
+# Between the two codes of a pair key.
+ARROW = "->"
+
+
 def pair_key(later: str = "later", earlier: str = "earlier") -> Column:
-    return F.concat_ws("->", later, earlier)
+    return F.concat_ws(ARROW, later, earlier)

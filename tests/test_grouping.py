@@ -43,6 +43,46 @@ def test_groups_equal_the_sequential_rule(frame, seed, limits):
     assert mapping == wanted_map(groups)
 
 
+@pytest.mark.parametrize("round_edges", [1, 7, 2_000_000])
+def test_claims_do_not_depend_on_the_size_of_a_round(spark, round_edges):
+    rnd = random.Random(round_edges)
+    edges = {tuple(sorted(rnd.sample(range(300), 2))) for _ in range(700)}
+    claimed = set()
+    for lo in range(300):
+        if lo not in claimed:
+            claimed |= {hi for x, hi in edges if x == lo}
+    found = g.claimed_within(spark.createDataFrame(sorted(edges), "lo bigint, hi bigint"), round_edges)
+    assert sorted(r.id for r in found.collect()) == sorted(claimed)
+    assert g.claimed_within(spark.createDataFrame([], "lo bigint, hi bigint")).count() == 0
+
+
+def test_pairs_and_groups_from_one_join(frame):
+    rows = random_rows(6)
+    index, groups = g.index_and_groups(frame(rows, SCHEMA))
+    assert {(r.later, r.earlier) for r in index.pairs().collect()} == set(brute.pairs(rows))
+    assert {(r.canonical, r.variant) for r in groups.collect()} == {
+        (c, v) for c, vs in brute.groups(visiting_order(rows)) for v in vs
+    }
+
+
+def test_many_numbered_names_take_a_handful_of_rounds(spark, monkeypatch):
+    df = spark.range(1200).selectExpr(
+        "lpad(id, 5, '0') as supplier_code", "concat('Supplier#', lpad(id, 9, '0')) as name"
+    )
+    rounds = []
+    bound = g._settled_bound
+    monkeypatch.setattr(g, "_settled_bound", lambda *a: rounds.append(1) or bound(*a))
+    leaders = {r.canonical for r in g.name_groups(df).select("canonical").distinct().collect()}
+    names = [f"Supplier#{i:09d}" for i in range(1200)]
+    claimed, wanted = set(), set()
+    for name in names:
+        if name not in claimed:
+            wanted.add(name)
+            # Equal tokens of one length: 4 edits at most are 2 other digits at most.
+            claimed |= {n for n in names if brute.score(name, n) >= 85}
+    assert leaders == wanted and len(rounds) <= 4
+
+
 # a ~ b ~ c, but not a ~ c
 A, B, C = "abcdefghijklmnopqrst", "abcdefghijklmnopqrXY", "abcdefghijklmnopVWXY"
 
