@@ -1,15 +1,19 @@
 """CSV sources: encodings, drifting headers, null tokens, canonical columns.
 
-Files are read together in groups that share an encoding and a header, so any
-number of files takes a handful of scans.
+Files are read together in groups that share an encoding, a header and whether
+quoted cells hold line breaks, so any number of files takes a handful of scans,
+and files without such cells are split. Rows with more cells than the header has
+are never cut: they stop the read, or are left out and listed as rejects.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -24,84 +28,185 @@ _LATIN1 = bytes(_CP1252_BYTES).decode("latin-1")
 _CP1252 = bytes(_CP1252_BYTES).decode("cp1252")
 
 
-def probe_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, header, encoding) per file, from one pass over the raw lines.
+# Columns read of a UTF-16 header; Spark has no other way to ask for all of them.
+WIDEST_HEADER = 512
 
-    Every line is checked, so a single non-UTF-8 byte anywhere in a file makes
-    it windows-1252. The scan splits large files and combines per file before
-    it shuffles.
-    """
-    lines = spark.read.text(paths).select(
+# Where a row stands: ``source.file``, ``source.block``, ``source.row``, in that order.
+POSITION = "source"
+
+_BAD = "_more_cells_than_header"
+
+
+def _raw_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
-        (F.col("_metadata.file_block_start") == 0).alias("first_block"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_length").alias("length"),
         F.monotonically_increasing_id().alias("at"),
         "value",
     )
-    start = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
-    return lines.groupBy("path").agg(
+
+
+def probe_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, header, encoding, multi_line) per file, from one pass over the raw lines.
+
+    Every line is checked, so a single non-UTF-8 byte anywhere in a file makes
+    it windows-1252, and a single line with a quote left open makes it a file
+    with line breaks in cells. The scan splits large files and combines per file
+    before it shuffles.
+    """
+    lines = _raw_lines(spark, paths)
+    first = F.when((F.col("block") == 0) & (F.length("value") > 0), F.col("at"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = lines.groupBy("path").agg(
         # The header is in the block that starts the file; ids rise within a block.
-        F.min_by("value", F.when(F.col("first_block") & (F.length("value") > 0), F.col("at"))).alias(
-            "header"
-        ),
-        F.when(F.bool_or(F.col("first_block") & start.isin("FFFE", "FEFF")), "utf-16")
-        .when(F.bool_and(F.is_valid_utf8("value")), "utf-8")
+        F.min_by("value", first).alias("header"),
+        F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
+        F.bool_or(quotes % 2 != 0).alias("multi_line"),
+    )
+    return found.select("path", "header", _encoding().alias("encoding"), "multi_line")
+
+
+def _encoding() -> Column:
+    start = F.hex(F.substring(F.col("header").cast("binary"), 1, 2))
+    return (
+        F.when(start.isin("FFFE", "FEFF"), "utf-16")
+        .when(F.col("is_utf8"), "utf-8")
         .otherwise("windows-1252")
-        .alias("encoding"),
     )
 
 
+def probe_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, header) per file, for files of a known encoding.
+
+    A task that holds one full block of a large file stops after the first rows.
+    """
+    full = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: set[str] = set()
+        for batch in batches:
+            text = batch[(batch["block"] == 0) & (batch["value"].str.len() > 0)]
+            heads = text.drop_duplicates("path")
+            heads = heads[~heads["path"].isin(known)]
+            known.update(heads["path"])
+            yield heads[["path", "value"]].rename(columns={"value": "header"})
+            if len(batch) and batch["length"].iloc[0] >= 0.9 * full:
+                return
+
+    return _raw_lines(spark, paths).mapInPandas(first_lines, "path string, header string")
+
+
 def header_columns(header: str | None) -> list[str]:
     return next(csv.reader([header.removeprefix("\ufeff")])) if header else []
 
 
-def read_group(
-    spark: SparkSession,
-    paths: str | list[str],
-    header: list[str],
-    encoding: str = "utf-8",
-    tokens: list[str] | None = None,
-    multi_line: bool = True,
-) -> DataFrame:
-    """All columns as text, for files that share a header and an encoding.
+@dataclass(frozen=True)
+class Group:
+    """Files that are read together."""
 
-    ``multi_line`` allows line breaks inside quotes; turn it off for large clean
-    files, which can then be split.
-    """
-    windows = encoding.lower() in ("windows-1252", "cp1252")
-    columns = [f"c{i}" for i in range(len(header))]
+    header: tuple[str, ...]
+    encoding: str
+    multi_line: bool
+
+
+def _raw_rows(spark: SparkSession, paths: str | list[str], group: Group) -> DataFrame:
+    """Cells c0, c1, ..., the position, and the record where it has too many cells."""
+    windows = group.encoding.lower() in ("windows-1252", "cp1252")
+    columns = [f"c{i}" for i in range(len(group.header))]
     raw = (
-        spark.read.schema(StructType([StructField(c, StringType()) for c in columns]))
+        spark.read.schema(StructType([StructField(c, StringType()) for c in [*columns, _BAD]]))
         .option("header", True)
         .option("enforceSchema", True)
+        .option("columnNameOfCorruptRecord", _BAD)
+        # All cells of a record are counted, whichever are asked for.
+        .option("columnPruning", False)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line or encoding == "utf-16")
-        .option("encoding", "ISO-8859-1" if windows else encoding)
+        .option("multiLine", group.multi_line or group.encoding == "utf-16")
+        .option("encoding", "ISO-8859-1" if windows else group.encoding)
         .csv(paths)
     )
-    text = [F.translate(c, _LATIN1, _CP1252) if windows else F.col(c) for c in columns]
-    return raw.select(*[null_tokens(t, tokens).alias(name) for t, name in zip(text, header)])
-
-
-def canonical(df: DataFrame, columns: list[str], rename: Rename) -> DataFrame:
-    """Rename, add what is missing as NULL, drop the rest, in canonical order."""
-    names = [rename(c) for c in df.columns]
-    for column in columns:
-        if names.count(column) > 1:
-            raise ValueError(f"more than one source column maps to {column}")
-    positions = {name: i for i, name in enumerate(names)}
-    numbered = df.toDF(*[f"c{i}" for i in range(len(names))])
-    return numbered.select(
-        *[
-            (F.col(f"c{positions[c]}") if c in positions else F.lit(None)).cast("string").alias(c)
-            for c in columns
-        ]
+    decoded = (lambda c: F.translate(c, _LATIN1, _CP1252)) if windows else F.col
+    # Spark marks every record with another number of cells. Those with fewer are
+    # filled up; empty cells at the end are no data.
+    unquoted = F.regexp_replace(_BAD, r'"(?:[^"]|"")*"', "x")
+    cells = F.length(F.regexp_replace(F.regexp_replace(unquoted, r"[,\s]+$", ""), "[^,]", "")) + 1
+    # Spark does not give out the record alone, so its presence is tied to a cell.
+    too_many = (cells > len(columns)) & (F.col(columns[0]).isNull() | F.col(columns[0]).isNotNull())
+    position = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    return raw.select(
+        *[decoded(c).alias(c) for c in columns],
+        position.alias(POSITION),
+        F.when(too_many, decoded(_BAD)).alias(_BAD),
+    )
+
 
+def _checked(rows: DataFrame, bad_rows: str) -> DataFrame:
+    if bad_rows == "skip":
+        return rows.where(F.col(_BAD).isNull())
+    if bad_rows != "raise":
+        raise ValueError("bad_rows is raise or skip")
+    message = F.concat(F.lit("more cells than the header has: "), F.col(_BAD))
+    return rows.where(F.when(F.col(_BAD).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
 
-def _utf16_header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.option("encoding", "UTF-16").option("multiLine", True).csv(path).first()
-    return [name or "" for name in first or []]
+
+def _utf16_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The first record of each file, from one job over all of them."""
+    columns = [f"c{i}" for i in range(WIDEST_HEADER)]
+    rows = (
+        spark.read.schema(", ".join(f"{c} string" for c in columns))
+        .option("encoding", "UTF-16")
+        .option("multiLine", True)
+        .csv(paths)
+    )
+    cells = F.array(*columns)
+    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), cells.alias("cells"))
+    found = rows.groupBy("path").agg(F.min_by("cells", "at").alias("cells")).collect()
+    last = {r.path: max((i for i, c in enumerate(r.cells) if c is not None), default=-1) for r in found}
+    return {r.path: [c or "" for c in r.cells[: last[r.path] + 1]] for r in found}
+
+
+def _groups(
+    spark: SparkSession,
+    paths: str | list[str],
+    encoding: str,
+    header: list[str] | None,
+    multi_line: bool | None,
+) -> list[tuple[Group, str | list[str]]]:
+    """The groups of files to read, with their paths: one entry per header and encoding."""
+    if header is not None and encoding != "auto" and multi_line is not None:
+        return [(Group(tuple(header), encoding, multi_line), paths)]
+    if encoding != "auto" and multi_line is not None:
+        probed = probe_headers(spark, paths).withColumns(
+            {"encoding": F.lit(encoding), "multi_line": F.lit(multi_line)}
+        )
+    else:
+        probed = probe_files(spark, paths)
+    # One row per file, as in the file listing the driver holds anyway.
+    files = probed.collect()
+    kinds = {f.path: f.encoding if encoding == "auto" else encoding for f in files}
+    wide = [path for path, kind in kinds.items() if kind.lower() == "utf-16"]
+    wide_headers = _utf16_headers(spark, wide) if wide and header is None else {}
+    groups: dict[Group, list[str]] = {}
+    for file in files:
+        names = header or wide_headers.get(file.path) or header_columns(file.header)
+        if names:
+            split = file.multi_line if multi_line is None else multi_line
+            group = Group(tuple(names), kinds[file.path], bool(split))
+            groups.setdefault(group, []).append(file.path)
+    return sorted(groups.items(), key=str)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def _read(
@@ -112,30 +217,44 @@ def _read(
     encoding: str,
     header: list[str] | None,
     tokens: list[str] | None,
-    multi_line: bool,
+    multi_line: bool | None,
+    bad_rows: str,
+    positions: bool,
 ) -> DataFrame:
-    if header is not None and encoding != "auto":
-        group = read_group(spark, paths, header, encoding, tokens, multi_line)
-        return canonical(group, columns, rename_for(header))
-    groups: dict[tuple, list[str]] = {}
-    # One row per file, as in the file listing the driver holds anyway.
-    for row in probe_files(spark, paths).collect():
-        found = row.encoding if encoding == "auto" else encoding
-        names = header or (
-            _utf16_header(spark, row.path) if found == "utf-16" else header_columns(row.header)
-        )
-        if names:
-            groups.setdefault((found, tuple(names)), []).append(row.path)
     parts = []
-    for (found, names), files in sorted(groups.items()):
-        group = read_group(spark, files, list(names), found, tokens, multi_line)
-        parts.append(canonical(group, columns, rename_for(list(names))))
+    for group, files in _groups(spark, paths, encoding, header, multi_line):
+        names = list(group.header)
+        rows = _checked(_raw_rows(spark, files, group), bad_rows)
+        kept = [null_tokens(F.col(f"c{i}"), tokens).alias(f"c{i}") for i in range(len(names))]
+        wanted, rename = rows.select(*kept, POSITION), rename_for(names)
+        renamed = [rename(name) for name in names]
+        places = {name: f"c{i}" for i, name in enumerate(renamed)}
+        for column in columns:
+            if renamed.count(column) > 1:
+                raise ValueError(f"more than one source column maps to {column}")
+        cells = [
+            (F.col(places[c]) if c in places else F.lit(None)).cast("string").alias(c) for c in columns
+        ]
+        parts.append(wanted.select(*cells, *([POSITION] if positions else [])))
     if not parts:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        place = f", {POSITION} struct<file: string, block: bigint, row: bigint>" if positions else ""
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns) + place)
+    return _union(parts)
+
+
+def csv_rejects(
+    spark: SparkSession,
+    paths: str | list[str],
+    encoding: str = "auto",
+    header: list[str] | None = None,
+    multi_line: bool | None = None,
+) -> DataFrame:
+    """(file, record): the records that have more cells than their file's header."""
+    parts = []
+    for group, files in _groups(spark, paths, encoding, header, multi_line):
+        rows = _raw_rows(spark, files, group).where(F.col(_BAD).isNotNull())
+        parts.append(rows.select(F.col(f"{POSITION}.file").alias("file"), F.col(_BAD).alias("record")))
+    return _union(parts) if parts else spark.createDataFrame([], "file string, record string")
 
 
 # --- parts ------------------------------------------------------------------------
@@ -153,12 +272,18 @@ def read_parts(
     encoding: str = "auto",
     header: list[str] | None = None,
     tokens: list[str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
+    bad_rows: str = "raise",
+    positions: bool = False,
 ) -> DataFrame:
     """Parts exports of either layout; ``auto`` decides per file by its header.
 
-    Files known to share one encoding and ``header`` are read without the pass
-    that finds these out.
+    One pass over the lines finds out encoding, header and whether quoted cells
+    hold line breaks. With an ``encoding`` and ``multi_line`` given, only the
+    first rows of large files are looked at; with a ``header`` too, none.
+    ``bad_rows`` says what rows with more cells than the header do: ``raise`` or
+    ``skip`` (see ``csv_rejects``). ``positions`` adds where a row stands, a
+    column ``source`` that sorts in file order.
     """
 
     def rename_for(header: list[str]) -> Rename:
@@ -167,7 +292,9 @@ def read_parts(
         return lambda c: names.get(c, c)
 
     columns = fixed.PART_COLUMNS
-    return _read(spark, paths, columns, rename_for, encoding, header, tokens, multi_line)
+    return _read(
+        spark, paths, columns, rename_for, encoding, header, tokens, multi_line, bad_rows, positions
+    )
 
 
 # --- suppliers --------------------------------------------------------------------
@@ -184,10 +311,16 @@ def read_suppliers(
     encoding: str = "auto",
     header: list[str] | None = None,
     tokens: list[str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
+    bad_rows: str = "raise",
+    positions: bool = False,
 ) -> DataFrame:
-    """Suppliers exports; header names are matched regardless of case and spaces."""
+    """Suppliers exports; header names are matched regardless of case and spaces.
+
+    Options are those of ``read_parts``.
+    """
     columns = fixed.SUPPLIER_COLUMNS
+    rename_for = lambda _: supplier_header
     return _read(
-        spark, paths, columns, lambda _: supplier_header, encoding, header, tokens, multi_line
+        spark, paths, columns, rename_for, encoding, header, tokens, multi_line, bad_rows, positions
     )
