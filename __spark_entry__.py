@@ -11,15 +11,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from checks.fixtures import as_csv, as_manifests, as_workbooks, messy  # noqa: E402
+from checks.fixtures import as_csv, as_lines, as_manifests, as_workbooks, messy  # noqa: E402
 from checks.oracles import ORACLES, SHOWN_NAME  # noqa: E402
 from scrubline import fixed  # noqa: E402
 from scrubline.functions import fields  # noqa: E402
 from scrubline.operators import detect as d  # noqa: E402
 from scrubline.operators import grouping, normalize, scoring, similarity  # noqa: E402
 from scrubline.plans import pipelines, reports  # noqa: E402
-from scrubline.sources import csv_files, manifests, workbooks  # noqa: E402
-from scrubline.streaming import live  # noqa: E402
+from scrubline.sources import csv_files, manifests, sinks, workbooks  # noqa: E402
 from scrubline.workspace import scratch_path, written  # noqa: E402
 
 try:
@@ -69,6 +68,30 @@ def impossible_dates_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.impossible_dates(text).select("record_key")
 
 
+def dates_in_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change orders with dates as people write them; every seventh two have none."""
+    orders = messy(spark, sf_dir, "change_orders_messy")
+    patterns = ["yyyy-MM-dd", "M/d/yyyy", "d MMM yyyy", "yyyyMMdd", "yyyy-MM-dd'T'HH:mm:ss"]
+    kind = F.col("o_orderkey") % 7
+    for column in ("opened_at", "closed_at"):
+        text = F.when(kind == 5, F.lit("08:00:00")).otherwise("soon")
+        if column == "opened_at":
+            text = F.date_format(column, "yyyy-MM-dd")
+        for at, pattern in enumerate(patterns):
+            text = F.when(kind == at, F.date_format(column, pattern)).otherwise(text)
+        orders = orders.withColumn(column, F.when(F.col(column).isNotNull(), text))
+    return orders
+
+
+def impossible_dates_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pipelines.detect(change_orders=dates_in_formats(spark, sf_dir)).defects
+    return found.where(F.col("category") == fixed.IMPOSSIBLE_DATES).select("record_key")
+
+
+def unparsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return d.unparsed_dates(dates_in_formats(spark, sf_dir))
+
+
 def impossible_dates_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The date rule across a join of two fact tables."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -128,6 +151,87 @@ def outcomes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.outcomes(found.all_defects(), truth, found.categories)
 
 
+def pair_scorecard(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Scores of near-duplicate pairs alone, for codes that repeat or hold arrows."""
+    index = similarity.duplicate_index(messy(spark, sf_dir, f"suppliers_{kind}"))
+    counts = scoring.pair_counts(index, messy(spark, sf_dir, f"truth_{kind}"))
+    return scoring.scorecard_of(counts, unrounded=True)
+
+
+def validated(spark: SparkSession, sf_dir: str) -> pipelines.Validation:
+    """All checks scored against manifest files."""
+    return pipelines.validation(manifest(spark, sf_dir), all_detections(spark, sf_dir))
+
+
+def validation_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = scoring.with_health(validated(spark, sf_dir).scorecard)
+    return shown.select(
+        "category", *scoring.COUNTS, "recall", "precision", "f1", "health", "recall_percent"
+    )
+
+
+def validation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key on which detection and manifest disagree, pairs included."""
+    found = validated(spark, sf_dir)
+    wrong = found.false_positives.unionByName(found.pair_false_positives())
+    missed = found.false_negatives.withColumn("outcome", F.lit("false_negative"))
+    return wrong.withColumn("outcome", F.lit("false_positive")).unionByName(missed)
+
+
+def full_report(spark: SparkSession, sf_dir: str, truth: DataFrame | None = None) -> pipelines.Report:
+    return pipelines.report(
+        parts=messy(spark, sf_dir, "parts_messy"),
+        suppliers=messy(spark, sf_dir, "suppliers_messy"),
+        change_orders=messy(spark, sf_dir, "change_orders_messy"),
+        manifest=truth,
+    )
+
+
+def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as JSON, written with the sink and read back."""
+    result = full_report(spark, sf_dir, manifest(spark, sf_dir))
+    out = scratch_path(spark, "report")
+    rows = reports.report_rows(result.checks, result.scorecard)
+    sinks.write_report(reports.envelope(rows, source="tables"), out)
+    return spark.read.json(out).select(
+        "source",
+        "section",
+        "name",
+        F.coalesce(F.get_json_object("body", "$.defect_count").cast("bigint"), F.lit(-1)).alias("defect_count"),
+        F.coalesce(F.get_json_object("body", "$.recall").cast("double"), F.lit(-1.0)).alias("recall"),
+    )
+
+
+def manifest_integrity_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest with one problem of each kind, made of the true counts."""
+    truth = messy(spark, sf_dir, "truth").where("record_key is not null")
+    by = {c: F.col("category") == c for c in fixed.MANIFEST_RECORDS}
+    counts = {c: F.count_if(is_it) for c, is_it in by.items()}
+    keys = {c: F.collect_list(F.when(is_it, F.col("record_key"))) for c, is_it in by.items()}
+    parts, pairs, emails, states, dates = (
+        fixed.PART_NUMBERS, fixed.NEAR_DUPLICATES, fixed.INVALID_EMAILS, fixed.STATE_VARIANTS,
+        fixed.IMPOSSIBLE_DATES,
+    )
+    named = lambda c, value: value.alias(fixed.MANIFEST_COUNTS[c][1])
+    listed = lambda c, value: value.alias(fixed.MANIFEST_RECORDS[c])
+    document = F.struct(
+        F.lit(2).alias("manifest_version"),
+        F.struct(
+            F.struct(named(parts, counts[parts])).alias("parts"),
+            F.struct(named(emails, counts[emails] + 1)).alias("suppliers"),
+            F.struct(named(states, counts[states]), named(dates, counts[dates])).alias("change_orders"),
+        ).alias("defects"),
+        F.struct(
+            listed(parts, keys[parts]), listed(pairs, keys[pairs]), listed(emails, keys[emails]),
+            listed(dates, counts[dates]),
+        ).alias("defect_records"),
+    )
+    documents = manifests.manifest_documents(truth.agg(F.to_json(document).alias("value")))
+    found = manifests.manifest_integrity(documents, ALL_CATEGORIES)
+    shown = {c: F.coalesce(c, F.lit(-1)) for c in ("expected", "listed")}
+    return found.drop("position").withColumns(shown)
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.read_manifest(spark, as_manifests(messy(spark, sf_dir, "truth")))
 
@@ -138,13 +242,7 @@ def manifest_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- files ----------------------------------------------------------------------
 
-V1_FILE = {
-    "part_number": "partNo",
-    "name": "partName",
-    "category": "cat",
-    "uom": "measure",
-    "status": "partStatus",
-}
+V1_FILE = {column: header for header, column in fixed.PART_HEADERS_V1.items()}
 V2_FILE = {
     "part_number": "part_number",
     "name": "name",
@@ -171,6 +269,48 @@ def suppliers_cp1252_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_files.read_suppliers(spark, as_csv(suppliers, headers, windows=True))
 
 
+def csv_clean_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalized parts, written with the sink and read back."""
+    cleaned, _ = pipelines.normalize("parts", messy(spark, sf_dir, "parts_messy"))
+    out = scratch_path(spark, "clean")
+    sinks.write_clean_csv(cleaned, out)
+    return csv_files.read_parts(spark, out)
+
+
+def lines_with_rejects(spark: SparkSession, sf_dir: str) -> str:
+    """Supplier lines, every seventh with a comma too many in an unquoted name."""
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    extra = F.when(F.col("s_suppkey") % 7 == 0, ",more, cells").otherwise("")
+    line = F.concat("s_name", F.lit(","), F.col("s_suppkey").cast("string"), extra)
+    return as_lines(suppliers.select(line.alias("value")).repartition(3), "name,code")
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_files.csv_rejects(spark, lines_with_rejects(spark, sf_dir)).select("record")
+
+
+def csv_rows_beside_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_files.read_suppliers(spark, lines_with_rejects(spark, sf_dir), bad_rows="skip")
+
+
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with line breaks and quotes inside quoted cells."""
+    suppliers = messy(spark, sf_dir, "suppliers_messy")
+    broken = F.when(F.col("s_suppkey") % 3 == 0, F.concat("name", F.lit('\n"next" line')))
+    suppliers = suppliers.withColumn("name", F.coalesce(broken, "name"))
+    headers = {"name": "Supplier", "supplier_code": "code", "contact_email": "email"}
+    return csv_files.read_suppliers(spark, as_csv(suppliers, headers))
+
+
+def normalize_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers from files that are not sorted by code: the first name in a file leads."""
+    suppliers = messy(spark, sf_dir, "suppliers_messy").orderBy(F.desc("s_suppkey"))
+    headers = {"supplier_code": "code", "name": "name", "contact_email": "email"}
+    read = csv_files.read_suppliers(spark, as_csv(suppliers, headers), positions=True)
+    cleaned, _ = pipelines.normalize("suppliers", read, order_col=csv_files.POSITION)
+    return cleaned.drop(csv_files.POSITION)
+
+
 def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workbooks.change_orders(as_workbooks(messy(spark, sf_dir, "change_orders_messy")))
 
@@ -194,7 +334,7 @@ def stream_part_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream.createOrReplaceTempView("part")
     from checks.fixtures import PARTS
 
-    defects = live.part_defects(spark.sql(PARTS))
+    defects = d.non_standard_part_numbers(spark.sql(PARTS))
     out, progress = scratch_path(spark, "stream"), scratch_path(spark, "progress")
     query = (
         defects.writeStream.format("parquet")
@@ -254,6 +394,23 @@ def queries() -> dict[str, Query]:
         "report_previews": lambda s, sf: reports.previews(row_defects(s, sf)),
         "detection_total": lambda s, sf: reports.summary(checks_table(s, sf)),
         "stream_part_defects": stream_part_defects,
+        "csv_clean_sink": csv_clean_sink,
+        "csv_rejects": csv_rejects,
+        "csv_rows_beside_rejects": csv_rows_beside_rejects,
+        "csv_line_breaks": csv_line_breaks,
+        "impossible_dates_formats": impossible_dates_formats,
+        "unparsed_dates": unparsed_dates,
+        "normalize_file_order": normalize_file_order,
+        "numbered_name_groups": lambda s, sf: grouping.name_groups(
+            messy(s, sf, "numbered")
+        ).select("canonical", "variant", "score"),
+        "scorecard_repeated_codes": lambda s, sf: pair_scorecard(s, sf, "repeated"),
+        "scorecard_arrow_codes": lambda s, sf: pair_scorecard(s, sf, "arrows"),
+        "validation_scorecard": validation_scorecard,
+        "validation_keys": validation_keys,
+        "report_sections": lambda s, sf: full_report(s, sf).details,
+        "report_json": report_json,
+        "manifest_integrity_problems": manifest_integrity_problems,
     }
     if llm:
         found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}

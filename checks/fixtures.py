@@ -78,25 +78,61 @@ union all select '{fixed.NEAR_DUPLICATES}', x.supplier_code || '->' || y.supplie
     on x.s_suppkey - x.s_suppkey % 4 = y.s_suppkey - y.s_suppkey % 4
    and y.s_suppkey < x.s_suppkey"""
 
+# The same names under codes that repeat, and under codes with an arrow in them.
+REPEATED = f"""
+select s_suppkey, 'SUP-' || {padded("s_suppkey % 30", 4)} as supplier_code, name, contact_email
+from suppliers_messy"""
+ARROWS = """
+select s_suppkey, case s_suppkey % 5 when 0 then 'A->B' when 1 then 'A' when 2 then 'B->C'
+  else 'C' end || case when s_suppkey % 2 = 0 then '' else '->' || cast(s_suppkey % 7 as string) end
+  as supplier_code, name, contact_email
+from suppliers_messy"""
+# Plain numbered names, nearly all of them alike.
+NUMBERED = f"""
+select s_suppkey, 'SUP-' || {padded("s_suppkey", 4)} as supplier_code, s_name as name from supplier"""
+
+
+def pair_truth(table: str) -> str:
+    return f"""
+select distinct '{fixed.NEAR_DUPLICATES}' as category,
+  greatest(x.supplier_code, y.supplier_code) || '->' || least(x.supplier_code, y.supplier_code) as record_key
+from {table} x join {table} y on x.s_suppkey - x.s_suppkey % 4 = y.s_suppkey - y.s_suppkey % 4
+ and y.s_suppkey < x.s_suppkey"""
+
+
 MESSY = {
     "parts_messy": PARTS,
     "suppliers_messy": SUPPLIERS,
     "change_orders_messy": CHANGE_ORDERS,
     "truth": TRUTH,
+    "suppliers_repeated": REPEATED,
+    "truth_repeated": pair_truth("suppliers_repeated"),
+    "suppliers_arrows": ARROWS,
+    "truth_arrows": pair_truth("suppliers_arrows"),
+    "numbered": NUMBERED,
 }
 
 SOURCES = {
     "parts_messy": ["part"],
     "suppliers_messy": ["supplier", "part"],
     "change_orders_messy": ["orders", "lineitem"],
+    "numbered": ["supplier"],
+}
+
+# Derived tables that others are made of.
+DERIVED = {
+    "truth": ["parts_messy", "suppliers_messy", "change_orders_messy"],
+    "suppliers_repeated": ["suppliers_messy"],
+    "truth_repeated": ["suppliers_repeated"],
+    "suppliers_arrows": ["suppliers_messy"],
+    "truth_arrows": ["suppliers_arrows"],
 }
 
 
 def messy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the derived tables, lazily."""
-    if name == "truth":
-        for other in SOURCES:
-            messy(spark, sf_dir, other).createOrReplaceTempView(other)
+    for other in DERIVED.get(name, []):
+        messy(spark, sf_dir, other).createOrReplaceTempView(other)
     for table in SOURCES.get(name, []):
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(MESSY[name])
@@ -129,6 +165,22 @@ def as_csv(df: DataFrame, headers: dict[str, str], windows: bool = False) -> str
     return path
 
 
+def as_lines(lines: DataFrame, header: str) -> str:
+    """Write text files of ready CSV lines (column ``value``), each with the header; the folder."""
+    path = scratch_path(lines.sparkSession, "lines")
+
+    def headed(batches):
+        first = True
+        for batch in batches:
+            if first and len(batch):
+                yield pd.DataFrame({"value": [header]})
+                first = False
+            yield batch
+
+    lines.mapInPandas(headed, "value string").write.text(path)
+    return path
+
+
 ORDERS_PER_WORKBOOK = 5000
 
 

@@ -21,9 +21,7 @@ BAD_EMAIL = f"""contact_email is not null and {EMAIL} not in ('', 'nan', 'None')
   and (position('@' in {EMAIL}) = 0 or {EMAIL} like '%.invalid' or position(' ' in {EMAIL}) > 0)"""
 
 VOCABULARY = "vocabulary(variant, canonical) as (values " + ", ".join(
-    f"('{variant}', '{canonical}')"
-    for canonical, variants in fixed.STATE_VOCABULARY.items()
-    for variant in [canonical, *variants]
+    f"('{variant}', '{canonical}')" for variant, canonical in fixed.STATE_VOCABULARY
 ) + ")"
 
 # Longest common subsequence by the textbook dynamic program: one row of the
@@ -136,6 +134,69 @@ SCORES = """select category, expected, detected, matched, false_positives, false
   'row_keys' as validation_mode from rated"""
 
 
+def pair_scores(suppliers: str, truth: str) -> str:
+    """The rates of pair keys of any two rows, for codes that repeat or hold arrows."""
+    return f"""{MATCHES.replace("suppliers_messy", suppliers)},
+rows_of as (select r.s_suppkey, r.supplier_code, n.key from {suppliers} r join named n on n.name = r.name
+  where n.key <> ''),
+detected as (select distinct '{fixed.NEAR_DUPLICATES}' as category,
+    greatest(x.supplier_code, y.supplier_code) || '->' || least(x.supplier_code, y.supplier_code)
+    as record_key
+  from rows_of x join alike s on s.ka = x.key join rows_of y on y.key = s.kb
+  where x.s_suppkey <> y.s_suppkey),
+run(category) as (values ('{fixed.NEAR_DUPLICATES}')),
+{SIDES.replace("from truth", f"from {truth}")}, {RATED}"""
+
+
+def in_order(first_seen: str, table: str = "suppliers_messy") -> str:
+    """The groups with names visited in another order, or of another table."""
+    return GROUPS.replace("min(supplier_code) as first_seen", f"{first_seen} as first_seen").replace(
+        "suppliers_messy", table
+    )
+
+
+ROUNDED = """select category, expected, detected, matched, false_positives, false_negatives,
+  round_even(recall, 4) as recall, round_even(precision, 4) as precision, round_even(f1, 4) as f1,
+  case when round_even(recall, 4) >= 0.9 then 'green' when round_even(recall, 4) >= 0.7 then 'yellow'
+    else 'red' end as health,
+  printf('%.1f%%', round_even(round_even(recall, 4) * 100, 1)) as recall_percent from
+  (select *, case when precision + recall = 0 then 0.0::double
+    else 2 * precision * recall / (precision + recall) end as f1 from rated)"""
+
+CHECK_OF = f"""case category when '{fixed.PART_NUMBERS}' then 'part_number_eras'
+  when '{fixed.INVALID_EMAILS}' then 'invalid_emails'
+  when '{fixed.STATE_VARIANTS}' then 'state_variants' else 'impossible_dates' end"""
+
+SECTIONS = f"""select 'part_number_eras' as "check", 'eras' as field, {ERA} as item,
+    cast(null as varchar) as parent, cast(count(*) as double) as amount from parts_messy group by 3
+  union all select 'part_number_eras', 'unknown', part_number, null, count(*) from parts_messy
+    where {ERA} = 'unknown' group by part_number
+  union all select 'invalid_emails', 'examples', contact_email, null, null from
+    (select * from suppliers_messy where {BAD_EMAIL} order by supplier_code limit 10)
+  union all select 'state_variants', 'counts', value, null, count(*) from ({STATE_DEFECTS}) group by value
+  union all select distinct 'state_variants', 'unknown', state, null, null from change_orders_messy
+    where state is not null and state not in (select variant from vocabulary)
+  union all select 'impossible_dates', 'unparsed', c, null, 0 from (values ('opened_at'), ('closed_at')) v(c)
+  union all select 'near_duplicate_groups', 'groups', canonical, null, count(*) from groups group by canonical
+  union all select 'near_duplicate_groups', 'variants', variant, canonical, score from groups
+  union all select {CHECK_OF}, 'record_keys', record_key, null, null from detected
+    where record_key is not null"""
+
+INTEGRITY = f"""with_counts as (select category, count(*) as n from truth where record_key is not null
+    group by category)
+  select category,
+    case when category = '{fixed.NEAR_DUPLICATES}' then -1
+      when category = '{fixed.INVALID_EMAILS}' then n + 1 else n end as expected,
+    case when category in ('{fixed.STATE_VARIANTS}', '{fixed.IMPOSSIBLE_DATES}') then -1 else n end as listed,
+    case category when '{fixed.NEAR_DUPLICATES}' then 'no summary count for {fixed.NEAR_DUPLICATES}'
+      when '{fixed.INVALID_EMAILS}' then 'summary count and listed keys disagree for {fixed.INVALID_EMAILS}'
+      when '{fixed.STATE_VARIANTS}'
+        then 'there is no defect_records.{fixed.MANIFEST_RECORDS[fixed.STATE_VARIANTS]}'
+      when '{fixed.IMPOSSIBLE_DATES}'
+        then 'defect_records.{fixed.MANIFEST_RECORDS[fixed.IMPOSSIBLE_DATES]} must be a list'
+      end as problem
+  from with_counts"""
+
 def _with(tables: str, query: str) -> str:
     return with_messy(f", {tables} {query}")
 
@@ -277,4 +338,55 @@ ORACLES = {
         + (select count(distinct canonical) from groups) as varchar) as value""",
     ),
     "stream_part_defects": with_messy(PART_DEFECTS),
+    "csv_clean_sink": with_messy(
+        f"select {NORMALIZED} as part_number, name, category, uom, status from parts_messy"
+    ),
+    "csv_rejects": """select s_name || ',' || s_suppkey || ',' || 'more, cells' as record
+        from supplier where s_suppkey % 7 = 0""",
+    "csv_rows_beside_rejects": """select cast(s_suppkey as varchar) as supplier_code, s_name as name,
+        cast(null as varchar) as country, cast(null as varchar) as contact_email,
+        cast(null as varchar) as active from supplier where s_suppkey % 7 <> 0""",
+    "csv_line_breaks": with_messy(
+        """select supplier_code, name || case when s_suppkey % 3 = 0 then chr(10) || '"next" line'
+        else '' end as name, cast(null as varchar) as country, contact_email,
+        cast(null as varchar) as active from suppliers_messy"""
+    ),
+    "impossible_dates_formats": with_messy(
+        """select co_number as record_key from change_orders_messy
+        where closed_at < opened_at and o_orderkey % 7 not in (5, 6)"""
+    ),
+    "unparsed_dates": with_messy(
+        """select 'closed_at' as "column", count(*) as n from change_orders_messy
+          where closed_at is not null and o_orderkey % 7 in (5, 6)
+        union all select 'opened_at', 0"""
+    ),
+    "normalize_file_order": _with(
+        in_order("min(-s_suppkey)"),
+        """select supplier_code, coalesce(canonical, name) as name, cast(null as varchar) as country,
+        contact_email, cast(null as varchar) as active
+        from suppliers_messy left join mapping on name = variant""",
+    ),
+    "numbered_name_groups": _with(
+        in_order("min(supplier_code)", "numbered"), "select canonical, variant, score from groups"
+    ),
+    "scorecard_repeated_codes": _with(pair_scores("suppliers_repeated", "truth_repeated"), SCORES),
+    "scorecard_arrow_codes": _with(pair_scores("suppliers_arrows", "truth_arrows"), SCORES),
+    "validation_scorecard": _with(f"{FIVE}, {ALL_DETECTED}, {SIDES}, {RATED}", ROUNDED),
+    "validation_keys": _with(
+        f"{FIVE}, {ALL_DETECTED}, {SIDES}",
+        """select category, record_key, case when in_d then 'false_positive' else 'false_negative' end
+        as outcome from sides where in_d <> in_t""",
+    ),
+    "report_sections": _with(f"{GROUPS}, {DETECTED}", SECTIONS),
+    "report_json": _with(
+        f"{FIVE}, {GROUPS}, {ALL_DETECTED.replace(MATCHES + ',', '', 1)}, {SIDES}, {RATED}",
+        f"""select 'tables' as source, 'detection' as section, {CHECK_OF} as name,
+          count(*) as defect_count, -1.0::double as recall from single group by category
+        union all select 'tables', 'detection', 'near_duplicate_groups', count(distinct canonical), -1
+          from groups
+        union all select 'tables', 'validation', category, -1, round_even(recall, 4) from rated""",
+    ),
+    "manifest_integrity_problems": _with(INTEGRITY.split("\n  select category,")[0],
+        "select category," + INTEGRITY.split("\n  select category,")[1]
+    ),
 }

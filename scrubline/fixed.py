@@ -59,14 +59,21 @@ LEGACY_ERA = r"^P\d+$"
 
 MISSING_EMAILS = ["", "nan", "None"]
 
-# canonical state -> other spellings of it
-STATE_VOCABULARY = {
-    "open": ["OPEN"],
-    "in-review": ["in_review", "In-Work"],
-    "approved": ["Approved", "APPROVED"],
-    "closed": ["CLOSED"],
-    "rejected": ["REJECTED"],
-}
+# (spelling, canonical state)
+STATE_VOCABULARY = [
+    ("open", "open"),
+    ("OPEN", "open"),
+    ("in-review", "in-review"),
+    ("in_review", "in-review"),
+    ("In-Work", "in-review"),
+    ("approved", "approved"),
+    ("Approved", "approved"),
+    ("APPROVED", "approved"),
+    ("closed", "closed"),
+    ("CLOSED", "closed"),
+    ("rejected", "rejected"),
+    ("REJECTED", "rejected"),
+]
 
 SIMILARITY_THRESHOLD = 85
 

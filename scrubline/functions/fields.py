@@ -26,9 +26,10 @@ def normalized_part_number(part_number: Column) -> Column:
     Works on the digits as text, so long numbers neither overflow nor get cut.
     """
     text = strip(part_number)
-    digits = F.ltrim(F.regexp_extract(text, r"^(?:2019-PN-|P)(\d+)$", 1), F.lit("0"))
-    padded = F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0"))
     older = text.rlike(ERA_2019) | text.rlike(LEGACY_ERA)
+    # What the eras put after their last letter or dash.
+    digits = F.ltrim(F.regexp_extract(text, r"(\d+)$", 1), F.lit("0"))
+    padded = F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0"))
     return F.when(older, F.concat(F.lit("PN-"), padded)).otherwise(text)
 
 
@@ -42,10 +43,35 @@ def invalid_email(email: Column) -> Column:
     return F.coalesce(malformed & ~text.isin(MISSING_EMAILS), F.lit(False))
 
 
+# Tried in this order for text that is not in ISO form; month before day.
+DATE_FORMATS = [
+    "M/d/yyyy",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss",
+    "yyyy/M/d",
+    "yyyy/M/d H:mm:ss",
+    "yyyyMMdd",
+    "d MMM yyyy",
+    "d MMM yyyy H:mm:ss",
+    "d-MMM-yyyy",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "d MMMM yyyy",
+]
+
+
 def lenient_timestamp(value: Column, formats: list[str] | None = None) -> Column:
-    """Timestamp, or NULL where the value does not parse; formats tried in order."""
-    attempts = [F.try_to_timestamp(value.cast("string"), F.lit(f)) for f in formats or []]
-    return F.coalesce(*attempts, F.try_to_timestamp(value.cast("string")))
+    """Timestamp, or NULL where the value does not parse.
+
+    ISO text first, then the formats in order. A time without a date is no
+    timestamp, so no result depends on the day of the run.
+    """
+    text = strip(value.cast("string"))
+    iso = F.when(text.rlike(r"^\d{4}(-|$)"), F.try_to_timestamp(text))
+    given = DATE_FORMATS if formats is None else formats
+    # Most text is in ISO form, so the formats are tried on the rest only.
+    others = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in given]) if given else F.lit(None)
+    return F.coalesce(iso, F.when(text.rlike(r"\d{1,2}.*\d"), others))
 
 
 def closed_before_opened(opened: Column, closed: Column) -> Column:

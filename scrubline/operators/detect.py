@@ -101,11 +101,10 @@ def invalid_email_examples(
 def state_vocabulary(spark: SparkSession) -> DataFrame:
     """(variant, canonical) for every known spelling, the canonical ones included."""
     rows = [
-        (variant, canonical)
-        for canonical, variants in fixed.STATE_VOCABULARY.items()
-        for variant in [canonical, *variants]
+        F.struct(F.lit(variant).alias("variant"), F.lit(canonical).alias("canonical"))
+        for variant, canonical in fixed.STATE_VOCABULARY
     ]
-    return spark.createDataFrame(rows, "variant string, canonical string")
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _with_canonical_state(df: DataFrame, col: str, how: str) -> DataFrame:
@@ -160,6 +159,23 @@ def impossible_dates(
     )
 
 
+def unparsed_dates(
+    df: DataFrame, columns: tuple[str, ...] = ("opened_at", "closed_at"), formats: list[str] | None = None
+) -> DataFrame:
+    """(column, n): values that hold text but no date, which the date check skips."""
+    counts = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count_if(F.col(c).isNotNull() & _as_timestamp(df, c, formats).isNull()).alias("n"),
+        )
+        for c in columns
+        if c in df.columns
+    ]
+    if not counts:
+        return df.sparkSession.createDataFrame([], "column string, n bigint")
+    return df.agg(F.array(*counts).alias("found")).select(F.inline("found"))
+
+
 def _as_timestamp(df: DataFrame, col: str, formats: list[str] | None) -> Column:
     # Typed columns are compared as they are, so the scan can still use them.
     if df.schema[col].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):

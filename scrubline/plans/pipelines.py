@@ -19,16 +19,45 @@ from scrubline.plans import reports
 from scrubline.sources import manifests
 from scrubline.workspace import written
 
-Detector = Callable[[DataFrame], DataFrame]
+Options = dict[str, object]
 
 
-# Checks that look at rows one by one, per entity: the categories they yield, and
-# a function that finds all of them in one pass. Extend it to add a check.
-DETECTORS: dict[str, tuple[list[str], Detector]] = {
-    "parts": ([fixed.PART_NUMBERS], d.non_standard_part_numbers),
-    "suppliers": ([fixed.INVALID_EMAILS], d.invalid_emails),
-    "change_orders": ([fixed.STATE_VARIANTS, fixed.IMPOSSIBLE_DATES], d.change_order_defects),
-}
+@dataclass(frozen=True)
+class Check:
+    """Something to look for in one kind of source.
+
+    ``find`` yields defect rows of the categories in one pass; ``index`` yields a
+    duplicate index instead, for pairs that are not listed by default.
+    """
+
+    entity: str
+    categories: list[str]
+    find: Callable[[DataFrame, Options], DataFrame] | None = None
+    index: Callable[[DataFrame, Options], similarity.DuplicateIndex] | None = None
+
+
+def _duplicates(df: DataFrame, options: Options) -> similarity.DuplicateIndex:
+    return options.get("duplicates") or similarity.duplicate_index(df)
+
+
+# The checks of each source, in the order they are reported. Add to it with ``register``.
+CHECKS: list[Check] = [
+    Check("parts", [fixed.PART_NUMBERS], lambda df, _: d.non_standard_part_numbers(df)),
+    Check("suppliers", [fixed.NEAR_DUPLICATES], index=_duplicates),
+    Check("suppliers", [fixed.INVALID_EMAILS], lambda df, _: d.invalid_emails(df)),
+    Check(
+        "change_orders",
+        [fixed.STATE_VARIANTS, fixed.IMPOSSIBLE_DATES],
+        lambda df, options: d.change_order_defects(df, formats=options.get("formats")),
+    ),
+]
+
+
+def register(check: Check) -> None:
+    """Add a check; ``detect`` then runs it on the sources of its entity."""
+    if (check.find is None) == (check.index is None):
+        raise ValueError("a check has either find or index")
+    CHECKS.append(check)
 
 
 @dataclass
@@ -55,31 +84,52 @@ class Detection:
         return self.defects.unionByName(pairs)
 
 
-def detect(**sources: DataFrame | None) -> Detection:
-    """Run the detectors of each source given: ``parts``, ``suppliers``, ``change_orders``."""
+def detect(
+    formats: list[str] | None = None,
+    duplicates: similarity.DuplicateIndex | None = None,
+    **sources: DataFrame | None,
+) -> Detection:
+    """Run the checks of each source given: ``parts``, ``suppliers``, ``change_orders``.
+
+    ``formats`` are those of dates that are not in ISO form. ``duplicates`` is the
+    index of the suppliers, where it is known already.
+    """
+    entities = list(dict.fromkeys(check.entity for check in CHECKS))
     given = {entity: df for entity, df in sources.items() if df is not None}
     if not given:
-        raise ValueError("provide at least one of: " + ", ".join(DETECTORS))
-    tables, categories, duplicates = [], [], None
+        raise ValueError("provide at least one of: " + ", ".join(entities))
+    for entity in given:
+        if entity not in entities:
+            raise ValueError(f"no check looks at {entity}; there are: " + ", ".join(entities))
+    options: Options = {"formats": formats, "duplicates": duplicates}
+    tables, categories, index = [], [], None
     for entity, df in given.items():
-        if entity == "suppliers":
-            duplicates = similarity.duplicate_index(df)
-            categories.append(fixed.NEAR_DUPLICATES)
-        found, detector = DETECTORS[entity]
-        tables.append(detector(df))
-        categories.extend(found)
-    table = tables[0]
+        for check in CHECKS:
+            if check.entity != entity:
+                continue
+            categories.extend(check.categories)
+            if check.index is not None:
+                index = check.index(df, options)
+            else:
+                tables.append(check.find(df, options))
+    table = tables[0] if tables else d.no_defects(next(iter(given.values())).sparkSession)
     for more in tables[1:]:
         table = table.unionByName(more)
-    return Detection(table, categories, duplicates)
+    return Detection(table, categories, index)
+
 
+def normalize(
+    entity: str, df: DataFrame, order_col: str = "supplier_code"
+) -> tuple[DataFrame, DataFrame | None]:
+    """Cleaned rows, and for suppliers the name mapping that was applied.
 
-def normalize(entity: str, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Cleaned rows, and for suppliers the name mapping that was applied."""
+    The first name in the order of ``order_col`` is the canonical one; with rows
+    read with ``positions``, ``source`` is the order of the files.
+    """
     if entity == "parts":
         return n.normalize_parts(df), None
     if entity == "suppliers":
-        return n.normalize_suppliers(df)
+        return n.normalize_suppliers(df, order_col=order_col)
     if entity == "change_orders":
         return n.normalize_states(df), None
     raise ValueError(f"unknown entity {entity}")
@@ -102,6 +152,41 @@ def validate(manifest: DataFrame, detection: Detection) -> DataFrame:
     return score(detection, manifests.truth_keys(manifest))
 
 
+@dataclass
+class Validation:
+    """Scores with the keys behind them.
+
+    ``false_positives`` holds those of row checks; duplicates that the truth does
+    not name may be as many as all pairs, so they are listed on request.
+    """
+
+    scorecard: DataFrame
+    false_positives: DataFrame
+    false_negatives: DataFrame
+    pairs: similarity.DuplicateIndex | None
+    truth: DataFrame
+
+    def pair_false_positives(self) -> DataFrame | None:
+        return None if self.pairs is None else scoring.unwanted_pairs(self.pairs, self.truth)
+
+
+def validation(manifest: DataFrame, detection: Detection) -> Validation:
+    """Scores against a manifest, which is checked first, and the keys that disagree."""
+    manifests.check_manifest(manifest, detection.categories)
+    # The manifest is parsed once; scores and keys read the stored truth.
+    truth = written(manifests.truth_keys(manifest), "truth")
+    by_row = [c for c in detection.categories if c != fixed.NEAR_DUPLICATES]
+    outcomes = written(scoring.outcomes(detection.defects, truth, by_row), "outcomes")
+    counts = scoring.category_counts(outcomes, by_row)
+    missed = scoring.false_negatives(outcomes)
+    if detection.duplicates is not None:
+        counts = counts.unionByName(scoring.pair_counts(detection.duplicates, truth))
+        missed = missed.unionByName(scoring.missed_pairs(detection.duplicates, truth))
+    scores = scoring.scorecard_of(counts)
+    extra = scoring.false_positives(outcomes)
+    return Validation(scores, extra, missed, detection.duplicates, truth)
+
+
 @dataclass
 class Report:
     """Everything a full run yields."""
@@ -110,6 +195,8 @@ class Report:
     groups: DataFrame | None
     summary: DataFrame
     scorecard: DataFrame | None
+    details: DataFrame
+    validation: Validation | None
 
 
 def report(
@@ -117,18 +204,27 @@ def report(
     suppliers: DataFrame | None = None,
     change_orders: DataFrame | None = None,
     manifest: DataFrame | None = None,
+    formats: list[str] | None = None,
+    order_col: str | None = None,
 ) -> Report:
     """Run all checks over the sources given, and score them if there is a manifest.
 
-    Suppliers are stored once, because groups, pairs and emails all read them;
-    defects are stored once, because checks and scores do.
+    Suppliers are stored once, because groups, pairs and emails all read them, and
+    their names are joined once, for pairs and groups alike; defects are stored
+    once, because checks, details and scores read them.
     """
+    groups = duplicates = None
     if suppliers is not None:
         suppliers = written(suppliers, "suppliers")
-    detection = detect(parts=parts, suppliers=suppliers, change_orders=change_orders)
+        if {"supplier_code", "name"} <= set(suppliers.columns):
+            duplicates, groups = grouping.index_and_groups(suppliers, order_col=order_col)
+            groups = written(groups, "groups")
+    detection = detect(
+        formats, duplicates, parts=parts, suppliers=suppliers, change_orders=change_orders
+    )
     detection.defects = written(detection.defects, "defects")
-    groups = grouping.name_groups(suppliers) if suppliers is not None else None
-    groups = None if groups is None else written(groups, "groups")
     checks = reports.check_rows(detection.defects, detection.categories, groups)
-    scores = None if manifest is None else validate(manifest, detection)
-    return Report(checks, groups, reports.summary(checks, scores), scores)
+    details = reports.details(parts, change_orders, suppliers, groups, detection.defects, formats)
+    checked = None if manifest is None else validation(manifest, detection)
+    scores = None if checked is None else checked.scorecard
+    return Report(checks, groups, reports.summary(checks, scores), scores, details, checked)

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from scrubline import fixed
 from scrubline.functions import rates
+from scrubline.operators import detect as d
 
 PREVIEW_ITEMS = 3
 PREVIEW_LENGTH = 120
@@ -45,10 +46,13 @@ def check_rows(
 ) -> DataFrame:
     """(check, defect_count, details), one row per check that ran."""
     spark = defect_table.sparkSession
-    run = spark.createDataFrame(
-        [(c, CHECK_NAMES[c]) for c in categories if c in CHECK_NAMES],
-        "category string, check string",
-    )
+    listed = [
+        F.struct(F.lit(c).alias("category"), F.lit(CHECK_NAMES[c]).alias("check"))
+        for c in categories
+        if c in CHECK_NAMES
+    ]
+    kind = "array<struct<category: string, check: string>>"
+    run = spark.range(1).select(F.inline(F.array(*listed).cast(kind)))
     counted = defect_table.groupBy("category").agg(F.count("*").alias("n"))
     rows = (
         run.join(counted, "category", "left")
@@ -67,6 +71,68 @@ def check_rows(
     return rows.unionByName(grouped)
 
 
+def details(
+    parts: DataFrame | None = None,
+    change_orders: DataFrame | None = None,
+    suppliers: DataFrame | None = None,
+    groups: DataFrame | None = None,
+    defect_table: DataFrame | None = None,
+    formats: list[str] | None = None,
+) -> DataFrame:
+    """(check, field, item, parent, amount): what stands behind the counts of the checks.
+
+    Long on purpose: lists of values, keys and group members may be as long as the
+    sources, and no row holds more than one of them.
+    """
+
+    def rows(check: str, field: str, df: DataFrame, item: str, amount: str = "", parent: str = "") -> DataFrame:
+        cell = lambda c, kind: (F.col(c) if c else F.lit(None)).cast(kind)
+        return df.select(
+            F.lit(check).alias("check"),
+            F.lit(field).alias("field"),
+            cell(item, "string").alias("item"),
+            cell(parent, "string").alias("parent"),
+            cell(amount, "double").alias("amount"),
+        )
+
+    tables = []
+    if parts is not None:
+        check = CHECK_NAMES[fixed.PART_NUMBERS]
+        unknown = d.unknown_part_numbers(parts).groupBy("part_number").agg(F.count("*").alias("n"))
+        tables += [
+            rows(check, "eras", d.era_distribution(parts), "era", "n"),
+            rows(check, "unknown", unknown, "part_number", "n"),
+        ]
+    if suppliers is not None:
+        tables.append(
+            rows(CHECK_NAMES[fixed.INVALID_EMAILS], "examples", d.invalid_email_examples(suppliers), "contact_email")
+        )
+    if change_orders is not None:
+        states, dates = CHECK_NAMES[fixed.STATE_VARIANTS], CHECK_NAMES[fixed.IMPOSSIBLE_DATES]
+        unparsed = d.unparsed_dates(change_orders, formats=formats)
+        tables += [
+            rows(states, "counts", d.state_variant_counts(change_orders), "state", "n"),
+            rows(states, "unknown", d.unknown_states(change_orders), "state"),
+            rows(dates, "unparsed", unparsed, "column", "n"),
+        ]
+    if groups is not None:
+        sizes = groups.groupBy("canonical").agg(F.count("*").alias("n"))
+        tables += [
+            rows(GROUPS_CHECK, "groups", sizes, "canonical", "n"),
+            rows(GROUPS_CHECK, "variants", groups, "variant", "score", "canonical"),
+        ]
+    if defect_table is not None:
+        keyed = defect_table.where(F.col("record_key").isNotNull())
+        for category, check in CHECK_NAMES.items():
+            tables.append(rows(check, "record_keys", keyed.where(F.col("category") == category), "record_key"))
+    if not tables:
+        raise ValueError("there is nothing to report on")
+    result = tables[0]
+    for more in tables[1:]:
+        result = result.unionByName(more)
+    return result
+
+
 def summary(checks: DataFrame, scores: DataFrame | None = None) -> DataFrame:
     """(metric, value): the overall scores if there are any, else the defect total."""
     if scores is None:

@@ -1,8 +1,9 @@
 """Change-order workbooks: a banner row, then headers, then data.
 
 Many workbooks are read at a time as binary files and unpacked in tasks, one
-workbook after another, so a task never holds more than one of them. Spark has
-no spreadsheet reader; everything after the unpacking is ordinary columns.
+workbook after another; a task holds the packed files of one Arrow batch, whose
+bytes Spark bounds. Spark has no spreadsheet reader; everything after the
+unpacking is ordinary columns.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from scrubline import fixed
 from scrubline.functions.text import clean_cell, null_tokens
+from scrubline.workspace import written
 
 HEADER_ROW = 2
 BATCH_ROWS = 5000
@@ -43,9 +45,11 @@ def change_orders(files: DataFrame, tokens: list[str] | None = None) -> DataFram
     Known headers get their canonical name, others pass through. Dates come out
     as ISO text; blank cells and cells that mean "no value" as NULL.
     """
-    found = files.mapInPandas(_headers, "position int, name string")
+    # Every workbook is unpacked once; header and rows are read from the stored sheets.
+    sheets = written(files.mapInPandas(_sheets, "names array<string>, cells array<string>"), "sheets")
     # One row per distinct header, whatever the number of workbooks.
-    order = found.groupBy("name").agg(F.min("position").alias("position"))
+    heads = sheets.select("names").distinct().select(F.posexplode("names").alias("position", "name"))
+    order = heads.groupBy("name").agg(F.min("position").alias("position"))
     names = [row.name for row in order.orderBy("position", "name").collect()]
     renamed = [fixed.CHANGE_ORDER_HEADERS.get(name, name) for name in names]
     for name in renamed:
@@ -55,15 +59,11 @@ def change_orders(files: DataFrame, tokens: list[str] | None = None) -> DataFram
         return files.sparkSession.createDataFrame(
             [], ", ".join(f"{c} string" for c in fixed.CHANGE_ORDER_HEADERS.values())
         )
-    columns = [f"c{i}" for i in range(len(names))]
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for content in _contents(batches):
-            yield from _row_batches(content, names, columns)
-
-    cells = files.mapInPandas(rows, ", ".join(f"{c} string" for c in columns))
-    return cells.select(
-        *[clean_cell(null_tokens(F.col(c), tokens)).alias(n) for c, n in zip(columns, renamed)]
+    # A header that a workbook lacks has position 0, so its cells are NULL.
+    cells = [F.get("cells", F.array_position("names", F.lit(n)).cast("int") - 1) for n in names]
+    rows = sheets.where(F.col("cells").isNotNull())
+    return rows.select(
+        *[clean_cell(null_tokens(c, tokens)).alias(n) for c, n in zip(cells, renamed, strict=True)]
     )
 
 
@@ -75,16 +75,6 @@ def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[bytes]:
         yield from batch["content"]
 
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for content in _contents(batches):
-        for number, cells in _sheet_rows(content):
-            if number >= HEADER_ROW:
-                if number == HEADER_ROW:
-                    names = _column_names(cells)
-                    yield pd.DataFrame({"position": range(len(names)), "name": names})
-                break
-
-
 def _column_names(cells: dict[int, str]) -> list[str]:
     """Stripped headers; blank ones are numbered, repeated ones get a suffix."""
     names: list[str] = []
@@ -95,26 +85,38 @@ def _column_names(cells: dict[int, str]) -> list[str]:
     return names
 
 
-def _row_batches(content: bytes, names: list[str], columns: list[str]) -> Iterator[pd.DataFrame]:
-    places: list[int | None] = []
-    waiting: list[list[str | None]] = []
+def _sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The header of each workbook, with its rows one by one; a first row has no cells."""
+    for content in _contents(batches):
+        yield from _sheet_batches(content)
+
+
+def _sheet_batches(content: bytes) -> Iterator[pd.DataFrame]:
+    names: list[str] = []
+    waiting: list[list[str | None] | None] = []
     expected = HEADER_ROW + 1
+
+    def frame(rows: list) -> pd.DataFrame:
+        return pd.DataFrame({"names": [names] * len(rows), "cells": pd.Series(rows, dtype=object)})
+
     for number, cells in _sheet_rows(content):
         if number < HEADER_ROW:
             continue
         if number == HEADER_ROW:
-            own = {name: at for at, name in enumerate(_column_names(cells))}
-            places = [own.get(name) for name in names]
+            names = _column_names(cells)
+            waiting.append(None)
             continue
+        if not names:
+            return
         # Rows the file leaves out are blank rows of the sheet.
         waiting.extend([None] * len(names) for _ in range(number - expected))
-        waiting.append([None if at is None else cells.get(at) for at in places])
+        waiting.append([cells.get(at) for at in range(len(names))])
         expected = number + 1
         while len(waiting) >= BATCH_ROWS:
-            yield pd.DataFrame(waiting[:BATCH_ROWS], columns=columns, dtype=object)
+            yield frame(waiting[:BATCH_ROWS])
             waiting = waiting[BATCH_ROWS:]
     if waiting:
-        yield pd.DataFrame(waiting, columns=columns, dtype=object)
+        yield frame(waiting)
 
 
 def _local(tag: str) -> str:

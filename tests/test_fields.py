@@ -20,9 +20,9 @@ def test_strip_and_fold_agree_with_python_for_every_code_point(spark):
 
 
 def test_token_key(frame):
-    names = ["Vortex  Metals\tInc.", "metals VORTEX inc.", "  Straße ", "", "   ", None]
+    names = ["Quarry  Stone\tLtd.", "stone QUARRY ltd.", "  Straße ", "", "   ", None]
     assert apply(frame, text.token_key, names) == [
-        "inc. metals vortex", "inc. metals vortex", "strasse", "", "", None,
+        "ltd. quarry stone", "ltd. quarry stone", "strasse", "", "", None,
     ]
 
 
@@ -41,22 +41,22 @@ def test_null_tokens(frame):
 
 def test_part_numbers(frame):
     cases = [
-        ("PN-0001", "current", "PN-0001"),
-        ("PN-9999", "current", "PN-9999"),
-        ("2019-PN-1042", "2019", "PN-1042"),
-        ("2019-PN-42", "2019", "PN-0042"),
-        ("2019-PN-1", "2019", "PN-0001"),
-        ("P7", "legacy", "PN-0007"),
-        ("P1234", "legacy", "PN-1234"),
+        ("PN-0420", "current", "PN-0420"),
+        ("PN-7777", "current", "PN-7777"),
+        ("2019-PN-8080", "2019", "PN-8080"),
+        ("2019-PN-55", "2019", "PN-0055"),
+        ("2019-PN-6", "2019", "PN-0006"),
+        ("P9", "legacy", "PN-0009"),
+        ("P5678", "legacy", "PN-5678"),
         ("P00012", "legacy", "PN-0012"),
         ("P0", "legacy", "PN-0000"),
         ("P12345", "legacy", "PN-12345"),
         ("P12345678901234567890", "legacy", "PN-12345678901234567890"),
-        ("\tP7 \n", "legacy", "PN-0007"),
+        ("\tP9 \n", "legacy", "PN-0009"),
         ("  PN-0003 ", "current", "PN-0003"),
         ("PN-1", "unknown", "PN-1"),
         ("PN-12345", "unknown", "PN-12345"),
-        ("BOGUS-123", "unknown", "BOGUS-123"),
+        ("X-31", "unknown", "X-31"),
         ("", "unknown", ""),
         (None, "unknown", None),
     ]
@@ -74,10 +74,10 @@ def test_normalizing_part_numbers_twice_changes_nothing(frame):
 
 def test_invalid_email(frame):
     cases = {
-        "good@example.com": False, "badnodomain": True, "also.invalid": True,
-        "good2@co.uk": False, "spaces in@email.com": True, " padded@example.com ": False,
-        "x@y.invalid": True, "x@y.INVALID": False, "": False, "  ": False, "nan": False,
-        "None": False, None: False, "tab\tin@example.com": False,
+        "desk@mill.example": False, "nobody": True, "mill.invalid": True,
+        "a.b@mill.example.org": False, "front desk@mill.example": True, " x@mill.example ": False,
+        "x@mill.invalid": True, "x@mill.INVALID": False, "": False, "  ": False, "nan": False,
+        "None": False, None: False, "a\tb@mill.example": False,
     }
     assert apply(frame, fields.invalid_email, list(cases)) == list(cases.values())
 
@@ -90,6 +90,19 @@ def test_lenient_timestamp(frame):
     ]
 
 
+def test_dates_as_people_write_them(frame):
+    values = {
+        "3/1/2024": "2024-03-01 00:00:00", "03/01/2024 7:05": "2024-03-01 07:05:00",
+        "1 Mar 2024": "2024-03-01 00:00:00", "March 1, 2024": "2024-03-01 00:00:00",
+        "20240301": "2024-03-01 00:00:00", "2024/3/1": "2024-03-01 00:00:00",
+        " 2024-03-01T09:00:00 ": "2024-03-01 09:00:00", "2024": "2024-01-01 00:00:00",
+        "08:00:00": None, "T08:00": None, "12": None, "1,5": None, "13/13/2024": None, "soon 3 4": None,
+    }
+    parsed = apply(frame, fields.lenient_timestamp, list(values))
+    assert [None if p is None else str(p) for p in parsed] == list(values.values())
+    assert apply(frame, lambda c: fields.lenient_timestamp(c, []), ["3/1/2024"]) == [None]
+
+
 def test_rates(frame):
     rows = frame([(0, 0), (1, 2), (0, 3)], "part long, whole long")
     share = rates.share(F.col("part"), F.col("whole"))

@@ -5,7 +5,7 @@ import pytest
 from scrubline import fixed
 from scrubline.plans import pipelines, reports
 from scrubline.sources import manifests, sinks
-from scrubline.streaming import live
+from scrubline.operators import detect as d
 
 DOCUMENT = {
     "manifest_version": 2,
@@ -29,8 +29,8 @@ def sources(frame):
     return {
         "parts": frame([("PN-0001",), ("P7",), ("2019-PN-3",), ("BOGUS",), (None,)], "part_number string"),
         "suppliers": frame(
-            [("SUP-0001", "Vortex Metals", "a@b.com"), ("SUP-0002", "Apex Components", "bad"),
-             ("SUP-0003", "VORTEX METALS", None)],
+            [("SUP-0001", "Quarry Stone", "a@b.com"), ("SUP-0002", "Mill Components", "bad"),
+             ("SUP-0003", "QUARRY STONE", None)],
             "supplier_code string, name string, contact_email string",
         ),
         "change_orders": frame(
@@ -62,6 +62,22 @@ def test_full_report(spark, sources, manifest, tmp_path):
     assert checks["near_duplicate_groups"] == (1, "")
     assert checks["impossible_dates"] == (1, "record_keys: [CO-2]")
     summary = {r.metric: r.value for r in result.summary.collect()}
+    assert {r.record_key for r in result.validation.false_positives.collect()} == {"BOGUS"}
+    assert {r.record_key for r in result.validation.false_negatives.collect()} == {"CO-9"}
+    assert result.validation.pair_false_positives().count() == 0
+    details = {(r.check, r.field, r.item, r.parent, r.amount) for r in result.details.collect()}
+    assert {
+        ("part_number_eras", "eras", "legacy", None, 1.0),
+        ("part_number_eras", "unknown", "BOGUS", None, 1.0),
+        ("part_number_eras", "unknown", None, None, 1.0),
+        ("invalid_emails", "examples", "bad", None, None),
+        ("state_variants", "counts", "OPEN", None, 1.0),
+        ("state_variants", "unknown", "Open", None, None),
+        ("impossible_dates", "unparsed", "closed_at", None, 0.0),
+        ("near_duplicate_groups", "groups", "Quarry Stone", None, 1.0),
+        ("near_duplicate_groups", "variants", "QUARRY STONE", "Quarry Stone", 100.0),
+        ("impossible_dates", "record_keys", "CO-2", None, None),
+    } <= details
     assert summary["Candidates"] == "7" and summary["Recall"] == "85.7%"
 
     rows = reports.report_rows(result.checks, result.scorecard)
@@ -101,8 +117,8 @@ def test_normalize(sources):
         "PN-0001", "PN-0007", "PN-0003", "BOGUS", None,
     }
     suppliers, mapping = pipelines.normalize("suppliers", sources["suppliers"])
-    assert [tuple(r) for r in mapping.collect()] == [("VORTEX METALS", "Vortex Metals")]
-    assert {r.name for r in suppliers.collect()} == {"Vortex Metals", "Apex Components"}
+    assert [tuple(r) for r in mapping.collect()] == [("QUARRY STONE", "Quarry Stone")]
+    assert {r.name for r in suppliers.collect()} == {"Quarry Stone", "Mill Components"}
     orders, _ = pipelines.normalize("change_orders", sources["change_orders"])
     assert {r.state for r in orders.collect()} == {"open", "Open"}
     with pytest.raises(ValueError):
@@ -116,6 +132,26 @@ def test_some_source_is_needed():
         pipelines.report()
 
 
+def test_a_check_can_be_added(frame, sources, monkeypatch):
+    monkeypatch.setattr(pipelines, "CHECKS", list(pipelines.CHECKS))
+    short = lambda df, _: d.defects("short_number", df, "part_number", d.F.col("part_number"), d.F.lit("short"))
+    pipelines.register(pipelines.Check("parts", ["short_number"], lambda df, o: short(df.where("length(part_number) < 3"), o)))
+    pipelines.register(pipelines.Check("invoices", ["any_invoice"], lambda df, _: d.no_defects(df.sparkSession)))
+    found = pipelines.detect(parts=sources["parts"], invoices=sources["parts"])
+    assert found.categories == [fixed.PART_NUMBERS, "short_number", "any_invoice"]
+    assert [r.record_key for r in found.defects.where("category = 'short_number'").collect()] == ["P7"]
+    with pytest.raises(ValueError):
+        pipelines.register(pipelines.Check("parts", ["none"]))
+    with pytest.raises(ValueError, match="memos"):
+        pipelines.detect(memos=sources["parts"])
+
+
+def test_normalize_in_another_order(sources):
+    suppliers = sources["suppliers"].selectExpr("*", "-cast(right(supplier_code, 1) as int) as spot")
+    _, mapping = pipelines.normalize("suppliers", suppliers, order_col="spot")
+    assert [tuple(r) for r in mapping.collect()] == [("Quarry Stone", "QUARRY STONE")]
+
+
 def test_previews_are_cut(frame):
     keys = [("invalid_emails", f"{'x' * 50}{i}") for i in range(6)]
     line = reports.previews(frame(keys, "category string, record_key string")).first().details
@@ -127,7 +163,7 @@ def test_streams(spark, sources, tmp_path):
     sources["change_orders"].write.parquet(path)
     stream = spark.readStream.schema(sources["change_orders"].schema).parquet(path)
     query = (
-        live.change_order_defects(stream)
+        d.change_order_defects(stream)
         .writeStream.format("memory")
         .queryName("live_defects")
         .trigger(availableNow=True)
