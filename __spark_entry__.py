@@ -14,7 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from checks.fixtures import as_csv, as_lines, as_manifests, as_workbooks, messy  # noqa: E402
 from checks.oracles import ORACLES, SHOWN_NAME  # noqa: E402
 from scrubline import fixed  # noqa: E402
-from scrubline.functions import fields  # noqa: E402
+from scrubline.functions import fields, text  # noqa: E402
 from scrubline.operators import detect as d  # noqa: E402
 from scrubline.operators import grouping, normalize, scoring, similarity  # noqa: E402
 from scrubline.plans import pipelines, reports  # noqa: E402
@@ -312,7 +312,17 @@ def normalize_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return workbooks.change_orders(as_workbooks(messy(spark, sf_dir, "change_orders_messy")))
+    folder = as_workbooks(messy(spark, sf_dir, "change_orders_messy"))
+    return workbooks.read_change_orders(spark, f"{folder}/*.xlsx")
+
+
+def cleaned_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cell rules: line breaks, white space around, and the text that means "no value"."""
+    kind = F.col("o_orderkey") % 4
+    cell = F.when(kind == 0, " nan\t").when(kind == 1, F.concat(F.lit(" one\n"), F.col("co_number")))
+    cell = cell.when(kind == 2, "nano")
+    orders = messy(spark, sf_dir, "change_orders_messy")
+    return orders.select("co_number", text.clean_cell(cell).alias("cell"))
 
 
 # --- reports --------------------------------------------------------------------
@@ -388,6 +398,7 @@ def queries() -> dict[str, Query]:
         "csv_auto_schema": csv_auto_schema,
         "suppliers_cp1252_roundtrip": suppliers_cp1252_roundtrip,
         "workbook_scan": workbook_scan,
+        "cleaned_cells": cleaned_cells,
         "missing_column_guards": missing_column_guards,
         "defect_summary": lambda s, sf: d.defect_summary(row_defects(s, sf)),
         "report_checks": lambda s, sf: checks_table(s, sf).drop("details"),

@@ -11,11 +11,13 @@ import zipfile
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline import fixed
-from scrubline.workspace import scratch_path, written
+from scrubline.workspace import scratch_path
+
 
 def padded(key: str, digits: int) -> str:
     text = f"cast({key} as string)"
@@ -184,11 +186,24 @@ def as_lines(lines: DataFrame, header: str) -> str:
 ORDERS_PER_WORKBOOK = 5000
 
 
-def as_workbooks(df: DataFrame) -> DataFrame:
-    """(path, content): the change orders as workbooks of a bounded number of rows."""
+def as_workbooks(df: DataFrame) -> str:
+    """Write the change orders as workbooks of a bounded number of rows; the folder."""
+    folder = scratch_path(df.sparkSession, "workbooks")
     book = F.floor(F.col("o_orderkey") / ORDERS_PER_WORKBOOK)
     books = df.withColumn("book", book).groupBy("book")
-    return written(books.applyInPandas(_workbook, "path string, content binary"), "workbooks")
+
+    def save(batches):
+        files, root = FileSystem.from_uri(folder)
+        files.create_dir(root)
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                with files.open_output_stream(f"{root}/{name}") as out:
+                    out.write(content)
+            yield batch[["path"]]
+
+    packed = books.applyInPandas(_workbook, "path string, content binary")
+    packed.mapInPandas(save, "path string").write.format("noop").mode("overwrite").save()
+    return folder
 
 
 def _workbook(rows: pd.DataFrame) -> pd.DataFrame:

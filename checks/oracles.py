@@ -296,6 +296,10 @@ ORACLES = {
         strftime(opened_at, '%Y-%m-%d %H:%M:%S') as opened_at,
         strftime(closed_at, '%Y-%m-%d %H:%M:%S') as closed_at from change_orders_messy"""
     ),
+    "cleaned_cells": with_messy(
+        """select co_number, case o_orderkey % 4 when 1 then 'one ' || co_number when 2 then 'nano' end
+        as cell from change_orders_messy"""
+    ),
     "missing_column_guards": _with(
         VOCABULARY,
         f"""select 'emails without codes' as input, count(*) as defect_count, 0 as keyed_count

@@ -102,6 +102,33 @@ MANIFEST_RECORDS = {
     IMPOSSIBLE_DATES: "co_date_flip_count",
 }
 
+# --- names in reports -------------------------------------------------------------
+
+# Checks as a reader sees them. Duplicates are shown as groups, scored as pairs.
+CHECK_NAMES = {
+    PART_NUMBERS: "part_number_eras",
+    INVALID_EMAILS: "invalid_emails",
+    STATE_VARIANTS: "state_variants",
+    IMPOSSIBLE_DATES: "impossible_dates",
+}
+GROUPS_CHECK = "near_duplicate_groups"
+
+TOTAL_LABEL = "Total defects detected"
+
+# label of a summary line -> column of the scorecard
+SUMMARY_LABELS = {
+    "Candidates": "detected",
+    "Matched": "matched",
+    "False positives": "false_positives",
+    "Missed": "false_negatives",
+    "Recall": "recall",
+    "Precision": "precision",
+    "F1": "f1",
+    "Manifest expected": "expected",
+}
+
+# --- scoring --------------------------------------------------------------------
+
 MINIMUM_MANIFEST_VERSION = 2
 OVERALL = "_overall"
 VALIDATION_MODE = "row_keys"

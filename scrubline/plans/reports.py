@@ -10,17 +10,11 @@ from scrubline import fixed
 from scrubline.functions import rates
 from scrubline.operators import detect as d
 
+RATES = ("recall", "precision", "f1")
 PREVIEW_ITEMS = 3
 PREVIEW_LENGTH = 120
 
-# Checks as a reader sees them. Duplicates are shown as groups, scored as pairs.
-CHECK_NAMES = {
-    fixed.PART_NUMBERS: "part_number_eras",
-    fixed.INVALID_EMAILS: "invalid_emails",
-    fixed.STATE_VARIANTS: "state_variants",
-    fixed.IMPOSSIBLE_DATES: "impossible_dates",
-}
-GROUPS_CHECK = "near_duplicate_groups"
+CHECK_NAMES, GROUPS_CHECK = fixed.CHECK_NAMES, fixed.GROUPS_CHECK
 
 
 def previews(defect_table: DataFrame) -> DataFrame:
@@ -137,20 +131,15 @@ def summary(checks: DataFrame, scores: DataFrame | None = None) -> DataFrame:
     """(metric, value): the overall scores if there are any, else the defect total."""
     if scores is None:
         return checks.agg(F.coalesce(F.sum("defect_count"), F.lit(0)).alias("n")).select(
-            F.lit("Total defects detected").alias("metric"), F.col("n").cast("string").alias("value")
+            F.lit(fixed.TOTAL_LABEL).alias("metric"), F.col("n").cast("string").alias("value")
         )
     overall = scores.where(F.col("category") == fixed.OVERALL)
-    lines = {
-        "Candidates": F.col("detected").cast("string"),
-        "Matched": F.col("matched").cast("string"),
-        "False positives": F.col("false_positives").cast("string"),
-        "Missed": F.col("false_negatives").cast("string"),
-        "Recall": rates.percent(F.col("recall")),
-        "Precision": rates.percent(F.col("precision")),
-        "F1": rates.percent(F.col("f1")),
-        "Manifest expected": F.col("expected").cast("string"),
-    }
-    pairs = F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in lines.items()])
+    cell = lambda c: rates.percent(F.col(c)) if c in RATES else F.col(c).cast("string")
+    lines = [
+        F.struct(F.lit(label).alias("metric"), cell(c).alias("value"))
+        for label, c in fixed.SUMMARY_LABELS.items()
+    ]
+    pairs = F.array(*lines)
     return overall.select(F.inline(pairs))
 
 

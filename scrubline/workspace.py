@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent, a local session gets a temporary folder; a
-    cluster session is refused, because a machine-local folder would be lost
-    with its machine.
+    Where the setting is absent, a local session gets a temporary folder of its
+    own and keeps its settings; a cluster session is refused, because a
+    machine-local folder would be lost with its machine.
     """
     sc = spark.sparkContext
     configured = (
@@ -25,9 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = "file:" + tempfile.mkdtemp(prefix="scrubline-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
+    if sc.applicationId not in _LOCAL:
+        _LOCAL[sc.applicationId] = "file:" + tempfile.mkdtemp(prefix="scrubline-")
+    return _LOCAL[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -36,12 +42,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def _application_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/scrubline/{spark.sparkContext.applicationId}"
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/scrubline/{application}{_INNER.get(application, '')}"
 
 
 def clear(spark: SparkSession) -> None:
     """Delete the stored tables of this application, once their results are written."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    _delete(spark, _application_folder(spark))
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was stored within; write the results before that."""
+    outer = _INNER.get(spark.sparkContext.applicationId, "")
+    inner = f"{outer}/{uuid.uuid4().hex}"
+    _INNER[spark.sparkContext.applicationId] = inner
+    try:
+        yield
+    finally:
+        folder = _application_folder(spark)
+        _INNER[spark.sparkContext.applicationId] = outer
+        _delete(spark, folder)
+
+
+# The folder that ``scratch_tables`` has opened, by application.
+_INNER: dict[str, str] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     files.delete(folder, True)
 

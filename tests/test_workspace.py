@@ -1,3 +1,5 @@
+import os
+
 from scrubline import workspace
 
 
@@ -11,6 +13,17 @@ def test_tables_are_stored_below_the_configured_folder(spark, frame):
     assert configured is None or configured.rstrip("/") == workspace.shared_folder(spark)
 
 
+def test_tables_of_a_block_are_deleted(spark, frame):
+    outside = workspace.written(frame([(1,)], "i int"), "test")
+    with workspace.scratch_tables(spark):
+        inside = workspace.written(frame([(2,)], "i int"), "test")
+        with workspace.scratch_tables(spark):
+            workspace.written(frame([(3,)], "i int"), "test")
+        path = inside.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and inside.first().i == 2
+    assert not os.path.exists(path) and outside.first().i == 1
+
+
 def test_clusters_need_a_shared_folder(monkeypatch):
     class Context:
         master = "yarn"
