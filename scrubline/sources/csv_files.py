@@ -9,6 +9,7 @@ are never cut: they stop the read, or are left out and listed as rejects.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -81,7 +82,7 @@ def probe_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     A task that holds one full block of a large file stops after the first rows.
     """
-    full = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    full = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
 
     def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: set[str] = set()
@@ -97,6 +98,12 @@ def probe_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return _raw_lines(spark, paths).mapInPandas(first_lines, "path string, header string")
 
 
+def _bytes(size: str) -> int:
+    """A size setting such as ``128m`` in bytes."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)(?:i?b)?", size.strip().lower()).groups()
+    return int(number) << (10 * " kmgt".index(unit or " "))
+
+
 def header_columns(header: str | None) -> list[str]:
     return next(csv.reader([header.removeprefix("\ufeff")])) if header else []
 

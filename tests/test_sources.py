@@ -130,6 +130,11 @@ def test_a_large_file_is_split_and_keeps_its_order(spark, tmp_path):
     assert [r.supplier_code for r in rows] == [*(f"S{i:05d}" for i in range(5000)), "T1"]
 
 
+def test_size_settings():
+    sizes = {"20000b": 20000, "16m": 16 << 20, "128MB": 128 << 20, "1g": 1 << 30, "77": 77}
+    assert {s: csv_files._bytes(s) for s in sizes} == sizes
+
+
 def test_utf16_files_take_one_job_for_their_headers(spark, tmp_path):
     for i in range(4):
         write(tmp_path, f"{i}.csv", f"code,name{',extra' * i}\nS{i},Zürich {i}{',x' * i}\n", "utf-16")
