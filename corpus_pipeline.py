@@ -10,22 +10,36 @@ from scrubline.workspace import written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject, with all their columns.
+
+    Null and empty texts are scored like others; without labels of both classes all documents stay.
+    """
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates: the one with the smallest doc_id."""
+    """One document of each group of SimHash near-duplicates: the one with the smallest doc_id.
+
+    Texts without words are one group. Of repeated rows one stays; rows without doc_id stay where
+    their group has none, one for each fingerprint.
+    """
     return simhash.keep_one(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, as often as the mix of sources takes them."""
+    """Documents in training order, as often as the mix of sources takes them.
+
+    A null source is a source of its own. Documents without words are never taken; the one at which
+    a source's last pass ends is taken whole if at least half of it is.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every document of the mix, in its order, and whether they decode to its text."""
+    """The ids of every document of the mix, in its order, and whether they decode to its text.
+
+    Null and empty texts have no ids.
+    """
     return pieces.encoded(docs)
 
 

@@ -158,7 +158,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     taken = found.select("doc_id", "dice", F.explode(F.array_compact(takes)).alias("position"))
     key, at = spare_name(docs, "mixing_key"), spare_name(docs, "mixing_position")
     number, again = spare_name(docs, "mixing_id"), spare_name(docs, "mixing_again")
-    ours = written(taken.toDF(number, again, at), "taken")
+    # Texts move once, to their positions, unless the plan is too large to broadcast.
+    ours = broadcast_if_small(written(taken.toDF(number, again, at), "taken"))
     keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     repeated = keyed.groupBy("doc_id", key).agg(F.count("*").alias("rows")).where("rows > 1")
     if not is_empty(repeated):

@@ -10,13 +10,14 @@ once, and halves that many fingerprints share are split by adaptive execution.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.components import components
-from scrubline.llm.tables import is_empty, map_slices
+from scrubline.llm.tables import broadcast_if_small, is_empty, map_slices, spare_name
 from scrubline.workspace import written
 
 BITS = 64
@@ -112,6 +113,19 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     return joined.where(near & counts & first).select("a", "b")
 
 
+def _grouped(
+    docs: DataFrame, shingle_words: int, most_bits: int
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, component_id) of every fingerprint."""
+    prints = written(with_fingerprints(docs, shingle_words), "prints")
+    groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "prints")
+    found = components(links(groups.select("fp"), most_bits)).withColumnRenamed("node", "fp")
+    top = F.coalesce("component", "fp").alias("top")
+    grouped = groups.join(found, "fp", "left").select("fp", "first_doc", top)
+    smallest = grouped.groupBy("top").agg(F.min("first_doc").alias("component_id"))
+    return prints, written(grouped.join(smallest, "top").select("fp", "component_id"), "named")
+
+
 def near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS
 ) -> DataFrame:
@@ -122,30 +136,37 @@ def near_duplicates(
     rows stay repeated. A null ``doc_id`` takes part but is never a smallest one: its component is
     null if nothing else is reachable. Other columns are ignored; an empty table gives no rows.
     """
-    prints = written(with_fingerprints(docs, shingle_words), "prints")
-    groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "prints")
-    found = components(links(groups.select("fp"), most_bits)).withColumnRenamed("node", "fp")
-    grouped = groups.join(found, "fp", "left").select("fp", "first_doc", F.coalesce("component", "fp").alias("top"))
-    smallest = grouped.groupBy("top").agg(F.min("first_doc").alias("component_id"))
-    named = written(grouped.join(smallest, "top").select("fp", "component_id"), "named")
+    prints, named = _grouped(docs, shingle_words, most_bits)
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its group.
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
+    """One row of ``docs`` for each group: that of its smallest ``doc_id``.
 
-    A group without any ``doc_id`` keeps its rows, as no row of it can be named. Rows that repeat a
-    ``doc_id`` that stays are kept once.
+    Of rows that repeat a ``doc_id`` that stays, one stays. Rows without ``doc_id`` stay where their
+    group has no id at all, one for each fingerprint. Texts only move if the ids of the rows that go
+    are too many to broadcast.
     """
-    found = near_duplicates(docs).where("component_id is null or doc_id = component_id")
-    kept = written(found.select("doc_id").distinct(), "kept")
-    stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    prints, named = _grouped(docs, shingle_words, most_bits)
+    leads = F.max(F.col("doc_id") == F.col("component_id"))
+    gone = prints.where("doc_id is not null").join(named, "fp").groupBy("doc_id").agg(leads.alias("leads"))
+    gone = broadcast_if_small(written(gone.where("not leads").select("doc_id"), "gone"))
+    stays = docs.where("doc_id is not null").join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
-    repeated = written(repeated.select("doc_id"), "repeated")
-    if is_empty(repeated):
-        return stays
-    again = stays["doc_id"] == repeated["doc_id"]
-    single = stays.join(repeated, again, "left_anti")
-    return single.union(stays.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
+    repeated = broadcast_if_small(written(repeated.select("doc_id"), "repeated"))
+    if not is_empty(repeated):
+        again = stays["doc_id"] == repeated["doc_id"]
+        single = stays.join(repeated, again, "left_anti")
+        stays = single.union(stays.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
+
+    @F.pandas_udf("long")
+    def print_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(text, shingle_words) for text in texts], dtype="int64")
+
+    own = spare_name(docs, "fingerprint_of_row")
+    nameless = docs.where("doc_id is null").withColumn(own, print_of(F.col("text").cast("string")))
+    alone = named.where("component_id is null").select(F.col("fp").alias(own))
+    nameless = nameless.join(alone, own, "left_semi").dropDuplicates([own]).drop(own)
+    return stays.union(nameless)
