@@ -3,8 +3,8 @@
 Fingerprints of 64 bits link at three or fewer differing bits. Cut into two halves, one half of any
 such pair differs by at most one bit. So each distinct fingerprint is indexed under every half with
 one bit wiped out (2 x 32 keys); a pair meets where the wiped bit is the differing one, or, if the
-halves are equal, under wiped bit 0. The join checks the whole distance, so only links leave it, each
-once, and halves that many fingerprints share are split by adaptive execution.
+halves are equal, under wiped bit 0. Every meeting checks the whole distance. Groups need links that
+connect them, not all links, so crowds of near copies are first linked to a few picks of their key.
 """
 
 from __future__ import annotations
@@ -91,16 +91,8 @@ def _variants(prints: DataFrame) -> DataFrame:
     )
 
 
-def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """Pairs ``a < b`` of distinct fingerprints ``fp`` that differ in 1 to ``most_bits`` bits.
-
-    Two halves guarantee a half with at most one differing bit up to three bits in all.
-    """
-    if not 0 <= most_bits <= 3:
-        raise ValueError("two halves find pairs of at most three differing bits")
-    variants = _variants(prints)
-    left = variants.select("key", "half", "wiped", F.col("fp").alias("a"))
-    right = variants.select("key", F.col("fp").alias("b"))
+def _meets(left: DataFrame, right: DataFrame, most_bits: int, condition: Column | None = None) -> DataFrame:
+    """Pairs ``a < b`` of two sides with ``key``, ``half``, ``wiped``, each link once."""
     differs = F.col("a").bitwiseXOR(F.col("b"))
     low, high = _half(differs, 0), _half(differs, 1)
     here = F.when(F.col("half") == 0, low).otherwise(high)
@@ -109,8 +101,55 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     counts = (here == F.col("wiped")) | ((here == 0) & (F.col("wiped") == 1))
     first = (F.col("half") == 0) | (F.bit_count(low) > 1)
     near = (F.bit_count(differs) <= most_bits) & (F.col("a") < F.col("b"))
-    joined = left.hint("merge").join(right.hint("merge"), "key")
-    return joined.where(near & counts & first).select("a", "b")
+    wanted = near & counts & first if condition is None else near & counts & first & condition
+    return left.hint("merge").join(right.hint("merge"), "key").where(wanted).select("a", "b")
+
+
+def _checked_bits(most_bits: int) -> None:
+    if not 0 <= most_bits <= 3:
+        raise ValueError("two halves find pairs of at most three differing bits")
+
+
+def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """Pairs ``a < b`` of distinct fingerprints ``fp`` that differ in 1 to ``most_bits`` bits.
+
+    Two halves guarantee a half with at most one differing bit up to three bits in all. This lists
+    every link, which within a crowd of near copies are as many as its pairs.
+    """
+    _checked_bits(most_bits)
+    variants = _variants(prints)
+    left = variants.select("key", "half", "wiped", F.col("fp").alias("a"))
+    return _meets(left, variants.select("key", F.col("fp").alias("b")), most_bits)
+
+
+def connecting_links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """Links ``(a, b)`` of distinct fingerprints ``fp`` that connect all that ``links`` connects.
+
+    Keys that a single fingerprint has end after one aggregate. In the others, each fingerprint is
+    first compared with three of its key's (the smallest, the largest and one by a hash). Only keys
+    whose fingerprints these links leave in different groups are joined with themselves, and only
+    pairs from different groups leave the join. So a crowd of near copies costs a few links each.
+    """
+    _checked_bits(most_bits)
+    variants = _variants(prints)
+    picks = variants.groupBy("key").agg(
+        F.min("fp").alias("p0"), F.max("fp").alias("p1"), F.min_by("fp", F.xxhash64("fp")).alias("p2")
+    )
+    shared = broadcast_if_small(written(picks.where("p0 < p1"), "shared"))
+    crowded = written(variants.join(shared, "key"), "crowded")
+    pairs = crowded.select("fp", F.explode(F.array_distinct(F.array("p0", "p1", "p2"))).alias("pick"))
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("pick"))).between(1, most_bits)
+    to_picks = pairs.where(near).select(F.least("fp", "pick").alias("a"), F.greatest("fp", "pick").alias("b"))
+    to_picks = written(to_picks.distinct(), "to-picks")
+    known = components(to_picks).toDF("fp", "known")
+    grouped = crowded.select("key", "half", "wiped", "fp").join(known, "fp", "left")
+    grouped = written(grouped.withColumn("group", F.coalesce("known", "fp")).drop("known"), "grouped")
+    split = grouped.groupBy("key").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).where("g0 < g1")
+    open_keys = grouped.join(split.select("key"), "key", "left_semi")
+    left = open_keys.select("key", "half", "wiped", F.col("fp").alias("a"), F.col("group").alias("a_group"))
+    right = open_keys.select("key", F.col("fp").alias("b"), F.col("group").alias("b_group"))
+    rest = _meets(left, right, most_bits, F.col("a_group") != F.col("b_group"))
+    return to_picks.union(rest)
 
 
 def _grouped(
@@ -119,7 +158,7 @@ def _grouped(
     """(doc_id, fp) of every row, and (fp, component_id) of every fingerprint."""
     prints = written(with_fingerprints(docs, shingle_words), "prints")
     groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "prints")
-    found = components(links(groups.select("fp"), most_bits)).withColumnRenamed("node", "fp")
+    found = components(connecting_links(groups.select("fp"), most_bits)).withColumnRenamed("node", "fp")
     top = F.coalesce("component", "fp").alias("top")
     grouped = groups.join(found, "fp", "left").select("fp", "first_doc", top)
     smallest = grouped.groupBy("top").agg(F.min("first_doc").alias("component_id"))

@@ -65,9 +65,30 @@ def test_links_of_planted_distances(spark):
         assert len(found) == len(want) and {(r.a, r.b) for r in found} == want
 
 
+@pytest.mark.parametrize("most", [0, 1, 3])
+def test_connecting_links_connect_what_links_connect(spark, most):
+    dice = random.Random(most)
+    values = set()
+    for _ in range(6):
+        # A crowd around one value, with members up to six bits from it.
+        base = dice.getrandbits(64)
+        values |= {base ^ sum(1 << b for b in dice.sample(range(64), dice.randint(0, 3))) for _ in range(150)}
+        values |= {base ^ sum(1 << b for b in dice.sample(range(64), dice.randint(3, 6))) for _ in range(150)}
+        low = [base ^ i for i in range(256)]
+        values |= set(low[:: dice.choice([1, 3, 5])])
+    values = sorted(signed(v) for v in values)
+    linked = [(a, b) for a, b in itertools.combinations(values, 2) if ((a ^ b) % (1 << 64)).bit_count() <= most]
+    found = [(r.a, r.b) for r in simhash.connecting_links(spark.createDataFrame([(v,) for v in values], "fp long"), most).collect()]
+    assert set(found) <= set(linked)
+    assert plain_components(values, found) == plain_components(values, linked)
+    assert len(found) < max(1, len(linked) / 3) or most < 3
+
+
 def test_more_bits_than_the_halves_can_find(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 4)
+    with pytest.raises(ValueError):
+        simhash.connecting_links(spark.createDataFrame([(1,)], "fp long"), 4)
 
 
 def test_near_duplicates_are_those_of_brute_force(spark):
