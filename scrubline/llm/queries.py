@@ -9,6 +9,7 @@ from scrubline.llm import (
     licences,
     mixing,
     near_vectors,
+    oracles,
     pieces,
     quality,
     sharding,
@@ -73,4 +74,9 @@ QUERIES = {
     "op10_simhash_near_duplicates": op10,
 }
 
-ORACLES: dict[str, str] = {}
+# The others rest on hashes, fitted models or a tokenizer that SQL does not have.
+ORACLES = {
+    "op1_page_text": oracles.PAGE_TEXT,
+    "op2_exact_top_k": oracles.TOP_K,
+    "op5_embedding_near_duplicates": oracles.NEAR_VECTORS,
+}
