@@ -1,14 +1,15 @@
 """SentencePiece encoding and decoding: an Aho-Corasick automaton drives one Viterbi pass.
 
 The automaton over all pieces reads a text once; at each position its output links name every piece
-that ends there, longest first, and each relaxes the best score of that position. Pieces that hold a
-word start never hold one further on, so texts fall into independent words, and the words of a task
-are looked up in a bounded cache of their ids.
+that ends there, longest first, and each relaxes the best score of that position. Between two
+characters that no piece holds side by side, a text can be cut without changing the result: texts
+fall into independent words, whose ids a task keeps in a bounded cache.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,8 +25,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 # An unknown character scores this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
-# Words whose ids a task remembers; beyond, it forgets all and goes on.
-MOST_WORDS = 200_000
+# Words whose ids a task remembers, in each of two generations; the older one goes first.
+MOST_WORDS = 150_000
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -71,13 +73,7 @@ class Codec:
         self._automaton.make_automaton()
         self._single = {p for p, _ in texts if len(p) == 1}
         self._unknown = min((known.scores[i] for _, i in texts), default=0.0) - UNKNOWN_PENALTY
-        # Where words can be cut apart: before a run of blanks, and around white space and control
-        # characters that no piece holds.
-        inner_blank = any(BLANK in p.lstrip(BLANK) for p, _ in texts)
-        used = {c for p, _ in texts for c in p}
-        apart = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in used)
-        word = f"{BLANK}*[^{BLANK}{apart}]+|{BLANK}+" + (f"|[{apart}]" if apart else "")
-        self._cut = re.compile("(?s).+" if inner_blank else word)
+        self._cut = _cutter({p[i : i + 2] for p, _ in texts for i in range(len(p) - 1)}, {c for p, _ in texts for c in p})
         self._words = _Words(self)
         written = [p.replace(BLANK, " ").encode() for p in known.pieces]
         for byte, i in enumerate(known.bytes_at):
@@ -92,6 +88,7 @@ class Codec:
         Ties go to the longer last piece; characters without a piece become their bytes.
         """
         n, single, unknown = len(text), self._single, self._unknown
+        some_unknown = not single.issuperset(text)
         best = [0.0] + [float("-inf")] * n
         came, by = [0] * (n + 1), [-1] * (n + 1)
         settled = 0
@@ -102,14 +99,15 @@ class Codec:
                     best[at], came[at], by[at] = best[at - 1] + unknown, at - 1, -1
 
         for end, (piece, length, score) in self._automaton.iter(text):
-            if end > settled:
+            if some_unknown and end > settled:
                 settle(end)
                 settled = end
             start = end + 1 - length
             found = best[start] + score
             if found > best[end + 1]:
                 best[end + 1], came[end + 1], by[end + 1] = found, start, piece
-        settle(n)
+        if some_unknown:
+            settle(n)
         ids, at = [], n
         while at:
             if by[at] >= 0:
@@ -138,8 +136,7 @@ class Codec:
         return (whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace")
 
     def tidy(self) -> None:
-        if len(self._words) > MOST_WORDS:
-            self._words.clear()
+        self._words.tidy()
 
 
 class _Words(dict):
@@ -148,24 +145,60 @@ class _Words(dict):
     def __init__(self, codec: Codec):
         super().__init__()
         self._codec = codec
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self._codec.viterbi(word), "<i4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            found = self._codec.viterbi(word)
+            ids = struct.pack(f"<{len(found)}i", *found)
         # Very long words are not worth remembering.
-        if len(word) < 64:
+        if len(word) < 48:
             self[word] = ids
         return ids
 
+    def tidy(self) -> None:
+        if len(self) > MOST_WORDS:
+            self.older = dict(self)
+            self.clear()
+
+
+def _cutter(side_by_side: set[str], used: set[str]) -> re.Pattern:
+    """A pattern whose matches are words that no piece can reach across.
+
+    A word begins with a run of blanks, or with a run of punctuation that no piece holds behind
+    another character; control characters that no piece holds stand alone.
+    """
+    if any(pair[1] == BLANK and pair[0] != BLANK for pair in side_by_side):
+        return re.compile("(?s).+")
+    marks = set(_PUNCTUATION)
+    while True:
+        bound = {p[1] for p in side_by_side if p[1] in marks and p[0] not in marks and p[0] != BLANK}
+        if not bound:
+            break
+        marks -= bound
+    alone = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in used)
+    mark = "".join(map(re.escape, sorted(marks)))
+    plain = f"[^{BLANK}{mark}{alone}]"
+    ways = [f"{BLANK}*{plain}+", f"{BLANK}+"]
+    if mark:
+        ways.insert(0, f"{BLANK}*[{mark}]+{plain}*")
+    if alone:
+        ways.append(f"[{alone}]")
+    return re.compile("|".join(ways))
+
 
 def _with_codec(df: DataFrame, vocabulary: Vocabulary, rule, schema: str) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One per task: its cache goes when the task ends, as executors have other work to do.
         codec = Codec(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 yield rule(codec, batch.slice(start, 256))
                 codec.tidy()
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
