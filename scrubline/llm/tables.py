@@ -33,6 +33,8 @@ def map_slices(
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 yield rule(batch.slice(start, rows))
+            # What a long batch took goes back, as other workers share the executor's memory.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -61,6 +63,9 @@ def stored_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
-    """Hint a broadcast of a stored table only below a size; else Spark shuffles both sides."""
+def broadcast_if_small(df: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast of a stored table only below a size; else Spark shuffles both sides.
+
+    The size is that of the stored files; in memory a table takes several times as much.
+    """
     return F.broadcast(df) if stored_bytes(df) <= most_bytes else df
