@@ -279,9 +279,9 @@ def repair(conversations: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFram
     )
     final = F.array(*[F.lit(float(v)) for v in FINAL])
     if is_empty(several):
-        placed = blocks.withColumns(
-            {"after": final, "state": F.lit(START).cast("long"), "turn_at": F.lit(0).cast("long"), "seq_at": F.lit(0).cast("long")}
-        )
+        none = F.lit(0).cast("long")
+        begin = {"after": final, "state": F.lit(START).cast("long"), "turn_at": none, "seq_at": none}
+        placed = blocks.withColumns(begin)
     else:
         after = written(_costs_after(several), "after")
         starts = written(_starts(several.join(after, "block")), "starts")
@@ -295,7 +295,8 @@ def repair(conversations: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFram
             F.coalesce("turn_at", F.lit(0)).alias("turn_at"),
             F.coalesce("seq_at", F.lit(0)).alias("seq_at"),
         )
-    placed = placed.join(ends.select("last_block", F.lit(True).alias("closes")), F.col("block") == F.col("last_block"), "left")
+    last = ends.select(F.col("last_block").alias("block"), F.lit(True).alias("closes"))
+    placed = placed.join(last, "block", "left")
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
         made, convs = [], []

@@ -176,8 +176,11 @@ def read(page: str | None) -> list[Token]:
         if name not in _INLINE:
             close(("p",))
         if name in _ENDS_OWN:
-            inner = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name in _ENDS_OWN[name] or stack[i].name in _LISTS), 0)
-            if inner and stack[inner].name in _ENDS_OWN[name]:
+            own = _ENDS_OWN[name]
+            inner = len(stack) - 1
+            while inner and stack[inner].name not in own and stack[inner].name not in _LISTS:
+                inner -= 1
+            if inner and stack[inner].name in own:
                 del stack[inner:]
         if name == "body":
             del stack[1 if stack[1:2] and stack[1].name != "html" else 2 :]

@@ -5,7 +5,8 @@ Vectors are turned to unit length, so a cosine of at least ``c`` is a distance o
 residual (one codeword per subspace) and the length of what the code misses. Two partners in the
 lists a and b lie on either side of the plane between the centres, so at least one of them is within
 half the distance of it. As a query, each vector probes the lists whose plane is that near, and finds
-for both what only it finds, so no partner is left out. In a list, distances to the codes come from a table of query-to-codeword distances; a stored vector whose table distance
+for both what only it finds, so no partner is left out. In a list, distances to the codes come from
+a table of query-to-codeword distances; a stored vector whose table distance
 exceeds the limit by more than its own code error cannot be a partner, and the others are checked
 by exact cosine. Copies of a vector are one class throughout.
 """
@@ -225,8 +226,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     facts = classes.agg(F.count("*"), F.max("dims")).first()
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     width = facts[1] or 1
-    drawn = smallest_hashes(classes, ["first_id", "embedding"], SAMPLE_ROWS, facts[0]).select("embedding").collect()
-    sample = units(matrix([np.array(r["embedding"], float) for r in drawn], width)) if drawn else np.zeros((0, width))
+    drawn = smallest_hashes(classes, ["first_id", "embedding"], SAMPLE_ROWS, facts[0])
+    rows = [np.array(r["embedding"], float) for r in drawn.select("embedding").collect()]
+    sample = units(matrix(rows, width)) if rows else np.zeros((0, width))
     quantiser = fit(sample, width, min(MOST_LISTS, max(FEWEST_LISTS, largest // ROWS_PER_LIST)))
 
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType == FloatType() else "<f8"

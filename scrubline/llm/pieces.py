@@ -73,7 +73,8 @@ class Codec:
         self._automaton.make_automaton()
         self._single = {p for p, _ in texts if len(p) == 1}
         self._unknown = min((known.scores[i] for _, i in texts), default=0.0) - UNKNOWN_PENALTY
-        self._cut = _cutter({p[i : i + 2] for p, _ in texts for i in range(len(p) - 1)}, {c for p, _ in texts for c in p})
+        side_by_side = {p[i : i + 2] for p, _ in texts for i in range(len(p) - 1)}
+        self._cut = _cutter(side_by_side, {c for p, _ in texts for c in p})
         self._words = _Words(self)
         written = [p.replace(BLANK, " ").encode() for p in known.pieces]
         for byte, i in enumerate(known.bytes_at):

@@ -37,7 +37,8 @@ def _hash(key: str) -> int:
 
 def with_host(pages: DataFrame) -> DataFrame:
     """Add ``host``: a hash of the URL's host, of an empty one where there is none."""
-    host = F.regexp_extract(F.coalesce(F.lower(F.col("url").cast("string")), F.lit("")), "^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
+    url = F.coalesce(F.lower(F.col("url").cast("string")), F.lit(""))
+    host = F.regexp_extract(url, "^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
     return pages.withColumn("host", F.xxhash64(host))
 
 

@@ -89,7 +89,8 @@ def _searched(meetings: DataFrame, width: int, longest: float, k: int) -> DataFr
             queries = _unpacked(named["q_v"], i, width)
             reach = np.sqrt(np.maximum((queries * queries).sum(axis=1) + longest - 2 * least, 0))
             pivot = np.array(named["pivot_v"][i].as_py(), float)
-            far = np.sqrt(squared_distances(np.column_stack([queries, np.zeros(len(queries))]), pivot[None, :]))[:, 0]
+            lengthened = np.column_stack([queries, np.zeros(len(queries))])
+            far = np.sqrt(squared_distances(lengthened, pivot[None, :]))[:, 0]
             slack = SLACK * (1 + np.sqrt(longest))
             low, high = named["low"][i].as_py(), named["high"][i].as_py()
             open_to = np.flatnonzero((far - reach - slack <= high) & (far + reach + slack >= low))
@@ -169,7 +170,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     nearby = blocks.select("block", "pivot", "q_low", "q_high").join(
         rings.select("ring", "pivot", "low", "high"), "pivot"
     )
-    home = nearby.groupBy("block").agg(F.min_by("ring", F.struct(gap, F.col("high") - F.col("low"), "ring")).alias("ring"))
+    nearest = F.struct(gap, F.col("high") - F.col("low"), "ring")
+    home = nearby.groupBy("block").agg(F.min_by("ring", nearest).alias("ring"))
     open_blocks = blocks.drop("pivot").withColumn(
         "least", F.transform("q_ids", lambda _: F.lit(float("-inf")))
     )
@@ -180,17 +182,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     kth = first.groupBy("query_id").agg(
         F.when(F.count("*") >= k, F.min("score").cast("double")).alias("least")
     )
+    none_yet = F.coalesce("least", F.lit(float("-inf"))).alias("least")
     known = (
         blocks.select("block", F.posexplode("q_ids").alias("at", "query_id"))
         .join(kth, "query_id", "left")
         .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("least", F.lit(float("-inf"))).alias("least")))).alias("each"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", none_yet))).alias("each"))
         .select("block", F.col("each.least").alias("least"))
     )
     bounded = written(blocks.drop("pivot").join(known, "block"), "bounded")
     reaches = _reaches(bounded, pivots, width, longest)
     meets = (F.col("near") <= F.col("high")) & (F.col("beyond") >= F.col("low"))
-    pairs = reaches.join(rings.select("ring", "pivot", "low", "high"), "pivot").where(meets).select("block", "ring")
+    spans = rings.select("ring", "pivot", "low", "high")
+    pairs = reaches.join(spans, "pivot").where(meets).select("block", "ring")
     found = _searched(pairs.join(bounded, "block").join(with_pivots, "ring"), width, longest, k)
     return _ranked(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
