@@ -98,9 +98,8 @@ def details(
             rows(check, "unknown", unknown, "part_number", "n"),
         ]
     if suppliers is not None:
-        tables.append(
-            rows(CHECK_NAMES[fixed.INVALID_EMAILS], "examples", d.invalid_email_examples(suppliers), "contact_email")
-        )
+        check, shown = CHECK_NAMES[fixed.INVALID_EMAILS], d.invalid_email_examples(suppliers)
+        tables.append(rows(check, "examples", shown, "contact_email"))
     if change_orders is not None:
         states, dates = CHECK_NAMES[fixed.STATE_VARIANTS], CHECK_NAMES[fixed.IMPOSSIBLE_DATES]
         unparsed = d.unparsed_dates(change_orders, formats=formats)

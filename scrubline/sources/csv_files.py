@@ -171,8 +171,8 @@ def _utf16_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]
         .option("multiLine", True)
         .csv(paths)
     )
-    cells = F.array(*columns)
-    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), cells.alias("cells"))
+    path, at = F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at")
+    rows = rows.select(path, at, F.array(*columns).alias("cells"))
     found = rows.groupBy("path").agg(F.min_by("cells", "at").alias("cells")).collect()
     last = {r.path: max((i for i, c in enumerate(r.cells) if c is not None), default=-1) for r in found}
     return {r.path: [c or "" for c in r.cells[: last[r.path] + 1]] for r in found}
