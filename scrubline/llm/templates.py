@@ -21,7 +21,7 @@ from scrubline.llm.markup import CHROME, IN_ARTICLE, IN_MAIN
 from scrubline.llm.tables import broadcast_if_small, map_slices
 from scrubline.workspace import written
 
-# A token is template material if it is on this share of a host's pages, and on so many at least.
+# A token is template material if it is on this share of a host's distinct pages, and on so many at least.
 SUPPORT, FEWEST_PAGES = 0.5, 3
 # Root classes have this many tokens at least.
 FEWEST_TOKENS = 3
@@ -43,24 +43,34 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def tokenised(pages: DataFrame) -> DataFrame:
-    """``host`` and, in page order, ``tokens``, ``flags``, ``chars``, ``links`` of each page."""
+    """``host`` and, in page order, ``tokens``, ``flags``, ``chars``, ``links`` of each page.
+
+    ``body`` is a hash of the page's unmarked text.
+    """
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [[], [], [], []]
+        out = [[], [], [], [], []]
         for page in batch.column(1).to_pylist():
             tokens = markup.read(page)
             out[0].append([_hash(t.key) for t in tokens])
             out[1].append([t.flags | TAG * (t.text is None) for t in tokens])
             out[2].append([len(t.text or "") for t in tokens])
             out[3].append([t.link_chars for t in tokens])
-        kinds = [pa.list_(pa.int64())] + [pa.list_(pa.int32())] * 3
+            out[4].append(_hash("\n".join(t.text for t in tokens if t.text and not t.flags & CHROME)))
+        kinds = [pa.list_(pa.int64())] + [pa.list_(pa.int32())] * 3 + [pa.int64()]
         columns = [batch.column(0)] + [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["host", "tokens", "flags", "chars", "links"])
+        return pa.RecordBatch.from_arrays(columns, ["host", "tokens", "flags", "chars", "links", "body"])
 
-    schema = "host long, tokens array<long>, flags array<int>, chars array<int>, links array<int>"
+    schema = "host long, tokens array<long>, flags array<int>, chars array<int>, links array<int>, body long"
     return map_slices(with_host(pages).select("host", F.col("html").cast("string")), rule, schema)
 
 
+def distinct_bodies(pages: DataFrame) -> DataFrame:
+    """One page of each host and body, so that copies are no evidence of a template."""
+    firsts = pages.groupBy("host", "body").agg(F.min(F.struct(F.xxhash64("tokens"), "page"))["page"].alias("page"))
+    return pages.join(broadcast_if_small(written(firsts.select("page"), "bodies")), "page", "left_semi")
+
+
 def equivalence_classes(pages: DataFrame) -> DataFrame:
     """``host``, ``class`` (its occurrence vector as a hash), ``support``, ``once``, ``tokens``.
 
@@ -246,16 +256,18 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` for every row of ``pages``.
 
     Null and empty pages, and pages without main text, have an empty text. Pages without a URL are
-    taken as of one host. Pages of hosts with fewer than FEWEST_PAGES pages, or that lack their host's
-    template, are read by the marks of their elements. Repeated rows stay repeated and count as pages
-    of their host; other columns are ignored; an empty table gives no rows.
+    taken as of one host. Pages of hosts with fewer than FEWEST_PAGES texts, or that lack their host's
+    template, are read by the marks of their elements. Repeated rows stay repeated; pages of a host
+    with the same text count as one when its template is deduced. Other columns are ignored; an empty
+    table gives no rows.
     """
     read = written(
         tokenised(pages).withColumn("page", F.monotonically_increasing_id()), "tokens"
     )
-    classes = written(equivalence_classes(read), "classes")
-    templates = written(roots(read, classes), "roots")
-    chosen = written(templates.join(slots(read, templates), "host").drop("inner"), "templates")
+    once = written(distinct_bodies(read), "once")
+    classes = written(equivalence_classes(once), "classes")
+    templates = written(roots(once, classes), "roots")
+    chosen = written(templates.join(slots(once, templates), "host").drop("inner"), "templates")
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = [batch.column(i).to_pylist() for i in range(2, 6)]

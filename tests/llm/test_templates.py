@@ -46,6 +46,18 @@ def test_a_template_without_marks_is_deduced(spark):
     assert "Welcome to our site" in text[100] and "home 100" not in text[100]
 
 
+def test_copies_are_no_template(spark):
+    """Neither a host of copies alone nor one with as many other pages loses their text."""
+    page = "<html><body><div><ul><li>menu</ul></div><h1>Title {0}</h1><section><p>{1} of {0}.</section></body></html>"
+    rows = [(i, "http://copies.example/", page.format("copy", "Text " * 9)) for i in range(3)]
+    rows += [(10 + i, "http://half.example/", page.format("copy", "Text " * 90)) for i in range(3)]
+    rows += [(20 + i, "http://half.example/", page.format(i, f"Text {i}")) for i in range(3)]
+    found = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    text = {r.page_id: r.text for r in found}
+    assert all("Title copy" in text[i] and "of copy." in text[i] for i in (0, 1, 2, 10, 11, 12))
+    assert all(text[20 + i] == f"Title {i}\nText {i} of {i}." for i in range(3))
+
+
 def test_classes_share_their_occurrence_vector(spark):
     rows = [(i, "http://a.example", "<body><div>x</div>" + "<ul><li>y</ul>" * (i % 3) + "<p>z") for i in range(9)]
     pages = templates.tokenised(spark.createDataFrame(rows, "page_id long, url string, html string"))
