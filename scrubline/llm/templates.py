@@ -4,9 +4,9 @@ Tags (by their place in the page) and text blocks are tokens. Tokens with the sa
 occurrences on every page of a host form an equivalence class; a class is valid if its tokens come in
 one order on all pages, and if its occurrences stay within one gap of the class above it. The valid
 class of single tokens with the widest support is the template's root, the others are nested into its
-gaps. What lies between the tokens of the root are slots. A slot is main text by what its blocks are
-over all pages of the host, and a page's text is what its main slots hold, without text that belongs
-to the template and without elements that are marked as something else.
+gaps. What lies between the tokens of the root are slots. A slot, or its part inside articles, is main
+text by what its blocks are over all pages of the host, and a page's text is what its main slots hold,
+without text that belongs to the template and without elements that are marked as something else.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ SUPPORT, FEWEST_PAGES = 0.5, 3
 FEWEST_TOKENS = 3
 # A slot is no text if more than this share of its characters is marked or linked.
 MOST_MARKED, MOST_LINKED = 0.5, 0.6
+# Articles hold at least this share of a page's plain text, or they are not its frame.
+LEAST_FRAMED = 0.5
 
 TAG = 8
 
@@ -160,69 +162,87 @@ def gaps(tokens: list[int], root: list[int]) -> list[int] | None:
     return found if at == len(root) else None
 
 
+def _parts(gaps: list[int], flags: list[int], chars: list[int], links: list[int]) -> list[int]:
+    """For each token its part of a slot: 4 * gap, + 2 inside the page's frame, + 1 on a loose page.
+
+    The frame of a page are its articles, or else its main elements, if they hold unmarked text. A
+    loose page has less than half of its unmarked and unlinked text there, or no frame.
+    """
+    text = [0 if flag & (TAG | CHROME) else n for flag, n in zip(flags, chars, strict=True)]
+    seen = 0
+    for flag, n in zip(flags, text, strict=True):
+        seen |= flag if n else 0
+    frame = IN_ARTICLE if seen & IN_ARTICLE else IN_MAIN if seen & IN_MAIN else 0
+    inside = total = 0
+    for flag, n, linked in zip(flags, text, links, strict=True):
+        if n:
+            total += n - linked
+            inside += (n - linked) * bool(flag & frame)
+    loose = not frame or inside < LEAST_FRAMED * total
+    return [4 * gap + 2 * bool(flag & frame) + loose for gap, flag in zip(gaps, flags, strict=True)]
+
+
 def slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
-    """``host``, ``main``: which slots of the root hold main text; ``constant``: template tokens.
+    """``host``, ``main``: which parts of the root's slots hold main text; ``constant``: template tokens.
 
-    Sums over all pages of a host decide. Slots inside an article or a main element are main; where
-    a host has none, those are whose text is neither marked as something else, nor mostly links, nor
-    the template's own. Nested tokens must keep to one slot, or their class is no part of the
-    template.
+    Sums over all pages of a host decide, those of loose pages apart. On the others the parts inside
+    the frame are main. On loose pages those are whose text is neither marked as something else, nor
+    mostly links, nor the template's own. Nested tokens must keep to one slot, or their class is no
+    part of the template.
     """
     known = broadcast_if_small(templates)
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [[] for _ in range(8)]
+        out = [[] for _ in range(7)]
         columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
         for host, tokens, flags, chars, links, root, inner in zip(*columns, strict=True):
             places = gaps(tokens, root)
             if places is None:
                 continue
+            parts = _parts(places, flags, chars, links)
             own = {*root, *inner}
             sums: dict[int, list[int]] = {}
             spread: dict[int, tuple[int, int]] = {}
-            for token, flag, n, linked, gap in zip(tokens, flags, chars, links, places, strict=True):
+            for token, flag, n, linked, gap, part in zip(
+                tokens, flags, chars, links, places, parts, strict=True
+            ):
                 if token in own:
                     low, high = spread.get(token, (gap, gap))
                     spread[token] = (min(low, gap), max(high, gap))
                 if flag & TAG:
                     continue
-                cell = sums.setdefault(gap, [0, 0, 0, 0])
+                cell = sums.setdefault(part, [0, 0, 0])
                 cell[0] += n
                 cell[1] += n * bool(flag & CHROME or token in own)
                 cell[2] += linked
-                cell[3] += n * bool(flag & (IN_ARTICLE | IN_MAIN))
-            for gap, cell in sums.items():
-                for column, value in zip(out, [host, gap, *cell, None, None], strict=True):
+            for part, cell in sums.items():
+                for column, value in zip(out, [host, part, *cell, None, None], strict=True):
                     column.append(value)
             for token, (low, high) in spread.items():
-                for column, value in zip(out, [host, low, 0, 0, 0, 0, token, high], strict=True):
+                for column, value in zip(out, [host, low, 0, 0, 0, token, high], strict=True):
                     column.append(value)
-        names = ["host", "gap", "chars", "marked", "linked", "inside", "token", "last_gap"]
-        kinds = [pa.int64(), pa.int32()] + [pa.int64()] * 5 + [pa.int32()]
+        names = ["host", "place", "chars", "marked", "linked", "token", "last_gap"]
+        kinds = [pa.int64(), pa.int32()] + [pa.int64()] * 4 + [pa.int32()]
         arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names)
 
     rows = pages.select("host", "tokens", "flags", "chars", "links").join(known, "host")
-    schema = (
-        "host long, gap int, chars long, marked long, linked long, inside long, token long, last_gap int"
-    )
+    schema = "host long, place int, chars long, marked long, linked long, token long, last_gap int"
     found = written(map_slices(rows, rule, schema), "slots")
-    sums = found.where("token is null").groupBy("host", "gap").agg(
-        *[F.sum(c).alias(c) for c in ("chars", "marked", "linked", "inside")]
+    sums = found.where("token is null").groupBy("host", "place").agg(
+        *[F.sum(c).alias(c) for c in ("chars", "marked", "linked")]
     )
-    framed = F.col("inside") > 0
     plain = (F.col("marked") <= MOST_MARKED * F.col("chars")) & (F.col("linked") <= MOST_LINKED * F.col("chars"))
+    loose, inside = F.col("place") % 2 == 1, F.col("place") % 4 >= 2
     chosen = sums.groupBy("host").agg(
-        F.collect_list(F.when(framed, F.col("gap"))).alias("inner_main"),
-        F.collect_list(F.when(plain, F.col("gap"))).alias("plain_main"),
+        F.collect_list(F.when(F.when(loose, plain).otherwise(inside), F.col("place"))).alias("main")
     )
-    main = F.when(F.size("inner_main") > 0, F.col("inner_main")).otherwise(F.col("plain_main"))
     constant = found.where("token is not null").groupBy("host", "token").agg(
-        (F.min("gap") == F.max("last_gap")).alias("kept")
+        (F.min("place") == F.max("last_gap")).alias("kept")
     )
     constant = constant.where("kept").groupBy("host").agg(F.collect_list("token").alias("constant"))
     return chosen.join(constant, "host", "left").select(
-        "host", main.alias("main"), F.coalesce("constant", F.array().cast("array<long>")).alias("constant")
+        "host", "main", F.coalesce("constant", F.array().cast("array<long>")).alias("constant")
     )
 
 
@@ -231,24 +251,20 @@ def main_text(page: str | None, root: list[int] | None, main: list[int] | None,
     tokens = markup.read(page)
     hashes = [_hash(t.key) for t in tokens] if root else []
     places = gaps(hashes, root) if root else None
-    open_slots, own = set(main or ()), set(constant or ())
-    seen = 0
-    for token in tokens:
-        if token.text is not None and not token.flags & CHROME:
-            seen |= token.flags
-    frame = IN_ARTICLE if seen & IN_ARTICLE else IN_MAIN if seen & IN_MAIN else 0
-    blocks = []
-    for i, token in enumerate(tokens):
-        if token.text is None or token.flags & CHROME:
-            continue
-        if frame:
-            good = bool(token.flags & frame)
-        elif places is not None:
-            good = places[i] in open_slots and hashes[i] not in own
-        else:
-            good = token.link_chars <= MOST_LINKED * len(token.text)
-        if good:
-            blocks.append(token.text)
+    texts = [t for t in tokens if t.text is not None and not t.flags & CHROME]
+    if places is not None:
+        flags = [t.flags | TAG * (t.text is None) for t in tokens]
+        parts = _parts(places, flags, [len(t.text or "") for t in tokens], [t.link_chars for t in tokens])
+        open_parts, own = set(main or ()), set(constant or ())
+        rows = zip(tokens, hashes, parts, flags, strict=True)
+        blocks = [
+            t.text for t, key, part, flag in rows
+            if not flag & (TAG | CHROME) and part in open_parts and key not in own
+        ]
+    elif frame := next((f for f in (IN_ARTICLE, IN_MAIN) if any(t.flags & f for t in texts)), 0):
+        blocks = [t.text for t in texts if t.flags & frame]
+    else:
+        blocks = [t.text for t in texts if t.link_chars <= MOST_LINKED * len(t.text)]
     return "\n".join(blocks)
 
 

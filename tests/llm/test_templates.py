@@ -58,6 +58,22 @@ def test_copies_are_no_template(spark):
     assert all(text[20 + i] == f"Title {i}\nText {i} of {i}." for i in range(3))
 
 
+def test_the_template_decides_within_articles(spark):
+    """Text that a host repeats inside its articles goes; text outside a small article stays."""
+    framed = "<body><nav>menu</nav><article><h1>Title {0}</h1><p>Read our terms.</p><p>Text {0}.</article></body>"
+    loose = (
+        "<body><nav>menu</nav><section><p>Long text of page {0}, which no article holds.</section>"
+        "<article>Tip {0}</article><pre>by us</pre></body>"
+    )
+    rows = [(i, "http://framed.example/", framed.format(i)) for i in range(8)]
+    rows += [(10 + i, "http://loose.example/", loose.format(i)) for i in range(8)]
+    found = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    text = {r.page_id: r.text for r in found}
+    for i in range(8):
+        assert text[i] == f"Title {i}\nText {i}."
+        assert text[10 + i] == f"Long text of page {i}, which no article holds.\nTip {i}"
+
+
 def test_classes_share_their_occurrence_vector(spark):
     rows = [(i, "http://a.example", "<body><div>x</div>" + "<ul><li>y</ul>" * (i % 3) + "<p>z") for i in range(9)]
     pages = templates.tokenised(spark.createDataFrame(rows, "page_id long, url string, html string"))
