@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 # A comment, a declaration, or a tag with its attributes; a tag with an unclosed quote ends at ">".
@@ -25,7 +26,7 @@ _CHROME = frozenset(
     "head nav footer aside form menu dialog noscript template select button svg math object canvas"
     " audio video map datalist fieldset".split()
 )
-# Words in class, id or role that mark such elements.
+# Class names, ids and roles that mark such elements, unless they hold the page's article.
 _CHROME_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav"
     " navbar navigation menu breadcrumb breadcrumbs sidebar aside footer masthead comment comments disqus"
@@ -66,36 +67,106 @@ class _Open:
     path: str
     flags: int
     header: bool
+    # The innermost marked element around it, by its number; 0 for none.
+    mark: int = 0
 
 
-def _words(attributes: str) -> list[str]:
+@dataclass
+class _Mark:
+    """An element marked by a class name alone; ``kind`` is ``header``, ``comment`` or empty."""
+
+    parent: int
+    kind: str
+
+
+def _names(attributes: str) -> list[str]:
+    """Class names, ids and roles, each whole."""
     found = []
     for _, one, two, three in _ATTRIBUTE.findall(attributes):
-        found += re.split(r"[^a-z0-9]+", (one or two or three).lower())
-    return [w for w in found if w]
+        found += (one or two or three).lower().split()
+    return found
 
 
-def _opened(name: str, words: list[str], above: _Open) -> _Open:
-    flags, header = above.flags, above.header
+def _opened(name: str, names: list[str], above: _Open, marks: list[_Mark]) -> _Open:
+    flags, header, mark = above.flags, above.header, above.mark
     if name == "body":
-        flags, header = flags & ~CHROME, False
-    marked = set(words)
-    if name in ("html", "body", "main"):
-        chrome = False
-    elif name == "article":
-        chrome = bool(marked & _COMMENT_WORDS)
-    else:
-        chrome = name in _CHROME or bool(marked & _CHROME_WORDS)
-    if chrome:
+        flags, header, mark = flags & ~CHROME, False, 0
+    marked = set(names)
+    if name == "article":
+        if any(re.split("[^a-z0-9]", n)[0] in _COMMENT_WORDS for n in names):
+            flags |= CHROME
+    elif name in _CHROME:
         flags |= CHROME
-    if name == "header" or "header" in marked and name not in ("html", "body", "main", "article"):
+    elif name not in ("html", "body", "main") and (marked & _CHROME_WORDS or "header" in marked):
+        kind = "comment" if marked & _COMMENT_WORDS else "" if marked & _CHROME_WORDS else "header"
+        marks.append(_Mark(mark, kind))
+        mark = len(marks) - 1
+    if name == "header":
         header = True
     if name == "article":
         flags |= IN_ARTICLE
     if name == "main" or "main" in marked and "role" in marked:
         flags |= IN_MAIN
+    words = [w for n in names for w in re.split(r"[^a-z0-9]+", n) if w]
     sign = ".".join([name, *words[:3]])
-    return _Open(name, f"{above.path}/{sign}", flags, header)
+    return _Open(name, f"{above.path}/{sign}", flags, header, mark)
+
+
+def _name(token: Token) -> str:
+    """The name of the element that a tag opens, or that a text is in."""
+    path = token.key if token.text is None else token.key[: -len(token.text) - 1]
+    return path.rpartition("/")[2].partition(".")[0]
+
+
+def _settled(tokens: list[Token], around: list[int], marks: list[_Mark]) -> list[Token]:
+    """Tokens with CHROME in elements that a class name marks, but for those that hold the page's text.
+
+    Without unmarked text in an article or main element, marked elements are freed from the outside
+    in: those with a main element, with one article, or with more than half of the text. Comments
+    are only freed for an article that is most of the text.
+    """
+    chars, articles, mains = ([0] * len(marks) for _ in range(3))
+    framed = [False] * len(marks)
+    for token, mark in zip(tokens, around, strict=True):
+        if token.flags & CHROME:
+            continue
+        if token.text is not None:
+            chars[mark] += len(token.text)
+            framed[mark] |= bool(token.flags & (IN_ARTICLE | IN_MAIN))
+        else:
+            articles[mark] += _name(token) == "article"
+            mains[mark] += _name(token) == "main"
+    inner = defaultdict(list)
+    held = framed.copy()
+    for mark in range(len(marks) - 1, 0, -1):
+        above = marks[mark].parent
+        inner[above].append(mark)
+        for sums in (chars, articles, mains):
+            sums[above] += sums[mark]
+        held[above] |= held[mark]
+    freed, level = {0}, [0]
+    while level and not any(framed[mark] for mark in level):
+        found = []
+        for mark in (m for above in level for m in inner[above]):
+            most = 2 * chars[mark] > chars[0]
+            if marks[mark].kind == "comment":
+                good = most and held[mark]
+            else:
+                good = held[mark] and (mains[mark] or articles[mark] == 1) or most
+            if good and (held[mark] or not held[0]):
+                found.append(mark)
+        freed.update(found)
+        level = found
+    settled = []
+    for token, mark in zip(tokens, around, strict=True):
+        if token.flags & IN_ARTICLE and token.text is not None:
+            # Headings of an article's own header stay.
+            while marks[mark].kind == "header" and _name(token) in _HEADINGS:
+                mark = marks[mark].parent
+        if mark not in freed:
+            token = Token(token.key, token.text, token.flags | CHROME, token.link_chars)
+        settled.append(token)
+    return settled
 
 
 def read(page: str | None) -> list[Token]:
@@ -106,6 +177,8 @@ def read(page: str | None) -> list[Token]:
     """
     page = page or ""
     tokens: list[Token] = []
+    around: list[int] = []
+    marks = [_Mark(0, "")]
     stack = [_Open("", "", 0, False)]
     pieces: list[str] = []
     links, link_chars, pos = 0, 0, 0
@@ -121,6 +194,7 @@ def read(page: str | None) -> list[Token]:
             if top.header and not (flags & IN_ARTICLE and top.name in _HEADINGS):
                 flags |= CHROME
             tokens.append(Token(f'{top.path}"{text}', text, flags, min(link_chars, len(text))))
+            around.append(top.mark)
         link_chars = 0
 
     def close(names: tuple[str, ...]) -> None:
@@ -169,8 +243,8 @@ def read(page: str | None) -> list[Token]:
             if depth:
                 del stack[depth:]
             continue
-        words = _words(attributes) if "=" in attributes else []
-        if name in _INLINE and not (set(words) & _CHROME_WORDS):
+        names = _names(attributes) if "=" in attributes else []
+        if name in _INLINE and not (set(names) & _CHROME_WORDS):
             continue
         flush()
         if name not in _INLINE:
@@ -189,9 +263,10 @@ def read(page: str | None) -> list[Token]:
             body = next((i for i, o in enumerate(stack) if o.name == "body"), 0)
             if any(o.name in ("nav", "footer", "header", "head") for o in stack[body:]):
                 del stack[body + 1 :]
-        opened = _opened(name, words, stack[-1])
+        opened = _opened(name, names, stack[-1], marks)
         if not attributes.rstrip().endswith("/"):
             stack.append(opened)
         tokens.append(Token(opened.path, None, opened.flags))
+        around.append(opened.mark)
     flush()
-    return tokens
+    return _settled(tokens, around, marks) if len(marks) > 1 else tokens

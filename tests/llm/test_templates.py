@@ -119,7 +119,28 @@ def test_marks(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='layout with-sidebar'><article>yes</article><div class=sidebar>no</div></div>", "yes"),
+        ("<div id='no-comments'><article>yes</article></div>", "yes"),
+        ("<div class='page banner'><article>yes</article><div class=related><article>no</article></div></div>", "yes"),
+        ("<div class='page header'><article><h1>Title</h1>yes</article></div>", "Title\nyes"),
+        ("<div class='page notice'><p>The text of the page</p></div><p>by us</p>", "The text of the page\nby us"),
+        ("<p>yes</p><div class=related><article>no, no</article><article>no</article></div><p>longer yes</p>", "yes\nlonger yes"),
+        ("<p>yes</p><div class=comments><p>no, not any of these</p></div>", "yes"),
+        ("<article>yes</article><div class=comments><article class=comment-body>no</article></div>", "yes"),
+    ],
+)
+def test_class_names_do_not_hide_the_text(page, text):
+    assert text_of(page) == text
+
+
 def test_broken_markup_ends():
     for page in ("<" * 5000, "<a " * 5000, "<a b='" * 3000, "<!--" * 3000, "&" * 5000, "<script>" * 50, "</p>" * 9000):
         markup.read(page)
     assert len(markup.read("<div>" * 3000 + "x")) == 3001
+
+
+def test_many_nested_marks_end():
+    assert text_of("<div class=ad>" * 3000 + "x") == "x"
