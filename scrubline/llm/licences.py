@@ -8,6 +8,7 @@ the edits there and gives the span.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -80,47 +81,50 @@ class Notices:
         for seed, places in seeds.items():
             self.seeds.add_word(seed, (len(seed), places))
         self.seeds.make_automaton()
-        # Whole words only; of the matches at a place, one with the fewest edits.
+        # Whole words only; of the matches in a window, one with the fewest edits.
         self.patterns = [
             regex.compile(rf"(?b)(?<= )(?:{regex.escape(words)}){{e<={edits}}}(?= )")
             for words, _, edits in notices
         ]
 
     def find(self, line: str) -> list[Span]:
-        """Spans in ``line``: words with one blank between and around them."""
-        windows: dict[int, list[list[int]]] = {}
+        """Spans in ``line``: words with one blank between and around them.
+
+        Each seed is verified in a window of its own, which has room for one match. Matches of a
+        notice that overlap are readings of one place, of which that with the fewest edits counts.
+        """
+        starts: dict[int, set[int]] = {}
         for end, (length, places) in self.seeds.iter(line):
             for number, offset in places:
-                words, _, edits = self.notices[number]
-                start = end + 1 - length - offset
-                low, high = max(0, start - edits - 1), start + len(words) + edits + 1
-                found = windows.setdefault(number, [])
-                if found and low <= found[-1][1]:
-                    found[-1][0] = min(found[-1][0], low)
-                    found[-1][1] = max(found[-1][1], high)
-                else:
-                    found.append([low, high])
+                starts.setdefault(number, set()).add(end + 1 - length - offset)
         spans = []
-        for number, places in windows.items():
-            words, label, _ = self.notices[number]
-            for low, high in places:
-                for match in self.patterns[number].finditer(line, low, min(high, len(line))):
-                    edits = sum(match.fuzzy_counts)
-                    first = line.count(" ", 0, match.start()) - 1
-                    spans.append(
-                        Span(
-                            label,
-                            first,
-                            first + match[0].count(" "),
-                            edits,
-                            False,
-                            match[0],
-                            max(0.0, 1 - edits / len(words)),
-                        )
-                    )
+        for number, places in starts.items():
+            words, label, most = self.notices[number]
+            found = {}
+            for start in places:
+                low, high = max(0, start - most - 1), min(start + len(words) + most + 1, len(line))
+                if match := self.patterns[number].search(line, low, high):
+                    found[match.span()] = sum(match.fuzzy_counts)
+            counted = before = 0
+            for low, high in _apart(found):
+                before += line.count(" ", counted, low)
+                counted = low
+                text, edits, first = line[low:high], found[low, high], before - 1
+                score = max(0.0, 1 - edits / len(words))
+                spans.append(Span(label, first, first + text.count(" "), edits, False, text, score))
         return spans
 
 
+def _apart(found: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """Spans that do not overlap, in order; those with fewer edits go first, then earlier ones."""
+    kept: list[tuple[int, int]] = []
+    for span in sorted(found, key=lambda s: (found[s], s)):
+        at = bisect.bisect(kept, span)
+        if (at == 0 or kept[at - 1][1] <= span[0]) and (at == len(kept) or span[1] <= kept[at][0]):
+            kept.insert(at, span)
+    return kept
+
+
 def exact_spans(line: str, phrases: list[tuple[str, str]] = PHRASES) -> list[Span]:
     """Every place where the words of a phrase stand one after another."""
     spans = []

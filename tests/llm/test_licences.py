@@ -69,6 +69,31 @@ def test_notices_with_errors_are_found(words, label, edits):
         assert " ".join(words_of[best.first_word : best.last_word + 1]) == best.text
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("gnu genral public license and gnu general public license", [1, 0]),
+        ("all right reserved all rights reserved", [1, 0]),
+        ("mit licence mit license", [1, 0]),
+        ("in gnu general public license gnu gneral public licens gnu genral public license", [0, 2, 1]),
+        ("a all rights reserved", [0]),
+    ],
+)
+def test_notices_side_by_side_are_all_found(text, found):
+    spans = sorted(NOTICES.find(f" {text} "), key=lambda s: s.first_word)
+    assert [s.edits for s in spans] == found
+    words = text.split()
+    assert all(" ".join(words[s.first_word : s.last_word + 1]) == s.text for s in spans)
+
+
+def test_many_notices_with_errors_side_by_side():
+    dice = random.Random(5)
+    for words, label, edits in licences.NOTICES:
+        made = [edited(words, dice.randint(0, min(edits, 1)), dice) for _ in range(30)]
+        spans = [s for s in NOTICES.find(f" {' '.join(made)} ") if s.label == label]
+        assert len(spans) >= len(made)
+
+
 def test_clean_texts_are_left_alone(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(3000).collect()]
     clean = [t for t in texts if not re.search("licen|rights|cc by", t, re.I)]
