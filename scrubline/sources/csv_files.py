@@ -80,9 +80,13 @@ def _encoding() -> Column:
 def probe_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, header) per file, for files of a known encoding.
 
-    A task that holds one full block of a large file stops after the first rows.
+    A task stops after the first rows of a block that is so large that no other file is packed with it.
     """
     full = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    # Each file counts with this many bytes more when Spark packs files into tasks.
+    opening = _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+    # With a bound on the number of tasks Spark packs more into one than its size allows.
+    bounded = spark.conf.get("spark.sql.files.maxPartitionNum", None) is not None
 
     def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: set[str] = set()
@@ -92,7 +96,7 @@ def probe_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             heads = heads[~heads["path"].isin(known)]
             known.update(heads["path"])
             yield heads[["path", "value"]].rename(columns={"value": "header"})
-            if len(batch) and batch["length"].iloc[0] >= 0.9 * full:
+            if not bounded and len(batch) and batch["length"].iloc[0] + opening > full:
                 return
 
     return _raw_lines(spark, paths).mapInPandas(first_lines, "path string, header string")

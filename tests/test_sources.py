@@ -266,3 +266,25 @@ def test_known_header_and_encoding_need_no_probe(spark, tmp_path):
     assert forced.first().name == "Café"
     (tmp_path / "empty.csv").write_text("")
     assert csv_files.read_suppliers(spark, str(tmp_path)).count() == 1
+
+
+def test_small_files_in_the_task_of_a_large_block_are_read(spark, tmp_path):
+    header = "supplier_code,supplier_name\n"
+    (tmp_path / "big.csv").write_text(header + "".join(f"S{i:06d},name {i}\n" for i in range(48_000)))
+    (tmp_path / "small.csv").write_text(header + "T1,small\n")
+    size = (tmp_path / "big.csv").stat().st_size
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(int(size * 1.05)),
+        "spark.sql.files.openCostInBytes": "1000",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = csv_files.read_suppliers(spark, str(tmp_path), encoding="utf-8", multi_line=False)
+        assert found.where("supplier_code = 'T1'").count() == 1
+        assert found.count() == 48_001
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
