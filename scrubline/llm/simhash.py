@@ -155,14 +155,19 @@ def connecting_links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame
 def _grouped(
     docs: DataFrame, shingle_words: int, most_bits: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row, and (fp, component_id) of every fingerprint."""
+    """(doc_id, fp) of every row, and (fp, component_id, lead) of every fingerprint.
+
+    ``lead`` is the smallest fingerprint that the group's smallest ``doc_id`` has in it.
+    """
     prints = written(with_fingerprints(docs, shingle_words), "prints")
     groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "prints")
     found = components(connecting_links(groups.select("fp"), most_bits)).withColumnRenamed("node", "fp")
     top = F.coalesce("component", "fp").alias("top")
     grouped = groups.join(found, "fp", "left").select("fp", "first_doc", top)
-    smallest = grouped.groupBy("top").agg(F.min("first_doc").alias("component_id"))
-    return prints, written(grouped.join(smallest, "top").select("fp", "component_id"), "named")
+    first = F.when(F.col("first_doc").isNotNull(), F.struct("first_doc", "fp"))
+    smallest = grouped.groupBy("top").agg(F.min(first).alias("first"))
+    smallest = smallest.select("top", F.col("first.first_doc").alias("component_id"), F.col("first.fp").alias("lead"))
+    return prints, written(grouped.join(smallest, "top").select("fp", "component_id", "lead"), "named")
 
 
 def near_duplicates(
@@ -184,12 +189,19 @@ def near_duplicates(
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
     """One row of ``docs`` for each group: that of its smallest ``doc_id``.
 
-    Of rows that repeat a ``doc_id`` that stays, one stays. Rows without ``doc_id`` stay where their
+    Rows that repeat a ``doc_id`` with other texts are told apart by their fingerprints, so an id may
+    stay for several groups, once for each. Rows without ``doc_id`` stay where their
     group has no id at all, one for each fingerprint. Texts only move if the ids of the rows that go
     are too many to broadcast.
     """
+
+    @F.pandas_udf("long")
+    def print_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(text, shingle_words) for text in texts], dtype="int64")
+
+    own = spare_name(docs, "fingerprint_of_row")
     prints, named = _grouped(docs, shingle_words, most_bits)
-    leads = F.max(F.col("doc_id") == F.col("component_id"))
+    leads = F.max((F.col("doc_id") == F.col("component_id")) & (F.col("fp") == F.col("lead")))
     gone = prints.where("doc_id is not null").join(named, "fp").groupBy("doc_id").agg(leads.alias("leads"))
     gone = broadcast_if_small(written(gone.where("not leads").select("doc_id"), "gone"))
     stays = docs.where("doc_id is not null").join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
@@ -198,13 +210,12 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int
     if not is_empty(repeated):
         again = stays["doc_id"] == repeated["doc_id"]
         single = stays.join(repeated, again, "left_anti")
-        stays = single.union(stays.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
-
-    @F.pandas_udf("long")
-    def print_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(text, shingle_words) for text in texts], dtype="int64")
+        several = stays.join(repeated, again, "left_semi").withColumn(own, print_of(F.col("text").cast("string")))
+        heads = named.where("fp = lead").select("component_id", F.col("lead").alias(own))
+        same = (several[own] == heads[own]) & (several["doc_id"].cast("long") == heads["component_id"])
+        several = several.join(heads, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
+        stays = single.union(several)
 
-    own = spare_name(docs, "fingerprint_of_row")
     nameless = docs.where("doc_id is null").withColumn(own, print_of(F.col("text").cast("string")))
     alone = named.where("component_id is null").select(F.col("fp").alias(own))
     nameless = nameless.join(alone, own, "left_semi").dropDuplicates([own]).drop(own)

@@ -127,3 +127,11 @@ def test_components(spark, shape):
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert len(found) == len(nodes)
     assert {r.node: r.component for r in found} == plain_components(nodes, edges)
+
+
+def test_an_id_with_several_texts_keeps_one_row_of_each_group(spark):
+    a, b, c = ("alpha beta gamma delta", "one two three four five", "red green blue black white")
+    rows = [(1, a), (1, a), (1, b), (2, a), (3, b), (5, c), (5, a), (4, c), (4, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == [(1, a), (1, b), (4, c)]
