@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scrubline.llm import (
     chat,
+    hosts,
     licences,
     mixing,
     near_vectors,
     oracles,
     pieces,
     quality,
+    resampling,
     sharding,
     simhash,
+    spelling,
     templates,
     topk,
 )
@@ -61,6 +64,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judged(table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_page_text": op1,
     "op2_exact_top_k": op2,
@@ -72,6 +87,9 @@ QUERIES = {
     "op8_shards": op8,
     "op9_quality": op9,
     "op10_simhash_near_duplicates": op10,
+    "op11_host_rules": op11,
+    "op12_spelling_variants": op12,
+    "op13_importance_resampling": op13,
 }
 
 # The others rest on hashes, fitted models or a tokenizer that SQL does not have.
@@ -79,4 +97,7 @@ ORACLES = {
     "op1_page_text": oracles.PAGE_TEXT,
     "op2_exact_top_k": oracles.TOP_K,
     "op5_embedding_near_duplicates": oracles.NEAR_VECTORS,
+    "op11_host_rules": oracles.HOST_RULES,
+    "op12_spelling_variants": oracles.SPELLING,
+    "op13_importance_resampling": oracles.RESAMPLING,
 }

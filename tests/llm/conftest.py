@@ -7,6 +7,7 @@ LABELS = "doc_id long, quality int, toxic int"
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
 SCHEMAS = {
     "documents": DOCUMENTS,
+    "benchmark": "item_id long, text string",
     "embeddings": EMBEDDINGS,
     "pages": PAGES,
     "labels": LABELS,
@@ -17,6 +18,7 @@ SCHEMAS = {
 CLASHING = (
     "size shard slot score predicted held_out fingerprint fp component_id n_links kept rank query_id range"
     " one before_one target taken position dice key cid copies list block host page tokens _score _position"
+    " n_words failed failed_rules word n form root weight falling id no_id"
 ).split()
 
 LONG = "the quick brown fox. " * 20_000
@@ -64,6 +66,7 @@ HARD = {
         (None, "no url", "<p>" + "word " * 50_000),
         (6, "http://b.example", "<b <i x='>unclosed <!-- a"),
     ],
+    "benchmark": [(1, "the quick brown fox"), (1, "the quick brown fox"), (2, None), (None, "")],
     "labels": [(1, 1, 0), (1, 0, 0), (2, 0, 1), (6, 1, None), (20, 0, 0), (None, 1, 1), (7, None, 0), (99, 1, 0), (4, 3, 0)],
     "conversations": [
         (1, 0, "user", "hi"),

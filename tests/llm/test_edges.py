@@ -92,6 +92,31 @@ def test_simhash(spark, hard_rows):
     assert {r[2] for r in found if r[0] == 0} == {None, 3} and by_id[-5][2] == -5
 
 
+def test_host_rules(spark, hard_rows):
+    found = run(spark, hard_rows, "op11")
+    assert len(found) == len(HARD["documents"])
+    by_id = {r["doc_id"]: r for r in found}
+    # The long text is one sentence over and over; all others are too short.
+    assert all(r["base_failed"] and not r["kept"] for r in found)
+    assert by_id[6]["n_words"] == by_id[6]["n_repeat_words"] == len(LONG.split()) and by_id[6]["failed_rules"] == "repeats"
+    assert (by_id[3]["n_words"], by_id[3]["word_chars"], by_id[3]["host"]) == (0, 0, None)
+
+
+def test_spelling(spark, hard_rows):
+    found = {r["word"]: r for r in run(spark, hard_rows, "op12")}
+    assert found["quick"] == {"word": "quick", "form": None, "root": "quick", "n": 20_000, "n_near": 0, "form_n": None}
+    assert set(found) == {"quick", "brown"}
+
+
+def test_resampling(spark, hard_rows):
+    found = run(spark, hard_rows, "op13")
+    assert len(found) == len(HARD["documents"])
+    by_id = {r["doc_id"]: r for r in found}
+    assert by_id[6]["n_features"] == 2 * len(LONG.split()) - 1
+    # A quarter of one text with enough words is none.
+    assert all(r["rank"] is None for r in found) and by_id[3]["weight"] == 0
+
+
 def test_licences(spark, hard_rows):
     found = {r["doc_id"]: r for r in run(spark, hard_rows, "op4") if r["doc_id"] is not None}
     assert found[-5]["labels"] == found[-5]["base_labels"] == "mit" and found[-5]["score"] == 1.0
