@@ -22,8 +22,8 @@ BASE = 0b11
 # A rule binds on a host from this shrunk rate on; a host is closed from this shrunk rate of failing documents on.
 BINDING_RATE = 0.01
 CLOSED_RATE = 0.5
-# Bounds of the share of the variance that lies between hosts: a prior worth 9,999 documents, or one.
-LEAST_BETWEEN, MOST_BETWEEN = 1e-4, 0.5
+# Bounds of the share of the variance that lies between hosts: a prior worth 9,999 documents, or nine.
+LEAST_BETWEEN, MOST_BETWEEN = 1e-4, 0.1
 # Hosts with more documents are joined by broadcast, which at most a hundred-thousandth of the rows can be.
 HEAVY_HOST = 100_000
 

@@ -91,7 +91,7 @@ moments as (
 priors as (
   select rule, m, (1 - between_hosts) / between_hosts as strength from (
     select rule, m, case when m * (1 - m) > 0 and gain > 0
-      then least(greatest((spread - m * (1 - m) * chance) / (m * (1 - m) * gain), 0.0001), 0.5)
+      then least(greatest((spread - m * (1 - m) * chance) / (m * (1 - m) * gain), 0.0001), 0.1)
       else 0.0001 end as between_hosts from moments)),
 rates as (select host, rule, (f + m * strength) / (n + strength) as rate from hosts join priors using (rule)),
 verdicts as (

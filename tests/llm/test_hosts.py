@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from scrubline.llm import hosts
 
 DOCS = "doc_id long, text string, source string"
-GOOD = " ".join(f"word{i} of a plain story," for i in range(20))
+GOOD = " ".join(f"word{i} of{i} a plain{i} story," for i in range(20))
 ODD = " ".join(f"word{i} ###" for i in range(60))
 
 
@@ -70,7 +70,7 @@ def test_prior():
     alpha, beta = hosts.beta_prior(10, 1000, 10 * 100**2, 100, 10 * 10**2 / 100)
     assert alpha + beta == pytest.approx(1 / hosts.LEAST_BETWEEN - 1) and alpha / (alpha + beta) == pytest.approx(0.1)
     alpha, beta = hosts.beta_prior(10, 1000, 10 * 100**2, 500, 5 * 100**2 / 100)
-    assert (alpha, beta) == pytest.approx((0.5, 0.5))
+    assert (alpha, beta) == pytest.approx((4.5, 4.5))
     # Rates drawn from a known distribution are found again.
     dice = random.Random(1)
     rates = [dice.betavariate(2, 18) for _ in range(4000)]
