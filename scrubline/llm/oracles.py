@@ -68,7 +68,7 @@ lines as (
   from (select r, unnest(string_split(text, chr(10))) as line from docs)
   where regexp_matches(line, '[^\x20\x09-\x0D]') group by r),
 counts as (
-  select doc_id, source as host, cast(len(words) as bigint) as n_words,
+  select doc_id, nullif(source, '') as host, cast(len(words) as bigint) as n_words,
     cast(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as bigint) as word_chars,
     cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
     cast(coalesce(l.n, 0) as bigint) as n_lines, cast(coalesce(l.n - l.n_distinct, 0) as bigint) as n_dup_lines,
