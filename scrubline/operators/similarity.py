@@ -5,19 +5,24 @@ Two keys ``a`` and ``b`` of lengths m >= n match when the indel similarity
 ``D = (100 - threshold) * (m + n) / 100`` characters are deleted or inserted
 between them, with ``D`` of the same parity as ``m + n``.
 
-Blocking cuts the longer key into ``D + 2`` disjoint segments, of which at least
-two are intact. Walk over the segments and count the edits so far less the
-segments so far: the count falls by one at intact segments only, starts at 0 and
-ends at -2 or less. So there is a first intact segment number ``i`` with exactly
-``i`` edits on its left, and a later intact one, number ``k``, with exactly
-``k - 1``. The shorter key holds them at distances ``s`` and ``t`` from their own
-positions with ``|s| <= i`` and ``|t - s| <= k - 1 - i``, of the same parities,
-and ``|t + m - n| <= D - k + 1`` for what is right of them.
-
-So every matching pair shares the signature (m, i, text of segment i), and where
-more than a few keys have that one, the signature extended by (k, text of segment
-k). Signatures get longer where names crowd, so the number of keys that meet in
-one does not grow with the table unless the names themselves are alike.
+Blocking cuts the longer key into at least ``D + 2`` disjoint segments. Walk over
+the segments from the left and count the edits so far less the segments so far:
+the count falls by one at intact segments only, starts at 0 and ends below. So
+there is a first intact segment number ``i`` with exactly ``i`` edits on its left.
+The shorter key holds it at a distance ``s`` from its own position, ``|s| <= i``
+and of the same parity. The same walk from the right finds an intact segment
+number ``j`` with exactly as many edits on its right as there are segments. With
+``D + 2`` segments ``i < j``: were they the same, its two sides would hold
+``D + 1`` edits, and were ``j`` on the left of ``i``, more.
+
+So every matching pair shares the signature (length, i, text of segment i). Where
+more than a few keys share that, it is extended by (j, text of segment j), the two
+outermost segments that any pair must share. Signatures get longer where names
+crowd, so the keys that meet in one grow slowly with the table, unless names share
+a long ending: both segments may lie in that.
+
+Beyond a length, keys are cut by the shortest length of a class ten percent wide;
+what is left over at their end counts as right of the last segment.
 
 Candidates then pass a character-count filter inside the join and only the
 survivors go to the LCS check; no pair that matches is lost.
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,10 +47,13 @@ from scrubline.workspace import written
 
 # Keys longer than this are probed without positions: the number of allowed
 # positions grows with the square of the length.
-POSITIONAL_LENGTH = 64
+POSITIONAL_LENGTH = 128
+# Keys up to this length are cut by their own length, longer ones by that of the
+# shortest key of a class of lengths ten percent wide.
+EXACT_LENGTH = 48
 
-# Keys that may share a signature of one segment before a second one is added.
-CROWDED = 8
+# Keys that may share a signature before it is extended.
+CROWDED = 2
 
 # Index rows one join cell may hold before its signature is cut into a grid.
 HOT_SIGNATURE_ROWS = 4096
@@ -98,7 +107,12 @@ def _bit_set(bits: str, low: int) -> Column:
 class Blocking:
     """Signatures for one similarity threshold (percent, above 50 and up to 100)."""
 
-    def __init__(self, threshold: int = SIMILARITY_THRESHOLD, positional: int = POSITIONAL_LENGTH):
+    def __init__(
+        self,
+        threshold: int = SIMILARITY_THRESHOLD,
+        positional: int = POSITIONAL_LENGTH,
+        exact: int = EXACT_LENGTH,
+    ):
         if not 50 < threshold <= 100:
             raise ValueError("the similarity threshold must be above 50 and at most 100")
         self.threshold = threshold
@@ -106,6 +120,14 @@ class Blocking:
         slack = 100 - threshold
         # Longest segments of which a key of any length holds one more than its budget.
         self.segment = positional if slack == 0 else (99 // (2 * slack))
+        # The class of each length up to the positional one, as its bounds.
+        self.lows, self.highs = [], []
+        low = 1
+        while low <= positional:
+            high = low if low <= exact else min(positional, max(low, int(low * 1.1)))
+            self.lows += [low] * (high - low + 1)
+            self.highs += [high] * (high - low + 1)
+            low = high + 1
 
     def budget(self, m: Column, n: Column) -> Column:
         """Most edits between matching keys of these lengths; below zero for none."""
@@ -119,92 +141,74 @@ class Blocking:
     def longest_partner(self, n: Column) -> Column:
         return F.floor(n * (200 - self.threshold) / self.threshold).cast("int")
 
-    def cut(self, m: Column, i: Column) -> Column:
-        """Where segment ``i`` of a key of length ``m`` begins."""
-        return F.floor(i * m / (self.widest_budget(m) + 2)).cast("int")
+    def _class(self, m: Column) -> Column:
+        bounds = [F.get(F.array(*map(F.lit, side)), m - 1) for side in (self.lows, self.highs)]
+        return F.struct(bounds[0].alias("low"), bounds[1].alias("high"))
+
+    # The two tables below depend on the threshold and the longest key only: a
+    # hundred thousand rows of small numbers at most, which are broadcast.
 
-    # The two tables below depend on the threshold only, not on the data: some
-    # ten thousand rows of small numbers, a megabyte, which are broadcast.
+    def segment_table(self, spark: SparkSession, longest: int) -> DataFrame:
+        """(len, low, widest, i, at, size): the segments of a key, by key length.
 
-    def segment_table(self, spark: SparkSession) -> DataFrame:
-        """(len, m, i, at, size): the segments of a key, by key length."""
-        m, i = F.col("len"), F.col("i")
+        ``widest`` is the most edits in the key's class of lengths, of which ``low`` is the shortest.
+        """
         return (
-            spark.range(1, self.positional + 1)
+            spark.range(1, min(longest, self.positional) + 1)
             .select(F.col("id").cast("int").alias("len"))
-            .where(self.widest_budget(m) > 0)
-            .withColumn("i", F.explode(F.sequence(F.lit(0), self.widest_budget(m))))
-            .select("len", m.alias("m"), "i", *self._span(m, i, F.lit(0)))
+            .select("len", self._class(F.col("len")).alias("class"))
+            .select("len", "class.low", self.widest_budget(F.col("class.high")).alias("widest"))
+            .where(F.col("widest") > 0)
+            .withColumn("i", F.explode(F.sequence(F.lit(0), "widest")))
+            .select("*", *_span(F.col("i"), F.lit(0)))
         )
 
-    def probe_table(self, spark: SparkSession) -> DataFrame:
-        """(len, m, i, shift, at, size): where a key may hold a longer key's segment."""
-        n, m, i, shift = F.col("len"), F.col("m"), F.col("i"), F.col("shift")
-        longest = F.least(F.lit(self.positional), self.longest_partner(n))
-        at, size = self._span(m, i, shift)
+    def probe_table(self, spark: SparkSession, longest: int) -> DataFrame:
+        """(len, low, widest, step, near, far, d, i, s, at, size): where a key may hold a longer key's segment.
+
+        ``near`` and ``far`` are the least and the greatest length that the longer key may have, ``d``
+        the most edits; ``s`` is how far the segment is shifted. ``step`` is 2 where the length is one.
+        """
+        n, i, s = F.col("len"), F.col("i"), F.col("s")
+        near, far = F.greatest("class.low", n), F.least("class.high", self.longest_partner(n))
+        lengths = F.sequence(n, F.least(F.lit(self.positional), self.longest_partner(n)))
+        left = F.col("d") - i
         return (
-            spark.range(1, self.positional + 1)
+            spark.range(1, min(longest, self.positional) + 1)
             .select(F.col("id").cast("int").alias("len"))
-            .withColumn("m", F.explode(F.sequence(n, longest)))
-            .withColumn("d", self.budget(m, n))
+            .select("len", F.explode(F.array_distinct(F.transform(lengths, self._class))).alias("class"))
+            .select(
+                "len",
+                "class.low",
+                self.widest_budget(F.col("class.high")).alias("widest"),
+                F.when(F.col("class.low") == F.col("class.high"), 2).otherwise(1).alias("step"),
+                near.alias("near"),
+                far.alias("far"),
+            )
+            .withColumn("d", F.greatest(self.budget(F.col("far"), n), self.budget(F.greatest("near", F.col("far") - 1), n)))
             .where(F.col("d") > 0)
             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d"))))
-            .withColumn("shift", F.explode(F.sequence(-i, i, F.when(i > 0, 2).otherwise(1))))
-            .where(F.abs(shift + m - n) <= F.col("d") - i)
-            .where((at >= 0) & (at + size <= n))
-            .select("len", "m", "i", "shift", at, size)
+            .withColumn("s", F.explode(F.sequence(-i, i, F.when(i > 0, 2).otherwise(1))))
+            .where((s <= left + n - F.col("near")) & (s >= n - F.col("far") - left))
+            .select("*", *_span(i, s))
+            .where((F.col("at") >= 0) & (F.col("at") + F.col("size") <= n))
         )
 
-    def _span(self, m: Column, i: Column, shift: Column) -> list[Column]:
-        start = self.cut(m, i)
-        return [(start + shift).alias("at"), (self.cut(m, i + 1) - start).alias("size")]
-
     @staticmethod
     def _signed(keys: DataFrame, table: DataFrame) -> DataFrame:
         text = F.substr("key", F.col("at") + 1, F.col("size"))
-        return keys.join(F.broadcast(table), "len").withColumn("sig", F.xxhash64("m", "i", text))
+        rows = keys.join(F.broadcast(table), "len").withColumn("sig", F.xxhash64("low", "i", text))
+        return rows.drop("at", "size")
 
-    def index_rows(self, keys: DataFrame) -> DataFrame:
+    def index_rows(self, keys: DataFrame, longest: int) -> DataFrame:
         """Signature rows of ``keys`` in the role of the longer key."""
-        return self._signed(keys, self.segment_table(keys.sparkSession))
+        return self._signed(keys, self.segment_table(keys.sparkSession, longest))
 
-    def probe_rows(self, keys: DataFrame) -> DataFrame:
+    def probe_rows(self, keys: DataFrame, longest: int) -> DataFrame:
         """Signature rows of ``keys`` in the role of the shorter key."""
-        return self._signed(keys, self.probe_table(keys.sparkSession))
-
-    def extended_index(self) -> Column:
-        """The signatures of a crowded index row with a second segment each."""
-        m, i = F.col("m"), F.col("i")
-
-        def signature(k: Column) -> Column:
-            start = self.cut(m, k)
-            text = F.substr(F.col("key"), start + 1, self.cut(m, k + 1) - start)
-            return F.xxhash64("sig", k, text)
-
-        return F.transform(F.sequence(i + 1, self.widest_budget(m) + 1), signature)
-
-    def extended_probe(self) -> Column:
-        """The signatures of a crowded probe row: every place of a second segment."""
-        n, m, i, s = F.col("len"), F.col("m"), F.col("i"), F.col("shift")
-        budget = self.budget(m, n)
-
-        def at_segment(k: Column) -> Column:
-            start, end, far = self.cut(m, k), self.cut(m, k + 1), k - 1 - i
-            # Shifts by whole steps of two, numbered from 0.
-            shifts = F.transform(F.sequence(F.lit(0), far), lambda step: s - far + 2 * step)
-            good = F.filter(
-                shifts,
-                lambda t: (F.abs(t + m - n) <= budget - k + 1)
-                & (start + t >= self.cut(m, i + 1) + s)
-                & (end + t <= n),
-            )
-            return F.transform(
-                good, lambda t: F.xxhash64("sig", k, F.substr(F.col("key"), start + t + 1, end - start))
-            )
-
-        return F.array_distinct(F.flatten(F.transform(F.sequence(i + 1, budget + 1), at_segment)))
+        return self._signed(keys, self.probe_table(keys.sparkSession, longest))
 
-    # Keys beyond the positional length share segments of a length class at any place.
+    # Keys beyond the positional length share segments of a wide class of lengths at any place.
 
     def long_index(self, keys: DataFrame) -> DataFrame:
         m = F.col("len")
@@ -255,6 +259,41 @@ class Blocking:
         )
 
 
+def _cut(i: Column) -> Column:
+    """Where segment ``i`` begins in a key of the class of lengths from ``low`` on."""
+    return F.call_function("div", i * F.col("low"), F.col("widest") + 2).cast("int")
+
+
+def _span(i: Column, shift: Column) -> list[Column]:
+    return [(_cut(i) + shift).alias("at"), (_cut(i + 1) - _cut(i)).alias("size")]
+
+
+def _steps(centre: Column, reach: Column, step: Column) -> Column:
+    """From ``centre - reach`` to ``centre + reach``."""
+    return F.sequence(centre - reach, centre + reach, step)
+
+
+def add_last_segment(rows: DataFrame, probe: bool) -> DataFrame:
+    """Extend by the intact segment ``j`` that has as many edits on its right as there are segments.
+
+    A probe row may hold it at several shifts ``t``.
+    """
+    i, j, s, t, n = (F.col(c) for c in ("i", "j", "s", "t", "len"))
+    last = F.col("widest") + 1
+    rows = rows.withColumn("j", F.explode(F.sequence(i + 1, last)))
+    if probe:
+        between = j - i - 1 - (F.col("widest") - F.col("d"))
+        rows = rows.where(between >= 0).withColumn("t", F.explode(_steps(s, between, F.col("step"))))
+        rows = rows.where(
+            (t >= n - F.col("far") - (last - j))
+            & (t <= n - F.col("near") + (last - j))
+            & (_cut(j) + t >= _cut(i + 1) + s)
+            & (_cut(j + 1) + t <= n)
+        )
+    at, size = _span(j, t if probe else F.lit(0))
+    return rows.withColumn("sig", F.xxhash64("sig", "j", F.substr("key", at + 1, size)))
+
+
 def _length_class(m: Column) -> Column:
     """Classes about ten percent wide."""
     return F.floor(F.log(m.cast("double")) / math.log(1.1)).cast("int")
@@ -274,19 +313,20 @@ def meeting_rows(
     longer: DataFrame, shorter: DataFrame, blocking: Blocking, longest: int
 ) -> tuple[DataFrame, DataFrame]:
     """The signature rows of both sides, extended where a signature is crowded."""
-    index, probe = blocking.index_rows(longer), blocking.probe_rows(shorter)
-    sizes = index.groupBy("sig").agg(F.count("*").alias("keys"))
-    crowded = F.col("keys") > CROWDED
-    both = []
-    # Probe rows whose signature no key has end here.
-    for rows, extended in ((index, blocking.extended_index()), (probe, blocking.extended_probe())):
-        counted = rows.join(sizes.hint("shuffle_hash"), "sig")
-        plain = F.array("sig")
-        both.append(counted.withColumn("sig", F.explode(F.when(crowded, extended).otherwise(plain))))
-    index, probe = _sides(both[0], "a"), _sides(both[1], "b")
+    index, probe = blocking.index_rows(longer, longest), blocking.probe_rows(shorter, longest)
+    counts = index.groupBy("sig").agg(F.count("*").alias("keys"))
+    # Stored, so that Spark knows its size and broadcasts it only while it is small.
+    crowded = written(counts.where(F.col("keys") > CROWDED).select("sig"), "crowded")
+    sides = []
+    for rows, side in ((index, "a"), (probe, "b")):
+        parts = [_sides(rows.join(crowded, "sig", "left_anti"), side)]
+        dense = rows.join(crowded, "sig", "left_semi")
+        parts.append(_sides(add_last_segment(dense, probe=side == "b"), side))
+        sides.append(parts)
     if longest > blocking.positional:
-        index = index.unionByName(_sides(blocking.long_index(longer), "a"))
-        probe = probe.unionByName(_sides(blocking.long_probe(shorter), "b"))
+        sides[0].append(_sides(blocking.long_index(longer), "a"))
+        sides[1].append(_sides(blocking.long_probe(shorter), "b"))
+    index, probe = (reduce(DataFrame.unionByName, parts) for parts in sides)
     return index, probe
 
 
