@@ -24,9 +24,10 @@ from scrubline.workspace import scratch_path, written  # noqa: E402
 try:
     import corpus_pipeline  # noqa: E402
     from scrubline.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as missing:
-    # The training-data operators are an optional part; anything else that is missing is an error.
-    if missing.name not in ("corpus_pipeline", "scrubline.llm"):
+except ImportError as missing:
+    # The training-data operators are an optional part, with libraries of their own. Anything that is
+    # missing from the rest of the package is an error.
+    if (missing.name or "").startswith("scrubline.") and not missing.name.startswith("scrubline.llm"):
         raise
     corpus_pipeline = llm = None
 
@@ -88,6 +89,30 @@ def impossible_dates_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.col("category") == fixed.IMPOSSIBLE_DATES).select("record_key")
 
 
+def dates_day_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change orders opened at dates like 13/1/2024 or 13.1.2024 8:05, closed at dates like 1/13/2024.
+
+    Orders of a month with 12 days or fewer alone could be read both ways; their columns say how.
+    """
+    orders = messy(spark, sf_dir, "change_orders_messy")
+    opened = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("opened_at", "d.M.yyyy H:mm"))
+    opened = opened.otherwise(F.date_format("opened_at", "d/M/yyyy"))
+    return orders.withColumns({"opened_at": opened, "closed_at": F.date_format("closed_at", "M/d/yyyy")})
+
+
+def impossible_dates_day_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return d.change_order_defects(dates_day_first(spark, sf_dir)).where(
+        F.col("category") == fixed.IMPOSSIBLE_DATES
+    ).select("record_key")
+
+
+def date_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How both columns write dates, and a column of days up to the twelfth, which nothing settles."""
+    rows = dates_day_first(spark, sf_dir)
+    early = F.when(F.split("opened_at", "[/.]")[0].cast("int") <= 12, F.replace("opened_at", F.lit("/"), F.lit("-")))
+    return d.date_orders(rows.withColumn("early", early), ("opened_at", "closed_at", "early"))
+
+
 def unparsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.unparsed_dates(dates_in_formats(spark, sf_dir))
 
@@ -152,7 +177,7 @@ def outcomes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_scorecard(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Scores of near-duplicate pairs alone, for codes that repeat or hold arrows."""
+    """Scores of near-duplicate pairs alone, for codes that repeat, share names or hold arrows."""
     index = similarity.duplicate_index(messy(spark, sf_dir, f"suppliers_{kind}"))
     counts = scoring.pair_counts(index, messy(spark, sf_dir, f"truth_{kind}"))
     return scoring.scorecard_of(counts, unrounded=True)
@@ -411,11 +436,15 @@ def queries() -> dict[str, Query]:
         "csv_line_breaks": csv_line_breaks,
         "impossible_dates_formats": impossible_dates_formats,
         "unparsed_dates": unparsed_dates,
+        "impossible_dates_day_first": impossible_dates_day_first,
+        "date_orders": date_orders,
         "normalize_file_order": normalize_file_order,
         "numbered_name_groups": lambda s, sf: grouping.name_groups(
             messy(s, sf, "numbered")
         ).select("canonical", "variant", "score"),
         "scorecard_repeated_codes": lambda s, sf: pair_scorecard(s, sf, "repeated"),
+        "scorecard_shared_name": lambda s, sf: pair_scorecard(s, sf, "shared"),
+        "scorecard_many_names": lambda s, sf: pair_scorecard(s, sf, "many"),
         "scorecard_arrow_codes": lambda s, sf: pair_scorecard(s, sf, "arrows"),
         "validation_scorecard": validation_scorecard,
         "validation_keys": validation_keys,

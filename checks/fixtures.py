@@ -89,6 +89,14 @@ select s_suppkey, case s_suppkey % 5 when 0 then 'A->B' when 1 then 'A' when 2 t
   else 'C' end || case when s_suppkey % 2 = 0 then '' else '->' || cast(s_suppkey % 7 as string) end
   as supplier_code, name, contact_email
 from suppliers_messy"""
+# Every code also with a name that all share, and few codes with many names each.
+SHARED = """
+select s_suppkey, supplier_code, name from suppliers_messy
+union all select 1000000 + s_suppkey, supplier_code,
+  case when s_suppkey % 2 = 0 then 'Unknown Vendor' else 'VENDOR unknown' end from suppliers_messy"""
+MANY_NAMES = f"""
+select s_suppkey, 'SUP-' || {padded("s_suppkey % 3", 4)} as supplier_code, name from suppliers_messy
+union all select 1000000 + s_suppkey, 'ONE-' || {padded("s_suppkey", 4)}, name from suppliers_messy"""
 # Plain numbered names, nearly all of them alike.
 NUMBERED = f"""
 select s_suppkey, 'SUP-' || {padded("s_suppkey", 4)} as supplier_code, s_name as name from supplier"""
@@ -111,6 +119,10 @@ MESSY = {
     "truth_repeated": pair_truth("suppliers_repeated"),
     "suppliers_arrows": ARROWS,
     "truth_arrows": pair_truth("suppliers_arrows"),
+    "suppliers_shared": SHARED,
+    "truth_shared": pair_truth("suppliers_shared"),
+    "suppliers_many": MANY_NAMES,
+    "truth_many": pair_truth("suppliers_many"),
     "numbered": NUMBERED,
 }
 
@@ -128,6 +140,10 @@ DERIVED = {
     "truth_repeated": ["suppliers_repeated"],
     "suppliers_arrows": ["suppliers_messy"],
     "truth_arrows": ["suppliers_arrows"],
+    "suppliers_shared": ["suppliers_messy"],
+    "truth_shared": ["suppliers_shared"],
+    "suppliers_many": ["suppliers_messy"],
+    "truth_many": ["suppliers_many"],
 }
 
 

@@ -359,6 +359,22 @@ ORACLES = {
         """select co_number as record_key from change_orders_messy
         where closed_at < opened_at and o_orderkey % 7 not in (5, 6)"""
     ),
+    "impossible_dates_day_first": with_messy(
+        "select co_number as record_key from change_orders_messy where closed_at < opened_at"
+    ),
+    "date_orders": with_messy(
+        """, dated as (
+          select 'opened_at' as "column", case when o_orderkey % 3 = 0 then '.' else '/' end as separator,
+            day(opened_at) as first, month(opened_at) as second from change_orders_messy
+          union all select 'closed_at', '/', month(closed_at), day(closed_at) from change_orders_messy
+          union all select 'early', case when o_orderkey % 3 = 0 then '.' else '-' end, day(opened_at), month(opened_at)
+            from change_orders_messy where day(opened_at) <= 12)
+        select *, case when day_first > month_first then 'day_first' when month_first > day_first then 'month_first'
+          else 'ambiguous' end as "order" from (
+          select "column", separator, count(*) filter (first > 12) as day_first,
+            count(*) filter (second > 12) as month_first, count(*) filter (first <= 12 and second <= 12) as either
+          from dated where first is not null group by all)"""
+    ),
     "unparsed_dates": with_messy(
         """select 'closed_at' as "column", count(*) as n from change_orders_messy
           where closed_at is not null and o_orderkey % 7 in (5, 6)
@@ -374,6 +390,8 @@ ORACLES = {
         in_order("min(supplier_code)", "numbered"), "select canonical, variant, score from groups"
     ),
     "scorecard_repeated_codes": _with(pair_scores("suppliers_repeated", "truth_repeated"), SCORES),
+    "scorecard_shared_name": _with(pair_scores("suppliers_shared", "truth_shared"), SCORES),
+    "scorecard_many_names": _with(pair_scores("suppliers_many", "truth_many"), SCORES),
     "scorecard_arrow_codes": _with(pair_scores("suppliers_arrows", "truth_arrows"), SCORES),
     "validation_scorecard": _with(f"{FIVE}, {ALL_DETECTED}, {SIDES}, {RATED}", ROUNDED),
     "validation_keys": _with(

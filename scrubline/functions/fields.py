@@ -43,11 +43,8 @@ def invalid_email(email: Column) -> Column:
     return F.coalesce(malformed & ~text.isin(MISSING_EMAILS), F.lit(False))
 
 
-# Tried in this order for text that is not in ISO form; month before day.
+# Tried in this order for text that is neither in ISO form nor three numbers with separators.
 DATE_FORMATS = [
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
     "yyyy/M/d",
     "yyyy/M/d H:mm:ss",
     "yyyyMMdd",
@@ -58,19 +55,33 @@ DATE_FORMATS = [
     "MMMM d, yyyy",
     "d MMMM yyyy",
 ]
+# Day and month in either order, with the year behind them: first number, separator, second number.
+DAY_AND_MONTH = r"^(\d{1,2})([/.-])(\d{1,2})\2\d{4}(?!\d)"
+SEPARATORS = "/.-"
+_TIMES = ["", " H:mm", " H:mm:ss"]
 
 
-def lenient_timestamp(value: Column, formats: list[str] | None = None) -> Column:
+def lenient_timestamp(value: Column, formats: list[str] | None = None, day_first: str = "") -> Column:
     """Timestamp, or NULL where the value does not parse.
 
-    ISO text first, then the formats in order. A time without a date is no
-    timestamp, so no result depends on the day of the run.
+    ISO text first, then the formats in order. Without ``formats``, numbers like 3/4/2024 are read
+    month before day, or day before month if their separator is one of ``day_first``, and the other
+    way round where that gives no date. A time without a date is no timestamp, so no result depends
+    on the day of the run.
     """
     text = strip(value.cast("string"))
     iso = F.when(text.rlike(r"^\d{4}(-|$)"), F.try_to_timestamp(text))
-    given = DATE_FORMATS if formats is None else formats
+    read = lambda value, given: F.coalesce(*[F.try_to_timestamp(value, F.lit(f)) for f in given])
+    if formats is not None:
+        others = read(text, formats) if formats else F.lit(None)
+    else:
+        slashed = F.regexp_replace(text, r"^(\d{1,2})[.-](\d{1,2})[.-]", "$1/$2/")
+        orders = [[f"{order}/yyyy{time}" for time in _TIMES] for order in ("M/d", "d/M")]
+        numbers = F.when(
+            F.regexp_extract(text, DAY_AND_MONTH, 2).isin(list(day_first)), read(slashed, orders[1] + orders[0])
+        ).otherwise(read(slashed, orders[0] + orders[1]))
+        others = F.when(text.rlike(DAY_AND_MONTH), numbers).otherwise(read(text, DATE_FORMATS))
     # Most text is in ISO form, so the formats are tried on the rest only.
-    others = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in given]) if given else F.lit(None)
     return F.coalesce(iso, F.when(text.rlike(r"\d{1,2}.*\d"), others))
 
 

@@ -138,6 +138,9 @@ def unknown_states(df: DataFrame, col: str = "state") -> DataFrame:
 # --- dates ----------------------------------------------------------------------
 
 
+DATE_COLUMNS = ("opened_at", "closed_at")
+
+
 def impossible_dates(
     df: DataFrame,
     open_col: str = "opened_at",
@@ -147,8 +150,7 @@ def impossible_dates(
     """Rows closed before they were opened; values that do not parse are skipped."""
     if open_col not in df.columns or close_col not in df.columns:
         return no_defects(df.sparkSession)
-    opened = _as_timestamp(df, open_col, formats)
-    closed = _as_timestamp(df, close_col, formats)
+    opened, closed = _as_timestamps(df, [open_col, close_col], formats)
     wrong = df.where(fields.closed_before_opened(opened, closed))
     return defects(
         fixed.IMPOSSIBLE_DATES,
@@ -160,27 +162,65 @@ def impossible_dates(
 
 
 def unparsed_dates(
-    df: DataFrame, columns: tuple[str, ...] = ("opened_at", "closed_at"), formats: list[str] | None = None
+    df: DataFrame, columns: tuple[str, ...] = DATE_COLUMNS, formats: list[str] | None = None
 ) -> DataFrame:
     """(column, n): values that hold text but no date, which the date check skips."""
+    present = [c for c in columns if c in df.columns]
     counts = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.count_if(F.col(c).isNotNull() & _as_timestamp(df, c, formats).isNull()).alias("n"),
-        )
-        for c in columns
-        if c in df.columns
+        F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNotNull() & value.isNull()).alias("n"))
+        for c, value in zip(present, _as_timestamps(df, present, formats), strict=True)
     ]
     if not counts:
         return df.sparkSession.createDataFrame([], "column string, n bigint")
     return df.agg(F.array(*counts).alias("found")).select(F.inline("found"))
 
 
-def _as_timestamp(df: DataFrame, col: str, formats: list[str] | None) -> Column:
+def date_orders(df: DataFrame, columns: tuple[str, ...] = DATE_COLUMNS) -> DataFrame:
+    """(column, separator, day_first, month_first, either, order): how text columns write day and month.
+
+    Counts values like 13/1/2024 that only read with the day first, like 1/13/2024 that only read with
+    the month first, and like 3/4/2024 that read both ways. ``order`` is what the first two say by
+    majority; ``ambiguous`` if they are equal, as where there are none: then the month is taken first.
+    One pass over the rows gives a row for each column and separator in use.
+    """
+    found = []
+    for c in columns:
+        if c not in df.columns or _is_typed(df, c):
+            continue
+        text = F.trim(F.col(c).cast("string"))
+        part = lambda at, text=text: F.regexp_extract(text, fields.DAY_AND_MONTH, at)
+        first, second = part(1).try_cast("int"), part(3).try_cast("int")
+        for separator in fields.SEPARATORS:
+            counts = {
+                "day_first": first.between(13, 31) & second.between(1, 12),
+                "month_first": first.between(1, 12) & second.between(13, 31),
+                "either": first.between(1, 12) & second.between(1, 12),
+            }
+            counted = [F.count_if((part(2) == separator) & is_so).alias(name) for name, is_so in counts.items()]
+            found.append(F.struct(F.lit(c).alias("column"), F.lit(separator).alias("separator"), *counted))
+    if not found:
+        schema = "column string, separator string, day_first bigint, month_first bigint, either bigint, order string"
+        return df.sparkSession.createDataFrame([], schema)
+    days, months = F.col("day_first"), F.col("month_first")
+    order = F.when(days > months, "day_first").when(months > days, "month_first").otherwise("ambiguous")
+    rows = df.agg(F.array(*found).alias("found")).select(F.inline("found"))
+    return rows.where(days + months + F.col("either") > 0).withColumn("order", order)
+
+
+def _is_typed(df: DataFrame, col: str) -> bool:
+    return df.schema[col].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
+
+
+def _as_timestamps(df: DataFrame, columns: list[str], formats: list[str] | None) -> list[Column]:
+    """The columns as timestamps. Without ``formats``, text columns are first asked for their order of day
+    and month, in one pass that returns a few rows; a stream takes the month first."""
+    text = [c for c in columns if not _is_typed(df, c)]
+    day_first = dict.fromkeys(columns, "")
+    if formats is None and text and not df.isStreaming:
+        for row in date_orders(df, tuple(text)).where(F.col("order") == "day_first").collect():
+            day_first[row["column"]] += row["separator"]
     # Typed columns are compared as they are, so the scan can still use them.
-    if df.schema[col].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
-        return F.col(col)
-    return fields.lenient_timestamp(F.col(col), formats)
+    return [F.col(c) if c not in text else fields.lenient_timestamp(F.col(c), formats, day_first[c]) for c in columns]
 
 
 def change_order_defects(
@@ -194,7 +234,7 @@ def change_order_defects(
     checks = []
     rows = df
     if open_col in df.columns and close_col in df.columns:
-        opened, closed = _as_timestamp(df, open_col, formats), _as_timestamp(df, close_col, formats)
+        opened, closed = _as_timestamps(df, [open_col, close_col], formats)
         detail = F.concat(F.lit("opened "), F.col(open_col).cast("string"))
         found = defect(fixed.IMPOSSIBLE_DATES, df, "co_number", F.col(close_col), detail)
         checks.append(F.when(fields.closed_before_opened(opened, closed), found))

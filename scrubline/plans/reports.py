@@ -108,6 +108,10 @@ def details(
             rows(states, "unknown", d.unknown_states(change_orders), "state"),
             rows(dates, "unparsed", unparsed, "column", "n"),
         ]
+        if formats is None:
+            orders = d.date_orders(change_orders).withColumn("n", F.col("day_first") + F.col("month_first") + F.col("either"))
+            orders = orders.withColumn("shown", F.concat("column", F.lit(" "), "separator"))
+            tables.append(rows(dates, "day_order", orders, "order", "n", "shown"))
     if groups is not None:
         sizes = groups.groupBy("canonical").agg(F.count("*").alias("n"))
         tables += [

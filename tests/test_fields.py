@@ -2,6 +2,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from scrubline.functions import fields, rates, text
+from scrubline.operators import detect
 
 
 def apply(frame, expression, values):
@@ -116,3 +117,28 @@ def test_rates(frame):
     assert out[2].p4 == 0.0312
     assert [r.h for r in out] == ["red", "green", "green"]
     assert [r.pc for r in out] == ["0.0%", "100.0%", "95.0%"]
+
+
+def test_day_and_month_in_either_order(frame):
+    values = ["13/1/2024", "1/13/2024", "3.4.2024", "3-4-2024 8:05", "31/4/2024", "3/4-2024"]
+    read = lambda day_first: [
+        None if p is None else str(p)[:16]
+        for p in apply(frame, lambda c: fields.lenient_timestamp(c, day_first=day_first), values)
+    ]
+    both = ["2024-01-13 00:00", "2024-01-13 00:00"]
+    assert read("") == [*both, "2024-03-04 00:00", "2024-03-04 08:05", None, None]
+    assert read("/.") == [*both, "2024-04-03 00:00", "2024-03-04 08:05", None, None]
+
+
+def test_columns_say_in_which_order_they_write_dates(frame):
+    schema = "co_number string, opened_at string, closed_at string"
+    # Opened with the day first: 5/3 is the fifth of March. Closed with the month first: 3/4 is the fourth.
+    rows = [("1", "5/3/2024", "3/4/2024"), ("2", "25/3/2024", "3/26/2024"), ("3", "1.2.2024", "2.1.2024"), ("4", None, "")]
+    df = frame(rows, schema)
+    assert {tuple(r) for r in detect.date_orders(df).collect()} == {
+        ("opened_at", "/", 1, 0, 1, "day_first"), ("closed_at", "/", 0, 1, 1, "month_first"),
+        ("opened_at", ".", 0, 0, 1, "ambiguous"), ("closed_at", ".", 0, 0, 1, "ambiguous"),
+    }
+    assert [r.record_key for r in detect.impossible_dates(df).collect()] == ["1"]
+    assert sorted(r.record_key for r in detect.impossible_dates(df, formats=["M/d/yyyy"]).collect()) == ["1"]
+    assert detect.date_orders(df.select("co_number")).count() == 0

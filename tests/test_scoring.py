@@ -111,3 +111,45 @@ def test_pair_counts_with_arrows_in_codes(frame):
     truth = frame([(fixed.NEAR_DUPLICATES, "c->a->b")], KEYS)
     row = scoring.pair_counts(similarity.duplicate_index(rows), truth).first()
     assert (row.expected, row.detected, row.matched) == (1, 1, 1)
+
+
+@pytest.mark.parametrize("seed, hot", [(1, 0), (2, 2), (3, 3), (4, 1)])
+def test_pair_counts_with_names_that_many_codes_share(frame, seed, hot, monkeypatch):
+    """Several common names, also similar ones, beside own names; counted, listed or partly both."""
+    monkeypatch.setattr(scoring, "HOT_GROUPS", hot)
+    rnd = random.Random(seed)
+    common = ["Unknown Vendor", "Unknown Vendors", "Vendor UNKNOWN", "Cash Sale", "Cash Sales Account"]
+    own = ["Quarry Stones", "Quarry Stone", "Mill Road", "Harbour Castings", "Harbor Castings", "Timberworks"]
+    rows = []
+    for code in range(40):
+        names = rnd.sample(common, rnd.randint(0, 3)) + rnd.sample(own, rnd.randint(0, 2))
+        rows += [(f"S{code:02d}", name) for name in names for _ in range(rnd.choice([1, 1, 2]))]
+    index = similarity.duplicate_index(frame(rows, "supplier_code string, name string"))
+    pairs = {f"{a}->{b}" for a, b in brute.pairs(rows)}
+    truth = rnd.sample(sorted(pairs), 30) + [f"S{rnd.randint(0, 39):02d}->S{rnd.randint(0, 39):02d}" for _ in range(40)]
+    row = scoring.pair_counts(index, frame([(fixed.NEAR_DUPLICATES, k) for k in truth], KEYS)).first()
+    assert (row.expected, row.detected, row.matched) == (len(set(truth)), len(pairs), len(pairs & set(truth)))
+
+
+def test_codes_that_share_a_name_store_few_rows(frame, monkeypatch):
+    stored = {}
+    real = scoring.written
+
+    def counting(df, label):
+        table = real(df, label)
+        stored[label] = max(stored.get(label, 0), table.count())
+        return table
+
+    monkeypatch.setattr(scoring, "written", counting)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rnd = random.Random(1)
+    name = lambda: "".join(rnd.choice(letters) for _ in range(20))
+    rows = [(f"S{i}", n) for i in range(600) for n in ("Unknown Vendor", name())]
+    # Two codes with many names each, of which one pair is looked up.
+    shared = [name() for _ in range(300)]
+    rows += [(code, n) for code in ("X", "Y") for n in [*shared, *(name() for _ in range(200))]]
+    index = similarity.duplicate_index(frame(rows, "supplier_code string, name string"))
+    truth = frame([(fixed.NEAR_DUPLICATES, "Y->X"), (fixed.NEAR_DUPLICATES, "X->S1")], KEYS)
+    row = scoring.pair_counts(index, truth).first()
+    assert (row.detected, row.matched) == (600 * 599 // 2 + 1, 1)
+    assert max(stored.values()) < 3000
