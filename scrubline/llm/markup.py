@@ -5,7 +5,10 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
+
+import xxhash
 
 # A comment, a declaration, or a tag with its attributes; a tag with an unclosed quote ends at ">".
 _TAG = re.compile(
@@ -34,6 +37,15 @@ _CHROME_WORDS = frozenset(
     " signup login popup modal overlay share sharing social related recommended recommendations widget"
     " pagination pager toolbar search form complementary contentinfo".split()
 )
+# Those that also mark an element as part of a longer name (ad-slot, top_banner), but not behind a word
+# like "with" or "no", which says what an element has.
+_CHROME_PARTS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav"
+    " navbar menu breadcrumb breadcrumbs sidebar footer masthead comment comments disqus cookie cookies consent"
+    " gdpr newsletter subscribe popup modal overlay share sharing related recommended recommendations widget"
+    " pagination".split()
+)
+_SAYING = frozenset("no not non has have with without is".split())
 _COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open paragraph, or an open element of their own kind.
@@ -53,9 +65,13 @@ CHROME, IN_ARTICLE, IN_MAIN = 1, 2, 4
 
 @dataclass(frozen=True)
 class Token:
-    """A tag or a block of text, by its place in the page: ``key`` names the role."""
+    """A tag or a block of text: ``key`` is a hash of its place in the page, and of its text.
 
-    key: str
+    ``name`` is the element that a tag opens, or that a text is in.
+    """
+
+    key: int
+    name: str
     text: str | None
     flags: int
     link_chars: int = 0
@@ -64,7 +80,7 @@ class Token:
 @dataclass
 class _Open:
     name: str
-    path: str
+    path: int
     flags: int
     header: bool
     # The innermost marked element around it, by its number; 0 for none.
@@ -87,6 +103,20 @@ def _names(attributes: str) -> list[str]:
     return found
 
 
+def _linked(path: int, sign: str) -> int:
+    """The hash of a place below another one. Places are chained by hashes, so deep pages stay small."""
+    return xxhash.xxh3_64_intdigest(sign.encode("utf-8", "surrogatepass"), path)
+
+
+@lru_cache(4096)
+def _is_chrome(name: str) -> bool:
+    """Whether a class name, id or role marks an element as something else than text."""
+    if name in _CHROME_WORDS:
+        return True
+    parts = [part for part in re.split("[^a-z0-9]+", name) if part]
+    return len(parts) > 1 and parts[0] not in _SAYING and not _CHROME_PARTS.isdisjoint(parts)
+
+
 def _opened(name: str, names: list[str], above: _Open, marks: list[_Mark]) -> _Open:
     flags, header, mark = above.flags, above.header, above.mark
     if name == "body":
@@ -97,8 +127,9 @@ def _opened(name: str, names: list[str], above: _Open, marks: list[_Mark]) -> _O
             flags |= CHROME
     elif name in _CHROME:
         flags |= CHROME
-    elif name not in ("html", "body", "main") and (marked & _CHROME_WORDS or "header" in marked):
-        kind = "comment" if marked & _COMMENT_WORDS else "" if marked & _CHROME_WORDS else "header"
+    elif name not in ("html", "body", "main") and ("header" in marked or any(map(_is_chrome, names))):
+        of_comments = any(not _COMMENT_WORDS.isdisjoint(re.split("[^a-z0-9]+", n)) for n in names if _is_chrome(n))
+        kind = "comment" if of_comments else "" if any(map(_is_chrome, names)) else "header"
         marks.append(_Mark(mark, kind))
         mark = len(marks) - 1
     if name == "header":
@@ -109,13 +140,7 @@ def _opened(name: str, names: list[str], above: _Open, marks: list[_Mark]) -> _O
         flags |= IN_MAIN
     words = [w for n in names for w in re.split(r"[^a-z0-9]+", n) if w]
     sign = ".".join([name, *words[:3]])
-    return _Open(name, f"{above.path}/{sign}", flags, header, mark)
-
-
-def _name(token: Token) -> str:
-    """The name of the element that a tag opens, or that a text is in."""
-    path = token.key if token.text is None else token.key[: -len(token.text) - 1]
-    return path.rpartition("/")[2].partition(".")[0]
+    return _Open(name, _linked(above.path, sign), flags, header, mark)
 
 
 def _settled(tokens: list[Token], around: list[int], marks: list[_Mark]) -> list[Token]:
@@ -134,8 +159,8 @@ def _settled(tokens: list[Token], around: list[int], marks: list[_Mark]) -> list
             chars[mark] += len(token.text)
             framed[mark] |= bool(token.flags & (IN_ARTICLE | IN_MAIN))
         else:
-            articles[mark] += _name(token) == "article"
-            mains[mark] += _name(token) == "main"
+            articles[mark] += token.name == "article"
+            mains[mark] += token.name == "main"
     inner = defaultdict(list)
     held = framed.copy()
     for mark in range(len(marks) - 1, 0, -1):
@@ -161,10 +186,10 @@ def _settled(tokens: list[Token], around: list[int], marks: list[_Mark]) -> list
     for token, mark in zip(tokens, around, strict=True):
         if token.flags & IN_ARTICLE and token.text is not None:
             # Headings of an article's own header stay.
-            while marks[mark].kind == "header" and _name(token) in _HEADINGS:
+            while marks[mark].kind == "header" and token.name in _HEADINGS:
                 mark = marks[mark].parent
         if mark not in freed:
-            token = Token(token.key, token.text, token.flags | CHROME, token.link_chars)
+            token = replace(token, flags=token.flags | CHROME)
         settled.append(token)
     return settled
 
@@ -179,7 +204,7 @@ def read(page: str | None) -> list[Token]:
     tokens: list[Token] = []
     around: list[int] = []
     marks = [_Mark(0, "")]
-    stack = [_Open("", "", 0, False)]
+    stack = [_Open("", 0, 0, False)]
     pieces: list[str] = []
     links, link_chars, pos = 0, 0, 0
 
@@ -193,7 +218,7 @@ def read(page: str | None) -> list[Token]:
             flags = top.flags
             if top.header and not (flags & IN_ARTICLE and top.name in _HEADINGS):
                 flags |= CHROME
-            tokens.append(Token(f'{top.path}"{text}', text, flags, min(link_chars, len(text))))
+            tokens.append(Token(_linked(top.path, f'"{text}'), top.name, text, flags, min(link_chars, len(text))))
             around.append(top.mark)
         link_chars = 0
 
@@ -244,7 +269,7 @@ def read(page: str | None) -> list[Token]:
                 del stack[depth:]
             continue
         names = _names(attributes) if "=" in attributes else []
-        if name in _INLINE and not (set(names) & _CHROME_WORDS):
+        if name in _INLINE and not any(map(_is_chrome, names)):
             continue
         flush()
         if name not in _INLINE:
@@ -266,7 +291,7 @@ def read(page: str | None) -> list[Token]:
         opened = _opened(name, names, stack[-1], marks)
         if not attributes.rstrip().endswith("/"):
             stack.append(opened)
-        tokens.append(Token(opened.path, None, opened.flags))
+        tokens.append(Token(opened.path, name, None, opened.flags))
         around.append(opened.mark)
     flush()
     return _settled(tokens, around, marks) if len(marks) > 1 else tokens

@@ -33,8 +33,8 @@ LEAST_FRAMED = 0.5
 TAG = 8
 
 
-def _hash(key: str) -> int:
-    return xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass")) - (1 << 63)
+def _signed(key: int) -> int:
+    return key - (1 << 63)
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -45,26 +45,46 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def tokenised(pages: DataFrame) -> DataFrame:
-    """``host`` and, in page order, ``tokens``, ``flags``, ``chars``, ``links`` of each page.
+    """Every page read once: ``page_id``, ``url``, ``host`` and, in page order, what its tokens are.
 
-    ``body`` is a hash of the page's unmarked text.
+    ``tokens`` are hashes, ``flags``, ``chars`` and ``links`` say what they are, and ``texts`` holds the
+    text blocks that no mark excludes, null for other tokens. ``body`` is a hash of that text.
     """
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [[], [], [], [], []]
-        for page in batch.column(1).to_pylist():
-            tokens = markup.read(page)
-            out[0].append([_hash(t.key) for t in tokens])
-            out[1].append([t.flags | TAG * (t.text is None) for t in tokens])
-            out[2].append([len(t.text or "") for t in tokens])
-            out[3].append([t.link_chars for t in tokens])
-            out[4].append(_hash("\n".join(t.text for t in tokens if t.text and not t.flags & CHROME)))
-        kinds = [pa.list_(pa.int64())] + [pa.list_(pa.int32())] * 3 + [pa.int64()]
-        columns = [batch.column(0)] + [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["host", "tokens", "flags", "chars", "links", "body"])
-
-    schema = "host long, tokens array<long>, flags array<int>, chars array<int>, links array<int>, body long"
-    return map_slices(with_host(pages).select("host", F.col("html").cast("string")), rule, schema)
+        out = [[] for _ in range(6)]
+        for page in batch.column(3).to_pylist():
+            lists = _lists(markup.read(page))
+            for column, values in zip(out, lists, strict=False):
+                column.append(values)
+            whole = "\n".join(text for text in lists[4] if text is not None)
+            out[5].append(_signed(xxhash.xxh3_64_intdigest(whole.encode("utf-8", "surrogatepass"))))
+        kinds = [pa.list_(pa.int64())] + [pa.list_(pa.int32())] * 3 + [pa.list_(pa.string()), pa.int64()]
+        columns = [batch.column(i) for i in range(3)] + [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["page_id", "url", "host", *_LISTS, "body"])
+
+    rows = with_host(pages).select(
+        F.col("page_id").cast("long"), F.col("url").cast("string"), "host", F.col("html").cast("string")
+    )
+    schema = (
+        "page_id long, url string, host long, tokens array<long>, flags array<int>, chars array<int>,"
+        " links array<int>, texts array<string>, body long"
+    )
+    return map_slices(rows, rule, schema)
+
+
+_LISTS = ["tokens", "flags", "chars", "links", "texts"]
+
+
+def _lists(tokens: list[markup.Token]) -> tuple[list, ...]:
+    """The columns of _LISTS for one page."""
+    return (
+        [_signed(t.key) for t in tokens],
+        [t.flags | TAG * (t.text is None) for t in tokens],
+        [len(t.text or "") for t in tokens],
+        [t.link_chars for t in tokens],
+        [None if t.flags & CHROME else t.text for t in tokens],
+    )
 
 
 def distinct_bodies(pages: DataFrame) -> DataFrame:
@@ -185,10 +205,10 @@ def _parts(gaps: list[int], flags: list[int], chars: list[int], links: list[int]
 def slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
     """``host``, ``main``: which parts of the root's slots hold main text; ``constant``: template tokens.
 
-    Sums over all pages of a host decide, those of loose pages apart. On the others the parts inside
-    the frame are main. On loose pages those are whose text is neither marked as something else, nor
-    mostly links, nor the template's own. Nested tokens must keep to one slot, or their class is no
-    part of the template.
+    Sums over all pages of a host decide, those of loose pages apart. Parts inside the frame are main
+    unless their text is mostly links, as that of teaser cards. On loose pages so are other parts whose
+    text is neither marked as something else, nor mostly links, nor the template's own. Nested tokens
+    must keep to one slot, or their class is no part of the template.
     """
     known = broadcast_if_small(templates)
 
@@ -209,7 +229,8 @@ def slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
                 if token in own:
                     low, high = spread.get(token, (gap, gap))
                     spread[token] = (min(low, gap), max(high, gap))
-                if flag & TAG:
+                # Within the frame, marked and own text goes block by block and says nothing of the rest.
+                if flag & TAG or part % 4 >= 2 and (flag & CHROME or token in own):
                     continue
                 cell = sums.setdefault(part, [0, 0, 0])
                 cell[0] += n
@@ -235,7 +256,7 @@ def slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
     plain = (F.col("marked") <= MOST_MARKED * F.col("chars")) & (F.col("linked") <= MOST_LINKED * F.col("chars"))
     loose, inside = F.col("place") % 2 == 1, F.col("place") % 4 >= 2
     chosen = sums.groupBy("host").agg(
-        F.collect_list(F.when(F.when(loose, plain).otherwise(inside), F.col("place"))).alias("main")
+        F.collect_list(F.when(plain & (loose | inside), F.col("place"))).alias("main")
     )
     constant = found.where("token is not null").groupBy("host", "token").agg(
         (F.min("place") == F.max("last_gap")).alias("kept")
@@ -248,24 +269,31 @@ def slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
 
 def main_text(page: str | None, root: list[int] | None, main: list[int] | None, constant: list[int] | None) -> str:
     """The main text of one page; without a template, by the marks of its elements alone."""
-    tokens = markup.read(page)
-    hashes = [_hash(t.key) for t in tokens] if root else []
-    places = gaps(hashes, root) if root else None
-    texts = [t for t in tokens if t.text is not None and not t.flags & CHROME]
+    return chosen_text(*_lists(markup.read(page)), root, main, constant)
+
+
+def chosen_text(
+    tokens: list[int],
+    flags: list[int],
+    chars: list[int],
+    links: list[int],
+    texts: list[str | None],
+    root: list[int] | None,
+    main: list[int] | None,
+    constant: list[int] | None,
+) -> str:
+    """The main text of a page that has been read."""
+    places = gaps(tokens, root) if root else None
+    shown = [i for i, text in enumerate(texts) if text is not None]
     if places is not None:
-        flags = [t.flags | TAG * (t.text is None) for t in tokens]
-        parts = _parts(places, flags, [len(t.text or "") for t in tokens], [t.link_chars for t in tokens])
+        parts = _parts(places, flags, chars, links)
         open_parts, own = set(main or ()), set(constant or ())
-        rows = zip(tokens, hashes, parts, flags, strict=True)
-        blocks = [
-            t.text for t, key, part, flag in rows
-            if not flag & (TAG | CHROME) and part in open_parts and key not in own
-        ]
-    elif frame := next((f for f in (IN_ARTICLE, IN_MAIN) if any(t.flags & f for t in texts)), 0):
-        blocks = [t.text for t in texts if t.flags & frame]
+        shown = [i for i in shown if parts[i] in open_parts and tokens[i] not in own]
+    elif frame := next((f for f in (IN_ARTICLE, IN_MAIN) if any(flags[i] & f for i in shown)), 0):
+        shown = [i for i in shown if flags[i] & frame]
     else:
-        blocks = [t.text for t in texts if t.link_chars <= MOST_LINKED * len(t.text)]
-    return "\n".join(blocks)
+        shown = [i for i in shown if links[i] <= MOST_LINKED * chars[i]]
+    return "\n".join(texts[i] for i in shown)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -275,26 +303,24 @@ def extract(pages: DataFrame) -> DataFrame:
     taken as of one host. Pages of hosts with fewer than FEWEST_PAGES texts, or that lack their host's
     template, are read by the marks of their elements. Repeated rows stay repeated; pages of a host
     with the same text count as one when its template is deduced. Other columns are ignored; an empty
-    table gives no rows.
+    table gives no rows. Every page is parsed once.
     """
     read = written(
         tokenised(pages).withColumn("page", F.monotonically_increasing_id()), "tokens"
     )
-    once = written(distinct_bodies(read), "once")
+    evidence = read.drop("page_id", "url", "texts")
+    once = written(distinct_bodies(evidence), "once")
     classes = written(equivalence_classes(once), "classes")
     templates = written(roots(once, classes), "roots")
     chosen = written(templates.join(slots(once, templates), "host").drop("inner"), "templates")
 
     def rule(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = [batch.column(i).to_pylist() for i in range(2, 6)]
-        texts = [main_text(*row) for row in zip(*columns, strict=True)]
+        columns = [batch.column(i).to_pylist() for i in range(2, batch.num_columns)]
+        texts = [chosen_text(*row) for row in zip(*columns, strict=True)]
         sizes = pa.array([len(t) for t in texts], pa.int64())
         arrays = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes]
         return pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "text", "n_chars"])
 
-    rows = with_host(pages).select(
-        F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"), "host"
-    )
-    rows = rows.join(broadcast_if_small(chosen), "host", "left")
-    rows = rows.select("page_id", "url", "html", "root", "main", "constant")
+    rows = read.join(broadcast_if_small(chosen), "host", "left")
+    rows = rows.select("page_id", "url", *_LISTS, "root", "main", "constant")
     return map_slices(rows, rule, "page_id long, url string, text string, n_chars long")

@@ -74,6 +74,35 @@ def test_the_template_decides_within_articles(spark):
         assert text[10 + i] == f"Long text of page {i}, which no article holds.\nTip {i}"
 
 
+def test_slots_decide_inside_the_frame(spark):
+    """Teaser cards, hyphenated advert classes and repeated notices go; without the template some stay."""
+    page = (
+        "<html><body><nav>menu</nav><article><h1>Title {0}</h1><p>Text of page {0}, long enough to be one.</p>"
+        "<div class='ad-slot'>Buy {0}</div><p>This story was written by our team.</p>"
+        "<div class='newsletter-box'><p>Join {0}</p></div><p>More of {0}.</p></article>"
+        "<section class=more><article><a href=/{0}>Another story {0}</a></article>"
+        "<article><a href=/x{0}>Yet another story {0}</a></article></section><footer>us</footer></body></html>"
+    )
+    rows = [(i, f"http://a.example/{i}", page.format(i)) for i in range(20)]
+    found = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in found:
+        i = r.page_id
+        assert r.text == f"Title {i}\nText of page {i}, long enough to be one.\nMore of {i}."
+        without = text_of(rows[i][2])
+        assert "Another story" in without and "our team" in without and "Buy" not in without and "Join" not in without
+
+
+def test_long_class_names():
+    found = "ad-slot top_banner newsletter-box site-footer comment-list".split()
+    assert all(markup._is_chrome(n) for n in found)
+    assert not any(markup._is_chrome(n) for n in "with-sidebar no-comments has-banner headline adder social-science".split())
+
+
+def test_deep_pages_take_memory_in_proportion_to_their_length():
+    sizes = [sum(len(str(t.key)) + len(t.name) for t in markup.read("<div class='a b c'>" * n)) for n in (1000, 4000)]
+    assert sizes[1] < 5 * sizes[0]
+
+
 def test_classes_share_their_occurrence_vector(spark):
     rows = [(i, "http://a.example", "<body><div>x</div>" + "<ul><li>y</ul>" * (i % 3) + "<p>z") for i in range(9)]
     pages = templates.tokenised(spark.createDataFrame(rows, "page_id long, url string, html string"))
