@@ -1,8 +1,9 @@
 """CSV sources: encodings, drifting headers, null tokens, canonical columns.
 
 Files are read together in groups that share an encoding, a header and whether
-quoted cells hold line breaks, so any number of files takes a handful of scans,
-and files without such cells are split. Rows with more cells than the header has
+quoted cells hold line breaks, so any number of files takes a handful of scans.
+Files are split either way; those with such cells by records, see quoted_lines
+(UTF-16 files with them are not). Rows with more cells than the header has
 are never cut: they stop the read, or are left out and listed as rejects.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from scrubline import fixed
 from scrubline.functions.text import null_tokens
+from scrubline.sources import quoted_lines
 
 Rename = Callable[[str], str]
 
@@ -125,19 +127,37 @@ def _raw_rows(spark: SparkSession, paths: str | list[str], group: Group) -> Data
     """Cells c0, c1, ..., the position, and the record where it has too many cells."""
     windows = group.encoding.lower() in ("windows-1252", "cp1252")
     columns = [f"c{i}" for i in range(len(group.header))]
-    raw = (
-        spark.read.schema(StructType([StructField(c, StringType()) for c in [*columns, _BAD]]))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("columnNameOfCorruptRecord", _BAD)
-        # All cells of a record are counted, whichever are asked for.
-        .option("columnPruning", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", group.multi_line or group.encoding == "utf-16")
-        .option("encoding", "ISO-8859-1" if windows else group.encoding)
-        .csv(paths)
-    )
+    schema = StructType([StructField(c, StringType()) for c in [*columns, _BAD]])
+    encoding = "ISO-8859-1" if windows else group.encoding
+    options = {"columnNameOfCorruptRecord": _BAD, "quote": '"', "escape": '"'}
+    if group.multi_line and encoding.lower() in ("iso-8859-1", "utf-8"):
+        # Records are cut out of the lines first, so that a file is read by many tasks.
+        found = quoted_lines.records(spark, paths).where("not first")
+        record = F.decode("record", encoding) if windows else F.col("record").cast("string")
+        # Where lines end with a carriage return and a line feed, breaks within cells become line feeds too.
+        ends = F.regexp_replace(F.replace(record, F.lit("\r\n"), F.lit("\n")), "\r$", "")
+        record = F.when(F.endswith(record, F.lit("\r")), ends).otherwise(record)
+        cells = F.from_csv(record, schema.simpleString()[7:-1].replace(":", " "), options)
+        parsed = found.select(cells.alias("cells"), "path", "block", "at")
+        raw = parsed.select("cells.*", F.struct(F.col("path").alias("file"), "block", F.col("at").alias("row")).alias(POSITION))
+    else:
+        raw = (
+            spark.read.schema(schema)
+            .options(**options)
+            .option("header", True)
+            .option("enforceSchema", True)
+            # All cells of a record are counted, whichever are asked for.
+            .option("columnPruning", False)
+            .option("multiLine", group.multi_line or group.encoding == "utf-16")
+            .option("encoding", encoding)
+            .csv(paths)
+        )
+        position = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        raw = raw.select(*columns, _BAD, position.alias(POSITION))
     decoded = (lambda c: F.translate(c, _LATIN1, _CP1252)) if windows else F.col
     # Spark marks every record with another number of cells. Those with fewer are
     # filled up; empty cells at the end are no data.
@@ -145,14 +165,9 @@ def _raw_rows(spark: SparkSession, paths: str | list[str], group: Group) -> Data
     cells = F.length(F.regexp_replace(F.regexp_replace(unquoted, r"[,\s]+$", ""), "[^,]", "")) + 1
     # Spark does not give out the record alone, so its presence is tied to a cell.
     too_many = (cells > len(columns)) & (F.col(columns[0]).isNull() | F.col(columns[0]).isNotNull())
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
     return raw.select(
         *[decoded(c).alias(c) for c in columns],
-        position.alias(POSITION),
+        POSITION,
         F.when(too_many, decoded(_BAD)).alias(_BAD),
     )
 
