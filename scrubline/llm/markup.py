@@ -6,7 +6,6 @@ import html
 import re
 from collections import defaultdict
 from dataclasses import dataclass, replace
-from functools import lru_cache
 
 import xxhash
 
@@ -108,13 +107,20 @@ def _linked(path: int, sign: str) -> int:
     return xxhash.xxh3_64_intdigest(sign.encode("utf-8", "surrogatepass"), path)
 
 
-@lru_cache(4096)
+# Names that a task has judged; a decorator's cache would not travel with the job.
+_judged: dict[str, bool] = {}
+
+
 def _is_chrome(name: str) -> bool:
     """Whether a class name, id or role marks an element as something else than text."""
-    if name in _CHROME_WORDS:
-        return True
-    parts = [part for part in re.split("[^a-z0-9]+", name) if part]
-    return len(parts) > 1 and parts[0] not in _SAYING and not _CHROME_PARTS.isdisjoint(parts)
+    found = _judged.get(name)
+    if found is None:
+        parts = [part for part in re.split("[^a-z0-9]+", name) if part]
+        longer = len(parts) > 1 and parts[0] not in _SAYING and not _CHROME_PARTS.isdisjoint(parts)
+        if len(_judged) >= 4096:
+            _judged.clear()
+        found = _judged[name] = longer or name in _CHROME_WORDS
+    return found
 
 
 def _opened(name: str, names: list[str], above: _Open, marks: list[_Mark]) -> _Open:
