@@ -100,38 +100,56 @@ def neighbourhood(form: str, symbols: int) -> Column:
     return F.array_distinct(F.concat(shorter, F.flatten(same), F.flatten(longer)))
 
 
-def _probes(words: DataFrame, symbols: int) -> DataFrame:
-    formed = words.select(F.col("word").alias("a"), F.col("n").alias("a_n"), reduced("word", symbols).alias("form"))
-    return formed.select("a", "a_n", F.explode(neighbourhood("form", symbols)).alias("key"))
+def _form(symbols: int) -> Column:
+    return F.xxhash64(reduced("word", symbols))
 
 
-def _keyed(words: DataFrame, symbols: int) -> DataFrame:
-    return words.select(
-        F.col("word").alias("b"), F.col("n").alias("b_n"), F.xxhash64(reduced("word", symbols)).alias("key")
-    )
+def _meeting_forms(words: DataFrame, symbols: int) -> DataFrame:
+    """``form``, ``key``: hashes of reduced words of ``words`` at most one edit apart, each two once.
+
+    The neighbourhood of every different reduced word is joined with all of them. As each of two finds
+    the other, the half of a neighbourhood with hashes from its own on is enough.
+    """
+    forms = words.select(reduced("word", symbols).alias("reduced")).distinct()
+    forms = forms.withColumn("form", F.xxhash64("reduced"))
+    upper = F.filter(neighbourhood("reduced", symbols), lambda key: key >= F.col("form"))
+    probes = forms.select("form", F.explode(upper).alias("key"))
+    return probes.join(forms.select(F.col("form").alias("key")), "key", "left_semi")
 
 
-def _verified(probes: DataFrame, keyed: DataFrame) -> DataFrame:
-    near = (F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1)
-    return probes.join(keyed, "key").where(near).select("a", "a_n", "b", "b_n")
+def _verified(words: DataFrame, met: DataFrame, symbols: int) -> DataFrame:
+    """Pairs of ``words`` in forms that meet, with one edit between the words themselves."""
+    sides = []
+    for side, key in (("a", "form"), ("b", "key")):
+        names = [F.col(c).alias(side if c == "word" else f"{side}_{c}") for c in words.columns]
+        sides.append(words.select(_form(symbols).alias(key), *names))
+    once = (F.col("form") < F.col("key")) | (F.col("a") < F.col("b"))
+    return met.join(sides[0], "form").join(sides[1], "key").where(once & (F.levenshtein("a", "b", 1) == 1))
 
 
 def near_words(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """``a``, ``a_n``, ``b``, ``b_n``: all pairs of stored ``words`` one edit apart, once, with ``a < b``.
+    """``a``, ``a_n``, ``b``, ``b_n``: all pairs of stored ``words`` one edit apart, once, in either order.
 
-    A neighbourhood holds each reduced form once, so a pair meets at one key of ``b``.
+    Forms of more than ``crowded`` words take no part at first. Their words, and those of the forms that
+    meet them, are then compared by the finer alphabet.
     """
-    keyed = _keyed(words, SYMBOLS)
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("words")).where(F.col("words") > crowded)
-    dense = written(sizes.select("key"), "dense")
+    words = words.select("word", "n")
+    met = written(_meeting_forms(words, SYMBOLS), "met")
+    sizes = words.groupBy(_form(SYMBOLS).alias("form")).agg(F.count("*").alias("words"))
+    dense = written(sizes.where(F.col("words") > crowded).select("form"), "dense")
+    shown = ["a", "a_n", "b", "b_n"]
     if is_empty(dense):
-        return _verified(_probes(words, SYMBOLS), keyed)
+        return _verified(words, met, SYMBOLS).select(*shown)
     dense = broadcast_if_small(dense)
-    plain = _verified(_probes(words, SYMBOLS), keyed.join(dense, "key", "left_anti"))
-    crowd = written(keyed.join(dense, "key", "left_semi").select(F.col("b").alias("word"), F.col("b_n").alias("n")), "crowd")
-    beside = _probes(words, SYMBOLS).join(dense, "key", "left_semi")
-    beside = written(beside.select(F.col("a").alias("word"), F.col("a_n").alias("n")).distinct(), "beside")
-    return plain.unionByName(_verified(_probes(beside, FINE_SYMBOLS), _keyed(crowd, FINE_SYMBOLS)))
+    dense_key = dense.withColumnRenamed("form", "key")
+    plain = met.join(dense, "form", "left_anti").join(dense_key, "key", "left_anti")
+    beside = met.join(dense, "form", "left_semi").select(F.col("key").alias("form"))
+    beside = beside.union(met.join(dense_key, "key", "left_semi").select("form")).union(dense).distinct()
+    formed = words.withColumn("form", _form(SYMBOLS)).join(beside, "form", "left_semi")
+    marked = formed.join(dense.withColumn("dense", F.lit(True)), "form", "left")
+    marked = written(marked.select("word", "n", F.coalesce("dense", F.lit(False)).alias("dense")), "marked")
+    fine = _verified(marked, _meeting_forms(marked, FINE_SYMBOLS), FINE_SYMBOLS).where("a_dense or b_dense")
+    return _verified(words, plain, SYMBOLS).select(*shown).unionByName(fine.select(*shown))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
