@@ -406,6 +406,10 @@ def queries() -> dict[str, Query]:
         "supplier_duplicate_pairs": on(suppliers, similarity.duplicate_pairs),
         "name_duplicate_matches": on(suppliers, similarity.name_matches),
         "name_duplicate_groups": groups_of(lambda g: g.select("canonical", "variant", "score")),
+        "name_groups_in_order": groups_of(
+            lambda g: grouping.listed(g).select("canonical", "variant", "score", "position")
+        ),
+        "report_field_previews": lambda s, sf: reports.field_previews(full_report(s, sf).details),
         "name_duplicate_group_count": groups_of(grouping.group_count),
         "canonical_name_map": on(suppliers, grouping.canonical_name_map),
         "normalize_suppliers": on(suppliers, lambda df: normalize.normalize_suppliers(df)[0]),

@@ -247,6 +247,12 @@ ORACLES = {
     "supplier_duplicate_pairs": _with(CODE_PAIRS, "select later, earlier, score from found"),
     "name_duplicate_matches": _with(MATCHES, "select name, match, score from matches"),
     "name_duplicate_groups": _with(GROUPS, "select canonical, variant, score from groups"),
+    "name_groups_in_order": _with(
+        GROUPS,
+        """select canonical, variant, score, row_number() over (
+          partition by canonical order by score desc, first_seen nulls first, variant) as position
+        from groups join (select name as variant, first_seen from named) using (variant)""",
+    ),
     "name_duplicate_group_count": _with(
         GROUPS, "select count(distinct canonical) as n_groups from groups"
     ),
@@ -338,7 +344,7 @@ ORACLES = {
     ),
     "detection_total": _with(
         f"{GROUPS}, {DETECTED}",
-        """select 'Total defects detected' as metric, cast((select count(*) from detected)
+        """select 'defect_count' as metric, cast((select count(*) from detected)
         + (select count(distinct canonical) from groups) as varchar) as value""",
     ),
     "stream_part_defects": with_messy(PART_DEFECTS),
@@ -400,6 +406,14 @@ ORACLES = {
         as outcome from sides where in_d <> in_t""",
     ),
     "report_sections": _with(f"{GROUPS}, {DETECTED}", SECTIONS),
+    "report_field_previews": _with(
+        f"{GROUPS}, {DETECTED}, sections as ({SECTIONS})",
+        """, items as (select "check", field, concat_ws(': ', concat_ws(' < ', item, parent),
+            cast(cast(floor(amount) as bigint) as varchar)) as shown from sections),
+          lines as (select "check", field || ': [' || array_to_string(list(shown order by shown)[1:3], ', ') || ']'
+            || case when count(*) > 3 then '...' else '' end as line from items group by "check", field)
+        select "check", substr(string_agg(line, ' | ' order by line), 1, 120) as details from lines group by all""",
+    ),
     "report_json": _with(
         f"{FIVE}, {GROUPS}, {ALL_DETECTED.replace(MATCHES + ',', '', 1)}, {SIDES}, {RATED}",
         f"""select 'tables' as source, 'detection' as section, {CHECK_OF} as name,

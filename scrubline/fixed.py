@@ -113,20 +113,6 @@ CHECK_NAMES = {
 }
 GROUPS_CHECK = "near_duplicate_groups"
 
-TOTAL_LABEL = "Total defects detected"
-
-# label of a summary line -> column of the scorecard
-SUMMARY_LABELS = {
-    "Candidates": "detected",
-    "Matched": "matched",
-    "False positives": "false_positives",
-    "Missed": "false_negatives",
-    "Recall": "recall",
-    "Precision": "precision",
-    "F1": "f1",
-    "Manifest expected": "expected",
-}
-
 # --- scoring --------------------------------------------------------------------
 
 MINIMUM_MANIFEST_VERSION = 2

@@ -8,8 +8,9 @@ components.
 
 Names with equal keys always share their neighbours, so the graph is built on
 keys, and a key takes the place of its first-seen name. Leaders are settled in
-rounds: the edges among the first open keys, as many as one task can hold, are
-resolved in order, and these leaders then claim everywhere with one join.
+rounds over all edges: keys without smaller open neighbours lead, with every second
+one of the chains behind them, and claim everywhere with one join. What few edges
+are left, as many as one task can hold, are resolved in order.
 
 Where signatures repeat so often that the whole graph could be too large (a
 third of all names being copies of one another, say), keys are handled in
@@ -45,8 +46,8 @@ from scrubline.workspace import scratch_path, written
 ROUND_EDGES = 2_000_000
 # Ranges of ids whose edges are counted to find out which keys these are.
 ID_RANGES = 4096
-# A round settles the keys of that many edges, so this many rounds mean a fault.
-MOST_ROUNDS = 1000
+# A round that settles a smaller share of the edges than this goes on in order.
+LEAST_SETTLED = 0.1
 
 # Rows that may meet in signatures of a batch: a fixed part, and one per key overall.
 REPEATS_FLOOR = 50_000_000
@@ -93,32 +94,82 @@ def ranked_keys(names: DataFrame) -> tuple[DataFrame, DataFrame]:
 def claimed_within(edges: DataFrame, round_edges: int = ROUND_EDGES) -> DataFrame:
     """Ids that a smaller leader claims, for stored edges (lo, hi) with lo < hi.
 
-    Each round settles all ids up to a bound, so it takes one round for every
-    ``round_edges`` edges at most, and fewer as leaders claim beyond the bound.
+    While many edges are left, a round settles all ids at once that have no smaller open neighbour, and
+    the chains behind them of ids with one each. Where that settles few, as on long bands of names each
+    like several before it, the first ``round_edges`` edges are resolved in order in one task instead;
+    so are the last ones. No step brings all edges of an id together.
     """
     path = scratch_path(edges.sparkSession, "claimed")
-    pending = edges
-    for number in range(MOST_ROUNDS):
-        bound = _settled_bound(pending, round_edges)
-        if bound is None and number:
-            break
-        first = pending.where(F.col("hi") <= (-1 if bound is None else bound))
-        together = first.withColumn("round", F.lit(number)).groupBy("round")
-        inside = written(together.applyInPandas(_claimed_in_order, "id bigint"), "claimed")
-        leading = pending.where(F.col("lo") <= (-1 if bound is None else bound)).join(
-            inside, pending.lo == inside.id, "left_anti"
+    pending, left = edges, edges.count()
+    # After a round that settles few, the next ones go in order at once, twice as many each time.
+    in_order = patience = 0
+    while True:
+        before = left
+        if left > round_edges and not in_order:
+            pending, left = _after(pending, _free_leaders(pending), path)
+            if left > (1 - LEAST_SETTLED) * before:
+                in_order = patience = 2 * patience + 1
+        if left <= round_edges or in_order:
+            pending, left = _first_in_order(pending, left, round_edges, path)
+            in_order = max(in_order - 1, 0) if left < before else 0
+        if not left:
+            return edges.sparkSession.read.schema("id bigint").parquet(path).distinct()
+
+
+def _first_in_order(pending: DataFrame, left: int, round_edges: int, path: str) -> tuple[DataFrame, int]:
+    """Settle all ids up to a bound below which there are ``round_edges`` edges, visited in order in one task.
+
+    Nothing is settled if the first id alone has more smaller neighbours than that.
+    """
+    bound = _settled_bound(pending, round_edges) if left else None
+    first = pending.where(F.col("hi") <= (-1 if bound is None else bound))
+    if left > round_edges and first.count() > round_edges:
+        return pending, left
+    together = first.withColumn("round", F.lit(0)).groupBy("round")
+    inside = written(together.applyInPandas(_claimed_in_order, "id bigint"), "claimed")
+    open_ids = pending.where(F.col("lo") <= (-1 if bound is None else bound)).select(F.col("lo").alias("id"))
+    return _after(pending, open_ids.distinct().join(inside, "id", "left_anti"), path)
+
+
+def _after(pending: DataFrame, leaders: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Append what ``leaders`` claim to ``path``; the edges between ids that stay open, and their number."""
+    leaders = written(leaders, "leading")
+    newly = pending.join(leaders.withColumnRenamed("id", "lo"), "lo", "left_semi").select(F.col("hi").alias("id"))
+    newly = written(newly.distinct(), "taken")
+    newly.write.mode("append").parquet(path)
+    settled = newly.union(leaders)
+    rest = pending.join(settled.withColumnRenamed("id", "lo"), "lo", "left_anti")
+    rest = written(rest.join(newly.withColumnRenamed("id", "hi"), "hi", "left_anti").select("lo", "hi"), "pending")
+    return rest, rest.count()
+
+
+def _free_leaders(pending: DataFrame) -> DataFrame:
+    """Ids that lead for certain: those without smaller neighbours, and every second one of the chains behind.
+
+    An id with one smaller neighbour leads if that one does not. Such pointers are followed by doubling,
+    so a path of any length takes as many joins as its length has binary digits.
+    """
+    below = pending.groupBy("hi").agg(F.count("*").alias("n"), F.min("lo").alias("lo"))
+    below = written(below.select(F.col("hi").alias("id"), "n", "lo"), "below")
+    free = pending.select(F.col("lo").alias("id")).distinct().join(below, "id", "left_anti")
+    pointers = written(
+        below.where("n = 1").select("id", F.col("lo").alias("target"), F.lit(True).alias("differs")), "pointers"
+    )
+    while True:
+        onward = pointers.select(F.col("id").alias("target"), F.col("target").alias("next"), F.col("differs").alias("more"))
+        step = pointers.join(onward, "target", "left").select(
+            "id",
+            F.coalesce("next", "target").alias("target"),
+            (F.col("differs") != F.coalesce("more", F.lit(False))).alias("differs"),
+            F.col("next").isNotNull().alias("moved"),
         )
-        newly = leading.select(F.col("hi").alias("id")).distinct()
-        newly.write.mode("append").parquet(path)
-        if bound is None:
+        step = written(step, "pointers")
+        pointers = step.drop("moved")
+        if step.where("moved").isEmpty():
             break
-        taken = written(newly, "taken")
-        rest = pending.where(F.col("lo") > bound)
-        rest = rest.join(taken, rest.lo == taken.id, "left_anti")
-        pending = written(rest.join(taken, rest.hi == taken.id, "left_anti"), "pending")
-    else:
-        raise RuntimeError(f"names are not grouped after {MOST_ROUNDS} rounds")
-    return edges.sparkSession.read.schema("id bigint").parquet(path).distinct()
+    # The end of a chain is free, or has several smaller neighbours and stays open.
+    ends = pointers.where("not differs").join(free.withColumnRenamed("id", "target"), "target", "left_semi")
+    return free.union(ends.select("id"))
 
 
 def _settled_bound(pending: DataFrame, round_edges: int) -> int | None:
@@ -273,6 +324,24 @@ def _groups(keys: DataFrame, names: DataFrame, leaders: DataFrame, stars: DataFr
     )
 
 
+def listed(groups: DataFrame) -> DataFrame:
+    """``groups`` with ``position``: where a variant stands in its group, from 1, by falling score.
+
+    Rows are dealt to ranges of the listing order and numbered within, after the rows of the group in
+    earlier ranges, so a group of any size spreads over tasks.
+    """
+    spread = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("score").desc(), F.col("variant_seen").asc_nulls_first(), F.col("variant").asc()]
+    ranged = groups.repartitionByRange(spread, F.col("canonical_rank"), *order)
+    ranged = written(ranged.withColumn("part", F.spark_partition_id()), "listed")
+    sizes = ranged.groupBy("part", "canonical_rank").agg(F.count("*").alias("size"))
+    earlier = Window.partitionBy("canonical_rank").orderBy("part")
+    before = sizes.select("part", "canonical_rank", (F.sum("size").over(earlier) - F.col("size")).alias("before"))
+    within = F.row_number().over(Window.partitionBy("part", "canonical_rank").orderBy(*order))
+    numbered = ranged.withColumn("within", within).join(written(before, "before"), ["part", "canonical_rank"])
+    return numbered.select(*groups.columns, (F.col("before") + F.col("within")).alias("position"))
+
+
 def group_count(groups: DataFrame) -> DataFrame:
     return groups.agg(F.count_distinct("canonical").alias("n_groups"))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.functions import fields
 from scrubline.operators.detect import state_vocabulary
 from scrubline.operators.grouping import canonical_name_map
+from scrubline.workspace import written
+
+# Rows of one name beyond which its mapping is broadcast.
+HOT_NAME_ROWS = 100_000
 
 
 def normalize_parts(df: DataFrame, col: str = "part_number") -> DataFrame:
@@ -32,8 +36,29 @@ def normalize_suppliers(
     return apply_name_map(df, mapping, col), mapping
 
 
-def apply_name_map(df: DataFrame, mapping: DataFrame, col: str = "name") -> DataFrame:
-    # One mapping row per name: a name that fills a third of the table makes a
-    # long partition, which adaptive execution may split, never a larger result.
-    joined = df.join(mapping, df[col] == mapping.variant, "left")
-    return joined.withColumn(col, F.coalesce(mapping.canonical, df[col])).select(*df.columns)
+def apply_name_map(df: DataFrame, mapping: DataFrame, col: str = "name", hot_rows: int = HOT_NAME_ROWS) -> DataFrame:
+    """``df`` with names replaced by the canonical ones of ``mapping`` (variant, canonical).
+
+    Names of many rows, NULL among them, are few; they and their mapping are broadcast, so their rows
+    stay where they are. All other rows are shuffled to their mapping.
+    """
+    name = F.col(f"`{col}`")
+    counts = df.groupBy(name.alias("hot_name")).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
+    # At most a row for each ``hot_rows`` rows of the table.
+    hot = counts.join(mapping.withColumnRenamed("variant", "hot_name"), "hot_name", "left")
+    hot = written(hot.select("hot_name", "canonical"), "hot-names")
+    if hot.isEmpty():
+        return _mapped(df, mapping, col, df[col] == mapping.variant)
+    crowd = F.broadcast(hot)
+    same = df[col].eqNullSafe(crowd.hot_name)
+    names = F.broadcast(hot.select(F.col("hot_name").alias("any_hot_name")))
+    rest = df.join(names, df[col].eqNullSafe(names.any_hot_name), "left_anti")
+    spread = _mapped(df, crowd, col, same, "inner")
+    return spread.unionByName(_mapped(rest, mapping, col, rest[col] == mapping.variant))
+
+
+def _mapped(df: DataFrame, mapping: DataFrame, col: str, same: Column, how: str = "left") -> DataFrame:
+    joined = df.join(mapping, same, how)
+    return joined.select(
+        *[F.coalesce(mapping.canonical, df[c]).alias(c) if c == col else df[c] for c in df.columns]
+    )

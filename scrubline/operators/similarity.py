@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -55,6 +54,9 @@ EXACT_LENGTH = 48
 # Keys that may share a signature before it is extended.
 CROWDED = 2
 
+# Pairs whose common subsequences are found together.
+PAIRS_AT_A_TIME = 4096
+
 # Index rows one join cell may hold before its signature is cut into a grid.
 HOT_SIGNATURE_ROWS = 4096
 
@@ -268,30 +270,28 @@ def _span(i: Column, shift: Column) -> list[Column]:
     return [(_cut(i) + shift).alias("at"), (_cut(i + 1) - _cut(i)).alias("size")]
 
 
-def _steps(centre: Column, reach: Column, step: Column) -> Column:
-    """From ``centre - reach`` to ``centre + reach``."""
-    return F.sequence(centre - reach, centre + reach, step)
-
-
 def add_last_segment(rows: DataFrame, probe: bool) -> DataFrame:
-    """Extend by the intact segment ``j`` that has as many edits on its right as there are segments.
+    """Extend the signatures of ``dense`` rows by segment ``j``, which has as many edits on its right as segments.
 
-    A probe row may hold it at several shifts ``t``.
+    A probe row may hold it at several shifts ``t``. Other rows stay as they are.
     """
-    i, j, s, t, n = (F.col(c) for c in ("i", "j", "s", "t", "len"))
+    dense, i, j, s, t, n = (F.col(c) for c in ("dense", "i", "j", "s", "t", "len"))
     last = F.col("widest") + 1
-    rows = rows.withColumn("j", F.explode(F.sequence(i + 1, last)))
+    rows = rows.withColumn("j", F.explode(F.when(dense, F.sequence(i + 1, last)).otherwise(F.array(last))))
     if probe:
         between = j - i - 1 - (F.col("widest") - F.col("d"))
-        rows = rows.where(between >= 0).withColumn("t", F.explode(_steps(s, between, F.col("step"))))
+        shifts = F.when(dense, F.sequence(s - between, s + between, F.col("step"))).otherwise(F.array(s))
+        rows = rows.where(~dense | (between >= 0)).withColumn("t", F.explode(shifts))
         rows = rows.where(
-            (t >= n - F.col("far") - (last - j))
+            ~dense
+            | (t >= n - F.col("far") - (last - j))
             & (t <= n - F.col("near") + (last - j))
             & (_cut(j) + t >= _cut(i + 1) + s)
             & (_cut(j + 1) + t <= n)
         )
     at, size = _span(j, t if probe else F.lit(0))
-    return rows.withColumn("sig", F.xxhash64("sig", "j", F.substr("key", at + 1, size)))
+    longer = F.xxhash64("sig", "j", F.substr("key", at + 1, size))
+    return rows.withColumn("sig", F.when(dense, longer).otherwise(F.col("sig")))
 
 
 def _length_class(m: Column) -> Column:
@@ -316,18 +316,15 @@ def meeting_rows(
     index, probe = blocking.index_rows(longer, longest), blocking.probe_rows(shorter, longest)
     counts = index.groupBy("sig").agg(F.count("*").alias("keys"))
     # Stored, so that Spark knows its size and broadcasts it only while it is small.
-    crowded = written(counts.where(F.col("keys") > CROWDED).select("sig"), "crowded")
+    crowded = written(counts.where(F.col("keys") > CROWDED).select("sig", F.lit(True).alias("dense")), "crowded")
     sides = []
     for rows, side in ((index, "a"), (probe, "b")):
-        parts = [_sides(rows.join(crowded, "sig", "left_anti"), side)]
-        dense = rows.join(crowded, "sig", "left_semi")
-        parts.append(_sides(add_last_segment(dense, probe=side == "b"), side))
-        sides.append(parts)
+        marked = rows.join(crowded, "sig", "left").withColumn("dense", F.coalesce("dense", F.lit(False)))
+        sides.append(_sides(add_last_segment(marked, probe=side == "b"), side))
     if longest > blocking.positional:
-        sides[0].append(_sides(blocking.long_index(longer), "a"))
-        sides[1].append(_sides(blocking.long_probe(shorter), "b"))
-    index, probe = (reduce(DataFrame.unionByName, parts) for parts in sides)
-    return index, probe
+        sides[0] = sides[0].unionByName(_sides(blocking.long_index(longer), "a"))
+        sides[1] = sides[1].unionByName(_sides(blocking.long_probe(shorter), "b"))
+    return sides[0], sides[1]
 
 
 def candidate_pairs(
@@ -369,28 +366,34 @@ def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
     pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a.tolist(), b.tolist())]
     out = np.zeros(len(pairs), dtype=np.int32)
     sizes = np.fromiter((len(x) for x, _ in pairs), dtype=np.int64, count=len(pairs))
-    for word, at in (
-        (np.uint32, np.flatnonzero(sizes <= 32)),
-        (np.uint64, np.flatnonzero((sizes > 32) & (sizes <= 64))),
-    ):
-        if len(at):
-            out[at] = _lcs_words([pairs[i] for i in at], word)
-    for i in np.flatnonzero(sizes > 64):
-        out[i] = _lcs_big(*pairs[i])
+    # Half a word for short keys, else as many whole ones as the shorter key takes.
+    words = np.where(sizes <= 32, 0, (sizes + 63) // 64)
+    for count in np.unique(words):
+        at = np.flatnonzero(words == count)
+        # Pairs of similar length go together, so few steps are spent on filler.
+        at = at[np.argsort([len(pairs[i][1]) for i in at], kind="stable")]
+        for part in np.array_split(at, -(-len(at) // PAIRS_AT_A_TIME)):
+            out[part] = _lcs_words([pairs[i] for i in part], np.uint64 if count else np.uint32, max(count, 1))
     return pd.Series(out)
 
 
-def _lcs_words(pairs: list[tuple[str, str]], word: type) -> np.ndarray:
-    # One row of the dynamic program per pair, kept in the bits of a word; all
-    # pairs take each step together.
-    short = _code_points([x for x, _ in pairs], 0xFFFFFFFE, 8 * np.dtype(word).itemsize)
+def _lcs_words(pairs: list[tuple[str, str]], word: type, count: int) -> np.ndarray:
+    # One row of the dynamic program per pair, kept in the bits of ``count`` words; all
+    # pairs take each step together, and what a word carries over goes into the next.
+    short = _code_points([x for x, _ in pairs], 0xFFFFFFFE, 8 * np.dtype(word).itemsize * count)
     long = _code_points([y for _, y in pairs], 0xFFFFFFFF)
-    row = np.full(len(pairs), ~word(0))
+    row = np.full((len(pairs), count), ~word(0))
     for j in range(long.shape[1]):
         equal = np.packbits(short == long[:, j : j + 1], axis=1, bitorder="little")
-        hit = row & equal.view(word)[:, 0]
-        row = (row + hit) | (row - hit)
-    return np.bitwise_count(~row).astype(np.int32)
+        hit = row & equal.view(word)
+        added = row + hit
+        carry = added[:, 0] < row[:, 0]
+        for at in range(1, count):
+            added[:, at] += carry
+            # A word overflows by its own sum, or by the one that was carried into it.
+            carry = (added[:, at] < row[:, at]) | (carry & (added[:, at] == 0))
+        row = added | (row - hit)
+    return np.bitwise_count(~row).sum(axis=1).astype(np.int32)
 
 
 def _code_points(texts: list[str], filler: int, width: int = 0) -> np.ndarray:
@@ -400,18 +403,6 @@ def _code_points(texts: list[str], filler: int, width: int = 0) -> np.ndarray:
     return np.where(np.arange(width) < sizes[:, None], codes, np.uint32(filler))
 
 
-def _lcs_big(short: str, long: str) -> int:
-    places: dict[str, int] = {}
-    for at, char in enumerate(short):
-        places[char] = places.get(char, 0) | 1 << at
-    full = (1 << len(short)) - 1
-    row = full
-    for char in long:
-        hit = row & places.get(char, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(short) - row.bit_count()
-
-
 def verified(pairs: DataFrame, keys: DataFrame, threshold: int) -> DataFrame:
     """(a, b, score) of the candidate pairs that reach the threshold."""
     # Marked as nondeterministic only so that the planner evaluates it once.

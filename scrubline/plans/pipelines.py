@@ -148,6 +148,7 @@ def score(detection: Detection, truth: DataFrame, unrounded: bool = False) -> Da
 
 def validate(manifest: DataFrame, detection: Detection) -> DataFrame:
     """Scorecard of a detection against a manifest, which is checked first."""
+    manifest = written(manifest, "manifest")
     manifests.check_manifest(manifest, detection.categories)
     return score(detection, manifests.truth_keys(manifest))
 
@@ -172,8 +173,9 @@ class Validation:
 
 def validation(manifest: DataFrame, detection: Detection) -> Validation:
     """Scores against a manifest, which is checked first, and the keys that disagree."""
+    # The documents are parsed once and stored so; checks and keys read that.
+    manifest = written(manifest, "manifest")
     manifests.check_manifest(manifest, detection.categories)
-    # The manifest is parsed once; scores and keys read the stored truth.
     truth = written(manifests.truth_keys(manifest), "truth")
     by_row = [c for c in detection.categories if c != fixed.NEAR_DUPLICATES]
     outcomes = written(scoring.outcomes(detection.defects, truth, by_row), "outcomes")

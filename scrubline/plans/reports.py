@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from scrubline import fixed
 from scrubline.functions import rates
 from scrubline.operators import detect as d
+from scrubline.operators.scoring import COUNTS
 
 RATES = ("recall", "precision", "f1")
 PREVIEW_ITEMS = 3
@@ -35,6 +36,26 @@ def previews(defect_table: DataFrame) -> DataFrame:
     return first.groupBy("category").agg(F.substring(line, 1, PREVIEW_LENGTH).alias("details"))
 
 
+def field_previews(details_table: DataFrame) -> DataFrame:
+    """(check, details): the first items of every field of ``details`` of a check, in a short line.
+
+    Fields and their items come in the order of their text. Items with an amount, as states with their
+    counts, show it in whole numbers. The row-number limit is applied before the shuffle too.
+    """
+    amount = F.floor("amount").cast("string")
+    shown = F.concat_ws(": ", F.concat_ws(" < ", "item", "parent"), amount)
+    by_item = Window.partitionBy("check", "field").orderBy("shown")
+    rows = details_table.select("check", "field", shown.alias("shown"))
+    first = rows.withColumn("at", F.row_number().over(by_item)).where(F.col("at") <= PREVIEW_ITEMS + 1)
+    items = F.array_sort(F.collect_list("shown"))
+    more = F.when(F.count("*") > PREVIEW_ITEMS, "...").otherwise("")
+    line = F.concat(F.col("field"), F.lit(": ["), F.array_join(F.slice(items, 1, PREVIEW_ITEMS), ", "), F.lit("]"), more)
+    lines = first.groupBy("check", "field").agg(line.alias("line"))
+    # A check has a handful of fields.
+    joined = F.array_join(F.array_sort(F.collect_list("line")), " | ")
+    return lines.groupBy("check").agg(F.substring(joined, 1, PREVIEW_LENGTH).alias("details"))
+
+
 def check_rows(
     defect_table: DataFrame, categories: list[str], groups: DataFrame | None = None
 ) -> DataFrame:
@@ -134,13 +155,12 @@ def summary(checks: DataFrame, scores: DataFrame | None = None) -> DataFrame:
     """(metric, value): the overall scores if there are any, else the defect total."""
     if scores is None:
         return checks.agg(F.coalesce(F.sum("defect_count"), F.lit(0)).alias("n")).select(
-            F.lit(fixed.TOTAL_LABEL).alias("metric"), F.col("n").cast("string").alias("value")
+            F.lit("defect_count").alias("metric"), F.col("n").cast("string").alias("value")
         )
     overall = scores.where(F.col("category") == fixed.OVERALL)
     cell = lambda c: rates.percent(F.col(c)) if c in RATES else F.col(c).cast("string")
     lines = [
-        F.struct(F.lit(label).alias("metric"), cell(c).alias("value"))
-        for label, c in fixed.SUMMARY_LABELS.items()
+        F.struct(F.lit(c).alias("metric"), cell(c).alias("value")) for c in (*COUNTS, *RATES)
     ]
     pairs = F.array(*lines)
     return overall.select(F.inline(pairs))

@@ -43,12 +43,12 @@ def test_groups_equal_the_sequential_rule(frame, seed, limits):
     assert mapping == wanted_map(groups)
 
 
-@pytest.mark.parametrize("round_edges", [1, 7, 2_000_000])
+@pytest.mark.parametrize("round_edges", [3, 40, 2_000_000])
 def test_claims_do_not_depend_on_the_size_of_a_round(spark, round_edges):
     rnd = random.Random(round_edges)
-    edges = {tuple(sorted(rnd.sample(range(300), 2))) for _ in range(700)}
+    edges = {tuple(sorted(rnd.sample(range(80), 2))) for _ in range(150)}
     claimed = set()
-    for lo in range(300):
+    for lo in range(80):
         if lo not in claimed:
             claimed |= {hi for x, hi in edges if x == lo}
     found = g.claimed_within(spark.createDataFrame(sorted(edges), "lo bigint, hi bigint"), round_edges)
@@ -56,6 +56,37 @@ def test_claims_do_not_depend_on_the_size_of_a_round(spark, round_edges):
     assert g.claimed_within(spark.createDataFrame([], "lo bigint, hi bigint")).count() == 0
 
 
+def in_order(edges):
+    beside, claimed = {}, set()
+    for lo, hi in edges:
+        beside.setdefault(lo, []).append(hi)
+    for lo in sorted(beside):
+        if lo not in claimed:
+            claimed.update(beside[lo])
+    return sorted(claimed)
+
+
+@pytest.mark.parametrize(
+    "shape, most_rounds",
+    [("path", 1), ("star", 1), ("hub last", 1), ("band", 5), ("crowds", 2)],
+)
+def test_rounds_do_not_follow_the_number_of_edges(spark, monkeypatch, shape, most_rounds):
+    n = 300
+    edges = {
+        "path": [(i, i + 1) for i in range(n)],
+        "star": [(0, i) for i in range(1, n)],
+        "hub last": [(i, n) for i in range(n)],
+        "band": [(i, i + k) for i in range(n) for k in (1, 2, 3)],
+        "crowds": [(c * 50 + i, c * 50 + j) for c in range(4) for j in range(30) for i in range(j)],
+    }[shape]
+    rounds = []
+    real = g._free_leaders
+    monkeypatch.setattr(g, "_free_leaders", lambda *a: rounds.append(1) or real(*a))
+    found = g.claimed_within(spark.createDataFrame(edges, "lo bigint, hi bigint"), 150)
+    assert sorted(r.id for r in found.collect()) == in_order(edges)
+    assert len(rounds) <= most_rounds
+
+
 def test_pairs_and_groups_from_one_join(frame):
     rows = random_rows(6)
     index, groups = g.index_and_groups(frame(rows, SCHEMA))
@@ -133,3 +164,27 @@ def test_no_names(frame):
     df = frame([("1", None), ("2", " ")], SCHEMA)
     assert g.name_groups(df).count() == 0
     assert n.normalize_suppliers(df)[0].count() == 2
+
+
+def test_variants_in_order_of_score(frame):
+    rows = random_rows(9, 90)
+    groups = g.name_groups(frame(rows, SCHEMA))
+    found = g.listed(groups).collect()
+    assert len(found) == groups.count()
+    by_group = {}
+    for r in found:
+        by_group.setdefault(r.canonical_rank, []).append(r)
+    for members in by_group.values():
+        order = sorted(members, key=lambda r: (-r.score, r.variant_seen is not None, r.variant_seen or "", r.variant))
+        assert [r.position for r in order] == list(range(1, len(members) + 1))
+
+
+@pytest.mark.parametrize("hot", [0, 3, 10**6])
+def test_name_map_with_hot_names(frame, hot):
+    names = ["a"] * 9 + [None] * 8 + ["b"] * 2 + ["c", "hot and unmapped", "hot and unmapped", "hot and unmapped", "hot and unmapped"]
+    df = frame([(n, i, "x") for i, n in enumerate(names)], "name string, variant int, hot_name string")
+    mapping = frame([("a", "A"), ("c", "C")], "variant string, canonical string")
+    mapped = n.apply_name_map(df, mapping, "name", hot)
+    assert mapped.columns == df.columns
+    wanted = [{"a": "A", "c": "C"}.get(name, name) for name in names]
+    assert [r.name for r in sorted(mapped.collect(), key=lambda r: r.variant)] == wanted

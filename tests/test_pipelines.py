@@ -78,7 +78,7 @@ def test_full_report(spark, sources, manifest, tmp_path):
         ("near_duplicate_groups", "variants", "QUARRY STONE", "Quarry Stone", 100.0),
         ("impossible_dates", "record_keys", "CO-2", None, None),
     } <= details
-    assert summary["Candidates"] == "7" and summary["Recall"] == "85.7%"
+    assert summary["detected"] == "7" and summary["recall"] == "85.7%"
 
     rows = reports.report_rows(result.checks, result.scorecard)
     sinks.write_report(reports.envelope(rows, manifest="m.json"), str(tmp_path / "out"))
@@ -92,7 +92,7 @@ def test_full_report(spark, sources, manifest, tmp_path):
 def test_report_without_manifest(sources):
     result = pipelines.report(parts=sources["parts"])
     assert result.scorecard is None and result.groups is None
-    assert [tuple(r) for r in result.summary.collect()] == [("Total defects detected", "4")]
+    assert [tuple(r) for r in result.summary.collect()] == [("defect_count", "4")]
     assert {r.section for r in reports.report_rows(result.checks).collect()} == {"detection"}
 
 

@@ -74,6 +74,9 @@ def test_lcs_udf_equals_textbook():
 
     a = [text(n) for n in (20, 40, 100) for _ in range(150)] + ["", "a\0", "\0"]
     b = [text(n) for n in (30, 70, 100) for _ in range(150)] + ["x", "a", "\0a"]
+    # Several words a pair, also where every word carries over.
+    a += [text(1000) for _ in range(12)] + ["a" * n for n in (64, 65, 128, 200, 1000)]
+    b += [text(1000) for _ in range(12)] + ["a" * n for n in (64, 70, 129, 190, 999)]
     got = s.common_length.func(pd.Series(a), pd.Series(b)).tolist()
     assert got == [brute.lcs(x, y) for x, y in zip(a, b)]
 
