@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field
 
 import ahocorasick
 import numpy as np
@@ -190,11 +190,12 @@ def _cutter(side_by_side: set[str], used: set[str]) -> re.Pattern:
 
 
 def _with_codec(df: DataFrame, vocabulary: Vocabulary, rule, schema: str) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    # Plain lists: a class of this package could not be read where the package is not installed.
+    shared = df.sparkSession.sparkContext.broadcast(astuple(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One per task: its cache goes when the task ends, as executors have other work to do.
-        codec = Codec(shared.value)
+        codec = Codec(Vocabulary(*shared.value))
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 yield rule(codec, batch.slice(start, 256))
