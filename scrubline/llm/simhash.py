@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.components import components
-from scrubline.llm.tables import broadcast_if_small, is_empty, map_slices, spare_name
+from scrubline.llm.tables import broadcast_if_small, is_empty, map_slices, shuffle_partitions, spare_name
+from scrubline.operators.skew import grid_join, hot_cells
 from scrubline.workspace import written
 
 BITS = 64
@@ -25,6 +26,8 @@ HALF = 32
 SHINGLE_WORDS = 3
 MOST_BITS = 3
 
+# Rows of a join cell on either side beyond which it is cut into a grid.
+HOT_CELL_ROWS = 4096
 # Shingles whose hashes are unpacked into bits at a time.
 HASH_BLOCK = 1 << 16
 
@@ -73,7 +76,11 @@ def _half(value: Column, half: int) -> Column:
 
 
 def _variants(prints: DataFrame) -> DataFrame:
-    """``key``, ``half``, ``wiped`` (the bit left out), ``fp``: 64 rows per fingerprint."""
+    """``key``, ``half``, ``wiped`` (the bit left out), ``fp``: 64 rows per fingerprint.
+
+    Fingerprints are dealt out before they multiply: as stored, they may be a file or two.
+    """
+    prints = prints.select("fp").repartition(shuffle_partitions(prints.sparkSession), "fp")
     wiped = F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("bit")
     every = prints.select("fp", wiped).select(
         "fp",
@@ -81,8 +88,7 @@ def _variants(prints: DataFrame) -> DataFrame:
         F.expr(f"shiftleft(1L, bit % {HALF})").alias("wiped"),
         "bit",
     )
-    part = F.when(F.col("half") == 0, _half(F.col("fp"), 0)).otherwise(_half(F.col("fp"), 1))
-    kept = part.bitwiseAND(F.bitwise_not("wiped"))
+    kept = _own_half().bitwiseAND(F.bitwise_not("wiped"))
     return every.select(
         kept.bitwiseOR(F.shiftleft(F.col("bit").cast("long"), HALF)).alias("key"),
         "half",
@@ -91,7 +97,7 @@ def _variants(prints: DataFrame) -> DataFrame:
     )
 
 
-def _meets(left: DataFrame, right: DataFrame, most_bits: int, condition: Column | None = None) -> DataFrame:
+def _meets(left: DataFrame, right: DataFrame, most_bits: int) -> DataFrame:
     """Pairs ``a < b`` of two sides with ``key``, ``half``, ``wiped``, each link once."""
     differs = F.col("a").bitwiseXOR(F.col("b"))
     low, high = _half(differs, 0), _half(differs, 1)
@@ -101,8 +107,7 @@ def _meets(left: DataFrame, right: DataFrame, most_bits: int, condition: Column
     counts = (here == F.col("wiped")) | ((here == 0) & (F.col("wiped") == 1))
     first = (F.col("half") == 0) | (F.bit_count(low) > 1)
     near = (F.bit_count(differs) <= most_bits) & (F.col("a") < F.col("b"))
-    wanted = near & counts & first if condition is None else near & counts & first & condition
-    return left.hint("merge").join(right.hint("merge"), "key").where(wanted).select("a", "b")
+    return left.hint("merge").join(right.hint("merge"), "key").where(near & counts & first).select("a", "b")
 
 
 def _checked_bits(most_bits: int) -> None:
@@ -127,12 +132,14 @@ def connecting_links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame
 
     Keys that a single fingerprint has end after one aggregate. In the others, each fingerprint is
     first compared with three of its key's (the smallest, the largest and one by a hash). Only keys
-    whose fingerprints these links leave in different groups are joined with themselves, and only
-    pairs from different groups leave the join. So a crowd of near copies costs a few links each.
+    whose fingerprints these links leave in different groups are looked at again, by parts of the other
+    half, and only pairs from different groups leave that join. So a crowd of near copies costs a few
+    links each.
     """
     _checked_bits(most_bits)
     variants = _variants(prints)
-    picks = variants.groupBy("key").agg(
+    # Nearly every key is single, so rows are dealt by key and not combined in maps before.
+    picks = variants.select("key", "fp").repartition("key").groupBy("key").agg(
         F.min("fp").alias("p0"), F.max("fp").alias("p1"), F.min_by("fp", F.xxhash64("fp")).alias("p2")
     )
     shared = broadcast_if_small(written(picks.where("p0 < p1"), "shared"))
@@ -144,12 +151,63 @@ def connecting_links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame
     known = components(to_picks).toDF("fp", "known")
     grouped = crowded.select("key", "half", "wiped", "fp").join(known, "fp", "left")
     grouped = written(grouped.withColumn("group", F.coalesce("known", "fp")).drop("known"), "grouped")
-    split = grouped.groupBy("key").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).where("g0 < g1")
-    open_keys = grouped.join(split.select("key"), "key", "left_semi")
-    left = open_keys.select("key", "half", "wiped", F.col("fp").alias("a"), F.col("group").alias("a_group"))
-    right = open_keys.select("key", F.col("fp").alias("b"), F.col("group").alias("b_group"))
-    rest = _meets(left, right, most_bits, F.col("a_group") != F.col("b_group"))
-    return to_picks.union(rest)
+    side = F.when(_own_half().bitwiseAND(F.col("wiped")) != 0, F.col("group")).alias("one")
+    sides = grouped.select("key", "group", side).withColumn("zero", F.when(F.col("one").isNull(), F.col("group")))
+    split = sides.groupBy("key").agg(
+        *[extreme(c).alias(f"{c}_{at}") for c in ("group", "one", "zero") for at, extreme in enumerate((F.min, F.max))]
+    )
+    split = split.where("group_0 < group_1").select(
+        "key",
+        # Rows that differ in the wiped bit need both sides; rows with equal halves are on one side.
+        F.expr("one_0 is not null and zero_0 is not null").alias("apart"),
+        F.expr("coalesce(one_0 < one_1, false) or coalesce(zero_0 < zero_1, false)").alias("equal"),
+    )
+    open_keys = grouped.join(split, "key").where("apart or (equal and wiped = 1)")
+    return to_picks.union(_across_groups(written(open_keys, "open"), most_bits))
+
+
+def _own_half() -> Column:
+    return F.when(F.col("half") == 0, _half(F.col("fp"), 0)).otherwise(_half(F.col("fp"), 1))
+
+
+def _parts(value: Column, cuts: list[int]) -> Column:
+    """(number, bits) of the parts of a half that is cut at the bit numbers ``cuts``."""
+    parts = [
+        F.struct(
+            F.lit(at).alias("part"),
+            F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << (high - low)) - 1)).alias("bits"),
+        )
+        for at, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False))
+    ]
+    return F.explode(F.array(*parts)).alias("cell")
+
+
+def _across_groups(rows: DataFrame, most_bits: int) -> DataFrame:
+    """Near pairs of different ``group`` among stored rows that share a ``key``.
+
+    Rows whose half is equal differ in at most three bits of the other half, so one of its four parts
+    is equal; rows that differ in the wiped bit differ in at most two more, so one of three parts is.
+    They meet in such a part only, the second kind with the wiped bit on one side. So fingerprints
+    that share a half without being near hardly meet, and cells that are still crowded become a grid.
+    """
+    own = _own_half()
+    other = F.when(F.col("half") == 0, _half(F.col("fp"), 1)).otherwise(_half(F.col("fp"), 0))
+    has_bit = own.bitwiseAND(F.col("wiped")) != 0
+    equal = rows.where("equal and wiped = 1").select("half", own.alias("own"), "fp", "group", _parts(other, [0, 8, 16, 24, 32]))
+    equal = equal.select(F.xxhash64(F.lit(0), "half", "own", "cell").alias("cell"), "fp", "group")
+    apart = rows.where("apart").select("key", has_bit.alias("has_bit"), "fp", "group", _parts(other, [0, 11, 22, 32]))
+    apart = apart.select(F.xxhash64(F.lit(1), "key", "cell").alias("cell"), "has_bit", "fp", "group")
+    sides = [(equal, equal, F.col("a") < F.col("b")), (apart.where("not has_bit"), apart.where("has_bit"), F.lit(True))]
+    found = []
+    for left, right, once in sides:
+        left = left.select("cell", F.col("fp").alias("a"), F.col("group").alias("a_group"))
+        right = right.select("cell", F.col("fp").alias("b"), F.col("group").alias("b_group"))
+        near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most_bits
+        wanted = once & near & (F.col("a_group") != F.col("b_group"))
+        hot = hot_cells(left, right, "cell", HOT_CELL_ROWS)
+        met = grid_join(left, right, "cell", hot, "a", "b", wanted)
+        found.append(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    return found[0].union(found[1])
 
 
 def _grouped(

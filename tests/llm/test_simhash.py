@@ -135,3 +135,25 @@ def test_an_id_with_several_texts_keeps_one_row_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
     assert kept == [(1, a), (1, b), (4, c)]
+
+
+def test_fingerprints_that_share_a_half_hardly_meet(spark, monkeypatch):
+    dice = random.Random(1)
+    base = dice.getrandbits(32)
+    values = {(base << 32) | dice.getrandbits(32) for _ in range(2000)}
+    # Two pairs that do link, by a differing bit in either half.
+    some = sorted(values)[0]
+    values |= {some ^ (1 << 40), some ^ 0b111}
+    met = []
+    real = simhash.grid_join
+
+    def counting(left, right, key, *rest):
+        sizes = [side.groupBy(key).count().withColumnRenamed("count", name) for side, name in ((left, "m"), (right, "n"))]
+        met.append(sizes[0].join(sizes[1], key).selectExpr("sum(m * n)").first()[0] or 0)
+        return real(left, right, key, *rest)
+
+    monkeypatch.setattr(simhash, "grid_join", counting)
+    prints = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    found = {frozenset((r.a, r.b)) for r in simhash.connecting_links(prints).collect()}
+    linked = {frozenset((signed(some), signed(v))) for v in (some ^ (1 << 40), some ^ 0b111)}
+    assert linked <= found and sum(met) < 500_000
