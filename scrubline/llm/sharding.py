@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from scrubline.llm.ordering import running_totals
 from scrubline.llm.sampling import SPARE
+from scrubline.llm.tables import broadcast_if_small, spare_name
 from scrubline.workspace import written
 
 SHARDS = 8
@@ -22,9 +23,8 @@ SHARDS = 8
 RANGES_PER_SHARD = 128
 # Keys sampled per range wanted.
 SAMPLES_PER_RANGE = 8
-# A range above this many times its share is cut again, in so many rounds at most.
+# A range above this many times its share is cut again.
 OVERFULL = 2.0
-MOST_ROUNDS = 6
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -40,6 +40,18 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with a key of its own for every row that repeats both doc_id and text.
+
+    Which of several equal rows gets which key does not matter. Only the keys that repeat are joined.
+    """
+    repeated = rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2", F.lit(True).alias("again"))
+    numbered = rows.withColumn("number", F.monotonically_increasing_id())
+    joined = numbered.join(broadcast_if_small(written(repeated, "repeated")), ["k1", "k2"], "left")
+    own = F.when(F.col("again"), F.xxhash64("k2", "number")).otherwise(F.col("k2"))
+    return joined.select(*[own.alias(c) if c == "k2" else c for c in rows.columns])
+
+
 def _sample(rows: DataFrame, wanted: int, total: int) -> list[tuple[int, int]]:
     """``wanted`` keys at most, drawn without replacement with chances in proportion to size.
 
@@ -95,14 +107,14 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     The law is ``bytes``: shards have near equal sums of ``size`` (UTF-8 bytes plus 1), to within
     about one document or a thousandth. Equal texts stay in one shard unless their group is larger
     than a range. ``slot`` counts a shard's rows from 0 in key order. Null texts are of size 1 with
-    the checksum of no bytes; null ids and repeated rows are sharded like others; an empty table
-    gives no rows; other columns are ignored.
+    the checksum of no bytes; null ids are sharded like others, and so are rows that repeat doc_id and
+    text, each with a key of its own; an empty table gives no rows; other columns are ignored.
     """
-    rows = written(sized(docs), "sized")
+    rows = written(_told_apart(written(sized(docs), "sized")), "sized")
     ranges = shards * RANGES_PER_SHARD
     total = rows.agg(F.sum("size")).first()[0] or 0
     splitters = _boundaries(_sample(rows, ranges * SAMPLES_PER_RANGE, total), ranges)
-    for left in range(MOST_ROUNDS, -1, -1):
+    while True:
         ranged = _in_ranges(rows, sorted(splitters))
         loads = ranged.groupBy("range").agg(
             F.sum("size").alias("load"),
@@ -111,7 +123,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         # One row per range: a thousand or a few.
         loads = loads.orderBy("range").collect()
         full = [r["range"] for r in loads if r["divisible"] and r["load"] > OVERFULL * total / ranges]
-        if not full or not left:
+        if not full:
             break
         before = len(splitters)
         for at in range(0, len(full), 16):
@@ -148,13 +160,25 @@ def _numbered(ranged: DataFrame, owner: np.ndarray) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the documents below ``path`` in one folder per shard.
+    """Write the documents below ``path`` in one folder per shard, named ``shard``.
 
-    Rows that share ``doc_id`` and text go where one of them goes.
+    The name gets underscores in front where ``docs`` has such a column. Rows that share ``doc_id`` and
+    text are dealt to the shards that hold them, by the numbers there.
     """
-    placed = shard(docs, shards).groupBy("doc_id", "text_crc32").agg(F.min("shard").alias("shard"))
-    placed = placed.toDF("_id", "_crc", "shard")
+    key, crc, spread, place = (spare_name(docs, c) for c in ("key_of_row", "crc_of_row", "spread_of_row", "shard"))
+    counts = shard(docs, shards).groupBy("doc_id", "text_crc32", "shard").agg(F.count("*").alias("n"))
+    # An entry per shard at most.
+    each = F.array_sort(F.collect_list(F.struct("shard", "n"))).alias(spread)
+    placed = counts.groupBy(F.col("doc_id").alias(key), F.col("text_crc32").alias(crc)).agg(each)
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.crc32(text) == F.col("_crc"))
-    joined = docs.join(placed, same).drop("_id", "_crc")
-    joined.write.partitionBy("shard").parquet(path)
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(key)) & (F.crc32(text) == F.col(crc))
+    total = F.aggregate(spread, F.lit(0).cast("long"), lambda sum_, entry: sum_ + entry["n"])
+    turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), total)
+    # What is left of the row's turn after each shard; the first that takes it below zero has the row.
+    start = F.struct(turn.alias("left"), F.lit(-1).alias("shard"))
+    step = lambda at, entry: F.struct(
+        (at["left"] - entry["n"]).alias("left"), F.when(at["left"] >= 0, entry["shard"]).otherwise(at["shard"]).alias("shard")
+    )
+    chosen = F.aggregate(spread, start, step, lambda at: at["shard"])
+    joined = docs.join(placed, same).withColumn(place, chosen).drop(key, crc, spread)
+    joined.write.partitionBy(place).parquet(path)
