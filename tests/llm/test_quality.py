@@ -71,3 +71,28 @@ def test_filter_keeps_columns_and_good_rows(spark):
     wanted = quality.classify(docs, labels).where("predicted = 1")
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in wanted.collect()}
+
+
+def test_every_labelled_document_is_learned_from(spark):
+    # More documents than a bounded sample held, in several blocks; of few poor ones each is in all of them.
+    docs = spark.range(25_000).selectExpr(
+        "id as doc_id",
+        "if(id % 400 = 1, repeat('#$ %& ', cast(id % 7 + 1 as int)), repeat('The cat sat. ', cast(id % 50 + 1 as int))) as text",
+    )
+    labels = docs.selectExpr("doc_id", "if(doc_id % 400 = 1, 0, 1) as quality", "0 as toxic")
+    wanted = quality.fold(labels).where("not held_out")
+    total, poor = wanted.count(), wanted.where("quality = 0").count()
+    found = quality.described(docs)
+    rows = quality.learned(found, labels)
+    assert rows.count() == total > 19_000
+    blocks = quality.dealt(rows, total, poor).collect()
+    cell = 8 * len(quality.FEATURES)
+    assert len(blocks) == 5 and sum(len(b.own) for b in blocks) == total * cell
+    assert sum(len(b.good) for b in blocks) == (total - poor) * cell
+    assert all(len(b.poor) == poor * cell for b in blocks)
+    ranker = quality.ranker_of(found, labels)
+    values = np.array([r.features for r in rows.collect()])
+    assert np.allclose(ranker.mean, values.mean(axis=0))
+    # Each block holds all pairs of its good documents, so the weights are those of all pairs.
+    whole = quality.fit(values, np.array([r.quality == 1 for r in rows.collect()]))
+    assert np.allclose(ranker.weights, whole.weights, atol=1e-6) and ranker.cut == pytest.approx(whole.cut, abs=1e-6)
