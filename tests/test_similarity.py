@@ -150,3 +150,19 @@ def test_no_nested_loops(frame):
     plan = s.similar_keys(keys)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_tasks_for_listed_pairs_grow_with_them(frame, monkeypatch, repeats):
+    monkeypatch.setattr(s, "PAIRS_PER_TASK", 3)
+    rows = [r for r in random_rows(5) if r[0] is not None]
+    if not repeats:
+        rows = [(f"U{i:03d}", name) for i, (_, name) in enumerate(rows)]
+    index = s.duplicate_index(frame(rows, "supplier_code string, name string"), hot_rows=6)
+    wanted, pairs = brute.pairs(rows), index.pairs()
+    assert {(r.later, r.earlier): r.score for r in pairs.collect()} == pytest.approx(wanted)
+    assert pairs.count() == len(wanted) > 24
+    assert index.parts >= -(-len(wanted) // 3)
+    # Every join has that many tasks, and pairs of codes with one key each are not made distinct.
+    assert pairs.rdd.getNumPartitions() >= index.parts
+    assert repeats or "Aggregate" not in pairs._jdf.queryExecution().optimizedPlan().toString()
