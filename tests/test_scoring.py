@@ -153,3 +153,20 @@ def test_codes_that_share_a_name_store_few_rows(frame, monkeypatch):
     row = scoring.pair_counts(index, truth).first()
     assert (row.detected, row.matched) == (600 * 599 // 2 + 1, 1)
     assert max(stored.values()) < 3000
+
+
+def test_outcomes_of_listed_pairs_spread_by_their_number(frame, monkeypatch):
+    monkeypatch.setattr(similarity, "PAIRS_PER_TASK", 2)
+    rows = [r for r in random_rows(7) if r[0] is not None]
+    index = similarity.duplicate_index(frame(rows, "supplier_code string, name string"))
+    texts = {f"{a}->{b}" for a, b in brute.pairs(rows)}
+    truth = [*sorted(texts)[::2], "x->y", "x->y"]
+    truth_df = frame([(fixed.NEAR_DUPLICATES, k) for k in truth] + [(fixed.INVALID_EMAILS, "S1")], KEYS)
+    run = [fixed.NEAR_DUPLICATES, fixed.INVALID_EMAILS]
+    listed = index.pairs().select(F.lit(run[0]).alias("category"), similarity.pair_key().alias("record_key"))
+    found = listed.unionByName(frame([(run[1], "S1"), (run[1], "S1"), (run[1], "S2")], KEYS))
+    outcomes = scoring.outcomes(found, truth_df, run, index.parts)
+    assert outcomes.rdd.getNumPartitions() == index.parts > 8
+    assert sorted(map(tuple, outcomes.collect())) == sorted(map(tuple, scoring.outcomes(found, truth_df, run).collect()))
+    unwanted = [r.record_key for r in scoring.unwanted_pairs(index, truth_df).collect()]
+    assert sorted(unwanted) == sorted(texts - set(truth))
