@@ -160,6 +160,49 @@ def test_crowd_of_copies_is_grouped_in_batches(frame):
     assert {(r.canonical, r.variant) for r in found} == {(c, v) for c, vs in wanted for v in vs}
 
 
+def numbered(count):
+    return [(f"SUP-{i:04d}", f"Supplier#{i:09d}") for i in range(count)]
+
+
+def test_crowded_batches_list_no_pairs_of_their_keys(frame, monkeypatch):
+    rows = numbered(400)
+    joined = []
+    for name in ("similar_keys", "similar_between"):
+        monkeypatch.setattr(g, name, lambda *a, name=name, **b: joined.append(name))
+    found = g.name_groups(frame(rows, SCHEMA), repeats=40_000, smallest_batch=20).collect()
+    assert {(r.canonical, r.variant, r.score) for r in found} == {
+        (c, v, brute.score(c, v)) for c, vs in brute.groups([name for _, name in rows]) for v in vs
+    }
+    assert not joined
+
+
+@pytest.mark.parametrize("characters, steps", [(0, 10**8), (1500, 10**8), (10**6, 1), (10**6, 3000)])
+def test_groups_do_not_depend_on_what_one_task_visits(frame, monkeypatch, characters, steps):
+    rows = numbered(120) + [(f"T{code}", name) for code, name in random_rows(12, 60)]
+    random.Random(3).shuffle(rows)
+    monkeypatch.setattr(g, "IN_ORDER_CHARACTERS", characters)
+    monkeypatch.setattr(g, "IN_ORDER_STEPS", steps)
+    found = g.name_groups(frame(rows, SCHEMA), repeats=2000, smallest_batch=40).collect()
+    assert {(r.canonical, r.variant) for r in found} == {
+        (c, v) for c, vs in brute.groups(visiting_order(rows)) for v in vs
+    }
+
+
+@pytest.mark.parametrize("steps", [1, 500, 10**8])
+def test_leaders_in_order_stop_when_steps_run_out(spark, frame, steps):
+    names = frame(numbered(200) + [("a", "x" * 150), ("b", "y")], "first_seen string, name string")
+    keys, _ = g.ranked_keys(names)
+    texts = {r.kid: r.key for r in keys.collect()}
+    leaders, stopped = g.leaders_in_order(keys, 85, steps)
+    wanted = []
+    for kid in sorted(texts):
+        if kid < (len(texts) if stopped is None else stopped):
+            if not any(brute.matches(texts[kid], texts[at]) for at in wanted):
+                wanted.append(kid)
+    assert sorted(r.kid for r in leaders.collect()) == wanted
+    assert (stopped is None) == (steps == 10**8) and wanted
+
+
 def test_no_names(frame):
     df = frame([("1", None), ("2", " ")], SCHEMA)
     assert g.name_groups(df).count() == 0

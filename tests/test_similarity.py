@@ -67,6 +67,21 @@ def test_blocked_join_equals_all_pairs(
     )
 
 
+@pytest.mark.parametrize("threshold", [85, 70, 100])
+def test_comparing_few_with_all_equals_the_join(frame, threshold):
+    rnd = random.Random(threshold)
+    word = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 12)))
+    names = sorted({f"supplier {word()}" for _ in range(60)} | {word() * 20 for _ in range(20)})
+    keys = s.key_features(frame(list(enumerate(names)), "kid bigint, key string"))
+    some = keys.where("kid % 3 = 0")
+    found = s.similar_to_few(some, keys, threshold, 3).collect()
+    assert sorted(found) == sorted(s.similar_between(some, keys, threshold).collect())
+    assert {(r.a, r.b) for r in found} == {
+        (a, b) for a in range(0, len(names), 3) for b in range(len(names))
+        if a != b and brute.matches(names[a], names[b], threshold)
+    }
+
+
 def test_lcs_udf_equals_textbook():
     rnd = random.Random(9)
     text = lambda n: "".join(rnd.choice("abcé𝒳 ") for _ in range(rnd.randint(0, n)))
