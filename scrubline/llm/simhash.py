@@ -10,14 +10,13 @@ connect them, not all links, so crowds of near copies are first linked to a few
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.components import components
-from scrubline.llm.tables import broadcast_if_small, is_empty, map_slices, shuffle_partitions, spare_name
+from scrubline.llm.tables import SLICE_ROWS, broadcast_if_small, is_empty, map_slices, shuffle_partitions, spare_name
 from scrubline.operators.skew import grid_join, hot_cells
 from scrubline.workspace import written
 
@@ -250,12 +249,16 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int
     Rows that repeat a ``doc_id`` with other texts are told apart by their fingerprints, so an id may
     stay for several groups, once for each. Rows without ``doc_id`` stay where their
     group has no id at all, one for each fingerprint. Texts only move if the ids of the rows that go
-    are too many to broadcast.
+    are too many to broadcast. Only rows that repeat an id or have none go to Python again.
     """
 
-    @F.pandas_udf("long")
-    def print_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(text, shingle_words) for text in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def print_of(texts: pa.Array) -> pa.Array:
+        slices = (texts.slice(at, SLICE_ROWS).to_pylist() for at in range(0, len(texts), SLICE_ROWS))
+        return pa.array([fingerprint(text, shingle_words) for some in slices for text in some], pa.int64())
+
+    # Else the joins' own test for nulls is moved below and calls it again: two workers for each task.
+    print_of = print_of.asNondeterministic()
 
     own = spare_name(docs, "fingerprint_of_row")
     prints, named = _grouped(docs, shingle_words, most_bits)
@@ -274,7 +277,10 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int
         several = several.join(heads, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
         stays = single.union(several)
 
-    nameless = docs.where("doc_id is null").withColumn(own, print_of(F.col("text").cast("string")))
+    nameless = docs.where("doc_id is null")
+    if is_empty(nameless):
+        return stays
+    nameless = nameless.withColumn(own, print_of(F.col("text").cast("string")))
     alone = named.where("component_id is null").select(F.col("fp").alias(own))
     nameless = nameless.join(alone, own, "left_semi").dropDuplicates([own]).drop(own)
     return stays.union(nameless)

@@ -137,6 +137,20 @@ def test_an_id_with_several_texts_keeps_one_row_of_each_group(spark):
     assert kept == [(1, a), (1, b), (4, c)]
 
 
+def test_keeping_one_row_calls_python_once_for_rows_that_need_it(spark):
+    a, b, c = ("alpha beta gamma delta", "one two three four five", "red green blue black white")
+    plain, repeated, nameless = [(1, a), (2, a), (3, b)], [(3, a), (4, c), (4, c)], [(None, a), (None, c), (None, c)]
+    calls = []
+    for rows in (plain, plain + repeated, plain + nameless, plain + repeated + nameless):
+        kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+        calls.append(kept._jdf.queryExecution().executedPlan().toString().count("EvalPython"))
+        texts = [(r.doc_id, r.text) for r in kept.collect()]
+        own = [(4, c)] if repeated[1] in rows else [(None, c)] if nameless[1] in rows else []
+        assert sorted(texts, key=str) == sorted([(1, a), (3, b), *own], key=str)
+    # Each call takes a worker of its own beside that of the others in a task.
+    assert calls == [0, 1, 1, 2]
+
+
 def test_fingerprints_that_share_a_half_hardly_meet(spark, monkeypatch):
     dice = random.Random(1)
     base = dice.getrandbits(32)
